@@ -1,0 +1,40 @@
+"""Joining per-request facts back to rows when some requests are huge."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+ROWS_PER_TASK = 1_000_000
+
+
+def join_facts(
+    rows: DataFrame,
+    facts: DataFrame,
+    key: str,
+    count: str,
+    spread_by: str,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Left-join one-row-per-key ``facts`` to many ``rows`` per key.
+
+    ``facts[count]`` is the number of rows of the key. A key with more than
+    ``rows_per_task`` rows is cut into that many parts: its rows are dealt out by
+    a hash of ``spread_by`` and its single fact row is repeated per part. All
+    other keys join as usual, so the facts grow by at most rows / rows_per_task.
+
+    Only the list of oversized keys is broadcast. There can be at most
+    ``total rows / rows_per_task`` of them (a million for 10^12 rows).
+    """
+    parts = F.ceil(F.col(count) / F.lit(rows_per_task)).cast("int")
+    oversized = facts.where(F.col(count) > rows_per_task).select(key, parts.alias("_parts"))
+    dealt = rows.join(F.broadcast(oversized), key, "left").withColumn(
+        "_part",
+        F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(spread_by), F.col("_parts")).cast("int")
+        ),
+    )
+    repeated = facts.withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.greatest(parts - 1, F.lit(0))))
+    )
+    return dealt.join(repeated, [key, "_part"], "left").drop("_part", "_parts", count)
