@@ -3,6 +3,6 @@
 
 def load_registry():
     """Import all query modules and return the filled registry."""
-    from bridge import flat_queries, registry  # noqa: F401
+    from bridge import document_queries, flat_queries, registry  # noqa: F401
 
     return registry

@@ -42,13 +42,14 @@ ACCT = f"""acct0 AS (
          CAST(12 + {_A} % 37 AS BIGINT) AS n_hist
   FROM orders),
 acct AS (
-  SELECT *, CAST({months_to('reported')} AS BIGINT) AS lag, CAST({months_to('opened')} AS BIGINT) AS mob
+  SELECT *, CAST({months_to('reported')} AS BIGINT) AS lag, CAST({months_to('opened')} AS BIGINT) AS mob,
+         opened IS NOT NULL AS usable
   FROM acct0)"""
 
 CELL = f"""cell0 AS (
   SELECT request_id, acct, lag, n_hist, unnest(generate_series(0, n_hist - 1)) AS i FROM acct),
 cell AS (
-  SELECT request_id, acct, lag, i, i + lag AS k,
+  SELECT request_id, acct, lag, i, i + greatest(lag, 0) AS k,
          {sh.payment('request_id', 'acct', 'i')} AS payment,
          {sh.suit('acct', 'i')} AS suit, {sh.asset('acct', 'i')} AS asset
   FROM cell0),
@@ -88,18 +89,18 @@ enq_count AS (
 
 METRIC = """rolled AS (
   SELECT request_id, count(*) AS n_accounts, max(mob) AS max_mob,
-         count(*) FILTER (opened IS NOT NULL) AS n_usable,
-         count(*) FILTER (opened IS NOT NULL AND perf_avail) AS sum_perf_avail,
-         count(*) FILTER (opened IS NOT NULL AND derog_pol) AS cnt_derog_accts,
-         count(*) FILTER (opened IS NOT NULL AND act_acct_pol) AS cnt_overdue_accts,
-         count(*) FILTER (opened IS NOT NULL AND dpd90_pol_l12m) AS cnt_dpd90_l12m_accts,
-         count(*) FILTER (opened IS NOT NULL AND dpd60_pol_l12m) AS cnt_dpd60_l12m_accts,
-         count(*) FILTER (opened IS NOT NULL AND dpd30_pol_l6m) AS cnt_dpd30_l6m_accts,
-         count(*) FILTER (opened IS NOT NULL AND dpd30_pol_l12m) AS cnt_dpd30_l12m_accts,
-         CAST(coalesce(sum(dpd30_pol_l12m_cnt) FILTER (opened IS NOT NULL), 0) AS BIGINT) AS sum_dpd_ins_l12m,
-         CAST(coalesce(sum(dpd30_pol_l6m_cnt) FILTER (opened IS NOT NULL), 0) AS BIGINT) AS sum_dpd_ins_l6m,
-         CAST(coalesce(sum(dpd30_pol_l3m_cnt) FILTER (opened IS NOT NULL), 0) AS BIGINT) AS sum_dpd_ins_l3m,
-         count(acct) FILTER (opened IS NOT NULL) AS cnt_accts
+         count(*) FILTER (usable) AS n_usable,
+         count(*) FILTER (usable AND perf_avail) AS sum_perf_avail,
+         count(*) FILTER (usable AND derog_pol) AS cnt_derog_accts,
+         count(*) FILTER (usable AND act_acct_pol) AS cnt_overdue_accts,
+         count(*) FILTER (usable AND dpd90_pol_l12m) AS cnt_dpd90_l12m_accts,
+         count(*) FILTER (usable AND dpd60_pol_l12m) AS cnt_dpd60_l12m_accts,
+         count(*) FILTER (usable AND dpd30_pol_l6m) AS cnt_dpd30_l6m_accts,
+         count(*) FILTER (usable AND dpd30_pol_l12m) AS cnt_dpd30_l12m_accts,
+         CAST(coalesce(sum(dpd30_pol_l12m_cnt) FILTER (usable), 0) AS BIGINT) AS sum_dpd_ins_l12m,
+         CAST(coalesce(sum(dpd30_pol_l6m_cnt) FILTER (usable), 0) AS BIGINT) AS sum_dpd_ins_l6m,
+         CAST(coalesce(sum(dpd30_pol_l3m_cnt) FILTER (usable), 0) AS BIGINT) AS sum_dpd_ins_l3m,
+         count(acct) FILTER (usable) AS cnt_accts
   FROM flag GROUP BY request_id),
 metric AS (
   SELECT q.*, r.* EXCLUDE (request_id), coalesce(e.n, 0) AS max_inq_l3m,

@@ -43,10 +43,13 @@ def decision_table(scored: DataFrame) -> DataFrame:
 
 
 def quarantine_table(scored: DataFrame) -> DataFrame:
-    """Requests that could not be processed, with the reason."""
-    return scored.where(F.col("error_reason").isNotNull()).select(
-        "request_id", "user_id", "error_reason"
-    )
+    """Requests that could not be processed, with the reason.
+
+    Exploding a 0- or 1-element array instead of filtering keeps Catalyst from
+    evaluating the whole parse twice, once for the filter and once for the row.
+    """
+    reasons = F.filter(F.array("error_reason"), lambda e: e.isNotNull())
+    return scored.select("request_id", "user_id", F.explode(reasons).alias("error_reason"))
 
 
 # --- account table ----------------------------------------------------------
