@@ -13,6 +13,7 @@ from bridge.shapes import AS_OF
 from tradeline import config as cfgs
 from tradeline import schemas as s
 from tradeline.functions import history
+from tradeline.functions.dates import parse_date
 from tradeline.operators import parse, policy
 from tradeline.plans import documents, export
 from tradeline.session import new_path
@@ -167,9 +168,9 @@ def explode_accounts(spark, sf):
 )
 def account_ordinal(spark, sf):
     """The ordinal is taken before undated accounts are dropped."""
-    fields = parse.typed_account(F.col("a"), F.col("ordinal"), AS_OF, detail=False)
+    opened = parse_date(F.col("a.DateOpened"), AS_OF, day_first=True)
     rows = exploded(spark, sf).select(
-        "request_id", fields["ordinal"].alias("acct_uniq_id"), fields["opened"].alias("opened")
+        "request_id", F.col("ordinal").alias("acct_uniq_id"), opened.alias("opened")
     )
     return rows.where(F.col("opened").isNotNull()).withColumn(
         "opened", F.date_format("opened", "yyyy-MM-dd")
@@ -340,12 +341,11 @@ def rename_nohit(spark, sf):
 
 @query(
     "score_extract",
-    q.with_ctes(d.REQ, body=f"SELECT {ID}, CAST(CASE WHEN {REPORT} THEN score ELSE 99999 END AS BIGINT) AS score FROM req WHERE v <> 5"),
+    q.with_ctes(d.REQ, body=f"SELECT {ID}, v = 5 AS bad_json, CAST(CASE WHEN {REPORT} THEN score ELSE 99999 END AS BIGINT) AS score FROM req"),
 )
 def score_extract(spark, sf):
     score = parse.read_score(F.col("score_details"), CFG.missing_score)
-    df = parsed(spark, sf).select("request_id", "bad_json", score.alias("score"))
-    return df.where(~F.col("bad_json")).drop("bad_json")
+    return parsed(spark, sf).select("request_id", "bad_json", score.alias("score"))
 
 
 @query(
@@ -394,35 +394,34 @@ def feature_map(spark, sf):
     "route_input",
     q.with_ctes(
         d.REQ,
-        body=f"SELECT {ID}, CASE WHEN request_id % 50 = 0 THEN 'Invalid_Detail' ELSE 'Valid_Detail' END AS input_detail_type, "
-        "CASE WHEN request_id % 50 = 0 THEN 'E' || request_id % 7 END AS errorcode FROM req WHERE v <> 5",
+        body=f"SELECT {ID}, v = 5 AS bad_json, CASE WHEN v <> 5 AND request_id % 50 = 0 THEN 'Invalid_Detail' ELSE 'Valid_Detail' END AS input_detail_type, "
+        "CASE WHEN v <> 5 AND request_id % 50 = 0 THEN 'E' || request_id % 7 END AS errorcode FROM req",
     ),
 )
 def route_input(spark, sf):
-    df = parsed(spark, sf).select(
+    return parsed(spark, sf).select(
         "request_id", "bad_json",
         F.when(documents.route() == "INVALID", "Invalid_Detail").otherwise("Valid_Detail").alias("input_detail_type"),
         F.col("top_error.ErrorCode").alias("errorcode"),
     )
-    return df.where(~F.col("bad_json")).drop("bad_json")
 
 
 @query(
     "route_history",
     q.with_ctes(
         d.REQ,
-        body=f"SELECT {ID}, route, CASE route WHEN 'INVALID' THEN 'NA' WHEN 'NOHIT' THEN 'NTC' ELSE 'ETC' END AS bur_hist_sta, "
-        "CASE WHEN v <> 23 AND route = 'NOHIT' THEN 'not found' END AS errordesc FROM req WHERE v <> 5",
+        "x AS (SELECT request_id, v, CASE WHEN v = 5 THEN 'HIT' ELSE route END AS route FROM req)",
+        body=f"SELECT {ID}, v = 5 AS bad_json, route, CASE route WHEN 'INVALID' THEN 'NA' WHEN 'NOHIT' THEN 'NTC' ELSE 'ETC' END AS bur_hist_sta, "
+        "CASE WHEN route = 'NOHIT' THEN 'not found' END AS errordesc FROM x",
     ),
 )
 def route_history(spark, sf):
     df = parsed(spark, sf).withColumn("route", documents.route())
-    df = df.select(
+    return df.select(
         "request_id", "bad_json", "route",
         policy.history_status(F.col("route"), F.lit(False)).alias("bur_hist_sta"),
         F.col("report_error.ErrorDesc").alias("errordesc"),
     )
-    return df.where(~F.col("bad_json")).drop("bad_json")
 
 
 # --- decisions --------------------------------------------------------------
@@ -541,7 +540,7 @@ _RESULT_DDL = (
     "sink_result_json",
     q.with_ctes(
         *d.DECIDED,
-        f"acc AS (SELECT f.request_id, string_agg('A' || f.a, ',' ORDER BY lag > 48, j) AS accounts, count(*) AS n, "
+        f"acc AS (SELECT f.request_id, string_agg('A' || f.a, ',' ORDER BY f.lag > 48, j) AS accounts, count(*) AS n, "
         f"string_agg(coalesce(CAST(l.p AS VARCHAR), '~'), ',' ORDER BY f.lag > 48, j) AS l3m "
         "FROM flag f LEFT JOIN level l ON l.acct = f.acct AND l.k = 3 AND l.lag <= 48 WHERE usable GROUP BY f.request_id)",
         body="""SELECT CASE WHEN route = 'HIT' AND coalesce(n_usable, 0) = 0 THEN NULL ELSE user_id END AS user_id,

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def code_map(table: dict[str, int]) -> Column:
-    """A constant ``map<string,int>``; Catalyst folds it to one literal."""
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in table.items()))
+    """A constant ``map<string,int>``; Catalyst folds it to one literal.
+
+    Written as one SQL expression: a literal per call would cost a round trip to
+    the JVM for each of the entries.
+    """
+    entries = ", ".join(f"{_quoted(code)}, {int(level)}" for code, level in table.items())
+    return F.expr(f"map({entries})")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def code_level(code: Column, table: dict[str, int]) -> Column:

@@ -24,21 +24,23 @@ def income_band(low: Column, high: Column, open_ended: Column | None = None) ->
     ``high IS NULL`` and is passed when ``high`` comes from lenient parsing.
     """
     open_ended = high.isNull() if open_ended is None else open_ended
-    expr = None
-    for lo, hi, band in c.INCOME_BRACKETS:
-        hit = (low == lo) & (open_ended if hi is None else high == hi)
-        expr = F.when(hit, band) if expr is None else expr.when(hit, band)
-    return expr.otherwise(c.DEFAULT_INCOME_BAND)
-
-
-def _cells(table: dict[str, tuple]) -> dict[str, float]:
-    return {f"{band}{i}": float(v) for band, row in table.items() for i, v in enumerate(row, 1)}
+    known = ", ".join(
+        f"'{float(lo)}:{'open' if hi is None else float(hi)}', {band}"
+        for lo, hi, band in c.INCOME_BRACKETS
+    )
+    upper = F.when(open_ended, "open").otherwise(high.cast("double").cast("string"))
+    bracket = F.concat_ws(":", low.cast("double").cast("string"), upper)
+    return F.coalesce(F.expr(f"map({known})")[bracket], F.lit(c.DEFAULT_INCOME_BAND))
 
 
 def grid_value(table: dict[str, tuple], band: Column, income: Column) -> Column:
     """One cell of a fixed 7 x 4 grid, as a literal-map lookup (no join)."""
-    pairs = [F.lit(x) for kv in _cells(table).items() for x in kv]
-    return F.create_map(*pairs)[F.concat(band, income.cast("string"))]
+    cells = ", ".join(
+        f"'{name}{i}', {float(value)!r}D"
+        for name, row in table.items()
+        for i, value in enumerate(row, 1)
+    )
+    return F.expr(f"map({cells})")[F.concat(band, income.cast("string"))]
 
 
 def grid_frame(spark: SparkSession) -> DataFrame:

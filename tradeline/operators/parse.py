@@ -7,6 +7,7 @@ and enquiries travel with it and nothing has to be joined or shuffled.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,19 +140,22 @@ def report_number(header: Column, rows: Column) -> Column:
     return field_at(header["ReportOrderNO"], F.lit(0), rows)
 
 
+_ACCOUNT_DATES = {"opened": "DateOpened", "closed": "DateClosed", "reported": "DateReported"}
+
+
 def typed_account(a: Column, ordinal: Column, as_of: dt.date, detail: bool) -> dict[str, Column]:
     """Typed fields of one raw account struct.
 
     Month codes become plain string arrays; with ``detail`` the raw account is
-    kept for the account table.
+    kept for the account table. The three dates go through one parser and are
+    named by the next stage, :func:`dated`.
     """
     month = a["History48Months"]
+    spelled = F.array(*[a[name] for name in _ACCOUNT_DATES.values()])
     fields = {
         "ordinal": ordinal.cast("int"),
         "acct_number": a["AccountNumber"],
-        "opened": parse_date(a["DateOpened"], as_of, day_first=True),
-        "closed": parse_date(a["DateClosed"], as_of, day_first=True),
-        "reported": parse_date(a["DateReported"], as_of, day_first=True),
+        "days": F.transform(spelled, lambda text: parse_date(text, as_of, day_first=True)),
         "balance": to_amount(a["Balance"]),
         "writeoff": to_amount(a["WriteOffAmount"]),
         "bad_number": is_bad_number(a["Balance"]) | is_bad_number(a["WriteOffAmount"]),
@@ -166,6 +170,11 @@ def typed_account(a: Column, ordinal: Column, as_of: dt.date, detail: bool) -> d
     return fields
 
 
+def dated(get: Callable[[str], Column], cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+    """Account dates by name."""
+    return {name: F.get(get("days"), F.lit(i)) for i, name in enumerate(_ACCOUNT_DATES)}
+
+
 def typed_enquiries(enquiries: Column, as_of: dt.date) -> Column:
     """Enquiry list with its parsed date (month-first when ambiguous)."""
     return F.transform(

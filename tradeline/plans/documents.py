@@ -97,7 +97,7 @@ def score_requests(
         }
     )
     known = list(typed_names)
-    for stage in acc.STAGES:
+    for stage in (parse.dated, *acc.STAGES):
         items, known = acc.extend_structs(F.col("accounts"), known, stage, cfg, as_of)
         df = df.withColumn("accounts", items)
 

@@ -35,6 +35,16 @@ def conform(df: DataFrame, fields: Iterable[tuple[str, str]], keys: Iterable[str
     return df.select(*keys, *[column(n.lower(), k) for n, k in fields])
 
 
+def _present(value) -> Column:
+    """Generator that keeps the rows whose ``value`` is not null.
+
+    A filter on a computed column is pushed below the projection that computes
+    it, so the whole parse would run twice: for the test and for the row.
+    Exploding a 0- or 1-element array evaluates it once.
+    """
+    return F.explode(F.filter(F.array(value), lambda v: v.isNotNull()))
+
+
 # --- decision ---------------------------------------------------------------
 
 
@@ -43,13 +53,8 @@ def decision_table(scored: DataFrame) -> DataFrame:
 
 
 def quarantine_table(scored: DataFrame) -> DataFrame:
-    """Requests that could not be processed, with the reason.
-
-    Exploding a 0- or 1-element array instead of filtering keeps Catalyst from
-    evaluating the whole parse twice, once for the filter and once for the row.
-    """
-    reasons = F.filter(F.array("error_reason"), lambda e: e.isNotNull())
-    return scored.select("request_id", "user_id", F.explode(reasons).alias("error_reason"))
+    """Requests that could not be processed, with the reason."""
+    return scored.select("request_id", "user_id", _present("error_reason").alias("error_reason"))
 
 
 # --- account table ----------------------------------------------------------
@@ -237,8 +242,7 @@ def enquiry_table(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> Data
 
 def user_policy_table(scored: DataFrame) -> DataFrame:
     """One row per request with usable accounts, 26 columns, keyed by request_id."""
-    present = F.filter(F.array("policy"), lambda p: p.isNotNull())
-    return scored.select("request_id", F.inline(present))
+    return scored.select("request_id", _present("policy").alias("p")).select("request_id", "p.*")
 
 
 # --- result documents -------------------------------------------------------
@@ -317,10 +321,9 @@ def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> D
             F.col("accept_ind").alias("Accpt_Ind"),
         )
     carried = [n for n in ("file_name",) if n in scored.columns]
+    text = F.to_json(body, {"ignoreNullFields": "false"})
     return df.select(
         "request_id",
         *carried,
-        F.when(
-            F.col("error_reason").isNull(), F.to_json(body, {"ignoreNullFields": "false"})
-        ).alias("value"),
+        _present(F.when(F.col("error_reason").isNull(), text)).alias("value"),
     )

@@ -17,7 +17,7 @@ from tradeline import schemas as s
 from tradeline.config import CURRENT, PolicyConfig
 from tradeline.functions.limits import credit_limit
 from tradeline.operators import accounts as acc
-from tradeline.operators import policy
+from tradeline.operators import parse, policy
 
 
 def enquiry_counts(enquiries: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT) -> DataFrame:
@@ -118,10 +118,9 @@ def user_policy_rows(policy_rows: DataFrame) -> DataFrame:
 
 def accounts_from_requests(requests: DataFrame, as_of: dt.date) -> DataFrame:
     """Parsed documents -> the account table this plan reads."""
-    from tradeline.operators import parse
-
     rows = requests.select("request_id", F.posexplode_outer("raw_accounts").alias("i", "a")).where(
         F.col("a").isNotNull()
     )
     fields = parse.typed_account(F.col("a"), F.col("i"), as_of, detail=False)
-    return rows.select("request_id", *[v.alias(n) for n, v in fields.items()])
+    typed = rows.select("request_id", *[v.alias(n) for n, v in fields.items()])
+    return typed.withColumns(parse.dated(F.col, CURRENT, as_of)).drop("days")

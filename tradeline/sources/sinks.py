@@ -45,10 +45,9 @@ def write_result_documents(results: DataFrame, path: str) -> None:
     ``results`` is (request_id, value[, file_name]); with file names each folder
     is called ``processed_file_<name>``.
     """
-    documents = results.where(F.col("value").isNotNull())
     if "file_name" in results.columns:
-        documents.select(
+        results.select(
             F.concat(F.lit("processed_file_"), "file_name").alias("result"), "value"
         ).write.mode("overwrite").partitionBy("result").text(path)
     else:
-        documents.select("value").write.mode("overwrite").text(path)
+        results.select("value").write.mode("overwrite").text(path)
