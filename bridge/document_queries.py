@@ -34,10 +34,9 @@ def scored(spark, sf):
 
 def exploded(spark, sf, *columns):
     """One row per raw account with the given request columns."""
-    rows = parsed(spark, sf).select(
-        "request_id", *columns, F.posexplode_outer("raw_accounts").alias("ordinal", "a")
+    return parsed(spark, sf).select(
+        "request_id", *columns, F.posexplode("raw_accounts").alias("ordinal", "a")
     )
-    return rows.where(F.col("a").isNotNull())
 
 
 ID = "CAST(request_id AS VARCHAR) AS request_id"
@@ -137,8 +136,8 @@ _PHONES = """ph AS (SELECT request_id, n_phones, unnest(generate_series(0, n_pho
     ),
 )
 def parse_phone(spark, sf):
-    rows = parsed(spark, sf).select("request_id", F.posexplode_outer("phones").alias("i", "p"))
-    return rows.where(F.col("p").isNotNull()).select(
+    rows = parsed(spark, sf).select("request_id", F.posexplode("phones").alias("i", "p"))
+    return rows.select(
         "request_id", "i", parse.phone_type(F.col("p.PhoneType")).alias("phonetype"),
         F.col("p.Number").alias("number"),
     )
@@ -191,9 +190,9 @@ _CELLS = [d.REQ, d.ACCT, q.CELL]
 )
 def explode_history(spark, sf):
     months = exploded(spark, sf).select(
-        "request_id", "ordinal", F.posexplode_outer("a.History48Months").alias("i", "h")
+        "request_id", "ordinal", F.posexplode("a.History48Months").alias("i", "h")
     )
-    return months.where(F.col("h").isNotNull()).select(
+    return months.select(
         "request_id", "ordinal", "i", F.col("h.key").alias("key"), F.col("h.PaymentStatus").alias("payment"),
         F.col("h.SuitFiledStatus").alias("suit"), F.col("h.AssetClassificationStatus").alias("asset"),
     )
@@ -277,8 +276,8 @@ def zip_arrays(spark, sf):
     zipped = F.when(
         F.col("header").isNotNull(), F.arrays_zip(products.alias("productcode"), numbers.alias("number"))
     )
-    rows = parsed(spark, sf).select("request_id", F.posexplode_outer(zipped).alias("i", "z"))
-    return rows.where(F.col("z").isNotNull()).select(
+    rows = parsed(spark, sf).select("request_id", F.posexplode(zipped).alias("i", "z"))
+    return rows.select(
         "request_id", "i", F.col("z.productcode").alias("productcode"), F.col("z.number").alias("number")
     )
 
@@ -331,12 +330,10 @@ def rename_accounts(spark, sf):
 )
 def rename_nohit(spark, sf):
     error = F.coalesce("top_error", "report_error")
-    rows = parsed(spark, sf).select(
+    return parsed(spark, sf).where(error.isNotNull()).select(
         "request_id", _header("ClientID").alias("client_id"), _header("CustRefField").alias("reference_no"),
-        _header("ReportOrderNO").alias("reportnumber"),
-        F.explode(F.filter(F.array(error["ErrorCode"]), lambda e: e.isNotNull())).alias("errorcode"),
+        _header("ReportOrderNO").alias("reportnumber"), error["ErrorCode"].alias("errorcode"),
     )
-    return rows
 
 
 @query(
@@ -359,9 +356,9 @@ FROM enq e JOIN req r ON r.request_id = e.request_id WHERE {REPORT.replace('requ
 )
 def explode_enquiries(spark, sf):
     enquiries = parse.typed_enquiries(F.col("raw_enquiries"), AS_OF)
-    rows = parsed(spark, sf).select("request_id", F.explode_outer(enquiries).alias("e"))
+    rows = parsed(spark, sf).select("request_id", F.explode(enquiries).alias("e"))
     raw = F.col("e.raw")
-    return rows.where(F.col("e").isNotNull()).select(
+    return rows.select(
         "request_id", raw["seq"].alias("seq"), raw["Institution"].alias("institution"),
         F.date_format("e.date", "yyyy-MM-dd").alias("day"), raw["Time"].alias("time"),
         raw["RequestPurpose"].alias("requestpurpose"), raw["Amount"].alias("amount"),
@@ -381,8 +378,8 @@ UNION ALL SELECT {ID}, 'late', -2 FROM req WHERE v <> 5 AND request_id % 17 <> 0
 )
 def feature_map(spark, sf):
     bag = F.map_entries(parse.feature_map(F.col("features")))
-    rows = parsed(spark, sf).select("request_id", F.explode_outer(bag).alias("e"))
-    return rows.where(F.col("e").isNotNull()).select(
+    rows = parsed(spark, sf).select("request_id", F.explode(bag).alias("e"))
+    return rows.select(
         "request_id", F.col("e.key").alias("label"), F.col("e.value").alias("value")
     )
 
@@ -520,12 +517,8 @@ def export_user_dict(spark, sf):
     df = documents.score_requests(
         parse.parse_requests(t.documents(spark, sf), detail=False), AS_OF, detail=False
     )
-    rows = F.filter(F.array("policy"), lambda p: p.isNotNull())
-    dicts = F.to_json(export.column_dict(rows, _USER))
-    return df.select(
-        "request_id",
-        F.explode(F.when(F.array_size(rows) > 0, F.array(dicts)).otherwise(F.array())).alias("user_dict"),
-    )
+    dicts = F.to_json(export.column_dict(F.array("policy"), _USER))
+    return df.where(F.col("policy").isNotNull()).select("request_id", dicts.alias("user_dict"))
 
 
 _RESULT_DDL = (

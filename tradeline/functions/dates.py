@@ -43,7 +43,8 @@ def tenure_months(end: Column, opened: Column) -> Column:
 
 
 def _ymd(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string"))
+    dash = F.lit("-")
+    return F.concat(year.cast("string"), dash, month.cast("string"), dash, day.cast("string"))
 
 
 def _named_month(name: Column) -> Column:
@@ -63,9 +64,9 @@ def parse_date(text: Column, as_of: dt.date, day_first: bool) -> Column:
     def part(pattern: str, group: int) -> Column:
         return F.regexp_extract(t, pattern, group)
 
-    a, b = part(_NUMERIC, 1).cast("int"), part(_NUMERIC, 2).cast("int")
+    a, b = part(_NUMERIC, 1).try_cast("int"), part(_NUMERIC, 2).try_cast("int")
     a_is_day = (a > 12) | (b <= 12) if day_first else a > 12
-    short = part(_NUMERIC, 3).cast("int")
+    short = part(_NUMERIC, 3).try_cast("int")
     century = short + 2000
     year = (
         F.when(F.length(part(_NUMERIC, 3)) == 4, short)

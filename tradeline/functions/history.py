@@ -16,7 +16,7 @@ GRID = 49  # L0M .. L48M
 
 def shift(lag: Column) -> Column:
     """Positions to shift; a report dated years ahead counts as current."""
-    return F.greatest(lag, F.lit(0))
+    return F.when(lag < 0, F.lit(0)).otherwise(lag)
 
 
 def pad(codes: Column, size: int = GRID) -> Column:
@@ -25,7 +25,7 @@ def pad(codes: Column, size: int = GRID) -> Column:
 
 
 def visible(codes: Column, lag: Column, months: int = 48) -> Column:
-    """The part of a raw history that falls on L0M..L{months-1}M."""
+    """The part of a raw history that falls on L0M..L{months-1}M (none without a lag)."""
     kept = F.greatest(F.lit(months) - shift(lag), F.lit(0))
     return F.slice(codes, F.lit(1), kept)
 

@@ -16,6 +16,7 @@ from tradeline import schemas as s
 from tradeline.config import CURRENT, PolicyConfig
 from tradeline.functions.dates import parse_date
 from tradeline.functions.numbers import is_bad_number, to_amount, to_double, to_whole
+from tradeline.operators.once import evaluated_once
 
 
 def listed(text: Column) -> Column:
@@ -126,7 +127,7 @@ def parse_requests(raw: DataFrame, cfg: PolicyConfig = CURRENT, detail: bool = T
     )
     report = F.col("report")
     lists = [F.array_size(listed(F.col(f"header.{f}"))) for f in s.HEADER_FIELDS]
-    return located.select(
+    parsed = located.select(
         *[c for c in located.columns if c != "report"],
         F.coalesce(F.greatest(*lists), F.lit(1)).alias("header_rows"),
         report["RetailAccountDetails"].alias("raw_accounts"),
@@ -134,6 +135,7 @@ def parse_requests(raw: DataFrame, cfg: PolicyConfig = CURRENT, detail: bool = T
         report["Enquiries"].alias("raw_enquiries"),
         report["ScoreDetails"].alias("score_details"),
     )
+    return evaluated_once(parsed)
 
 
 def report_number(header: Column, rows: Column) -> Column:

@@ -13,6 +13,7 @@ from tradeline.functions.limits import credit_limit
 from tradeline.functions.numbers import is_bad_number
 from tradeline.operators import accounts as acc
 from tradeline.operators import parse, policy
+from tradeline.operators.once import evaluated_once
 
 
 # Columns of a parsed request; anything else was carried in by the caller.
@@ -165,7 +166,7 @@ def score_requests(
     df = df.withColumns(results)
     carried = [n for n in requests.columns if n not in READ_FIELDS]
     kept = DETAIL_FIELDS if detail else ("policy",)
-    return df.select(*[n for n, _ in s.DECISION_FIELDS], *carried, *kept)
+    return evaluated_once(df.select(*[n for n, _ in s.DECISION_FIELDS], *carried, *kept))
 
 
 def _error_reason(cfg: PolicyConfig) -> Column:

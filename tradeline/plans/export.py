@@ -35,16 +35,6 @@ def conform(df: DataFrame, fields: Iterable[tuple[str, str]], keys: Iterable[str
     return df.select(*keys, *[column(n.lower(), k) for n, k in fields])
 
 
-def _present(value) -> Column:
-    """Generator that keeps the rows whose ``value`` is not null.
-
-    A filter on a computed column is pushed below the projection that computes
-    it, so the whole parse would run twice: for the test and for the row.
-    Exploding a 0- or 1-element array evaluates it once.
-    """
-    return F.explode(F.filter(F.array(value), lambda v: v.isNotNull()))
-
-
 # --- decision ---------------------------------------------------------------
 
 
@@ -54,7 +44,9 @@ def decision_table(scored: DataFrame) -> DataFrame:
 
 def quarantine_table(scored: DataFrame) -> DataFrame:
     """Requests that could not be processed, with the reason."""
-    return scored.select("request_id", "user_id", _present("error_reason").alias("error_reason"))
+    return scored.where(F.col("error_reason").isNotNull()).select(
+        "request_id", "user_id", "error_reason"
+    )
 
 
 # --- account table ----------------------------------------------------------
@@ -206,14 +198,8 @@ def _bureau_columns(b: Getter, cfg: PolicyConfig) -> dict[str, Column]:
 
 
 def account_table(scored: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
-    """One row per account, 271 columns, keyed by request_id.
-
-    The outer explode plus a test on its output keeps Catalyst from copying the
-    whole scoring expression into a filter below the generator.
-    """
-    rows = scored.withColumn("row", F.explode_outer(_account_rows())).where(
-        F.col("row").isNotNull()
-    )
+    """One row per account, 271 columns, keyed by request_id."""
+    rows = scored.withColumn("row", F.explode(_account_rows()))
     bound = rows.withColumn(
         "b", F.struct(*[v.alias(n) for n, v in _bind(lambda n: F.col("row")[n], cfg).items()])
     )
@@ -233,16 +219,14 @@ def _enquiry_columns(e: Column, as_of, cfg: PolicyConfig) -> dict[str, Column]:
 
 def enquiry_table(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
     """One row per enquiry, 8 columns, keyed by request_id."""
-    rows = scored.select("request_id", F.explode_outer("enquiries").alias("e")).where(
-        F.col("e").isNotNull()
-    )
+    rows = scored.select("request_id", F.explode("enquiries").alias("e"))
     columns = _enquiry_columns(F.col("e"), as_of, cfg)
     return rows.select("request_id", *[v.alias(n) for n, v in columns.items()])
 
 
 def user_policy_table(scored: DataFrame) -> DataFrame:
     """One row per request with usable accounts, 26 columns, keyed by request_id."""
-    return scored.select("request_id", _present("policy").alias("p")).select("request_id", "p.*")
+    return scored.where(F.col("policy").isNotNull()).select("request_id", "policy.*")
 
 
 # --- result documents -------------------------------------------------------
@@ -287,7 +271,7 @@ def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> D
     The launch profile uses its own five keys and indexes the user table by
     report number. Quarantined requests have no document.
     """
-    df = with_result_arrays(scored, as_of, cfg)
+    df = with_result_arrays(scored.where(F.col("error_reason").isNull()), as_of, cfg)
     bureau = column_dict(F.col("bureau_rows"), [n for n, _ in s.bureau_fields(cfg.user_column)])
     enquiry = column_dict(F.col("enquiry_rows"), [n for n, _ in s.ENQUIRY_OUT_FIELDS])
     if cfg.envelope:
@@ -325,5 +309,5 @@ def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> D
     return df.select(
         "request_id",
         *carried,
-        _present(F.when(F.col("error_reason").isNull(), text)).alias("value"),
+        text.alias("value"),
     )

@@ -118,9 +118,7 @@ def user_policy_rows(policy_rows: DataFrame) -> DataFrame:
 
 def accounts_from_requests(requests: DataFrame, as_of: dt.date) -> DataFrame:
     """Parsed documents -> the account table this plan reads."""
-    rows = requests.select("request_id", F.posexplode_outer("raw_accounts").alias("i", "a")).where(
-        F.col("a").isNotNull()
-    )
+    rows = requests.select("request_id", F.posexplode("raw_accounts").alias("i", "a"))
     fields = parse.typed_account(F.col("a"), F.col("i"), as_of, detail=False)
     typed = rows.select("request_id", *[v.alias(n) for n, v in fields.items()])
     return typed.withColumns(parse.dated(F.col, CURRENT, as_of)).drop("days")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(name: str = "tradeline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package is tuned for."""
@@ -31,13 +33,18 @@ def build_session(name: str = "tradeline", master: str | None = None, **conf: st
 def work_folder(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests, a laptop) a local folder is chosen and set.
+    A local session without that setting (tests, a laptop) gets a temporary
+    folder; on a cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tradeline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tradeline-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

@@ -22,7 +22,7 @@ def read_requests(spark: SparkSession, path: str) -> DataFrame:
 
 def read_request_files(spark: SparkSession, path: str) -> DataFrame:
     """One request per file; ``file_name`` names the result document later."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return _with_id(files.select("value", F.col("_metadata.file_name").alias("file_name")))
 
 
