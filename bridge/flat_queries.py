@@ -128,8 +128,8 @@ def history_reanchor(spark, sf):
 def avail_split_union(spark, sf):
     # One scan: the two parts differ by a label, not by a separate read.
     lag = dates.months_ago(F.col("reported"), AS_OF).cast("bigint")
-    part = F.when(F.col("lag") <= CFG.history_months, "available").when(
-        F.col("lag") > CFG.history_months, "unavailable"
+    part = F.when(F.col("lag") <= history.MONTHS, "available").when(
+        F.col("lag") > history.MONTHS, "unavailable"
     )
     return (
         t.accounts(spark, sf).select("acct_number", lag.alias("lag"))

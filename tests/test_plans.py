@@ -241,6 +241,50 @@ def test_launch_documents_by_file(spark):
     assert (b["Accpt_Ind"], b["Bur_Hist_Sta"], b["df_User"]) == ("0", "ETC", None)
 
 
+def _accounts(spark, accounts, cfg=CURRENT):
+    text = g.request(accounts)
+    if not cfg.envelope:
+        text = json.dumps(json.loads(text)["bureau_data"])
+    raw = spark.createDataFrame([("r", text)], "request_id string, value string")
+    scored = score_requests(parse_requests(raw, cfg), AS_OF, cfg)
+    return export.account_table(scored, cfg).orderBy("acct_uniq_id").collect()
+
+
+def test_account_columns(spark):
+    clean = g.cells(suit={0: "*"})
+    rows = _accounts(
+        spark,
+        [
+            g.account(opened="2020-03-15", closed="2021-05-01", history=clean, CreditLimit="9"),
+            g.account(opened="01/02/2023", history=clean, CreditLimit="8"),
+            g.account(opened=g.ABSENT, history=clean),
+        ],
+    )
+    # Tenure counts the opening month twice over; the undated account is gone.
+    assert [(r.acct_uniq_id, r.tenure_clo_ope, r.tenure_avai) for r in rows] == [(0, 20, 20), (1, None, 15)]
+    # Only credit limits were sent, so they stand in for the high credit.
+    assert [r.highcredit for r in rows] == ["9", "8"]
+    assert [r.suitfiledstatus for r in rows] == ["*", "*"]
+    assert [(r.key_0, r.key_47, r.key_48) for r in rows] == [("m0", "m47", None)] * 2
+    assert rows[0].dateclosed_n == "2021-05-01 00:00:00" and rows[1].dateopened_n == "2023-02-01 00:00:00"
+    assert [r.score for r in rows] == [750, 750] and rows[0].total == "1"
+
+
+def test_fallbacks_are_per_report(spark):
+    pair = [g.account(HighCredit="5", SuitFiledStatus="NS"), g.account(CreditLimit="7")]
+    assert [(r.highcredit, r.suitfiledstatus) for r in _accounts(spark, pair)] == [("5", "NS"), (None, None)]
+    launch = [(r.highcredit, r.suitfiledstatus) for r in _accounts(spark, pair, LAUNCH)]
+    assert launch == [("5", "NS"), (None, "NS")]
+    mixed = [g.account(HighCredit="5"), g.account(SanctionAmount="6", CreditLimit="7")]
+    assert [r.highcredit for r in _accounts(spark, mixed)] == ["5", "6"]
+
+
+def test_49th_month_stays_text(spark):
+    row = _accounts(spark, [g.account(history=g.cells(50, payment={48: "60+", 47: "30+"}))])[0]
+    assert (row.acct_st_49, row.suit_filed_st_49, row.asset_cl_st_49) == ("60+", "NS", "STD")
+    assert (row.acctst_l47m, row.acctst_l48m, row.key_48) == (2, None, "m48")
+
+
 def test_no_hit_rows(spark):
     """A request without accounts gives one row per phone or product."""
     patch = {"bureau_data__CCRResponse__CIRReportDataLst__0__Error": {"ErrorCode": "00", "ErrorDesc": "none"}}

@@ -107,7 +107,6 @@ class PolicyConfig:
     asset_codes: dict = None
     rules: tuple[Rule, ...] = ACCEPTANCE_RULES
 
-    history_months: int = 48
     derog_max_mob: int = 48
     derog_payment: int = 5
     derog_asset: int = 4

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GRID = 49  # L0M .. L48M
+MONTHS = 48  # months a history may cover
+GRID = MONTHS + 1  # L0M .. L48M
 
 
 def shift(lag: Column) -> Column:
@@ -24,9 +25,9 @@ def pad(codes: Column, size: int = GRID) -> Column:
     return F.slice(F.concat(codes, F.array_repeat(F.lit(None), size)), 1, size)
 
 
-def visible(codes: Column, lag: Column, months: int = 48) -> Column:
-    """The part of a raw history that falls on L0M..L{months-1}M (none without a lag)."""
-    kept = F.greatest(F.lit(months) - shift(lag), F.lit(0))
+def visible(codes: Column, lag: Column) -> Column:
+    """The part of a raw history that falls on L0M..L47M (none without a lag)."""
+    kept = F.greatest(F.lit(MONTHS) - shift(lag), F.lit(0))
     return F.slice(codes, F.lit(1), kept)
 
 
@@ -38,19 +39,19 @@ def lookback(seen: Column, lag: Column, months: int) -> Column:
     return F.slice(seen, first, count)
 
 
-def reanchor(levels: Column, lag: Column, months: int = 48) -> Column:
-    """The full L0M..L{months}M array: leading nulls, then the visible part."""
-    n = F.least(shift(lag), F.lit(months + 1))
-    lead = F.array_repeat(F.lit(None).cast("int"), n)
-    return F.when(
-        lag <= months, pad(F.concat(lead, visible(levels, lag, months)), months + 1)
-    ).otherwise(F.array_repeat(F.lit(None).cast("int"), months + 1))
+def reanchor(levels: Column, lag: Column) -> Column:
+    """The full L0M..L48M array: leading nulls, then the visible part."""
+    missing = F.lit(None).cast("int")
+    lead = F.array_repeat(missing, F.least(shift(lag), F.lit(GRID)))
+    return F.when(lag <= MONTHS, pad(F.concat(lead, visible(levels, lag)))).otherwise(
+        F.array_repeat(missing, GRID)
+    )
 
 
-def long_form(codes: Column, lag: Column, months: int = 48) -> Column:
+def long_form(codes: Column, lag: Column) -> Column:
     """``array<struct<k, code>>`` of the visible months, for exploding."""
     n = shift(lag)
     return F.transform(
-        visible(codes, lag, months),
+        visible(codes, lag),
         lambda code, i: F.struct((i + n).alias("k"), code.alias("code")),
     )

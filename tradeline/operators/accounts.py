@@ -41,10 +41,10 @@ def placed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
 
 def coded(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
     """Severity of the visible months; asset and suit are only needed as maxima."""
-    lag, months = get("lag"), cfg.history_months
+    lag = get("lag")
 
     def levels(series: str, table: dict[str, int]) -> Column:
-        return code_levels(h.visible(get(series), lag, months), table)
+        return code_levels(h.visible(get(series), lag), table)
 
     return {
         "seen": levels("payment", cfg.payment_codes),
@@ -74,7 +74,7 @@ def flagged(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]
         return F.coalesce(hits, F.lit(0))
 
     return {
-        "perf_avail": holds(get("lag") <= cfg.history_months),
+        "perf_avail": holds(get("lag") <= h.MONTHS),
         "derog_pol": (
             holds((get("mob") <= cfg.derog_max_mob) & (get("writeoff") > 0))
             | holds(get("worst_payment") >= cfg.derog_payment)
@@ -121,8 +121,8 @@ def contributions(get: Getter) -> dict[str, tuple[str, Column]]:
         "bad_number": ("any", holds(get("bad_number"))),
         "null_tenure": ("any", dated & get("closed").isNull() & get("reported").isNull()),
         "null_report_date": ("any", dated & get("lag").isNull()),
-        "recent_report": ("any", dated & holds(get("lag") <= 48)),
-        "future_report": ("any", dated & holds(get("lag").between(-48, -1))),
+        "recent_report": ("any", dated & holds(get("lag") <= h.MONTHS)),
+        "future_report": ("any", dated & holds(get("lag").between(-h.MONTHS, -1))),
         "any_balance": ("any", get("has_balance")),
         "any_acct_number": ("any", get("acct_number").isNotNull()),
         "any_payment": ("any", F.get(get("payment"), F.lit(0)).isNotNull()),

@@ -36,7 +36,7 @@ def phone_type(text: Column, normalise: bool = True) -> Column:
     if not normalise:
         return text
     return F.when(text.startswith("["), F.get(listed(text), F.lit(0))).otherwise(
-        F.substring(text, 1, 1)
+        F.nullif(F.substring(text, 1, 1), F.lit(""))
     )
 
 

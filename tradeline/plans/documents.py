@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeline import schemas as s
 from tradeline.config import CURRENT, PolicyConfig
+from tradeline.functions import history as h
 from tradeline.functions.limits import credit_limit
 from tradeline.functions.numbers import is_bad_number
 from tradeline.operators import accounts as acc
@@ -154,8 +155,8 @@ def score_requests(
         results["accounts"] = F.when(
             scored,
             F.concat(
-                kept(lambda a: a["lag"] <= cfg.history_months),
-                kept(lambda a: a["lag"] > cfg.history_months),
+                kept(lambda a: a["lag"] <= h.MONTHS),
+                kept(lambda a: a["lag"] > h.MONTHS),
             ),
         )
         results["enquiries"] = F.when(scored, F.col("enquiries"))

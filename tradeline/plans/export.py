@@ -92,10 +92,9 @@ def _bind(row: Getter, cfg: PolicyConfig) -> dict[str, Column]:
     """Arrays that many output columns index, built once per row."""
     acct = row("acct")
     lag = acct["lag"]
-    months = cfg.history_months
 
     def named(series: str, table) -> Column:
-        return h.reanchor(code_levels(acct[series], table), lag, months)
+        return h.reanchor(code_levels(acct[series], table), lag)
 
     return {
         "head": row("head"),

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,16 +34,18 @@ def run_stream(
     """Write the five output tables per micro-batch.
 
     Each batch owns one ``batch=N`` folder per table and replaces it when Spark
-    repeats the batch after a failure, so results appear once.
+    repeats the batch after a failure, so results appear once. The scored batch
+    is kept for its five writes; a lost executor's part is read again from the
+    source files.
     """
     scored = score_requests(parse_requests(raw, cfg), as_of, cfg)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        kept = f"{out}/_scored/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(kept)
-        write_tables(
-            batch.sparkSession.read.parquet(kept), out, as_of, cfg, part=f"batch={batch_id}"
-        )
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_tables(kept, out, as_of, cfg, part=f"batch={batch_id}")
+        finally:
+            kept.unpersist()
 
     writer = scored.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
