@@ -300,3 +300,16 @@ def test_conform(spark):
     out = export.conform(df, (("seq", "string"), ("amount", "double"), ("date", "string"), ("time", "string")))
     assert out.columns == ["seq", "amount", "date", "time"]
     assert out.first() == ("1", None, "x", None)
+
+
+def test_command_line(spark, folder):
+    from tradeline.__main__ import arguments, main
+
+    out, docs = new_path(spark, "cli"), new_path(spark, "cli-docs")
+    main(["batch", "--requests", folder, "--out", out, "--as-of", "2024-01-31", "--documents", docs])
+    decided = spark.read.parquet(f"{out}/decision")
+    ok = decided.where("error_reason IS NULL").count()
+    assert ok == spark.read.text(docs).count() > 0
+    assert decided.count() == ok + spark.read.parquet(f"{out}/quarantine").count()
+    with pytest.raises(SystemExit):
+        arguments(["stream", "--requests", "a", "--out", "b", "--as-of", "2024-01-31"])

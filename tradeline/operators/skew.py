@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradeline.operators.once import evaluated_once
+
 ROWS_PER_TASK = 1_000_000
 
 
@@ -26,6 +28,9 @@ def join_facts(
     Only the list of oversized keys is broadcast. There can be at most
     ``total rows / rows_per_task`` of them (a million for 10^12 rows).
     """
+    # Both uses below keep all columns of the facts, so they are one and the
+    # same aggregate and its shuffle is run once and reused.
+    facts = evaluated_once(facts)
     parts = F.ceil(F.col(count) / F.lit(rows_per_task)).cast("int")
     oversized = facts.where(F.col(count) > rows_per_task).select(key, parts.alias("_parts"))
     dealt = rows.join(F.broadcast(oversized), key, "left").withColumn(
