@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.golden import AS_OF
 from tradeline.config import PAYMENT_CODES
 from tradeline.functions import dates, history, limits, numbers
-from tradeline.functions.codes import code_level, code_levels
+from tradeline.functions.codes import code_level, code_levels, has_level
 
 # text -> (day first, month first)
 DATES = {
@@ -29,6 +29,16 @@ DATES = {
     "31-12-2023": ("2023-12-31 00:00:00",) * 2,
     "31/12/23": ("2023-12-31 00:00:00",) * 2,
     "31/12/99": ("1999-12-31 00:00:00",) * 2,
+    "3/4/23": ("2023-04-03 00:00:00", "2023-03-04 00:00:00"),
+    "3/4/74 10:00": ("1974-04-03 10:00:00", "1974-03-04 10:00:00"),
+    "13/13/2023": (None, None),
+    "00/01/2023": (None, None),
+    "01/00/2023": (None, None),
+    "1/1/0001": (None, None),
+    "99990101": (None, None),
+    "2262/01/01": (None, None),
+    "1678-01-01": ("1678-01-01 00:00:00",) * 2,
+    "01-01-2261": ("2261-01-01 00:00:00",) * 2,
     "5-Mar-2021": ("2021-03-05 00:00:00",) * 2,
     "05 March 2021": ("2021-03-05 00:00:00",) * 2,
     "Mar 5, 2021": ("2021-03-05 00:00:00",) * 2,
@@ -78,6 +88,11 @@ def test_codes(spark):
         code_level(F.lit("it's"), {"it's": 4, "back\\slash": 5}).alias("quoted"),
         code_level(F.lit("back\\slash"), {"it's": 4, "back\\slash": 5}).alias("slash"),
     ).first()
+    worst = df.select(*[has_level(F.col("c"), PAYMENT_CODES, n).alias(f"h{n}") for n in (-20, 5, 21, 22)]).first()
+    assert tuple(worst) == (True, True, True, False)
+    quiet = spark.createDataFrame([(["000", "30+", None],), (["000"],), ([],)], "c array<string>")
+    hits = [r.h for r in quiet.select(has_level(F.col("c"), PAYMENT_CODES, 5).alias("h")).collect()]
+    assert hits == [None, False, False]
     assert r.all == [PAYMENT_CODES.get(c) for c in codes]
     assert (r.one, r.quoted, r.slash) == (1, 4, 5)
 
@@ -107,6 +122,10 @@ def test_history_frames(spark):
         "lag", "levels",
         history.reanchor(levels, lag).alias("named"),
         *[history.lookback(seen, lag, m).alias(f"l{m}") for m in (3, 6, 12)],
+        *[
+            history.first_months(history.lookback(seen, lag, 12), lag, m).alias(f"f{m}")
+            for m in (3, 6, 12)
+        ],
         F.transform(history.long_form(levels, lag), lambda x: x["k"]).alias("ks"),
         history.pad(levels).alias("padded"),
     )
@@ -117,6 +136,7 @@ def test_history_frames(spark):
         for m in (3, 6, 12):
             frame = [v for v in (r[f"l{m}"] or []) if v is not None]
             assert frame == [v for v in want[1 : m + 1] if v is not None], (r.lag, len(r.levels), m)
+            assert r[f"f{m}"] == r[f"l{m}"]
         if r.lag is not None and r.lag <= 48:
             n = max(r.lag, 0)
             assert r.ks == list(range(n, n + min(len(r.levels), 48 - n)))

@@ -29,3 +29,13 @@ def code_levels(codes: Column, table: dict[str, int]) -> Column:
     """Severity of every code of an array, position by position."""
     lookup = code_map(table)
     return F.transform(codes, lambda code: lookup[code])
+
+
+def has_level(codes: Column, table: dict[str, int], level: int) -> Column:
+    """Whether an array holds a code of at least this severity.
+
+    Equal to ``array_max(code_levels(codes)) >= level``, but as one hash probe
+    per element that stays in generated code. Null when undecided.
+    """
+    severe = ", ".join(_quoted(code) for code, value in table.items() if value >= level)
+    return F.arrays_overlap(codes, F.expr(f"array({severe})")) if severe else F.lit(False)

@@ -13,12 +13,18 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO = r"^\d{4}-\d{1,2}(-\d{1,2}([ T].*)?)?$"
-_YEAR_FIRST = r"^(\d{4})[/. ](\d{1,2})[/. ](\d{1,2})"
-_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
-_NUMERIC = r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})(?:[ T]+(\d{1,2}:\d{2}(?::\d{2})?))?$"
-_DAY_NAME = r"^(\d{1,2})[-/. ]*([A-Za-z]{3})[a-z]*[-/., ]*(\d{4})$"
-_NAME_DAY = r"^([A-Za-z]{3})[a-z]*[-/. ]*(\d{1,2})[-/., ]+(\d{4})$"
+# Years a date may have; anything else (a 9999 "never") is unreadable.
+_YEAR = r"(167[89]|16[89]\d|1[789]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
+_SEP = r"[-/. ]"
+_TIME = r"(?:[ T]+(\d{1,2}:\d{2}(?::\d{2})?))?$"
+_DAY, _MONTH, _NO_MONTH = r"(\d{1,2})", r"(0?[1-9]|1[0-2])", r"(1[3-9]|[2-9]\d)"
+
+_ISO = rf"^{_YEAR}-\d{{1,2}}(-\d{{1,2}}([ T].*)?)?$"
+_YEAR_FIRST = rf"^{_YEAR}[/. ](\d{{1,2}})[/. ](\d{{1,2}})"
+_COMPACT = rf"^{_YEAR}(\d{{2}})(\d{{2}})$"
+_DAY_NAME = rf"^(\d{{1,2}}){_SEP}*([A-Za-z]{{3}})[a-z]*[-/., ]*{_YEAR}$"
+_NAME_DAY = rf"^([A-Za-z]{{3}})[a-z]*{_SEP}*(\d{{1,2}})[-/., ]+{_YEAR}$"
+_SHORT_YEAR = rf"^(\d{{1,2}}{_SEP}\d{{1,2}}{_SEP})(\d\d)(?=$|[ T])"
 _MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
@@ -42,14 +48,40 @@ def tenure_months(end: Column, opened: Column) -> Column:
     return month_index(end) - (F.year(opened) * 12 - F.month(opened))
 
 
-def _ymd(year: Column, month: Column, day: Column) -> Column:
-    dash = F.lit("-")
-    return F.concat(year.cast("string"), dash, month.cast("string"), dash, day.cast("string"))
-
-
 def _named_month(name: Column) -> Column:
     at = F.instr(F.lit(_MONTH_NAMES), F.lower(name))
-    return F.when(at % 3 == 1, ((at + 2) / 3).cast("int"))
+    return F.when(at % 3 == 1, ((at + 2) / 3).cast("int").cast("string"))
+
+
+def _full_year(text: Column, as_of: dt.date) -> Column:
+    """``3/4/23`` -> ``3/4/2023``, in the century closest to ``as_of``."""
+    short = F.regexp_extract(text, _SHORT_YEAR, 2).try_cast("int")
+    century = F.when(short + 2000 >= as_of.year + 50, "19").otherwise("20")
+    return F.concat(
+        F.regexp_extract(text, _SHORT_YEAR, 1), century, F.regexp_replace(text, _SHORT_YEAR, "$2")
+    )
+
+
+def _written(text: Column, day_first: bool) -> Column:
+    """Rewrite any known spelling to ``yyyy-M-d[ time]``; null when there is none."""
+    if day_first:
+        usual, swapped = (_DAY, _MONTH, "$3-$2-$1 $4"), (_DAY, _NO_MONTH, "$3-$1-$2 $4")
+    else:
+        usual, swapped = (_MONTH, _DAY, "$3-$1-$2 $4"), (_NO_MONTH, _DAY, "$3-$2-$1 $4")
+    rewrites = [
+        (f"^{first}{_SEP}{second}{_SEP}{_YEAR}{_TIME}", to) for first, second, to in (usual, swapped)
+    ]
+    rewrites += [(_YEAR_FIRST, "$1-$2-$3"), (_COMPACT, "$1-$2-$3")]
+    found = F.when(text.rlike(_ISO), text)
+    for pattern, to in rewrites:
+        found = found.when(text.rlike(pattern), F.regexp_replace(text, pattern, to))
+    dash = F.lit("-")
+    for pattern, day, name in ((_DAY_NAME, 1, 2), (_NAME_DAY, 2, 1)):
+        part = lambda i: F.regexp_extract(text, pattern, i)  # noqa: B023, E731
+        found = found.when(
+            text.rlike(pattern), F.concat(part(3), dash, _named_month(part(name)), dash, part(day))
+        )
+    return found
 
 
 def parse_date(text: Column, as_of: dt.date, day_first: bool) -> Column:
@@ -60,41 +92,11 @@ def parse_date(text: Column, as_of: dt.date, day_first: bool) -> Column:
     go to the century closest to ``as_of``. Years outside 1678..2261 are null.
     """
     t = F.trim(text)
-
-    def part(pattern: str, group: int) -> Column:
-        return F.regexp_extract(t, pattern, group)
-
-    a, b = part(_NUMERIC, 1).try_cast("int"), part(_NUMERIC, 2).try_cast("int")
-    a_is_day = (a > 12) | (b <= 12) if day_first else a > 12
-    short = part(_NUMERIC, 3).try_cast("int")
-    century = short + 2000
-    year = (
-        F.when(F.length(part(_NUMERIC, 3)) == 4, short)
-        .when(century >= as_of.year + 50, century - 100)
-        .otherwise(century)
-    )
-    numeric = F.concat_ws(
-        " ",
-        _ymd(year, F.when(a_is_day, b).otherwise(a), F.when(a_is_day, a).otherwise(b)),
-        F.nullif(part(_NUMERIC, 4), F.lit("")),
-    )
-
-    plain = (
-        F.when(t.rlike(_ISO), t)
-        .when(t.rlike(_NUMERIC), numeric)
-        .when(t.rlike(_YEAR_FIRST), F.regexp_replace(t, _YEAR_FIRST, "$1-$2-$3"))
-        .when(t.rlike(_COMPACT), F.regexp_replace(t, _COMPACT, "$1-$2-$3"))
-        .when(
-            t.rlike(_DAY_NAME),
-            _ymd(part(_DAY_NAME, 3), _named_month(part(_DAY_NAME, 2)), part(_DAY_NAME, 1)),
-        )
-        .when(
-            t.rlike(_NAME_DAY),
-            _ymd(part(_NAME_DAY, 3), _named_month(part(_NAME_DAY, 1)), part(_NAME_DAY, 2)),
-        )
+    written = F.coalesce(
+        _written(t, day_first),
+        F.when(t.rlike(_SHORT_YEAR), _written(_full_year(t, as_of), day_first)),
     )
-    known_year = F.substring_index(plain, "-", 1).try_cast("int").between(1678, 2261)
-    return F.when(known_year, plain.try_cast("timestamp_ntz"))
+    return written.try_cast("timestamp_ntz")
 
 
 def date_text(ts: Column) -> Column:

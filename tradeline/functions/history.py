@@ -32,11 +32,18 @@ def visible(codes: Column, lag: Column) -> Column:
 
 
 def lookback(seen: Column, lag: Column, months: int) -> Column:
-    """Months L1M..L{months}M of a :func:`visible` history."""
-    n = shift(lag)
-    first = F.greatest(F.lit(2) - n, F.lit(1))
-    count = F.greatest(F.least(F.lit(months), F.lit(months + 1) - n), F.lit(0))
-    return F.slice(seen, first, count)
+    """Months L1M..L{months}M of a :func:`visible` history, as far as they exist."""
+    return F.slice(seen, F.greatest(F.lit(2) - shift(lag), F.lit(1)), _length(lag, months))
+
+
+def first_months(frame: Column, lag: Column, months: int) -> Column:
+    """Months L1M..L{months}M of a longer :func:`lookback` frame."""
+    return F.slice(frame, F.lit(1), _length(lag, months))
+
+
+def _length(lag: Column, months: int) -> Column:
+    """How many of L1M..L{months}M lie at or before the last report."""
+    return F.greatest(F.least(F.lit(months), F.lit(months + 1) - shift(lag)), F.lit(0))
 
 
 def reanchor(levels: Column, lag: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tradeline.config import PolicyConfig
 from tradeline.functions import history as h
-from tradeline.functions.codes import code_level, code_levels
+from tradeline.functions.codes import code_level, code_levels, has_level
 from tradeline.functions.dates import months_ago
 
 Getter = Callable[[str], Column]
@@ -40,62 +40,59 @@ def placed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
 
 
 def coded(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
-    """Severity of the visible months; asset and suit are only needed as maxima."""
+    """Severe codes in the visible months; severities of the last twelve."""
     lag = get("lag")
 
-    def levels(series: str, table: dict[str, int]) -> Column:
-        return code_levels(h.visible(get(series), lag), table)
+    def severe(series: str, table: dict[str, int], level: int) -> Column:
+        return holds(has_level(h.visible(get(series), lag), table, level))
 
+    last_year = h.lookback(h.visible(get("payment"), lag), lag, 12)
     return {
-        "seen": levels("payment", cfg.payment_codes),
-        "worst_asset": F.array_max(levels("asset", cfg.asset_codes)),
-        "worst_suit": F.array_max(levels("suit", cfg.suit_codes)),
+        "severe_payment": severe("payment", cfg.payment_codes, cfg.derog_payment),
+        "severe_asset": severe("asset", cfg.asset_codes, cfg.derog_asset),
+        "severe_suit": severe("suit", cfg.suit_codes, cfg.derog_suit),
+        "last_12": code_levels(last_year, cfg.payment_codes),
     }
 
 
 def framed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
-    """Worst payment severity, and the last twelve completed months."""
+    """Worst severity and months late in the last 12, 6 and 3 completed months."""
+
+    def late(months: int) -> Column:
+        frame = h.first_months(get("last_12"), get("lag"), months)
+        hits = F.array_size(F.filter(frame, lambda v: v >= cfg.dpd30))
+        return F.coalesce(hits, F.lit(0))
+
     return {
-        "worst_payment": F.array_max(get("seen")),
-        "last_12": h.lookback(get("seen"), get("lag"), 12),
-        "last_6": h.lookback(get("seen"), get("lag"), 6),
-        "last_3": h.lookback(get("seen"), get("lag"), 3),
+        "worst_12": F.array_max(get("last_12")),
+        "dpd30_pol_l12m_cnt": late(12),
+        "dpd30_pol_l6m_cnt": late(6),
+        "dpd30_pol_l3m_cnt": late(3),
     }
 
 
 def flagged(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
-    """The account flags and delinquency counts of the policy."""
-
-    def ever(frame: str, level: int) -> Column:
-        return holds(F.array_max(get(frame)) >= level)
-
-    def months_at(frame: str, level: int) -> Column:
-        hits = F.array_size(F.filter(get(frame), lambda v: v >= level))
-        return F.coalesce(hits, F.lit(0))
-
+    """The account flags of the policy."""
     return {
         "perf_avail": holds(get("lag") <= h.MONTHS),
         "derog_pol": (
             holds((get("mob") <= cfg.derog_max_mob) & (get("writeoff") > 0))
-            | holds(get("worst_payment") >= cfg.derog_payment)
-            | holds(get("worst_asset") >= cfg.derog_asset)
-            | holds(get("worst_suit") >= cfg.derog_suit)
+            | get("severe_payment")
+            | get("severe_asset")
+            | get("severe_suit")
         ),
         "act_acct_pol": holds(get("balance") > 0) & holds(get("dpd") > 0),
-        "dpd90_pol_l12m": ever("last_12", cfg.dpd90),
-        "dpd60_pol_l12m": ever("last_12", cfg.dpd60),
-        "dpd30_pol_l6m": ever("last_6", cfg.dpd30),
-        "dpd30_pol_l12m": ever("last_12", cfg.dpd30),
-        "dpd30_pol_l12m_cnt": months_at("last_12", cfg.dpd30),
-        "dpd30_pol_l6m_cnt": months_at("last_6", cfg.dpd30),
-        "dpd30_pol_l3m_cnt": months_at("last_3", cfg.dpd30),
+        "dpd90_pol_l12m": holds(get("worst_12") >= cfg.dpd90),
+        "dpd60_pol_l12m": holds(get("worst_12") >= cfg.dpd60),
+        "dpd30_pol_l6m": get("dpd30_pol_l6m_cnt") > 0,
+        "dpd30_pol_l12m": get("dpd30_pol_l12m_cnt") > 0,
     }
 
 
 STAGES: tuple[Stage, ...] = (placed, coded, framed, flagged)
 
 # Stage outputs that later stages and sinks do not need.
-SCRATCH = ("seen", "last_12", "last_6", "last_3", "worst_payment", "worst_asset", "worst_suit")
+SCRATCH = ("last_12", "worst_12", "severe_payment", "severe_asset", "severe_suit")
 
 
 def usable(get: Getter) -> Column:
