@@ -89,6 +89,18 @@ def flagged(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]
     }
 
 
+def together(*stages: Stage) -> Stage:
+    """Several cheap stages in one pass; later ones may use fields of earlier ones."""
+
+    def run(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+        out: dict[str, Column] = {}
+        for stage in stages:
+            out.update(stage(lambda n: out[n] if n in out else get(n), cfg, as_of))
+        return out
+
+    return run
+
+
 STAGES: tuple[Stage, ...] = (placed, coded, framed, flagged)
 
 # Stage outputs that later stages and sinks do not need.

@@ -99,7 +99,8 @@ def score_requests(
         }
     )
     known = list(typed_names)
-    for stage in (parse.dated, *acc.STAGES):
+    first, *rest = acc.STAGES
+    for stage in (acc.together(parse.dated, first), *rest):
         items, known = acc.extend_structs(F.col("accounts"), known, stage, cfg, as_of)
         df = df.withColumn("accounts", items)
 
