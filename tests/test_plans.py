@@ -76,26 +76,35 @@ def test_two_forms_agree(spark, folder):
         "request_id", "user_id", "reportnumber", "route", "score",
         F.lit(500.0).alias("limit_score"), F.lit(1.0).alias("base_limit"),
         F.lit(0.0).alias("min_income"), F.lit(0.0).alias("max_income"),
-        (F.greatest("header_rows", F.array_size("phones")) > 1).alias("wide"),
+        F.greatest("header_rows", F.array_size("phones")).alias("rows_per_account"),
     )
     enquiries = scored.select("request_id", F.explode_outer("enquiries").alias("e")).select(
         "request_id", F.col("e.date").alias("date")
     )
-    flat = decide_tables(requests.drop("wide"), accounts, enquiries, AS_OF)
-    # Rows repeated by several phones or products exist only in documents.
-    wide = {r.request_id for r in requests.where("wide").collect()}
+    flat = decide_tables(requests, accounts, enquiries, AS_OF)
     a = {r.request_id: r for r in nested.where("error_reason IS NULL").collect()}
     b = {r.request_id: r for r in flat.collect()}
     assert set(a) == set(b) and len(a) > 100
     for key in a:
         assert b[key].error_reason is None
         assert a[key].accept_ind == b[key].accept_ind
-        if key not in wide:
-            assert a[key].bureau_history_status == b[key].bureau_history_status
+        assert a[key].bureau_history_status == b[key].bureau_history_status
     assert {r.accept_ind for r in a.values()} == {"True", "False", "0", None}
     assert {r.bureau_history_status for r in a.values()} == {"ETC", "NTC", "NA"}
 
 
+def test_launch_tables(spark):
+    """The launch profile needs no limit inputs and does not call undated files thin."""
+    requests = t.requests(spark, SF).drop("base_limit", "limit_score", "min_income", "max_income")
+    accounts, enquiries = t.accounts(spark, SF), t.enquiries(spark, SF)
+    undated = accounts.withColumn("opened", F.lit(None).cast("date"))
+    rows = decide_tables(requests, undated, enquiries, AS_OF, LAUNCH).where(
+        "bureau_history_status <> 'NA'"
+    )
+    got = {(r.accept_ind, r.bureau_history_status, r.bnpl_limit, r.error_reason) for r in rows.collect()}
+    assert got == {("True", "NTC", None, None), ("0", "ETC", None, None)}
+
+
 # Reports with a dated account at sf 0.01 and how many fail each rule, worked out
 # beforehand by two independent computations.
 EXPECTED = {

@@ -9,6 +9,7 @@ row per request on each side.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,29 +72,33 @@ def decide_tables(
 ) -> DataFrame:
     """Decision table; ``requests`` also carries the limit inputs.
 
-    Limit inputs: base_limit, limit_score, min_income, max_income (doubles).
+    Limit inputs: base_limit, limit_score, min_income, max_income (doubles);
+    profiles without a limit need none. An optional ``rows_per_account`` is the
+    number of products or phones of the request (see the thin-file rule).
     """
-    df = policy_table(requests, accounts, enquiries, as_of, cfg)
-    df = df.withColumns(
+    c = F.col
+    limit = F.lit(None).cast("bigint")
+    limit_error = F.lit(None).cast("string")
+    if cfg.envelope:
+        limit = credit_limit(c("base_limit"), c("limit_score"), c("min_income"), c("max_income"))
+        limit_error = F.when(c("bnpl_limit").isNull(), "BAD_LIMIT_INPUT")
+    df = policy_table(requests, accounts, enquiries, as_of, cfg).withColumns(
         {
             "n_accounts": F.coalesce("n_accounts", F.lit(0)),
             "n_usable": F.coalesce("n_usable", F.lit(0)),
-            "bnpl_limit": credit_limit(
-                F.col("base_limit"), F.col("limit_score"), F.col("min_income"), F.col("max_income")
-            ),
+            "bnpl_limit": limit,
         }
     )
-    known_score = F.coalesce(F.col("score"), F.lit(cfg.missing_score))
-    get = lambda n: known_score if n == "score" else F.col(n)
+    known_score = F.coalesce(c("score"), F.lit(cfg.missing_score))
+    get = lambda n: known_score if n == "score" else c(n)
+    # Flat tables have no enquiry summary that could be missing.
+    reading = policy.report_error(get, replace(cfg, require_enquiry_summary=False))
     df = df.withColumn(
-        "error_reason",
-        F.coalesce(
-            F.when(F.col("route") == "HIT", policy.report_error(get, cfg)),
-            F.when(F.col("bnpl_limit").isNull(), "BAD_LIMIT_INPUT"),
-        ),
+        "error_reason", F.coalesce(F.when(c("route") == "HIT", reading), limit_error)
     )
     ok = F.col("error_reason").isNull()
-    thin = policy.is_thin_file(F.col("max_mob"), F.col("n_accounts"), cfg)
+    rows = c("n_accounts") * (c("rows_per_account") if "rows_per_account" in df.columns else 1)
+    thin = policy.is_thin_file(F.col("max_mob"), rows, cfg)
     accepted = policy.all_pass(F.col, cfg)
     if "user_id" not in df.columns:
         df = df.withColumn("user_id", F.lit(None).cast("string"))
