@@ -246,7 +246,10 @@ def test_launch_documents_by_file(spark):
     a, b = results["result=processed_file_a.json"], results["result=processed_file_b.json"]
     assert set(a) == {"Bur_Hist_Sta", "Bur_Data", "Enq_Data", "df_User", "Accpt_Ind"}
     assert (a["Accpt_Ind"], a["Bur_Hist_Sta"]) == ("True", "ETC")
-    assert a["df_User"]["cnt_accts"] == {"R1": 1} and "reportnumber" not in a["df_User"]
+    assert a["df_User"]["Cnt_Accts"] == {"R1": 1} and "REPORTNUMBER" not in a["df_User"]
+    assert {"Cnt_OverDue_Accts_Dec", "Cnt_DPD30_L12M_Accts_Rt_Dec", "Max_Inq_L3M"} < set(a["df_User"])
+    assert a["Bur_Data"]["ACCT_NUMBER"] == {"0": "A1"} and a["Bur_Data"]["AcctSt_L0M"] == {"0": 0}
+    assert {"Input_Detail_Type", "DPD30_Pol_l3m_cnt", "Non_Avail_Per", "seq"} < set(a["Bur_Data"])
     assert (b["Accpt_Ind"], b["Bur_Hist_Sta"], b["df_User"]) == ("0", "ETC", None)
 
 

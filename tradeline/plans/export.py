@@ -231,15 +231,16 @@ def user_policy_table(scored: DataFrame) -> DataFrame:
 # --- result documents -------------------------------------------------------
 
 
-def column_dict(rows: Column, fields: Iterable[str]) -> Column:
+def column_dict(rows: Column, fields: Iterable[str], names: dict[str, str] | None = None) -> Column:
     """Array of structs -> struct of ``{row index: value}`` maps, one per field."""
+    names = names or {}
 
     def entries(name: str) -> Column:
         return F.map_from_entries(
             F.transform(rows, lambda x, i: F.struct(i.cast("string").alias("i"), x[name].alias("v")))
         )
 
-    return F.when(rows.isNotNull(), F.struct(*[entries(n).alias(n) for n in fields]))
+    return F.when(rows.isNotNull(), F.struct(*[entries(n).alias(names.get(n, n)) for n in fields]))
 
 
 def with_result_arrays(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
@@ -267,12 +268,14 @@ def with_result_arrays(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) ->
 def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
     """``request_id, value``: one JSON result document per request.
 
-    The launch profile uses its own five keys and indexes the user table by
-    report number. Quarantined requests have no document.
+    The launch profile uses its own five keys and column spelling, and indexes
+    the user table by report number. Quarantined requests have no document.
     """
+    names = None if cfg.envelope else s.launch_names(cfg.user_column)
     df = with_result_arrays(scored.where(F.col("error_reason").isNull()), as_of, cfg)
-    bureau = column_dict(F.col("bureau_rows"), [n for n, _ in s.bureau_fields(cfg.user_column)])
-    enquiry = column_dict(F.col("enquiry_rows"), [n for n, _ in s.ENQUIRY_OUT_FIELDS])
+    fields = s.bureau_fields(cfg.user_column)
+    bureau = column_dict(F.col("bureau_rows"), [n for n, _ in fields], names)
+    enquiry = column_dict(F.col("enquiry_rows"), [n for n, _ in s.ENQUIRY_OUT_FIELDS], names)
     if cfg.envelope:
         user = column_dict(F.col("user_rows"), [n for n, _ in s.USER_POLICY_FIELDS])
         body = F.struct(
@@ -290,7 +293,7 @@ def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> D
             F.col("policy").isNotNull(),
             F.struct(
                 *[
-                    F.create_map(F.col("reportnumber"), F.col("policy")[n]).alias(n)
+                    F.create_map(F.col("reportnumber"), F.col("policy")[n]).alias(names[n])
                     for n, _ in s.USER_POLICY_FIELDS
                     if n != "reportnumber"
                 ]

@@ -104,42 +104,66 @@ ENQUIRY_OUT_FIELDS = (
     ("inq_flag", "boolean"),
 )
 
+# The columns of the account table, in output order, as the launch
+# profile spells them. The conformed table has them in lower case.
+_HEADER_COLUMNS = (
+    "ProductCode", "SuccessCode", "Date", "Time", "InquiryPurpose", "FirstName", "seq",
+    "PhoneType", "Number", "Input_Detail_Type", "ErrorCode", "ErrorDesc", "Bur_Hist_Sta",
+    "ACCT_NUMBER", "Institution", "ACCOUNTTYPE", "OWNERSHIPTYPE",
+)
+_AMOUNT_COLUMNS = (
+    "PASTDUEAMOUNT", "Open", "HIGHCREDIT", "LASTPAYMENTDATE", "CREDITLIMIT", "ACCOUNTSTATUS",
+    "source", "LASTPAYMENT", "SANCTIONAMOUNT", "REPAYMENTTENURE", "TERMFREQUENCY",
+    "INSTALLMENTAMOUNT", "Reason", "ASSETCLASSIFICATION",
+)
+_SUMMARY_COLUMNS = (
+    "Purpose", "Total", "Past30Days", "Past12Months", "Past24Months", "DATECLOSED_N",
+    "DATEREPORTED_N",
+)
+_LAG_COLUMNS = ("Tenure_Clo_Ope", "Tenure_Rep_Ope", "Tenure_Avai", "Non_Avail_Per")
+_FLAG_COLUMNS = (
+    "Perf_Avail", "Derog_Pol", "Act_Acct_Pol", "DPD90_Pol_L12M", "DPD60_Pol_L12M",
+    "DPD30_Pol_L6M", "DPD30_Pol_L12M",
+)
+
+
+def _spelled_bureau_fields(user_column: str) -> list[tuple[str, str]]:
+    def typed(kind: str, *names: str) -> list[tuple[str, str]]:
+        return [(name, kind) for name in names]
+
+    months = [f"{s}_L{k}M" for s in ("SuitSt", "AcctSt", "AssetSt") for k in range(49)]
+    return [
+        *typed("string", "CLIENT_ID", "REFERENCE_NO", user_column, "REPORTNUMBER"),
+        *typed("string", *_HEADER_COLUMNS), *typed("double", "BALANCE"),
+        *typed("string", *_AMOUNT_COLUMNS), *typed("string", *(f"key_{i}" for i in range(49))),
+        *typed("string", "INTERESTRATE"), *typed("double", "WRITEOFFAMOUNT"),
+        *typed("string", "SUITFILEDSTATUS"), *typed("int", "DAYS_PAST_DUE", "ACCT_UNIQ_ID"),
+        *typed("string", "ACCT_ST_49", "SUIT_FILED_ST_49", "ASSET_CL_ST_49", "DATEOPENED_N"),
+        *typed("int", "Acct_MOB"), *typed("bigint", "Score"), *typed("string", *_SUMMARY_COLUMNS),
+        *typed("int", *_LAG_COLUMNS), *typed("int", *months), *typed("boolean", *_FLAG_COLUMNS),
+        *typed("int", *(f"DPD30_Pol_l{m}m_cnt" for m in (12, 6, 3))),
+        *typed("boolean", "Sco_Pol"), *typed("bigint", "INQ_Flag"),
+        *typed("string", "Recent", "CollateralType", "CollateralValue", "LastName", "CustomFields"),
+    ]
+
 
 def bureau_fields(user_column: str = "user_id") -> tuple[tuple[str, str], ...]:
     """The 271 columns of the account table, in output order."""
-    text = lambda *names: [(n, "string") for n in names]
-    named = [
-        (f"{series}_l{k}m", "int") for series in ("suitst", "acctst", "assetst") for k in range(49)
-    ]
-    flags = [
-        (n, "boolean")
-        for n in ("perf_avail", "derog_pol", "act_acct_pol", "dpd90_pol_l12m", "dpd60_pol_l12m",
-                  "dpd30_pol_l6m", "dpd30_pol_l12m")
-    ]
-    counts = [(f"dpd30_pol_l{m}m_cnt", "int") for m in (12, 6, 3)]
-    return tuple(
-        text("client_id", "reference_no", user_column, "reportnumber", "productcode",
-             "successcode", "date", "time", "inquirypurpose", "firstname", "seq", "phonetype",
-             "number", "input_detail_type", "errorcode", "errordesc", "bur_hist_sta",
-             "acct_number", "institution", "accounttype", "ownershiptype")
-        + [("balance", "double")]
-        + text("pastdueamount", "open", "highcredit", "lastpaymentdate", "creditlimit",
-               "accountstatus", "source", "lastpayment", "sanctionamount", "repaymenttenure",
-               "termfrequency", "installmentamount", "reason", "assetclassification")
-        + text(*(f"key_{i}" for i in range(49)))
-        + text("interestrate")
-        + [("writeoffamount", "double")]
-        + text("suitfiledstatus")
-        + [("days_past_due", "int"), ("acct_uniq_id", "int")]
-        + text("acct_st_49", "suit_filed_st_49", "asset_cl_st_49", "dateopened_n")
-        + [("acct_mob", "int"), ("score", "bigint")]
-        + text("purpose", "total", "past30days", "past12months", "past24months", "dateclosed_n",
-               "datereported_n")
-        + [(n, "int") for n in ("tenure_clo_ope", "tenure_rep_ope", "tenure_avai", "non_avail_per")]
-        + named + flags + counts
-        + [("sco_pol", "boolean"), ("inq_flag", "bigint")]
-        + text("recent", "collateraltype", "collateralvalue", "lastname", "customfields")
-    )
+    return tuple((name.lower(), kind) for name, kind in _spelled_bureau_fields(user_column))
+
+
+def launch_names(user_column: str = "user_id") -> dict[str, str]:
+    """Lower-case column name -> spelling in the launch profile's documents."""
+    enquiry = (*ENQUIRY_FIELDS, "Date_N", "INQ_Flag")
+    out = {name.lower(): name for name in enquiry}
+    out.update({name.lower(): name for name, _ in _spelled_bureau_fields(user_column)})
+    for name, _ in USER_POLICY_FIELDS[1:]:
+        words = [
+            w.upper() if w.startswith("dpd") or w[1:-1].isdigit() else w.capitalize()
+            for w in name.split("_")
+        ]
+        out[name] = "_".join(words).replace("Overdue", "OverDue")
+    return out
 
 
 DECISION_FIELDS = (
