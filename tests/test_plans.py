@@ -65,6 +65,19 @@ def test_pruned_scan(spark):
     assert re.search(r"ReadSchema: struct<event_id:bigint,user_id:bigint>", plan)
 
 
+def test_account_scan_reads_only_what_the_rollup_needs(spark):
+    path = new_path(spark, "accounts")
+    t.accounts(spark, SF).write.parquet(path)
+    accounts = spark.read.parquet(path)
+    plan = plan_of(ledger.account_facts(accounts, AS_OF))
+    read = re.search(r"FileScan parquet \[([^\]]*)\]", plan).group(1)
+    assert "payment#" in read
+    for unused in ("highcredit", "sanctionamount", "creditlimit"):
+        assert unused not in read
+    hit = plan_of(ledger.account_facts(accounts.where("request_id = 7"), AS_OF))
+    assert "PushedFilters: [IsNotNull(request_id), EqualTo(request_id,7)]" in hit
+
+
 def test_two_forms_agree(spark, folder):
     """Nested documents and exploded tables give the same decisions."""
     raw = t.documents(spark, SF)
