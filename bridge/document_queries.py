@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from bridge import document_sql as d
 from bridge import flat_sql as q
-from bridge import shapes as sh
 from bridge import tables as t
 from bridge.registry import query
 from bridge.shapes import AS_OF

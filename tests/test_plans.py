@@ -320,6 +320,30 @@ def test_no_hit_rows(spark):
     assert got == [("1", "H", "00", "R1", "NTC", None, None), ("2", "M", None, None, "NTC", None, None)]
 
 
+def test_rules_are_data(spark):
+    """Thresholds can change and rules can go, in both forms."""
+    import dataclasses
+
+    rules = [r for r in CURRENT.rules if r.name != "max_score_dec"]
+    rules[2] = dataclasses.replace(rules[2], limit=0)
+    cfg = dataclasses.replace(CURRENT, rules=tuple(rules))
+    late = g.account(history=g.cells(payment={0: "01+"}))
+    docs = [("low", g.request(score="300")), ("due", g.request([late]))]
+    raw = spark.createDataFrame(docs, "request_id string, value string")
+    for policy, want in ((CURRENT, {"low": "False", "due": "True"}), (cfg, {"low": "True", "due": "False"})):
+        parsed = parse_requests(raw, policy)
+        nested = score_requests(parsed, AS_OF, policy)
+        requests = nested.select(
+            "request_id", "reportnumber", "route", "score", F.lit(1.0).alias("limit_score"),
+            F.lit(1.0).alias("base_limit"), F.lit(0.0).alias("min_income"), F.lit(0.0).alias("max_income"),
+        )
+        accounts = ledger.accounts_from_requests(parsed, AS_OF)
+        none = spark.createDataFrame([], "request_id string, date date")
+        flat = decide_tables(requests, accounts, none, AS_OF, policy)
+        for df in (nested, flat):
+            assert {r.request_id: r.accept_ind for r in df.collect()} == want
+
+
 def test_conform(spark):
     df = spark.createDataFrame([(1, float("nan"), "x", "drop")], "SEQ int, Amount double, Date string, other string")
     out = export.conform(df, (("seq", "string"), ("amount", "double"), ("date", "string"), ("time", "string")))

@@ -61,109 +61,113 @@ def _limit(cfg: PolicyConfig) -> Column:
     )
 
 
-def score_requests(
-    requests: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT, detail: bool = True
-) -> DataFrame:
-    """Decide every parsed request.
-
-    Adds ``error_reason, accept_ind, bureau_history_status, bnpl_limit``, the
-    26-field ``policy`` struct, the surviving ``accounts`` with their flags and
-    the typed ``enquiries``. A request that cannot be processed keeps its row
-    with an ``error_reason`` and null results.
-    """
-    typed_names: list[str] = []
-
-    def typed(a: Column, i: Column) -> dict[str, Column]:
-        fields = parse.typed_account(a, i, as_of, detail)
-        typed_names[:] = list(fields)
-        return fields
-
-    df = requests.withColumns(
+def _with_inputs(requests: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> DataFrame:
+    """Typed request-level inputs beside the parsed report."""
+    features = F.col("features")
+    bad_value = lambda e: e["value"].isNull() | is_bad_number(e["value"])
+    return requests.withColumns(
         {
             "route": route(),
-            "accounts": _structs(F.col("raw_accounts"), typed),
             "enquiries": parse.typed_enquiries(F.col("raw_enquiries"), as_of),
             "score": parse.read_score(F.col("score_details"), cfg.missing_score),
             "reportnumber": parse.report_number(F.col("header"), F.col("header_rows")),
-            "limit_score": parse.last_feature(F.col("features"), "offline_bnpl_score"),
-            "base_limit": parse.last_feature(F.col("features"), "offline_bnpl_limit"),
-            "bad_feature": F.coalesce(
-                F.exists(
-                    F.col("features"), lambda e: e["value"].isNull() | is_bad_number(e["value"])
-                ),
-                F.lit(False),
-            ),
-            "n_rows_per_account": F.greatest(
+            "limit_score": parse.last_feature(features, "offline_bnpl_score"),
+            "base_limit": parse.last_feature(features, "offline_bnpl_limit"),
+            "bad_feature": acc.holds(F.exists(features, bad_value)),
+            "rows_per_account": F.greatest(
                 F.col("header_rows"), F.array_size("phones"), F.lit(1)
             ),
         }
     )
-    known = list(typed_names)
+
+
+def _with_accounts(df: DataFrame, as_of: dt.date, cfg: PolicyConfig, detail: bool) -> DataFrame:
+    """The account array with all stages applied, and its roll-up ``facts``."""
+    known: list[str] = []
+
+    def typed(a: Column, i: Column) -> dict[str, Column]:
+        fields = parse.typed_account(a, i, as_of, detail)
+        known[:] = list(fields)
+        return fields
+
+    df = df.withColumn("accounts", _structs(F.col("raw_accounts"), typed))
     first, *rest = acc.STAGES
     for stage in (acc.together(parse.dated, first), *rest):
         items, known = acc.extend_structs(F.col("accounts"), known, stage, cfg, as_of)
         df = df.withColumn("accounts", items)
+    return df.withColumn("facts", acc.fold_structs(F.col("accounts")))
 
-    df = df.withColumns(
+
+def _metrics(cfg: PolicyConfig) -> dict[str, Column]:
+    """The thirteen rolled-up metrics by name."""
+    elsewhere = {
+        "max_inq_l3m": F.col("inq_flag"),
+        "max_score": acc.holds(F.col("score") >= cfg.min_score),
+    }
+    return {n: elsewhere.get(n, F.col(f"facts.{n}")) for n, _ in s.METRIC_FIELDS}
+
+
+def _surviving(scored: Column) -> Column:
+    """Usable accounts, those with a visible history first."""
+
+    def kept(condition) -> Column:
+        return F.filter(
+            F.col("accounts"), lambda a: acc.usable(lambda n: a[n]) & condition(a["lag"])
+        )
+
+    both = F.concat(kept(lambda lag: lag <= h.MONTHS), kept(lambda lag: lag > h.MONTHS))
+    return F.when(scored, both)
+
+
+def score_requests(
+    requests: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT, detail: bool = True
+) -> DataFrame:
+    """Decide every parsed request.
+
+    Adds ``error_reason, accept_ind, bureau_history_status, bnpl_limit``, the
+    26-field ``policy`` struct, the surviving ``accounts`` with their flags and
+    the typed ``enquiries``. A request that cannot be processed keeps its row
+    with an ``error_reason`` and null results.
+    """
+    c = F.col
+    df = _with_accounts(_with_inputs(requests, as_of, cfg), as_of, cfg, detail).withColumns(
         {
-            "facts": acc.fold_structs(F.col("accounts")),
-            "inq_flag": policy.count_recent(F.col("enquiries"), as_of, cfg),
+            "inq_flag": policy.count_recent(c("enquiries"), as_of, cfg),
             "bnpl_limit": _limit(cfg),
         }
     )
-    measured = {name: F.col(f"facts.{name}") for name, _ in s.METRIC_FIELDS
-                if name not in ("max_inq_l3m", "max_score")}
-    measured["max_inq_l3m"] = F.col("inq_flag")
-    measured["max_score"] = acc.holds(F.col("score") >= cfg.min_score)
+    metrics = _metrics(cfg)
+    rules = policy.rule_outcomes(lambda n: metrics[n], cfg)
+    rows = c("facts.n_accounts") * c("rows_per_account")
     df = df.withColumns(
         {
-            "thin": policy.is_thin_file(
-                F.col("facts.max_mob"), F.col("facts.n_accounts") * F.col("n_rows_per_account"), cfg
-            ),
-            "rules": F.struct(
-                *[
-                    c.alias(n)
-                    for n, c in policy.rule_outcomes(lambda n: measured[n], cfg).items()
-                ]
-            ),
+            "thin": policy.is_thin_file(c("facts.max_mob"), rows, cfg),
+            "rules": F.struct(*[outcome.alias(n) for n, outcome in rules.items()]),
             "error_reason": _error_reason(cfg),
         }
     )
-    ok = F.col("error_reason").isNull()
-    scored = ok & (F.col("route") == "HIT")
-    accepted = policy.all_pass(lambda n: F.col("rules")[n], cfg)
+    ok = c("error_reason").isNull()
+    scored = ok & (c("route") == "HIT")
+    accepted = policy.all_pass(lambda n: c("rules")[n], cfg)
+    outcome = lambda n: c("rules")[n] if n in rules else F.lit(None).cast("boolean")
+    policy_row = F.struct(
+        c("reportnumber"),
+        *[value.alias(n) for n, value in metrics.items()],
+        *[outcome(n).alias(n) for n in s.RULE_NAMES],
+    )
     results = {
         "accept_ind": F.when(
-            ok, policy.accept_indicator(F.col("route"), F.col("facts.n_usable"), accepted)
-        ),
-        "bureau_history_status": F.when(
-            ok, policy.history_status(F.col("route"), F.col("thin"))
-        ),
-        "bnpl_limit": F.when(ok, F.col("bnpl_limit")),
-        "policy": F.when(
-            scored & (F.col("facts.n_usable") > 0),
-            F.struct(
-                F.col("reportnumber"),
-                *[measured[n].alias(n) for n, _ in s.METRIC_FIELDS],
-                *[F.col("rules")[n].alias(n) for n in s.RULE_NAMES],
-            ),
+            ok, policy.accept_indicator(c("route"), c("facts.n_usable"), accepted)
         ),
+        "bureau_history_status": F.when(ok, policy.history_status(c("route"), c("thin"))),
+        "bnpl_limit": F.when(ok, c("bnpl_limit")),
+        "policy": F.when(scored & (c("facts.n_usable") > 0), policy_row),
     }
     if detail:
-        kept = lambda cond: F.filter(
-            F.col("accounts"), lambda a: acc.usable(lambda n: a[n]) & cond(a)
-        )
-        results["accounts"] = F.when(
-            scored,
-            F.concat(
-                kept(lambda a: a["lag"] <= h.MONTHS),
-                kept(lambda a: a["lag"] > h.MONTHS),
-            ),
-        )
-        results["enquiries"] = F.when(scored, F.col("enquiries"))
+        results["accounts"] = _surviving(scored)
+        results["enquiries"] = F.when(scored, c("enquiries"))
         results["high_known"] = F.exists(
-            F.col("raw_accounts"),
-            lambda a: a["HighCredit"].isNotNull() | a["SanctionAmount"].isNotNull(),
+            "raw_accounts", lambda a: a["HighCredit"].isNotNull() | a["SanctionAmount"].isNotNull()
         )
     df = df.withColumns(results)
     carried = [n for n in requests.columns if n not in READ_FIELDS]

@@ -60,7 +60,8 @@ def policy_table(
         )
         .drop("inq_flag")
     )
-    return joined.withColumns(policy.rule_outcomes(F.col, cfg))
+    unused = {n: F.lit(None).cast("boolean") for n in s.RULE_NAMES}
+    return joined.withColumns({**unused, **policy.rule_outcomes(F.col, cfg)})
 
 
 def decide_tables(
