@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Texts are handled in slices of about this many characters, so that the Python objects
 #: made from one slice stay small whatever the size of an Arrow batch.
@@ -32,7 +33,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def map_batches(
-    df: DataFrame, func: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame, func: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType
 ) -> DataFrame:
     """``func`` on every Arrow batch; the batches of a partition stay independent."""
 

@@ -39,8 +39,8 @@ WORDS, THRESHOLD = 5, 75  # a shingle's words; similarity in per cent
 PERMUTATIONS, BITS, BANDS, ROWS = 256, 4, 32, 4
 #: Estimates below this are never confirmed: the threshold less 4.6 standard deviations.
 LEAST_ESTIMATE = 0.62
-#: Rows of a confirmation group and of a signature block, and ids that may be broadcast (8 bytes each).
-GROUP, BLOCK, BROADCAST_IDS = 512, 1024, 500_000
+#: Rows of a confirmation group and of a signature block; pairs (two rows of numbers each) that may be broadcast.
+GROUP, BLOCK, BROADCAST_PAIRS = 512, 1024, 200_000
 
 _PER_LONG = 64 // BITS
 _REMEMBERED = 300_000
@@ -167,7 +167,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD, size:
             )
         )
     )
-    if pairs.count() <= BROADCAST_IDS:  # at most two rows for each pair
+    if pairs.count() <= BROADCAST_PAIRS:  # at most two rows for each pair
         work = F.broadcast(work)
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
