@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeline.llm import decontaminate, langid, minhash, neighbours, packing, quality, substrings, tokens
+from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, packing, quality, substrings, tokens
 from tradeline.llm.common import table
 
 
@@ -38,6 +38,15 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    hard = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(hard)
+    return chat.digests(chat.format_conversations(rows))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -53,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
+    "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
 }
