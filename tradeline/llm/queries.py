@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, packing, quality, substrings, tokens
+from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, packing, pages, quality, substrings, tokens
 from tradeline.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_html_extraction": op5_html_extraction,
     "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
     "op8_chat_format": op8_chat_format,
