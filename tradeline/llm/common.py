@@ -32,6 +32,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote, by the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def map_batches(
     df: DataFrame, func: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType
 ) -> DataFrame:

@@ -196,21 +196,26 @@ def _remainder(id_col: str):
     return (F.crc32(F.col(id_col).cast("string")) % 4).alias("remainder")
 
 
+def _predicted(texts: pa.Array, model: LanguageModel | None) -> tuple[list[str], list[float]]:
+    """Language and score of each text, a few hundred feature vectors at a time."""
+    lang, score = [], []
+    for start in range(0, len(texts), 256):
+        vectors = [features(t.as_py()) for t in texts.slice(start, 256)]
+        known = [i for i, v in enumerate(vectors) if v is not None]
+        names, sure = np.full(len(vectors), UNDETERMINED, object), np.zeros(len(vectors))
+        if known and model is not None:
+            names[known], sure[known] = model.predict(np.array([vectors[i] for i in known]))
+        lang.extend(names)
+        score.extend(sure)
+    return lang, score
+
+
 def identify(docs: DataFrame, per_language: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; the prediction needs no shuffle."""
     model = learn(docs, per_language, id_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lang, score = [], []
-        texts = batch.column(2)
-        for start in range(0, len(texts), 256):
-            vectors = [features(t.as_py()) for t in texts.slice(start, 256)]
-            known = [i for i, v in enumerate(vectors) if v is not None]
-            names, sure = np.full(len(vectors), UNDETERMINED, object), np.zeros(len(vectors))
-            if known and model is not None:
-                names[known], sure[known] = model.predict(np.array([vectors[i] for i in known]))
-            lang.extend(names)
-            score.extend(sure)
+        lang, score = _predicted(batch.column(2), model)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
             ["doc_id", "held_out", "lang_pred", "score"],
@@ -222,3 +227,20 @@ def identify(docs: DataFrame, per_language: int = 500, id_col: str = "doc_id", t
         F.col(text_col).alias("text"),
     )
     return map_batches(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def keep_identified(
+    docs: DataFrame, least_score: float = 0.25, per_language: int = 500, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Rows of ``docs``, with all columns, that have a language with at least ``least_score``; no shuffle.
+
+    The default is the score of two undecided steps, so only texts without any evidence go.
+    """
+    model = learn(docs, per_language, id_col)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lang, score = _predicted(batch.column(text_col), model)
+        keep = [name != UNDETERMINED and sure >= least_score for name, sure in zip(lang, score, strict=True)]
+        return batch.filter(pa.array(keep, pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
