@@ -239,8 +239,9 @@ def keep_identified(
     model = learn(docs, per_language, id_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lang, score = _predicted(batch.column(text_col), model)
+        lang, score = _predicted(batch.column("row").field(text_col), model)
         keep = [name != UNDETERMINED and sure >= least_score for name, sure in zip(lang, score, strict=True)]
         return batch.filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(docs, run, docs.schema)
+    rows = docs.select(F.struct("*").alias("row"))  # names of any kind pass inside a struct
+    return map_batches(rows, run, rows.schema).select("row.*")

@@ -187,7 +187,7 @@ def fit(labelled: DataFrame, features: int = 256, ridge: float = 1e-3, seed: int
         mean, np.where(spread > 1e-9, spread, 1.0), rng.normal(0, 1 / np.sqrt(d), (d, features)),
         rng.uniform(0, 2 * np.pi, features), np.r_[np.zeros(features), share], np.array([0.0]), np.array([share]),
     )
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         return scorer
     sums = normal_equations(labelled.where("pmod(place, 5) <> 0"), scorer)
     a, b = sums[:, :-1], sums[:, -1]
