@@ -4,12 +4,12 @@
    minima, and hashes of bands of four minima. Only the low ``BITS`` bits of the minima are kept,
    packed into longs. Equal sets become one class, by a combined aggregate.
 2. Classes that share a band hash form a bucket. Each member is paired with the smallest of its bucket,
-   later with a pseudo-random one, never with all. Pairs whose similarity, estimated by bit counts
-   and corrected for chance collisions, lies far below the threshold are dropped; the others are
-   confirmed on full sets.
-3. Buckets that still hold several components are then compared completely, but inside tasks: blocks
-   of packed signatures, members outside the bucket's largest component against all members, and
-   only pairs of different components whose estimate passes leave the task, to be confirmed.
+   not with all. Pairs whose similarity, estimated by bit counts and corrected for chance collisions,
+   lies far below the threshold are dropped; the others are confirmed on full sets.
+3. Buckets that still hold several components are then compared completely, but inside tasks: in blocks,
+   members outside the bucket's largest component meet all members. First by packed signatures; members
+   with a promising partner then meet again with their full sets. No pair of them becomes a row; only
+   links leave a task, and members that are linked already are not compared again.
 4. Links become components; a document carries the smallest id of its own.
 
 A pair at the threshold shares no band with probability (1 - t^4)^32 = 5e-6 and fails the estimate's
@@ -220,10 +220,14 @@ def _promising(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     return pairs.where(near & (estimate(F.col("s_a"), F.col("s_b")) >= LEAST_ESTIMATE)).select("a", "b")
 
 
-def _labelled(members: DataFrame, components: DataFrame | None) -> DataFrame:
+def _against_smallest(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's smallest."""
+    least = members.groupBy("key").agg(F.min("node").alias("a"))
+    return members.join(least, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
+def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
     """Bucket members (key, node) with their component so far, of buckets that hold several."""
-    if components is None:
-        return members.withColumn("component", F.col("node"))
     found = members.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (
         found.groupBy("key")
@@ -234,70 +238,143 @@ def _labelled(members: DataFrame, components: DataFrame | None) -> DataFrame:
     return found.join(mixed, "key")
 
 
-def _against_one(members: DataFrame, pivot: Column) -> DataFrame:
-    """Each member with one of its bucket, where they are of different components."""
-    one = members.groupBy("key").agg(F.min_by(F.struct("node", "component"), pivot).alias("one"))
-    return (
-        members.join(one, "key")
-        .where("component <> one.component")
-        .select(F.col("one.node").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
+#: What a block needs to know of a member.
+_FACTS = ["node", "component", "n_shingles", "signature", "bands"]
+_FACT_TYPES = "node long, component long, n_shingles long, signature array<long>, bands array<long>"
+_PLACES = np.uint64(sum(1 << (BITS * i) for i in range(_PER_LONG)))
+_MOST_UNEQUAL = int(PERMUTATIONS * (1 - 2.0**-BITS) * (1 - LEAST_ESTIMATE))
 
 
-def _within_blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket whose estimate passes.
+class _Held:
+    """The members on one side of a block, and which of them may reach the threshold with another.
 
-    Members outside a bucket's largest component meet all of its members, block by block.
+    Of the buckets that two members share only the first band's compares them.
     """
+
+    def __init__(self, key: int, rows: list[tuple]):
+        self.key = key
+        self.nodes, self.components, self.sizes = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        self.signatures = np.array([r[3] for r in rows], np.int64).view(np.uint64)
+        self.bands = np.array([r[4] for r in rows], np.int64)
+
+    def near(self, component: int, size: int, signature: list[int], bands: list[int], threshold: int) -> np.ndarray:
+        least, most = np.minimum(self.sizes, size), np.maximum(self.sizes, size)
+        at = np.flatnonzero((self.components != component) & (100 * least >= threshold * most))
+        own = np.array(bands, np.int64)
+        at = at[(self.bands[at] == own).argmax(axis=1) == np.flatnonzero(own == self.key)[0]]
+        differ = self.signatures[at] ^ np.array(signature, np.int64).view(np.uint64)
+        for shift in range(BITS.bit_length() - 1):
+            differ |= differ >> np.uint64(1 << shift)
+        return at[np.bitwise_count(differ & _PLACES).sum(axis=1) <= _MOST_UNEQUAL]
+
+
+def _blocks(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, i, j, side and facts: members outside a bucket's largest component (side 0) meet all (side 1)."""
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("key").agg(
         F.max_by("component", F.struct("n", "component")).alias("largest"),
         F.ceil(F.sum("n") / BLOCK).cast("int").alias("all_blocks"),
         F.ceil((F.sum("n") - F.max("n")) / BLOCK).cast("int").alias("few_blocks"),
     )
-    rows = members.join(sizes, "key").join(classes.select("node", "n_shingles", "signature"), "node")
+    rows = members.join(sizes, "key").join(classes.select("node", "n_shingles", "signature", "bands"), "node")
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    facts = ["node", "component", "n_shingles", "signature"]
     few = rows.where("component <> largest").select(
-        "key", dealt("few_blocks").alias("i"), spread("all_blocks").alias("j"), F.lit(0).alias("side"), *facts
+        "key", dealt("few_blocks").alias("i"), spread("all_blocks").alias("j"), F.lit(0).alias("side"), *_FACTS
     )
-    every = rows.select("key", spread("few_blocks").alias("i"), dealt("all_blocks").alias("j"), F.lit(1).alias("side"), *facts)
-    both = few.unionByName(every).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side")
-    most = int(PERMUTATIONS * (1 - 2.0**-BITS) * (1 - LEAST_ESTIMATE))  # unequal minima
-    places = np.uint64(sum(1 << (BITS * i) for i in range(_PER_LONG)))
+    every = rows.select("key", spread("few_blocks").alias("i"), dealt("all_blocks").alias("j"), F.lit(1).alias("side"), *_FACTS)
+    return few.unionByName(every)
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
+
+
+def _taking_part(rows: DataFrame, threshold: int) -> DataFrame:
+    """Those rows of the blocks that have a promising partner in their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, own, used = None, [], None, None
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        names = ["key", "i", "j", "side", *_FACTS]
+
+        def first_side() -> list[tuple]:
+            return [(*block, 0, *held[at]) for at in np.flatnonzero(used)] if own is not None else []
+
+        def made(out: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*out, strict=True) if out else ((),) * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, own = None, [], None
         for batch in batches:
-            rows = zip(*(batch.column(n).to_pylist() for n in ("key", "i", "j", "side", *facts)), strict=True)
-            out: list[tuple[int, int]] = []
-            for key, i, j, side, node, component, n, signature in rows:
+            out: list[tuple] = []
+            for key, i, j, side, *facts in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
                 if (key, i, j) != block:
+                    out += first_side()
                     block, held, own = (key, i, j), [], None
                 if side == 0:
-                    held.append((node, component, n, signature))
-                    own = None
+                    held.append(facts)
                     continue
-                if not held:
+                if own is None and held:
+                    own, used = _Held(key, held), np.zeros(len(held), bool)
+                if own is not None:
+                    at = own.near(*facts[1:], threshold)
+                    if len(at):
+                        used[at] = True
+                        out.append((*block, 1, *facts))
+            yield made(out)
+        yield made(first_side())
+
+    return rows.mapInArrow(run, f"key long, i int, j int, side int, {_FACT_TYPES}")
+
+
+def _confirm_blocks(docs: DataFrame, rows: DataFrame, threshold: int, size: int) -> DataFrame:
+    """u, v: links within blocks, confirmed on full sets; members linked already are not compared again."""
+    rows = cut(rows)
+    nodes = cut(rows.select("node").distinct())
+    if nodes.count() <= BROADCAST_PAIRS:
+        nodes = F.broadcast(nodes)
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [shingles(t.as_py(), size).tobytes() for t in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "hashes"])
+
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node")
+    found = map_batches(texts, sets, "node long, hashes binary")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, hashes, own = None, [], [], None
+        merged: dict[int, int] = {}
+
+        def label(component: int) -> int:
+            while component in merged:
+                component = merged[component]
+            return component
+
+        for batch in batches:
+            u, v = [], []
+            columns = (batch.column(n).to_pylist() for n in ("key", "i", "j", "side", *_FACTS))
+            for key, i, j, side, *facts, value in zip(*columns, batch.column("hashes"), strict=True):
+                if (key, i, j) != block:
+                    block, held, hashes, own = (key, i, j), [], [], None
+                    merged.clear()
+                value = np.frombuffer(value.as_buffer(), np.uint64)
+                if side == 0:
+                    held.append(facts)
+                    hashes.append(value.copy())
                     continue
-                if own is None:
-                    nodes, components, counts = (np.array([h[k] for h in held]) for k in range(3))
-                    own = np.array([h[3] for h in held], np.int64).view(np.uint64)
-                near = (components != component) & (100 * np.minimum(counts, n) >= THRESHOLD * np.maximum(counts, n))
-                at = np.flatnonzero(near)
-                if not len(at):
+                if not held:
                     continue
-                differ = own[at] ^ np.array(signature, np.int64).view(np.uint64)
-                for shift in range(BITS.bit_length() - 1):
-                    differ |= differ >> np.uint64(1 << shift)
-                missed = np.bitwise_count(differ & places).sum(axis=1)
-                out.extend((min(int(x), node), max(int(x), node)) for x in nodes[at[missed <= most]])
-            a, b = zip(*out, strict=True) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                own = own or _Held(key, held)
+                component = label(facts[1])
+                for at in own.near(component, *facts[2:], threshold):
+                    if own.components[at] != component and _similar(hashes[at], value, threshold):
+                        u.append(int(own.nodes[at]))
+                        v.append(facts[0])
+                        merged[int(own.components[at])] = component
+                        own.components[own.components == own.components[at]] = component
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return both.mapInArrow(compare, "a long, b long").distinct()
+    return _together(rows.join(found, "node")).mapInArrow(compare, "u long, v long")
 
 
 def near_duplicates(
@@ -321,16 +398,13 @@ def near_duplicates(
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = cut(members.join(shared, "key").select("key", "node", "n"))
 
-    pairs = _against_one(_labelled(members, None), F.col("node"))
+    pairs = _against_smallest(members)
     links = cut(confirm(docs, _promising(pairs, classes, threshold), threshold, size))
     components = cut(links_to_components(links))
     larger = members.where("n > 2").select("key", "node")
-    pairs = _against_one(cut(_labelled(larger, components)), F.xxhash64("node"))
-    links = cut(links.unionByName(confirm(docs, _promising(pairs, classes, threshold), threshold, size)))
-    components = cut(links_to_components(links))
-    pairs = _within_blocks(cut(_labelled(larger, components)), classes)
-    links = links.unionByName(confirm(docs, pairs, threshold, size))
-    components = cut(links_to_components(links))
+    blocks = _together(_blocks(cut(_labelled(larger, components)), classes))
+    more = _confirm_blocks(docs, _taking_part(blocks, threshold), threshold, size)
+    components = cut(links_to_components(links.unionByName(more)))
 
     labels = classes.select("digest", "node").join(components, "node", "left")
     labels = labels.select("digest", F.coalesce("component", "node").alias("label"))
