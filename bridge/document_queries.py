@@ -11,10 +11,10 @@ from bridge.registry import query
 from bridge.shapes import AS_OF
 from tradeline import config as cfgs
 from tradeline import schemas as s
-from tradeline.functions import history
 from tradeline.functions.dates import parse_date
-from tradeline.operators import parse, policy
-from tradeline.plans import documents, export
+from tradeline.operators import flatten, parse, policy
+from tradeline.plans import documents, export, ledger
+from tradeline.plans.jobs import run_batch
 from tradeline.session import new_path
 from tradeline.sources import requests as src
 from tradeline.sources import sinks
@@ -23,8 +23,8 @@ from tradeline.streaming.decisions import run_stream
 CFG = cfgs.CURRENT
 
 
-def parsed(spark, sf):
-    return parse.parse_requests(t.documents(spark, sf))
+def parsed(spark, sf, parts=s.REPORT_PARTS):
+    return parse.parse_requests(t.documents(spark, sf), parts=parts)
 
 
 def scored(spark, sf):
@@ -33,9 +33,7 @@ def scored(spark, sf):
 
 def exploded(spark, sf, *columns):
     """One row per raw account with the given request columns."""
-    return parsed(spark, sf).select(
-        "request_id", *columns, F.posexplode("raw_accounts").alias("ordinal", "a")
-    )
+    return flatten.accounts(parsed(spark, sf), *columns)
 
 
 ID = "CAST(request_id AS VARCHAR) AS request_id"
@@ -60,7 +58,7 @@ _PARSE_SQL = q.with_ctes(
 def _summary(df, *extra):
     return df.select(
         "user_id", "bad_json",
-        parse.report_number(F.col("header"), F.col("header_rows")).alias("reportnumber"),
+        parse.report_number().alias("reportnumber"),
         F.col("min_income").try_cast("double").alias("min_income"),
         F.col("max_income").try_cast("double").alias("max_income"),
         F.col("top_error.ErrorCode").alias("input_error"),
@@ -83,15 +81,18 @@ def src_request_parse(spark, sf):
     "src_request_file",
     _PARSE_SQL.replace("FROM customer", "FROM (SELECT s_suppkey AS c_custkey, s_acctbal AS c_acctbal, "
                        "'BUILDING' AS c_mktsegment FROM supplier)").replace(
-        "AS n_enquiries FROM req", "AS n_enquiries, true AS named FROM req"),
+        "AS n_enquiries FROM req",
+        "AS n_enquiries, 'half=' || request_id % 2 || '/request_id=' || request_id AS folder, "
+        "CAST(1 AS BIGINT) AS n_of_this_id FROM req"),
 )
 def src_request_file(spark, sf):
-    """One file per request (per supplier); the file name is kept."""
+    """One file per request (per supplier), in two folders; its path below the root is its name."""
     path = new_path(spark, "request-files")
-    docs = t.documents(spark, sf, "supplier")
-    docs.repartition("request_id").write.partitionBy("request_id").text(path)
+    docs = t.documents(spark, sf, "supplier").withColumn("half", F.expr("CAST(request_id AS INT) % 2"))
+    docs.repartition("request_id").write.partitionBy("half", "request_id").text(path)
     df = parse.parse_requests(src.read_request_files(spark, path))
-    return _summary(df, F.col("file_name").isNotNull().alias("named"))
+    ids = df.groupBy("request_id").agg(F.count("*").alias("n_of_this_id"))
+    return _summary(df.join(ids, "request_id"), F.regexp_replace("file_name", "/[^/]*$", "").alias("folder"), "n_of_this_id")
 
 
 # --- projections ------------------------------------------------------------
@@ -100,7 +101,7 @@ _HEAD = "v NOT IN (5, 17)"
 
 
 def _header(name):
-    return parse.field_at(F.col("header")[name], F.lit(0), F.col("header_rows"))
+    return parse.header_at(name, F.lit(0))
 
 
 @query(
@@ -115,7 +116,7 @@ def _header(name):
     ),
 )
 def parse_header(spark, sf):
-    return parsed(spark, sf).select(
+    return parsed(spark, sf, parts=()).select(
         "request_id", _header("ClientID").alias("client_id"), _header("CustRefField").alias("reference_no"),
         _header("ReportOrderNO").alias("reportnumber"), _header("ProductCode").alias("productcode"),
         _header("SuccessCode").alias("successcode"), _header("Date").alias("date"), _header("Time").alias("time"),
@@ -135,11 +136,7 @@ _PHONES = """ph AS (SELECT request_id, n_phones, unnest(generate_series(0, n_pho
     ),
 )
 def parse_phone(spark, sf):
-    rows = parsed(spark, sf).select("request_id", F.posexplode("phones").alias("i", "p"))
-    return rows.select(
-        "request_id", "i", parse.phone_type(F.col("p.PhoneType")).alias("phonetype"),
-        F.col("p.Number").alias("number"),
-    )
+    return flatten.phones(parsed(spark, sf, parts=()))
 
 
 @query(
@@ -188,17 +185,13 @@ _CELLS = [d.REQ, d.ACCT, q.CELL]
     ),
 )
 def explode_history(spark, sf):
-    months = exploded(spark, sf).select(
-        "request_id", "ordinal", F.posexplode("a.History48Months").alias("i", "h")
-    )
-    return months.select(
+    return flatten.months(exploded(spark, sf)).select(
         "request_id", "ordinal", "i", F.col("h.key").alias("key"), F.col("h.PaymentStatus").alias("payment"),
         F.col("h.SuitFiledStatus").alias("suit"), F.col("h.AssetClassificationStatus").alias("asset"),
     )
 
 
-_WIDE = (("acct_st", "payment", "PaymentStatus"), ("suit_filed_st", "suit", "SuitFiledStatus"),
-         ("asset_cl_st", "asset", "AssetClassificationStatus"))
+_WIDE = (("acct_st", "payment"), ("suit_filed_st", "suit"), ("asset_cl_st", "asset"))
 
 
 @query(
@@ -206,7 +199,7 @@ _WIDE = (("acct_st", "payment", "PaymentStatus"), ("suit_filed_st", "suit", "Sui
     q.with_ctes(
         *_CELLS,
         "wide AS (SELECT acct, "
-        + ", ".join(f"max({c}) FILTER (i = {i}) AS {n}_{i + 1}" for n, c, _ in _WIDE for i in range(49))
+        + ", ".join(f"max({c}) FILTER (i = {i}) AS {n}_{i + 1}" for n, c in _WIDE for i in range(49))
         + " FROM cell GROUP BY acct)",
         body=f"SELECT {ID}, CAST(j AS INTEGER) AS ordinal, wide.* EXCLUDE (acct) FROM acct LEFT JOIN wide USING (acct) WHERE {REPORT}",
     ),
@@ -214,11 +207,7 @@ _WIDE = (("acct_st", "payment", "PaymentStatus"), ("suit_filed_st", "suit", "Sui
 def history_wide(spark, sf):
     return exploded(spark, sf).select(
         "request_id", "ordinal",
-        *[
-            F.get(F.col("a.History48Months")[f], F.lit(i)).alias(f"{n}_{i + 1}")
-            for n, _, f in _WIDE
-            for i in range(history.GRID)
-        ],
+        *flatten.wide_history(F.col("a")),
     )
 
 
@@ -233,7 +222,7 @@ def history_wide(spark, sf):
 )
 def repeat_header(spark, sf):
     """Exploding keeps the request's own columns; nothing is joined."""
-    return exploded(spark, sf, "user_id", "header", "header_rows", "inquiry").select(
+    return exploded(spark, sf, "user_id", "header", "header_lists", "header_rows", "inquiry").select(
         "request_id", "ordinal", "user_id", _header("ReportOrderNO").alias("reportnumber"),
         _header("ProductCode").alias("productcode"), F.col("inquiry.FirstName").alias("firstname"),
     )
@@ -255,8 +244,7 @@ FROM acct WHERE {REPORT}""",
 )
 def enquiry_summary(spark, sf):
     return exploded(spark, sf, "enquiry_summary").select(
-        "request_id", "ordinal",
-        *[F.col("enquiry_summary")[f].alias(f.lower()) for f in s.SUMMARY_FIELDS],
+        "request_id", "ordinal", *flatten.summary(),
     )
 
 
@@ -271,27 +259,9 @@ def enquiry_summary(spark, sf):
 )
 def zip_arrays(spark, sf):
     """Positional side-by-side of two lists of one request."""
-    products, numbers = parse.listed(F.col("header.ProductCode")), F.col("phones.Number")
-    zipped = F.when(
-        F.col("header").isNotNull(), F.arrays_zip(products.alias("productcode"), numbers.alias("number"))
-    )
-    rows = parsed(spark, sf).select("request_id", F.posexplode(zipped).alias("i", "z"))
-    return rows.select(
-        "request_id", "i", F.col("z.productcode").alias("productcode"), F.col("z.number").alias("number")
-    )
+    return flatten.header_rows(parsed(spark, sf, parts=()))
 
 
-# The account columns that change their name on the way to the output table.
-RENAMED = {
-    "AccountNumber": "acct_number", "AccountStatus": "accountstatus", "AccountType": "accounttype",
-    "AssetClassification": "assetclassification", "Balance": "balance",
-    "InstallmentAmount": "installmentamount", "LastPayment": "lastpayment",
-    "LastPaymentDate": "lastpaymentdate", "OwnershipType": "ownershiptype",
-    "PastDueAmount": "pastdueamount", "RepaymentTenure": "repaymenttenure",
-    "TermFrequency": "termfrequency", "HighCredit": "highcredit", "CreditLimit": "creditlimit",
-    "SanctionAmount": "sanctionamount", "InterestRate": "interestrate",
-    "WriteOffAmount": "writeoffamount", "SuitFiledStatus": "suitfiledstatus",
-}
 _RENAME_VALUES = {
     "acct_number": "CASE WHEN v <> 71 THEN 'A' || a END", "accounttype": "'T' || a % 5",
     "balance": "CASE WHEN v = 67 THEN NULL WHEN v = 31 AND j = n_acct - 1 THEN 'abc' WHEN a % 4 = 0 THEN '0' ELSE CAST(cents + j AS VARCHAR) END",
@@ -308,13 +278,13 @@ _RENAME_VALUES = {
     q.with_ctes(
         d.REQ, d.ACCT,
         body=f"SELECT {ID}, CAST(j AS INTEGER) AS ordinal, "
-        + ", ".join(f"CAST({_RENAME_VALUES.get(n, 'NULL')} AS VARCHAR) AS {n}" for n in RENAMED.values())
+        + ", ".join(f"CAST({_RENAME_VALUES.get(n, 'NULL')} AS VARCHAR) AS {n}" for n in flatten.ACCOUNT_NAMES.values())
         + f" FROM acct WHERE {REPORT}",
     ),
 )
 def rename_accounts(spark, sf):
     return exploded(spark, sf).select(
-        "request_id", "ordinal", *[F.col("a")[raw].alias(name) for raw, name in RENAMED.items()]
+        "request_id", "ordinal", *flatten.renamed(F.col("a"))
     )
 
 
@@ -341,7 +311,7 @@ def rename_nohit(spark, sf):
 )
 def score_extract(spark, sf):
     score = parse.read_score(F.col("score_details"), CFG.missing_score)
-    return parsed(spark, sf).select("request_id", "bad_json", score.alias("score"))
+    return parsed(spark, sf, parts=["ScoreDetails"]).select("request_id", "bad_json", score.alias("score"))
 
 
 @query(
@@ -354,12 +324,11 @@ FROM enq e JOIN req r ON r.request_id = e.request_id WHERE {REPORT.replace('requ
     ),
 )
 def explode_enquiries(spark, sf):
-    enquiries = parse.typed_enquiries(F.col("raw_enquiries"), AS_OF)
-    rows = parsed(spark, sf).select("request_id", F.explode(enquiries).alias("e"))
-    raw = F.col("e.raw")
+    rows = flatten.enquiries(parsed(spark, sf, parts=["Enquiries"]), AS_OF)
+    raw = F.col("raw")
     return rows.select(
         "request_id", raw["seq"].alias("seq"), raw["Institution"].alias("institution"),
-        F.date_format("e.date", "yyyy-MM-dd").alias("day"), raw["Time"].alias("time"),
+        F.date_format("date", "yyyy-MM-dd").alias("day"), raw["Time"].alias("time"),
         raw["RequestPurpose"].alias("requestpurpose"), raw["Amount"].alias("amount"),
     )
 
@@ -459,21 +428,30 @@ def stream_decision(spark, sf):
     t.documents(spark, sf).select("value").write.text(inbox)
     raw = src.stream_requests(spark, inbox, files_per_batch=4)
     run_stream(raw, out, f"{out}/_checkpoint", AS_OF).awaitTermination()
-    return spark.read.parquet(f"{out}/decision").select(*_DECISION.split(", "))
+    return sinks.read_table(spark, out, "decision").select(*_DECISION.split(", "))
 
 
 # --- output tables ----------------------------------------------------------
 
 
+def _conformed(rows, fields):
+    """In the fixed schema, dates as text for the comparison."""
+    return export.dates_as_text(export.conform(rows, fields, keys=["request_id"]))
+
+
 @query("conform_bureau", q.with_ctes(*d.DECIDED, d.PIVOT, body=d.bureau_table()))
 def conform_bureau(spark, sf):
-    rows = export.account_table(scored(spark, sf), CFG)
-    return export.conform(rows, s.bureau_fields(CFG.user_column), keys=["request_id"])
+    return _conformed(export.account_table(scored(spark, sf), CFG), s.bureau_fields(CFG.user_column))
 
 
-@query(
-    "conform_enquiry",
-    q.with_ctes(
+@query("conform_bureau_flat", q.with_ctes(*d.DECIDED, d.PIVOT, body=d.bureau_table()))
+def conform_bureau_flat(spark, sf):
+    """The same table from flat request, account and enquiry tables."""
+    tables = ledger.tables_from_requests(parsed(spark, sf), AS_OF, CFG)
+    return _conformed(ledger.account_table(*tables, AS_OF, CFG), s.bureau_fields(CFG.user_column))
+
+
+_ENQUIRY_SQL = q.with_ctes(
         *d.DECIDED,
         body=f"""SELECT CAST(e.request_id AS VARCHAR) AS request_id, CAST(e AS VARCHAR) AS seq, 'E' || e % 3 AS institution,
   CASE (e.request_id + e) % 4 WHEN 0 THEN strftime(date, '%Y-%m-%d') WHEN 1 THEN strftime(date, '%m/%d/%Y')
@@ -481,11 +459,18 @@ def conform_bureau(spark, sf):
   '10:00' AS time, '00' AS requestpurpose, CAST(e.request_id + e AS VARCHAR) AS amount,
   strftime(date, '%Y-%m-%d %H:%M:%S') AS date_n, {q.months_to('date')} <= 3 AS inq_flag
 FROM enq e JOIN judged j ON j.request_id = e.request_id WHERE error_reason IS NULL AND route = 'HIT'""",
-    ),
 )
+
+
+@query("conform_enquiry", _ENQUIRY_SQL)
 def conform_enquiry(spark, sf):
-    rows = export.enquiry_table(scored(spark, sf), AS_OF, CFG)
-    return export.conform(rows, s.ENQUIRY_OUT_FIELDS, keys=["request_id"])
+    return _conformed(export.enquiry_table(scored(spark, sf), AS_OF, CFG), s.ENQUIRY_OUT_FIELDS)
+
+
+@query("conform_enquiry_flat", _ENQUIRY_SQL)
+def conform_enquiry_flat(spark, sf):
+    tables = ledger.tables_from_requests(parsed(spark, sf), AS_OF, CFG)
+    return _conformed(ledger.enquiry_table(*tables, AS_OF, CFG), s.ENQUIRY_OUT_FIELDS)
 
 
 _USER = [n for n, _ in s.USER_POLICY_FIELDS]
@@ -560,3 +545,90 @@ def sink_result_json(spark, sf):
             F.col("analytics_data.user_aggregated_policy_data.cnt_accts"), F.lit("0")
         ).alias("cnt_accts"),
     )
+
+
+_LAUNCH_DDL = (
+    "Bur_Hist_Sta string, Accpt_Ind string, Bur_Data struct<ACCT_NUMBER: map<string,string>, "
+    "AcctSt_L3M: map<string,int>, DATEOPENED_N: map<string,string>>, "
+    "Enq_Data struct<Date_N: map<string,string>>, df_User struct<Cnt_Accts: map<string,bigint>>"
+)
+
+
+@query(
+    "sink_result_launch",
+    q.with_ctes(
+        *d.DECIDED[:-1], d.judged(envelope=False),
+        "acc AS (SELECT f.request_id, string_agg('A' || f.a, ',' ORDER BY f.lag > 48, j) AS accounts, "
+        "string_agg(strftime(f.opened, '%Y-%m-%d %H:%M:%S'), ',' ORDER BY f.lag > 48, j) AS opened, "
+        "string_agg(coalesce(CAST(l.p AS VARCHAR), '~'), ',' ORDER BY f.lag > 48, j) AS l3m "
+        "FROM flag f LEFT JOIN level l ON l.acct = f.acct AND l.k = 3 AND l.lag <= 48 WHERE usable GROUP BY f.request_id)",
+        body="""SELECT bureau_history_status, accept_ind,
+  CASE WHEN route = 'HIT' THEN coalesce(accounts, '') ELSE CASE WHEN greatest(header_rows, n_phones) = 2 THEN '~,~' ELSE '~' END END AS accounts,
+  CASE WHEN route = 'HIT' THEN coalesce(l3m, '') ELSE CASE WHEN greatest(header_rows, n_phones) = 2 THEN '~,~' ELSE '~' END END AS l3m,
+  CASE WHEN route = 'HIT' THEN coalesce(opened, '') ELSE CASE WHEN greatest(header_rows, n_phones) = 2 THEN '~,~' ELSE '~' END END AS opened,
+  CAST(CASE WHEN route = 'HIT' AND judged.request_id % 16 <> 0 THEN judged.request_id % 16 ELSE 0 END AS INTEGER) AS n_enquiries,
+  CASE WHEN route = 'HIT' AND n_usable > 0 THEN reportnumber END AS reportnumber,
+  CASE WHEN route = 'HIT' AND n_usable > 0 THEN cnt_accts END AS cnt_accts
+FROM judged LEFT JOIN acc USING (request_id) WHERE error_reason IS NULL""",
+    ),
+)
+def sink_result_launch(spark, sf):
+    """Launch documents: five keys, the launch spelling, the user table by report number."""
+    path, cfg = new_path(spark, "launch-results"), cfgs.LAUNCH
+    raw = t.documents(spark, sf, envelope=False)
+    done = documents.score_requests(parse.parse_requests(raw, cfg), AS_OF, cfg)
+    sinks.write_result_documents(export.result_documents(done, AS_OF, cfg), path)
+    r = spark.read.text(path).select(F.from_json("value", _LAUNCH_DDL).alias("r")).select("r.*")
+    texts = lambda c: F.array_join(F.map_values(c).cast("array<string>"), ",", "~")
+    user = F.map_entries("df_User.Cnt_Accts")
+    return r.select(
+        F.col("Bur_Hist_Sta").alias("bureau_history_status"), F.col("Accpt_Ind").alias("accept_ind"),
+        texts(F.col("Bur_Data.ACCT_NUMBER")).alias("accounts"), texts(F.col("Bur_Data.AcctSt_L3M")).alias("l3m"),
+        texts(F.col("Bur_Data.DATEOPENED_N")).alias("opened"),
+        F.coalesce(F.array_size(F.map_keys("Enq_Data.Date_N")), F.lit(0)).alias("n_enquiries"),
+        F.get(user, F.lit(0))["key"].alias("reportnumber"), F.get(user, F.lit(0))["value"].alias("cnt_accts"),
+    )
+
+
+@query(
+    "duplicate_requests",
+    q.with_ctes(
+        *d.DECIDED,
+        body="SELECT user_id, accept_ind, bureau_history_status, bnpl_limit, error_reason, form FROM judged "
+        "CROSS JOIN (VALUES ('document'), ('table')) AS forms(form) "
+        "CROSS JOIN (VALUES (0), (1)) AS copies(copy) WHERE (copy = 0 OR request_id % 3 = 0) AND "
+        "(form = 'document' OR error_reason IS NULL)",
+    ),
+)
+def duplicate_requests(spark, sf):
+    """Every third document is submitted twice; both forms decide each submission for itself."""
+    path = new_path(spark, "duplicates")
+    docs = t.documents(spark, sf)
+    twice = docs.unionByName(docs.where("CAST(request_id AS INT) % 3 = 0"))
+    twice.select("value").write.text(path)
+    raw = src.read_requests(spark, path)
+    nested = documents.decide_documents(raw, AS_OF, CFG)
+    tables = ledger.tables_from_requests(parse.parse_requests(raw, CFG), AS_OF, CFG)
+    flat = ledger.decide_tables(*tables, AS_OF, CFG).where("error_reason IS NULL")
+    columns = _DECISION.split(", ")
+    return nested.select(*columns, F.lit("document").alias("form")).unionByName(
+        flat.select(*columns, F.lit("table").alias("form"))
+    )
+
+
+@query(
+    "sink_tables",
+    q.with_ctes(
+        *d.DECIDED,
+        body="SELECT user_id, accept_ind, error_reason, CASE WHEN request_id % 2 = 0 THEN 'even' ELSE 'odd' END AS run, "
+        "strftime(DATE '2024-01-31', '%Y-%m-%d') AS as_of FROM judged",
+    ),
+)
+def sink_tables(spark, sf):
+    """Two inputs under one date stand side by side; a run repeated under its name is not doubled."""
+    out = new_path(spark, "tables")
+    docs = t.documents(spark, sf)
+    for run, rest in (("even", 0), ("odd", 1), ("even", 0)):
+        run_batch(docs.where(f"CAST(request_id AS INT) % 2 = {rest}"), out, AS_OF, CFG, run=run)
+    rows = sinks.read_table(spark, out, "decision")
+    return rows.select("user_id", "accept_ind", "error_reason", "run", F.date_format("as_of", "yyyy-MM-dd").alias("as_of"))

@@ -191,7 +191,8 @@ def bureau_table() -> str:
         "errordesc": "CASE WHEN route <> 'HIT' AND head = 0 THEN 'not found' END",
         "bur_hist_sta": "CASE route WHEN 'HIT' THEN 'ETC' WHEN 'NOHIT' THEN 'NTC' END",
     }
-    cast = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    cast = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+            "timestamp_ntz": "VARCHAR"}  # dates are compared as text
 
     def columns(with_account: bool) -> str:
         out = []

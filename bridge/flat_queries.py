@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bridge import flat_sql as q
 from bridge import shapes as sh
 from bridge import tables as t
+from bridge.expected import ASSET_CODES, PAYMENT_CODES, SUIT_CODES
 from bridge.registry import query
 from bridge.shapes import AS_OF
 from tradeline import config as cfgs
@@ -16,8 +19,7 @@ from tradeline.functions import dates, history, limits, numbers
 from tradeline.functions.codes import code_level, code_levels
 from tradeline.operators import accounts as acc
 from tradeline.operators import policy
-from tradeline.operators.skew import join_facts
-from tradeline.plans import export, ledger
+from tradeline.plans import ledger
 
 CFG = cfgs.CURRENT
 
@@ -53,9 +55,9 @@ def _code_query(name: str, table: dict[str, int], extra: list[str | None]) -> No
         )
 
 
-_code_query("code_payment", cfgs.PAYMENT_CODES, ["*", "ZZZ", "0", "-16", None])
-_code_query("code_suit", cfgs.SUIT_CODES, ["ZZZ", "-1", "ns", None])
-_code_query("code_asset", cfgs.ASSET_CODES, ["*", "-1", "SMA 3", None])
+_code_query("code_payment", PAYMENT_CODES, ["*", "ZZZ", "0", "-16", None])
+_code_query("code_suit", SUIT_CODES, ["ZZZ", "-1", "ns", None])
+_code_query("code_asset", ASSET_CODES, ["*", "-1", "SMA 3", None])
 
 
 @query(
@@ -128,12 +130,10 @@ def history_reanchor(spark, sf):
 def avail_split_union(spark, sf):
     # One scan: the two parts differ by a label, not by a separate read.
     lag = dates.months_ago(F.col("reported"), AS_OF).cast("bigint")
-    part = F.when(F.col("lag") <= history.MONTHS, "available").when(
-        F.col("lag") > history.MONTHS, "unavailable"
-    )
+    parts = acc.availability(F.col("lag"))
     return (
         t.accounts(spark, sf).select("acct_number", lag.alias("lag"))
-        .withColumn("part", part).where(F.col("part").isNotNull())
+        .withColumn("part", parts).where(F.col("part").isNotNull())
     )
 
 
@@ -293,9 +293,9 @@ _flag_query("feat_dpd_count", ["dpd30_pol_l12m_cnt", "dpd30_pol_l6m_cnt", "dpd30
     q.with_ctes(q.REQ, body="SELECT request_id, coalesce(score, 99999) AS score, coalesce(score, 99999) >= 700 AS sco_pol FROM req"),
 )
 def feat_score(spark, sf):
-    score = F.coalesce("score", F.lit(CFG.missing_score))
+    score = policy.known_score(F.col("score"), CFG)
     return t.requests(spark, sf).select(
-        "request_id", score.alias("score"), (score >= CFG.min_score).alias("sco_pol")
+        "request_id", score.alias("score"), policy.score_passes(score, CFG).alias("sco_pol")
     )
 
 
@@ -331,7 +331,7 @@ def feat_long_form(spark, sf):
     q.with_ctes(q.ACCT, body="SELECT request_id, acct AS acct_number, strftime(opened, '%Y-%m-%d') AS opened FROM acct WHERE opened IS NOT NULL"),
 )
 def filter_open_date(spark, sf):
-    return t.accounts(spark, sf).where(F.col("opened").isNotNull()).select(
+    return t.accounts(spark, sf).where(acc.opened_known(F.col)).select(
         "request_id", "acct_number", F.date_format("opened", "yyyy-MM-dd").alias("opened")
     )
 
@@ -348,17 +348,7 @@ def filter_open_date(spark, sf):
     ),
 )
 def coalesce_highcredit(spark, sf):
-    rows = t.accounts(spark, sf).select(
-        "request_id", "acct_number", "highcredit", "sanctionamount", "creditlimit"
-    )
-    known = F.col("highcredit").isNotNull() | F.col("sanctionamount").isNotNull()
-    facts = rows.groupBy("request_id").agg(F.count("*").alias("n"), F.bool_or(known).alias("known"))
-    return join_facts(rows, facts, "request_id", "n", "acct_number").select(
-        "request_id", "acct_number",
-        export.highcredit(
-            F.col("highcredit"), F.col("sanctionamount"), F.col("creditlimit"), F.col("known")
-        ).alias("highcredit"),
-    )
+    return ledger.with_highcredit(t.accounts(spark, sf)).select("request_id", "acct_number", "highcredit")
 
 
 @query(
@@ -370,18 +360,7 @@ def coalesce_highcredit(spark, sf):
     ),
 )
 def coalesce_suitfiled(spark, sf):
-    rows = t.accounts(spark, sf).select(
-        "request_id", "acct_number", "suit_status", F.get("suit", F.lit(0)).alias("first_month")
-    )
-    facts = rows.groupBy("request_id").agg(
-        F.count("*").alias("n"), F.bool_or(F.col("suit_status").isNotNull()).alias("known")
-    )
-    return join_facts(rows, facts, "request_id", "n", "acct_number").select(
-        "request_id", "acct_number",
-        export.suit_filed(F.col("suit_status"), F.col("first_month"), F.col("known"), CFG).alias(
-            "suitfiledstatus"
-        ),
-    )
+    return ledger.with_suit_filed(t.accounts(spark, sf), CFG).select("request_id", "acct_number", "suitfiledstatus")
 
 
 # --- requests ---------------------------------------------------------------
@@ -396,10 +375,8 @@ def coalesce_suitfiled(spark, sf):
     ),
 )
 def thin_file(spark, sf):
-    mob = dates.months_ago(F.col("opened"), AS_OF)
-    facts = (
-        t.accounts(spark, sf).groupBy("request_id")
-        .agg(F.count("*").alias("n_rows"), F.max(mob).alias("max_mob"))
+    facts = ledger.account_facts(t.accounts(spark, sf), AS_OF, CFG).select(
+        "request_id", F.col("n_accounts").alias("n_rows"), "max_mob"
     )
     return facts.withColumn("thin", policy.is_thin_file(F.col("max_mob"), F.col("n_rows"), CFG))
 
@@ -523,9 +500,9 @@ def limit_grid_lookup(spark, sf):
     band, income = F.col("score_band"), F.col("income_band")
     return _bands(t.requests(spark, sf)).select(
         "request_id", "score_band", "income_band",
-        limits.grid_value(cfgs.LIMIT_MULTIPLIER, band, income).alias("multiplier"),
-        limits.grid_value(cfgs.LIMIT_CEILING, band, income).alias("max_cap"),
-        limits.grid_value(cfgs.LIMIT_FLOOR, band, income).alias("min_cap"),
+        limits.grid_value(CFG.limit_multiplier, band, income).alias("multiplier"),
+        limits.grid_value(CFG.limit_ceiling, band, income).alias("max_cap"),
+        limits.grid_value(CFG.limit_floor, band, income).alias("min_cap"),
     )
 
 
@@ -536,10 +513,44 @@ def join_limit_grid(spark, sf):
     )
 
 
-@query("limit_calculation", q.with_ctes(q.REQ, q.GRID, q.limited("req"), body="SELECT request_id, base_limit, bnpl_limit FROM limited"))
+@query("limit_calculation", q.with_ctes(q.REQ, q.GRID, q.limited("req"), body="SELECT request_id, base_limit, CASE WHEN request_id % 9 <> 0 THEN bnpl_limit END AS bnpl_limit FROM limited"))
 def limit_calculation(spark, sf):
-    df = t.requests(spark, sf)
-    limit = limits.credit_limit(
-        F.col("base_limit"), F.col("limit_score"), F.col("min_income"), F.col("max_income")
+    """Every ninth request comes without a score, so it has no limit."""
+    score = F.when(F.col("request_id") % 9 != 0, F.col("limit_score"))
+    limit = limits.credit_limit(F.col("base_limit"), score, F.col("min_income"), F.col("max_income"))
+    return t.requests(spark, sf).select("request_id", "base_limit", limit.alias("bnpl_limit"))
+
+
+# Another policy: five bands, other brackets and grids, limits in steps of 50.
+OTHER_BANDS = (("P", 850), ("Q", 650), ("R", 450), ("S", 250))
+OTHER_BRACKETS = ((0, 10000, 1), (10000, 25000, 2), (50000, None, 3))
+OTHER_GRIDS = {
+    "limit_multiplier": {"P": (1.2, 1.4, 1.6), "Q": (1.0, 1.1, 1.2), "R": (0.9, 0.9, 1.0), "S": (0.7, 0.7, 0.8), "T": (0.5, 0.5, 0.5)},
+    "limit_ceiling": {"P": (2000, 3000, 5000), "Q": (1500, 2500, 4000), "R": (1000, 1500, 2000), "S": (600, 700, 800), "T": (250, 250, 250)},
+    "limit_floor": {"P": (400, 500, 600), "Q": (300, 400, 500), "R": (250, 250, 250), "S": (150, 150, 150), "T": (50, 50, 50)},
+}
+OTHER = dataclasses.replace(
+    CFG, score_bands=OTHER_BANDS, lowest_band="T", income_brackets=OTHER_BRACKETS, limit_step=50, **OTHER_GRIDS
+)
+
+
+@query(
+    "limit_other_policy",
+    q.with_ctes(
+        q.REQ, q.grid(*OTHER_GRIDS.values()),
+        q.limited("req", q.score_band("limit_score", OTHER_BANDS, "T"), q.income_band("min_income", "max_income", OTHER_BRACKETS), 50),
+        body="SELECT request_id, score_band, income_band, multiplier, bnpl_limit FROM limited",
+    ),
+)
+def limit_other_policy(spark, sf):
+    """Bands, brackets, grids and step are policy data."""
+    score, low, high = F.col("limit_score"), F.col("min_income"), F.col("max_income")
+    rows = t.requests(spark, sf).withColumns(
+        {
+            "score_band": limits.score_band(score, OTHER),
+            "income_band": limits.income_band(low, high, cfg=OTHER),
+            "bnpl_limit": limits.credit_limit(F.col("base_limit"), score, low, high, cfg=OTHER),
+        }
     )
-    return df.select("request_id", "base_limit", limit.alias("bnpl_limit"))
+    rows = limits.with_grid(rows, limits.grid_frame(spark, OTHER))
+    return rows.select("request_id", "score_band", "income_band", "multiplier", "bnpl_limit")

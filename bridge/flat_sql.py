@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from bridge import shapes as sh
 from bridge.shapes import AS_OF_MONTH, DUCK
-from tradeline.config import (
+from bridge.expected import (
     ASSET_CODES, INCOME_BRACKETS, LIMIT_CEILING, LIMIT_FLOOR, LIMIT_MULTIPLIER, PAYMENT_CODES,
     SCORE_BANDS, SUIT_CODES,
 )
@@ -133,32 +133,42 @@ def with_ctes(*ctes: str, body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
-def score_band(score: str) -> str:
-    arms = " ".join(f"WHEN {score} >= {bound} THEN '{band}'" for band, bound in SCORE_BANDS)
-    return f"CASE {arms} ELSE 'G' END"
+def score_band(score: str, bands=SCORE_BANDS, lowest: str = "G") -> str:
+    arms = " ".join(f"WHEN {score} >= {bound} THEN '{band}'" for band, bound in bands)
+    return f"CASE {arms} ELSE '{lowest}' END"
 
 
-def income_band(low: str, high: str) -> str:
+def income_band(low: str, high: str, brackets=INCOME_BRACKETS) -> str:
     arms = " ".join(
         f"WHEN {low} = {lo} AND {f'{high} IS NULL' if hi is None else f'{high} = {hi}'} THEN {band}"
-        for lo, hi, band in INCOME_BRACKETS
+        for lo, hi, band in brackets
     )
     return f"CASE {arms} ELSE 1 END"
 
 
-GRID = "grid(score_band, income_band, multiplier, max_cap, min_cap) AS (VALUES " + ", ".join(
-    f"('{band}', {i + 1}, CAST({row[i]} AS DOUBLE), CAST({LIMIT_CEILING[band][i]} AS DOUBLE), "
-    f"CAST({LIMIT_FLOOR[band][i]} AS DOUBLE))"
-    for band, row in LIMIT_MULTIPLIER.items()
-    for i in range(4)
-) + ")"
+def grid(multiplier: dict, ceiling: dict, floor: dict) -> str:
+    """CTE ``grid``: one row for each cell of the three tables."""
+    cells = ", ".join(
+        f"('{band}', {i + 1}, CAST({row[i]} AS DOUBLE), CAST({ceiling[band][i]} AS DOUBLE), CAST({floor[band][i]} AS DOUBLE))"
+        for band, row in multiplier.items()
+        for i in range(len(row))
+    )
+    return f"grid(score_band, income_band, multiplier, max_cap, min_cap) AS (VALUES {cells})"
+
+
+GRID = grid(LIMIT_MULTIPLIER, LIMIT_CEILING, LIMIT_FLOOR)
 
 
-def limited(source: str) -> str:
+def limited(
+    source: str,
+    score: str = score_band("limit_score"),
+    income: str = income_band("min_income", "max_income"),
+    step: int = 100,
+) -> str:
     """CTE ``limited``: the rows of ``source`` with bands, grid values and limit."""
     return f"""banded AS (
-  SELECT *, {score_band('limit_score')} AS score_band, {income_band('min_income', 'max_income')} AS income_band
+  SELECT *, {score} AS score_band, {income} AS income_band
   FROM {source}),
 limited AS (
-  SELECT *, CAST(ceil(greatest(least(base_limit * multiplier, max_cap), min_cap) / 100) * 100 AS BIGINT) AS bnpl_limit
+  SELECT *, CAST(ceil(greatest(least(base_limit * multiplier, max_cap), min_cap) / {step}) * {step} AS BIGINT) AS bnpl_limit
   FROM banded JOIN grid USING (score_band, income_band))"""

@@ -13,7 +13,7 @@ import random
 import re
 
 from tests.golden import AS_OF, month
-from tradeline.config import (
+from bridge.expected import (
     ASSET_CODES, INCOME_BRACKETS, LIMIT_CEILING, LIMIT_FLOOR, LIMIT_MULTIPLIER, PAYMENT_CODES,
     SCORE_BANDS, SUIT_CODES,
 )

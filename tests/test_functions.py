@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.golden import AS_OF
-from tradeline.config import PAYMENT_CODES
+from bridge.expected import PAYMENT_CODES
 from tradeline.functions import dates, history, limits, numbers
 from tradeline.functions.codes import code_level, code_levels, has_level
 
@@ -42,6 +42,18 @@ DATES = {
     "5-Mar-2021": ("2021-03-05 00:00:00",) * 2,
     "05 March 2021": ("2021-03-05 00:00:00",) * 2,
     "Mar 5, 2021": ("2021-03-05 00:00:00",) * 2,
+    "5 Jan 2023 10:00:00": ("2023-01-05 10:00:00",) * 2,
+    "5 Jan 2023 10:00 PM": ("2023-01-05 22:00:00",) * 2,
+    "Jan 5, 2023 12:30:15 am": ("2023-01-05 00:30:15",) * 2,
+    "05-01-2023 10:00:00 AM": ("2023-01-05 10:00:00", "2023-05-01 10:00:00"),
+    "05-01-2023 12:00:00 PM": ("2023-01-05 12:00:00", "2023-05-01 12:00:00"),
+    "05-01-2023 13:00:00 PM": (None, None),
+    "05-01-2023 10:20:30.5": ("2023-01-05 10:20:30", "2023-05-01 10:20:30"),
+    "2023-01-05 10:20:30.5": ("2023-01-05 10:20:30",) * 2,
+    "20230105103000": ("2023-01-05 10:30:00",) * 2,
+    "20230105 103000": ("2023-01-05 10:30:00",) * 2,
+    "20230105996000": (None, None),
+    "5 Xyz 2023 10:00:00": (None, None),
     "31-31-2020": (None, None),
     "2023-02-30": (None, None),
     "30-02-2023": (None, None),
@@ -175,8 +187,8 @@ def limit_rows(spark):
 
 def test_limit_properties(limit_rows):
     for r in limit_rows:
-        assert r.l1 == r.l2
-        if r.base is None or r.base != r.base:
+        assert r.l1 == (None if r.score is None else r.l2)
+        if r.score is None or r.base is None or r.base != r.base:
             assert r.l1 is None
         else:
             assert r.l1 % 100 == 0 and 300 <= r.l1 <= 4000

@@ -11,13 +11,13 @@ from tradeline.plans.jobs import run_batch
 from tradeline.plans.ledger import decide_tables, policy_table
 from tradeline.sources.requests import read_request_files, read_requests, stream_requests
 from tradeline.sources.sinks import table_frames as export_tables
-from tradeline.sources.sinks import write_result_documents, write_tables
+from tradeline.sources.sinks import read_table, write_result_documents, write_tables
 from tradeline.streaming.decisions import decide_stream, run_stream
 
 __all__ = [
     "CURRENT", "LAUNCH", "PolicyConfig", "Rule", "aggregate_policy", "conform", "credit_limit",
     "decide_documents", "decide_stream", "decide_tables", "export_tables", "parse_requests",
-    "policy_table", "read_request_files", "read_requests", "result_documents", "run_batch",
+    "policy_table", "read_request_files", "read_requests", "read_table", "result_documents", "run_batch",
     "run_stream", "score_accounts", "score_requests", "stream_requests", "write_result_documents",
     "write_tables",
 ]

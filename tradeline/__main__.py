@@ -1,7 +1,9 @@
 """``spark-submit``-able batch and streaming jobs.
 
     python -m tradeline batch  --requests IN --out OUT --as-of 2024-01-31
-    python -m tradeline stream --requests IN --out OUT --as-of 2024-01-31 --checkpoint CP
+    python -m tradeline stream --requests IN --out OUT --checkpoint CP [--as-of 2024-01-31]
+
+A batch needs its decision date. A stream without one decides each micro-batch as of its day.
 """
 
 from __future__ import annotations
@@ -10,11 +12,9 @@ import argparse
 import datetime as dt
 
 from tradeline import config
-from tradeline.plans.export import result_documents
 from tradeline.plans.jobs import run_batch
 from tradeline.session import build_session
 from tradeline.sources.requests import read_request_files, read_requests, stream_requests
-from tradeline.sources.sinks import write_result_documents
 from tradeline.streaming.decisions import run_stream
 
 PROFILES = {"current": config.CURRENT, "launch": config.LAUNCH}
@@ -25,32 +25,41 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("mode", choices=("batch", "stream"))
     parser.add_argument("--requests", required=True, help="folder of request documents")
     parser.add_argument("--out", required=True, help="folder for the output tables")
-    parser.add_argument("--as-of", required=True, type=dt.date.fromisoformat, help="decision date")
+    parser.add_argument("--as-of", type=dt.date.fromisoformat, help="decision date")
+    parser.add_argument("--run", help="name of the run; the same name replaces that run")
+    parser.add_argument("--id-field", help="field of the document that holds the request id")
+    parser.add_argument("--work", help="shared folder for intermediate files")
     parser.add_argument("--profile", choices=tuple(PROFILES), default="current")
     parser.add_argument("--whole-files", action="store_true", help="one request per file")
     parser.add_argument("--documents", help="also write JSON result documents here")
+    parser.add_argument("--per-file", action="store_true", help="one result folder per input file")
+    parser.add_argument("--files-per-batch", type=int, default=1000, help="input files of a micro-batch")
     parser.add_argument("--checkpoint", help="streaming checkpoint folder")
     parser.add_argument("--keep-running", action="store_true", help="do not stop at the last file")
     args = parser.parse_args(argv)
     if args.mode == "stream" and not args.checkpoint:
         parser.error("stream needs --checkpoint")
+    if args.mode == "batch" and not args.as_of:
+        parser.error("batch needs --as-of")
     return args
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     cfg = PROFILES[args.profile]
-    spark = build_session(f"tradeline-{args.mode}")
+    conf = {"spark.checkpoint.dir": args.work} if args.work else {}
+    spark = build_session(f"tradeline-{args.mode}", **conf)
     if args.mode == "stream":
-        raw = stream_requests(spark, args.requests)
+        raw = stream_requests(spark, args.requests, args.files_per_batch, args.id_field)
         run_stream(
             raw, args.out, args.checkpoint, args.as_of, cfg, available_now=not args.keep_running
         ).awaitTermination()
         return
     read = read_request_files if args.whole_files else read_requests
-    scored = run_batch(read(spark, args.requests), args.out, args.as_of, cfg)
-    if args.documents:
-        write_result_documents(result_documents(scored, args.as_of, cfg), args.documents)
+    raw = read(spark, args.requests, args.id_field)
+    run_batch(
+        raw, args.out, args.as_of, cfg, run=args.run, documents=args.documents, per_file=args.per_file
+    )
 
 
 if __name__ == "__main__":

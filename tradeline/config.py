@@ -118,6 +118,15 @@ class PolicyConfig:
     missing_score: int = 99999
     enquiry_months: int = 3
 
+    score_bands: tuple = SCORE_BANDS
+    lowest_band: str = LOWEST_BAND
+    income_brackets: tuple = INCOME_BRACKETS
+    default_income_band: int = DEFAULT_INCOME_BAND
+    limit_multiplier: dict = None
+    limit_ceiling: dict = None
+    limit_floor: dict = None
+    limit_step: int = 100
+
     thin_max_mob: int = 6
     thin_max_rows: int = 1
     thin_when_undated: bool = True
@@ -134,6 +143,9 @@ class PolicyConfig:
             ("payment_codes", PAYMENT_CODES),
             ("suit_codes", SUIT_CODES),
             ("asset_codes", ASSET_CODES),
+            ("limit_multiplier", LIMIT_MULTIPLIER),
+            ("limit_ceiling", LIMIT_CEILING),
+            ("limit_floor", LIMIT_FLOOR),
         ):
             if getattr(self, name) is None:
                 object.__setattr__(self, name, table)

@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 # Years a date may have; anything else (a 9999 "never") is unreadable.
 _YEAR = r"(167[89]|16[89]\d|1[789]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
 _SEP = r"[-/. ]"
-_TIME = r"(?:[ T]+(\d{1,2}:\d{2}(?::\d{2})?))?$"
+_CLOCK = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+_TIME = rf"(?:[ T]+({_CLOCK}))?$"
+_HALF_DAY = r"^(.*\D)(0?[1-9]|1[0-2])(:\d{2}(?::\d{2}(?:\.\d{1,9})?)?) *([AaPp])\.?[Mm]\.?$"
 _DAY, _MONTH, _NO_MONTH = r"(\d{1,2})", r"(0?[1-9]|1[0-2])", r"(1[3-9]|[2-9]\d)"
 
 _ISO = rf"^{_YEAR}-\d{{1,2}}(-\d{{1,2}}([ T].*)?)?$"
 _YEAR_FIRST = rf"^{_YEAR}[/. ](\d{{1,2}})[/. ](\d{{1,2}})"
 _COMPACT = rf"^{_YEAR}(\d{{2}})(\d{{2}})$"
-_DAY_NAME = rf"^(\d{{1,2}}){_SEP}*([A-Za-z]{{3}})[a-z]*[-/., ]*{_YEAR}$"
-_NAME_DAY = rf"^([A-Za-z]{{3}})[a-z]*{_SEP}*(\d{{1,2}})[-/., ]+{_YEAR}$"
+_COMPACT_TIME = rf"^{_YEAR}(\d{{2}})(\d{{2}})[ T]?(\d{{2}})(\d{{2}})(\d{{2}})$"
+_DAY_NAME = rf"^(\d{{1,2}}){_SEP}*([A-Za-z]{{3}})[a-z]*[-/., ]*{_YEAR}{_TIME}"
+_NAME_DAY = rf"^([A-Za-z]{{3}})[a-z]*{_SEP}*(\d{{1,2}})[-/., ]+{_YEAR}{_TIME}"
 _SHORT_YEAR = rf"^(\d{{1,2}}{_SEP}\d{{1,2}}{_SEP})(\d\d)(?=$|[ T])"
 _MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
 
@@ -72,6 +75,7 @@ def _written(text: Column, day_first: bool) -> Column:
         (f"^{first}{_SEP}{second}{_SEP}{_YEAR}{_TIME}", to) for first, second, to in (usual, swapped)
     ]
     rewrites += [(_YEAR_FIRST, "$1-$2-$3"), (_COMPACT, "$1-$2-$3")]
+    rewrites.append((_COMPACT_TIME, "$1-$2-$3 $4:$5:$6"))
     found = F.when(text.rlike(_ISO), text)
     for pattern, to in rewrites:
         found = found.when(text.rlike(pattern), F.regexp_replace(text, pattern, to))
@@ -79,11 +83,22 @@ def _written(text: Column, day_first: bool) -> Column:
     for pattern, day, name in ((_DAY_NAME, 1, 2), (_NAME_DAY, 2, 1)):
         part = lambda i: F.regexp_extract(text, pattern, i)  # noqa: B023, E731
         found = found.when(
-            text.rlike(pattern), F.concat(part(3), dash, _named_month(part(name)), dash, part(day))
+            text.rlike(pattern),
+            F.concat(
+                part(3), dash, _named_month(part(name)), dash, part(day),
+                F.when(part(4) != "", F.concat(F.lit(" "), part(4))).otherwise(""),
+            ),
         )
     return found
 
 
+def _whole_day(text: Column) -> Column:
+    """``10:00 PM`` -> ``22:00``; a text without AM or PM stays as it is."""
+    part = lambda i: F.regexp_extract(text, _HALF_DAY, i)
+    hour = part(2).try_cast("int") % 12 + F.when(F.lower(part(4)) == "p", 12).otherwise(0)
+    return F.when(text.rlike(_HALF_DAY), F.concat(part(1), hour.cast("string"), part(3))).otherwise(text)
+
+
 def parse_date(text: Column, as_of: dt.date, day_first: bool) -> Column:
     """Parse one date string to ``timestamp_ntz``; null when unreadable.
 
@@ -91,7 +106,7 @@ def parse_date(text: Column, as_of: dt.date, day_first: bool) -> Column:
     order is impossible (``12/31/2023``) the other one is used. Two-digit years
     go to the century closest to ``as_of``. Years outside 1678..2261 are null.
     """
-    t = F.trim(text)
+    t = _whole_day(F.trim(text))
     written = F.coalesce(
         _written(t, day_first),
         F.when(t.rlike(_SHORT_YEAR), _written(_full_year(t, as_of), day_first)),

@@ -107,15 +107,27 @@ STAGES: tuple[Stage, ...] = (placed, coded, framed, flagged)
 SCRATCH = ("last_12", "worst_12", "severe_payment", "severe_asset", "severe_suit")
 
 
+def opened_known(get: Getter) -> Column:
+    return get("opened").isNotNull()
+
+
 def usable(get: Getter) -> Column:
     """Only accounts with an open date count, and they need a reporting month."""
-    return get("opened").isNotNull() & get("lag").isNotNull()
+    return opened_known(get) & get("lag").isNotNull()
+
+
+AVAILABLE, UNAVAILABLE = "available", "unavailable"
+
+
+def availability(lag: Column) -> Column:
+    """Whether any month of the history is still visible; null without a reporting month."""
+    return F.when(lag <= h.MONTHS, AVAILABLE).when(lag > h.MONTHS, UNAVAILABLE)
 
 
 # name -> (how to combine, contribution of one account). The sums feed the
 # rules; the rest decides routing and record errors.
 def contributions(get: Getter) -> dict[str, tuple[str, Column]]:
-    dated = get("opened").isNotNull()
+    dated = opened_known(get)
     counted = usable(get)
 
     def total(value: Column) -> tuple[str, Column]:

@@ -7,7 +7,7 @@ and enquiries travel with it and nothing has to be joined or shuffled.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +24,14 @@ def listed(text: Column) -> Column:
     return F.when(text.startswith("["), F.from_json(text, "array<string>"))
 
 
-def field_at(text: Column, i: Column, rows: Column) -> Column:
-    """Row ``i`` of a header field: list element, or the scalar on every row."""
-    return F.when(text.startswith("["), F.get(F.from_json(text, "array<string>"), i)).when(
-        i < rows, text
+def header_at(name: str, i: Column) -> Column:
+    """Row ``i`` of a header field: list element, or the scalar on every row.
+
+    Reads ``header``, ``header_lists`` (parsed once per request) and ``header_rows``.
+    """
+    text = F.col("header")[name]
+    return F.when(text.startswith("["), F.get(F.col("header_lists")[name], i)).when(
+        i < F.col("header_rows"), text
     )
 
 
@@ -73,17 +77,24 @@ def read_score(details: Column, missing: int) -> Column:
     )
 
 
-def parse_requests(raw: DataFrame, cfg: PolicyConfig = CURRENT, detail: bool = True) -> DataFrame:
+def parse_requests(
+    raw: DataFrame,
+    cfg: PolicyConfig = CURRENT,
+    detail: bool = True,
+    parts: Iterable[str] = s.REPORT_PARTS,
+) -> DataFrame:
     """Parse ``value`` (one JSON document per row) into a typed request frame.
 
     ``raw`` needs ``request_id`` and ``value``; other columns are carried along.
-    ``detail=False`` parses only what a decision reads. Undecodable documents
-    stay in the frame with ``bad_json = true``.
+    ``detail=False`` parses only what a decision reads, ``parts`` names the parts
+    of the report that are parsed at all (the others are null). Undecodable
+    documents stay in the frame with ``bad_json = true``.
     """
+    parts = tuple(parts)
     carried = [name for name in raw.columns if name != "value"]
     doc = F.from_json(
         "value",
-        s.request_ddl(cfg.envelope, detail),
+        s.request_ddl(cfg.envelope, detail, parts),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": s.CORRUPT},
     )
     bureau = F.col("doc.bureau_data") if cfg.envelope else F.col("doc")
@@ -126,20 +137,27 @@ def parse_requests(raw: DataFrame, cfg: PolicyConfig = CURRENT, detail: bool = T
         report.isNull().alias("no_report"),
     )
     report = F.col("report")
-    lists = [F.array_size(listed(F.col(f"header.{f}"))) for f in s.HEADER_FIELDS]
-    parsed = located.select(
-        *[c for c in located.columns if c != "report"],
-        F.coalesce(F.greatest(*lists), F.lit(1)).alias("header_rows"),
-        report["RetailAccountDetails"].alias("raw_accounts"),
-        report["EnquirySummary"].alias("enquiry_summary"),
-        report["Enquiries"].alias("raw_enquiries"),
-        report["ScoreDetails"].alias("score_details"),
+    types = s.part_types(detail)
+
+    def part(name: str) -> Column:
+        return report[name] if name in parts else F.lit(None).cast(types[name])
+
+    parsed = evaluated_once(
+        located.select(
+            *[c for c in located.columns if c != "report"],
+            F.struct(*[listed(F.col(f"header.{f}")).alias(f) for f in s.HEADER_FIELDS]).alias("header_lists"),
+            part("RetailAccountDetails").alias("raw_accounts"),
+            part("EnquirySummary").alias("enquiry_summary"),
+            part("Enquiries").alias("raw_enquiries"),
+            part("ScoreDetails").alias("score_details"),
+        )
     )
-    return evaluated_once(parsed)
+    sizes = [F.array_size(F.col(f"header_lists.{f}")) for f in s.HEADER_FIELDS]
+    return parsed.withColumn("header_rows", F.coalesce(F.greatest(*sizes), F.lit(1)))
 
 
-def report_number(header: Column, rows: Column) -> Column:
-    return field_at(header["ReportOrderNO"], F.lit(0), rows)
+def report_number() -> Column:
+    return header_at("ReportOrderNO", F.lit(0))
 
 
 _ACCOUNT_DATES = {"opened": "DateOpened", "closed": "DateClosed", "reported": "DateReported"}

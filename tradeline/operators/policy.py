@@ -32,6 +32,15 @@ def is_thin_file(max_mob: Column, rows: Column, cfg: PolicyConfig) -> Column:
     return young & (rows <= cfg.thin_max_rows)
 
 
+def known_score(score: Column, cfg: PolicyConfig) -> Column:
+    """The score, or the policy's stand-in when none was sent."""
+    return F.coalesce(score, F.lit(cfg.missing_score))
+
+
+def score_passes(score: Column, cfg: PolicyConfig) -> Column:
+    return score >= cfg.min_score
+
+
 def rule_outcome(rule: Rule, get: Getter) -> Column:
     """True when the rule passes. A ratio over zero fails."""
     value = get(rule.metric)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tradeline import schemas as s
 from tradeline.config import CURRENT, PolicyConfig
-from tradeline.functions import history as h
 from tradeline.functions.limits import credit_limit
 from tradeline.functions.numbers import is_bad_number
 from tradeline.operators import accounts as acc
@@ -20,13 +19,14 @@ from tradeline.operators.once import evaluated_once
 # Columns of a parsed request; anything else was carried in by the caller.
 READ_FIELDS = (
     "request_id", "user_id", "bad_json", "features", "min_income", "max_income", "no_envelope",
-    "top_error", "header", "inquiry", "phones", "report_error", "no_report", "header_rows",
+    "top_error", "header", "header_lists", "inquiry", "phones", "report_error", "no_report",
+    "header_rows",
     "raw_accounts", "enquiry_summary", "raw_enquiries", "score_details",
 )
 
 # What the output tables read beside the decision.
 DETAIL_FIELDS = (
-    "route", "header", "header_rows", "inquiry", "phones", "top_error", "report_error",
+    "route", "header", "header_lists", "header_rows", "inquiry", "phones", "top_error", "report_error",
     "enquiry_summary", "high_known", "score", "inq_flag", "facts", "policy", "reportnumber",
     "accounts", "enquiries",
 )
@@ -53,15 +53,12 @@ def _limit(cfg: PolicyConfig) -> Column:
         return F.lit(None).cast("bigint")
     low, high = F.col("min_income"), F.col("max_income")
     base, score = F.col("base_limit"), F.col("limit_score")
-    return F.when(
-        score.isNotNull(),
-        credit_limit(
-            base, score, low.try_cast("double"), high.try_cast("double"), open_ended=high.isNull()
-        ),
+    return credit_limit(
+        base, score, low.try_cast("double"), high.try_cast("double"), high.isNull(), cfg
     )
 
 
-def _with_inputs(requests: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> DataFrame:
+def with_inputs(requests: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> DataFrame:
     """Typed request-level inputs beside the parsed report."""
     features = F.col("features")
     bad_value = lambda e: e["value"].isNull() | is_bad_number(e["value"])
@@ -70,7 +67,7 @@ def _with_inputs(requests: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> Data
             "route": route(),
             "enquiries": parse.typed_enquiries(F.col("raw_enquiries"), as_of),
             "score": parse.read_score(F.col("score_details"), cfg.missing_score),
-            "reportnumber": parse.report_number(F.col("header"), F.col("header_rows")),
+            "reportnumber": parse.report_number(),
             "limit_score": parse.last_feature(features, "offline_bnpl_score"),
             "base_limit": parse.last_feature(features, "offline_bnpl_limit"),
             "bad_feature": acc.holds(F.exists(features, bad_value)),
@@ -102,7 +99,7 @@ def _metrics(cfg: PolicyConfig) -> dict[str, Column]:
     """The thirteen rolled-up metrics by name."""
     elsewhere = {
         "max_inq_l3m": F.col("inq_flag"),
-        "max_score": acc.holds(F.col("score") >= cfg.min_score),
+        "max_score": acc.holds(policy.score_passes(F.col("score"), cfg)),
     }
     return {n: elsewhere.get(n, F.col(f"facts.{n}")) for n, _ in s.METRIC_FIELDS}
 
@@ -110,12 +107,13 @@ def _metrics(cfg: PolicyConfig) -> dict[str, Column]:
 def _surviving(scored: Column) -> Column:
     """Usable accounts, those with a visible history first."""
 
-    def kept(condition) -> Column:
+    def kept(part: str) -> Column:
         return F.filter(
-            F.col("accounts"), lambda a: acc.usable(lambda n: a[n]) & condition(a["lag"])
+            F.col("accounts"),
+            lambda a: acc.usable(lambda n: a[n]) & (acc.availability(a["lag"]) == part),
         )
 
-    both = F.concat(kept(lambda lag: lag <= h.MONTHS), kept(lambda lag: lag > h.MONTHS))
+    both = F.concat(kept(acc.AVAILABLE), kept(acc.UNAVAILABLE))
     return F.when(scored, both)
 
 
@@ -130,7 +128,7 @@ def score_requests(
     with an ``error_reason`` and null results.
     """
     c = F.col
-    df = _with_accounts(_with_inputs(requests, as_of, cfg), as_of, cfg, detail).withColumns(
+    df = _with_accounts(with_inputs(requests, as_of, cfg), as_of, cfg, detail).withColumns(
         {
             "inq_flag": policy.count_recent(c("enquiries"), as_of, cfg),
             "bnpl_limit": _limit(cfg),
@@ -175,9 +173,10 @@ def score_requests(
     return evaluated_once(df.select(*[n for n, _ in s.DECISION_FIELDS], *carried, *kept))
 
 
-def _error_reason(cfg: PolicyConfig) -> Column:
+def reading_error() -> Column:
+    """Why a document cannot be taken apart at all; null if it can."""
     c = F.col
-    reading = (
+    return (
         F.when(c("bad_json"), "BAD_JSON")
         .when(c("no_envelope"), "MISSING_ENVELOPE")
         .when(c("bad_feature"), "BAD_NUMBER")
@@ -185,6 +184,11 @@ def _error_reason(cfg: PolicyConfig) -> Column:
         .when((c("route") != "INVALID") & c("no_report"), "MISSING_REPORT")
         .when((c("route") == "HIT") & c("raw_accounts").isNull(), "MISSING_REPORT")
     )
+
+
+def _error_reason(cfg: PolicyConfig) -> Column:
+    c = F.col
+    reading = reading_error()
     request_level = {"score", "reportnumber", "enquiry_summary"}
     get = lambda n: c(n) if n in request_level else c(f"facts.{n}")
     report = F.when(c("route") == "HIT", policy.report_error(get, cfg))

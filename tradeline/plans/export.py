@@ -35,6 +35,11 @@ def conform(df: DataFrame, fields: Iterable[tuple[str, str]], keys: Iterable[str
     return df.select(*keys, *[column(n.lower(), k) for n, k in fields])
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Date columns as they are written in documents."""
+    return df.withColumns({n: date_text(F.col(n)) for n in df.columns if n in s.DATE_COLUMNS})
+
+
 # --- decision ---------------------------------------------------------------
 
 
@@ -68,7 +73,7 @@ def suit_filed(status: Column, first_month: Column, any_status: Column, cfg: Pol
     return F.when(any_status, status).otherwise(first_month)
 
 
-def _account_rows() -> Column:
+def account_rows() -> Column:
     """Rows of the account table as an array of (head, acct) structs.
 
     A report with history gives its surviving accounts; a no-hit or invalid
@@ -114,7 +119,7 @@ def _bureau_columns(b: Getter, cfg: PolicyConfig) -> dict[str, Column]:
     hit = F.col("route") == "HIT"
 
     def header(name: str) -> Column:
-        return parse.field_at(F.col("header")[name], head, F.col("header_rows"))
+        return parse.header_at(name, head)
 
     def inquiry(name: str) -> Column:
         return F.when(head < F.array_size("phones"), F.col("inquiry")[name])
@@ -162,16 +167,16 @@ def _bureau_columns(b: Getter, cfg: PolicyConfig) -> dict[str, Column]:
         "acct_st_49": F.get(acct["payment"], F.lit(48)),
         "suit_filed_st_49": F.get(acct["suit"], F.lit(48)),
         "asset_cl_st_49": F.get(acct["asset"], F.lit(48)),
-        "dateopened_n": date_text(opened),
-        "dateclosed_n": date_text(closed),
-        "datereported_n": date_text(reported),
+        "dateopened_n": opened,
+        "dateclosed_n": closed,
+        "datereported_n": reported,
         "acct_mob": acct["mob"],
         "score": F.when(any_acct, F.col("score")),
         "tenure_clo_ope": by_close,
         "tenure_rep_ope": by_report,
         "tenure_avai": F.coalesce(by_close, by_report),
         "non_avail_per": acct["lag"],
-        "sco_pol": F.when(any_acct, F.col("score") >= cfg.min_score),
+        "sco_pol": F.when(any_acct, policy.score_passes(F.col("score"), cfg)),
         "inq_flag": F.when(any_acct, F.col("inq_flag")),
     }
     # Account fields that keep their value under an upper-cased name.
@@ -198,7 +203,11 @@ def _bureau_columns(b: Getter, cfg: PolicyConfig) -> dict[str, Column]:
 
 def account_table(scored: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
     """One row per account, 271 columns, keyed by request_id."""
-    rows = scored.withColumn("row", F.explode(_account_rows()))
+    return account_columns(scored.withColumn("row", F.explode(account_rows())), cfg)
+
+
+def account_columns(rows: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
+    """The account table of rows that hold one (head, acct) struct ``row`` and the request's fields."""
     bound = rows.withColumn(
         "b", F.struct(*[v.alias(n) for n, v in _bind(lambda n: F.col("row")[n], cfg).items()])
     )
@@ -209,9 +218,9 @@ def account_table(scored: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
 # --- enquiry and user tables ------------------------------------------------
 
 
-def _enquiry_columns(e: Column, as_of, cfg: PolicyConfig) -> dict[str, Column]:
+def enquiry_columns(e: Column, as_of, cfg: PolicyConfig) -> dict[str, Column]:
     out = {n.lower(): e["raw"][n] for n in s.ENQUIRY_FIELDS}
-    out["date_n"] = date_text(e["date"])
+    out["date_n"] = e["date"]
     out["inq_flag"] = policy.is_recent_enquiry(e["date"], as_of, cfg)
     return {n: out[n].cast(kind) for n, kind in s.ENQUIRY_OUT_FIELDS}
 
@@ -219,7 +228,7 @@ def _enquiry_columns(e: Column, as_of, cfg: PolicyConfig) -> dict[str, Column]:
 def enquiry_table(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
     """One row per enquiry, 8 columns, keyed by request_id."""
     rows = scored.select("request_id", F.explode("enquiries").alias("e"))
-    columns = _enquiry_columns(F.col("e"), as_of, cfg)
+    columns = enquiry_columns(F.col("e"), as_of, cfg)
     return rows.select("request_id", *[v.alias(n) for n, v in columns.items()])
 
 
@@ -235,9 +244,14 @@ def column_dict(rows: Column, fields: Iterable[str], names: dict[str, str] | Non
     """Array of structs -> struct of ``{row index: value}`` maps, one per field."""
     names = names or {}
 
+    def value(x: Column, name: str) -> Column:
+        return date_text(x[name]) if name in s.DATE_COLUMNS else x[name]
+
     def entries(name: str) -> Column:
         return F.map_from_entries(
-            F.transform(rows, lambda x, i: F.struct(i.cast("string").alias("i"), x[name].alias("v")))
+            F.transform(
+                rows, lambda x, i: F.struct(i.cast("string").alias("i"), value(x, name).alias("v"))
+            )
         )
 
     return F.when(rows.isNotNull(), F.struct(*[entries(n).alias(names.get(n, n)) for n in fields]))
@@ -250,7 +264,7 @@ def with_result_arrays(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) ->
         return F.struct(*[v.alias(n) for n, v in columns.items()])
 
     bound = scored.withColumn(
-        "bound_rows", F.transform(_account_rows(), lambda r: struct(_bind(lambda n: r[n], cfg)))
+        "bound_rows", F.transform(account_rows(), lambda r: struct(_bind(lambda n: r[n], cfg)))
     )
     return bound.withColumns(
         {
@@ -258,7 +272,7 @@ def with_result_arrays(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) ->
                 "bound_rows", lambda b: struct(_bureau_columns(lambda n: b[n], cfg))
             ),
             "enquiry_rows": F.transform(
-                "enquiries", lambda e: struct(_enquiry_columns(e, as_of, cfg))
+                "enquiries", lambda e: struct(enquiry_columns(e, as_of, cfg))
             ),
             "user_rows": F.when(F.col("policy").isNotNull(), F.array("policy")),
         }

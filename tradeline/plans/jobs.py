@@ -3,28 +3,43 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 
 from tradeline.config import CURRENT, PolicyConfig
 from tradeline.operators.parse import parse_requests
 from tradeline.plans.documents import score_requests
-from tradeline.session import new_path
-from tradeline.sources.sinks import write_tables
+from tradeline.plans.export import result_documents
+from tradeline.session import Files, new_path
+from tradeline.sources.sinks import write_result_documents, write_tables
 
 
 def run_batch(
-    raw: DataFrame, out: str, as_of: dt.date, cfg: PolicyConfig = CURRENT
-) -> DataFrame:
-    """Decide all requests and write the five output tables.
+    raw: DataFrame,
+    out: str,
+    as_of: dt.date,
+    cfg: PolicyConfig = CURRENT,
+    *,
+    run: str | None = None,
+    documents: str | None = None,
+    per_file: bool = False,
+) -> str:
+    """Decide all requests, write the five output tables and, if asked, the result documents.
 
-    The scored requests are written once to the shared work folder, so the JSON
-    is parsed once, the tables are column-pruned reads of that copy, and a lost
-    executor costs a re-read instead of a re-parse. Returns the scored copy.
+    Returns the name of the run, by default a new one; a run repeated under its name replaces its own
+    rows and nothing else. The scored requests are written once to the shared work folder, so the JSON
+    is parsed once and a lost executor costs a re-read; that copy is deleted at the end.
     """
     spark = raw.sparkSession
+    run = run or uuid.uuid4().hex
     scored_path = new_path(spark, "scored")
-    score_requests(parse_requests(raw, cfg), as_of, cfg).write.parquet(scored_path)
-    scored = spark.read.parquet(scored_path)
-    write_tables(scored, out, as_of, cfg)
-    return scored
+    try:
+        score_requests(parse_requests(raw, cfg), as_of, cfg).write.parquet(scored_path)
+        scored = spark.read.parquet(scored_path)
+        write_tables(scored, out, as_of, cfg, run=run)
+        if documents:
+            write_result_documents(result_documents(scored, as_of, cfg), documents, per_file)
+    finally:
+        Files(spark, scored_path).delete(scored_path)
+    return run

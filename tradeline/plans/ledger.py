@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeline import schemas as s
@@ -19,6 +19,7 @@ from tradeline.config import CURRENT, PolicyConfig
 from tradeline.functions.limits import credit_limit
 from tradeline.operators import accounts as acc
 from tradeline.operators import parse, policy
+from tradeline.plans import documents, export
 
 
 def enquiry_counts(enquiries: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT) -> DataFrame:
@@ -54,7 +55,7 @@ def policy_table(
             {
                 "max_inq_l3m": F.coalesce(F.col("inq_flag"), F.lit(0).cast("bigint")),
                 "max_score": acc.holds(
-                    F.coalesce(F.col("score"), F.lit(cfg.missing_score)) >= cfg.min_score
+                    policy.score_passes(policy.known_score(F.col("score"), cfg), cfg)
                 ),
             }
         )
@@ -74,14 +75,18 @@ def decide_tables(
     """Decision table; ``requests`` also carries the limit inputs.
 
     Limit inputs: base_limit, limit_score, min_income, max_income (doubles);
-    profiles without a limit need none. An optional ``rows_per_account`` is the
-    number of products or phones of the request (see the thin-file rule).
+    profiles without a limit need none. ``income_open_ended`` may say that no upper
+    income was sent (default: ``max_income`` is null). An optional ``rows_per_account``
+    is the number of products or phones of the request (see the thin-file rule).
     """
     c = F.col
     limit = F.lit(None).cast("bigint")
     limit_error = F.lit(None).cast("string")
     if cfg.envelope:
-        limit = credit_limit(c("base_limit"), c("limit_score"), c("min_income"), c("max_income"))
+        open_ended = c("income_open_ended") if "income_open_ended" in requests.columns else None
+        limit = credit_limit(
+            c("base_limit"), c("limit_score"), c("min_income"), c("max_income"), open_ended, cfg
+        )
         limit_error = F.when(c("bnpl_limit").isNull(), "BAD_LIMIT_INPUT")
     df = policy_table(requests, accounts, enquiries, as_of, cfg).withColumns(
         {
@@ -90,7 +95,7 @@ def decide_tables(
             "bnpl_limit": limit,
         }
     )
-    known_score = F.coalesce(c("score"), F.lit(cfg.missing_score))
+    known_score = policy.known_score(c("score"), cfg)
     get = lambda n: known_score if n == "score" else c(n)
     # Flat tables have no enquiry summary that could be missing.
     reading = policy.report_error(get, replace(cfg, require_enquiry_summary=False))
@@ -122,9 +127,126 @@ def user_policy_rows(policy_rows: DataFrame) -> DataFrame:
     )
 
 
-def accounts_from_requests(requests: DataFrame, as_of: dt.date) -> DataFrame:
-    """Parsed documents -> the account table this plan reads."""
+# --- fallbacks that look at a whole report ----------------------------------
+
+
+def with_report_facts(
+    accounts: DataFrame, facts: dict[str, Column], key: str = "request_id"
+) -> DataFrame:
+    """Rows with facts of their request: each is true if its condition holds for any row.
+
+    The facts are combined before the shuffle and joined back on the key, so a request with very
+    many rows is a skewed join, whose rows Spark deals out over several tasks at run time.
+    """
+    known = accounts.groupBy(key).agg(*[F.bool_or(c).alias(n) for n, c in facts.items()])
+    return accounts.join(known, key, "left")
+
+
+def with_highcredit(accounts: DataFrame) -> DataFrame:
+    """Account rows (highcredit, sanctionamount, creditlimit) with the high credit filled up."""
+    high, sanction = F.col("highcredit"), F.col("sanctionamount")
+    rows = with_report_facts(accounts, {"_known": high.isNotNull() | sanction.isNotNull()})
+    filled = export.highcredit(high, sanction, F.col("creditlimit"), F.col("_known"))
+    return rows.withColumn("highcredit", filled).drop("_known")
+
+
+def with_suit_filed(accounts: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
+    """Account rows (suit_status, suit) with the column ``suitfiledstatus``."""
+    status = F.col("suit_status")
+    rows = with_report_facts(accounts, {"_known": status.isNotNull()})
+    filled = export.suit_filed(status, F.get("suit", F.lit(0)), F.col("_known"), cfg)
+    return rows.withColumn("suitfiledstatus", filled).drop("_known")
+
+
+# --- flat tables out of documents, and output tables out of flat tables ------
+
+
+def accounts_from_requests(
+    requests: DataFrame, as_of: dt.date, detail: bool = False
+) -> DataFrame:
+    """Parsed documents -> the account table this plan reads; with ``raw`` if ``detail``."""
     rows = requests.select("request_id", F.posexplode("raw_accounts").alias("i", "a"))
-    fields = parse.typed_account(F.col("a"), F.col("i"), as_of, detail=False)
+    fields = parse.typed_account(F.col("a"), F.col("i"), as_of, detail)
     typed = rows.select("request_id", *[v.alias(n) for n, v in fields.items()])
     return typed.withColumns(parse.dated(F.col, CURRENT, as_of)).drop("days")
+
+
+def tables_from_requests(
+    parsed: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Parsed documents -> request, account and enquiry tables with all their fields.
+
+    Documents that cannot be taken apart, or whose score is no number, have no place in flat
+    tables (where a null score means that none was sent) and are left out.
+    """
+    unreadable = (F.col("route") == "HIT") & F.col("score").isNull()
+    known = documents.with_inputs(parsed, as_of, cfg).where(
+        documents.reading_error().isNull() & ~unreadable
+    )
+    low, high = F.col("min_income"), F.col("max_income")
+    requests = known.select(
+        "request_id", "user_id", "route", "reportnumber", "score", "limit_score", "base_limit",
+        low.try_cast("double").alias("min_income"), high.try_cast("double").alias("max_income"),
+        high.isNull().alias("income_open_ended"), "rows_per_account", "header", "header_lists",
+        "header_rows", "inquiry", "phones", "top_error", "report_error", "enquiry_summary",
+    )
+    accounts = accounts_from_requests(known, as_of, detail=True)
+    enquiries = known.select("request_id", F.explode("enquiries").alias("e")).select("request_id", "e.*")
+    return requests, accounts, enquiries
+
+
+def _decided(requests, accounts, enquiries, as_of, cfg) -> DataFrame:
+    """Requests without an error."""
+    reasons = decide_tables(requests, accounts, enquiries, as_of, cfg)
+    good = reasons.where(F.col("error_reason").isNull()).select("request_id")
+    return requests.join(good, "request_id").withColumn("error_reason", F.lit(None).cast("string"))
+
+
+def account_table(
+    requests: DataFrame,
+    accounts: DataFrame,
+    enquiries: DataFrame,
+    as_of: dt.date,
+    cfg: PolicyConfig = CURRENT,
+) -> DataFrame:
+    """The 271-column account table from flat tables (as ``tables_from_requests`` gives them).
+
+    The facts of a report and its enquiry count are joined as one row per request; accounts then
+    meet their request once.
+    """
+    raw = F.col("raw")
+    facts = accounts.groupBy("request_id").agg(
+        F.bool_or(raw["HighCredit"].isNotNull() | raw["SanctionAmount"].isNotNull()).alias("high_known"),
+        F.bool_or(raw["SuitFiledStatus"].isNotNull()).alias("any_suit_status"),
+    )
+    known = (
+        _decided(requests, accounts, enquiries, as_of, cfg)
+        .join(facts, "request_id", "left")
+        .join(enquiry_counts(enquiries, as_of, cfg), "request_id", "left")
+        .withColumn("inq_flag", F.coalesce("inq_flag", F.lit(0).cast("bigint")))
+        .withColumn("facts", F.struct("any_suit_status"))
+    )
+    staged = acc.score_accounts(accounts, as_of, cfg).where(acc.usable(F.col))
+    own = F.struct(*[F.col(n) for n in staged.columns if n != "request_id"])
+    row = F.struct(F.lit(0).alias("head"), F.col("acct")).alias("row")
+    hit = known.where(F.col("route") == "HIT").join(staged.select("request_id", own.alias("acct")), "request_id")
+    acct_type = staged.select(own.alias("acct")).schema["acct"].dataType
+    no_accounts = F.array().cast(f"array<{acct_type.simpleString()}>")
+    bare = known.where(F.col("route") != "HIT").withColumn("accounts", no_accounts)
+    bare = bare.withColumn("row", F.explode(export.account_rows())).drop("accounts")
+    rows = hit.select(*known.columns, row).unionByName(bare)
+    return export.account_columns(rows, cfg)
+
+
+def enquiry_table(
+    requests: DataFrame,
+    accounts: DataFrame,
+    enquiries: DataFrame,
+    as_of: dt.date,
+    cfg: PolicyConfig = CURRENT,
+) -> DataFrame:
+    """The 8-column enquiry table from flat tables."""
+    known = _decided(requests, accounts, enquiries, as_of, cfg).where(F.col("route") == "HIT")
+    rows = enquiries.join(known.select("request_id"), "request_id")
+    columns = export.enquiry_columns(F.struct("raw", "date"), as_of, cfg)
+    return rows.select("request_id", *[v.alias(n) for n, v in columns.items()])

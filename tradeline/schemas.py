@@ -35,20 +35,31 @@ def _struct(fields, *typed: str) -> str:
     return "struct<" + ", ".join([f"`{f}`: string" for f in fields] + list(typed)) + ">"
 
 
-def bureau_type(detail: bool = True) -> str:
-    """DDL type of the bureau report; ``detail=False`` keeps decision inputs only."""
+# The parts of a report that parsing can leave out.
+REPORT_PARTS = ("RetailAccountDetails", "ScoreDetails", "EnquirySummary", "Enquiries")
+
+
+def part_types(detail: bool = True) -> dict[str, str]:
+    """DDL type of each part of the report."""
     history = _struct(HISTORY_FIELDS if detail else DECISION_HISTORY)
     account = _struct(
         ACCOUNT_FIELDS if detail else DECISION_ACCOUNT, f"History48Months: array<{history}>"
     )
-    enquiry = _struct(ENQUIRY_FIELDS if detail else ("Date",))
-    summary = _struct(SUMMARY_FIELDS)
+    return {
+        "RetailAccountDetails": f"array<{account}>",
+        "ScoreDetails": f"array<{_struct(('Value',))}>",
+        "EnquirySummary": _struct(SUMMARY_FIELDS),
+        "Enquiries": f"array<{_struct(ENQUIRY_FIELDS if detail else ('Date',))}>",
+    }
+
+
+def bureau_type(detail: bool = True, parts: tuple[str, ...] = REPORT_PARTS) -> str:
+    """DDL type of the bureau report; ``detail=False`` keeps decision inputs only."""
+    types = part_types(detail)
     phones = _struct(PHONE_FIELDS if detail else ("Number",))
     error = _struct(("ErrorCode", "ErrorDesc"))
-    report = (
-        f"struct<RetailAccountDetails: array<{account}>, ScoreDetails: array<{_struct(('Value',))}>, "
-        f"EnquirySummary: {summary}, Enquiries: array<{enquiry}>>"
-    )
+    # A report without any part is still told from a missing one.
+    report = "struct<" + ", ".join(f"{n}: {types[n]}" for n in parts or REPORT_PARTS[1:2]) + ">"
     return (
         f"struct<Error: {error}, "
         f"InquiryResponseHeader: {_struct(HEADER_FIELDS)}, "
@@ -59,9 +70,11 @@ def bureau_type(detail: bool = True) -> str:
     )
 
 
-def request_ddl(envelope: bool = True, detail: bool = True) -> str:
+def request_ddl(
+    envelope: bool = True, detail: bool = True, parts: tuple[str, ...] = REPORT_PARTS
+) -> str:
     """DDL of one input document, with the corrupt-record column."""
-    bureau = bureau_type(detail)
+    bureau = bureau_type(detail, parts)
     if not envelope:
         return f"{bureau[:-1]}, {CORRUPT}: string>"
     return (
@@ -100,51 +113,59 @@ USER_POLICY_FIELDS = (
 
 ENQUIRY_OUT_FIELDS = (
     ("seq", "string"), ("institution", "string"), ("date", "string"), ("time", "string"),
-    ("requestpurpose", "string"), ("amount", "string"), ("date_n", "string"),
+    ("requestpurpose", "string"), ("amount", "string"), ("date_n", "timestamp_ntz"),
     ("inq_flag", "boolean"),
 )
 
-# The columns of the account table, in output order, as the launch
-# profile spells them. The conformed table has them in lower case.
-_HEADER_COLUMNS = (
-    "ProductCode", "SuccessCode", "Date", "Time", "InquiryPurpose", "FirstName", "seq",
-    "PhoneType", "Number", "Input_Detail_Type", "ErrorCode", "ErrorDesc", "Bur_Hist_Sta",
-    "ACCT_NUMBER", "Institution", "ACCOUNTTYPE", "OWNERSHIPTYPE",
-)
-_AMOUNT_COLUMNS = (
-    "PASTDUEAMOUNT", "Open", "HIGHCREDIT", "LASTPAYMENTDATE", "CREDITLIMIT", "ACCOUNTSTATUS",
-    "source", "LASTPAYMENT", "SANCTIONAMOUNT", "REPAYMENTTENURE", "TERMFREQUENCY",
-    "INSTALLMENTAMOUNT", "Reason", "ASSETCLASSIFICATION",
-)
-_SUMMARY_COLUMNS = (
-    "Purpose", "Total", "Past30Days", "Past12Months", "Past24Months", "DATECLOSED_N",
-    "DATEREPORTED_N",
-)
-_LAG_COLUMNS = ("Tenure_Clo_Ope", "Tenure_Rep_Ope", "Tenure_Avai", "Non_Avail_Per")
-_FLAG_COLUMNS = (
-    "Perf_Avail", "Derog_Pol", "Act_Acct_Pol", "DPD90_Pol_L12M", "DPD60_Pol_L12M",
-    "DPD30_Pol_L6M", "DPD30_Pol_L12M",
+# Columns that hold dates. They are timestamps in tables and text in documents.
+DATE_COLUMNS = frozenset(("dateopened_n", "dateclosed_n", "datereported_n", "date_n"))
+
+# The columns of the account table with their types, in output
+# order, as the launch profile spells them. The conformed table has them in
+# lower case. Each series of months is written as name, first and last number.
+_ACCOUNT_TABLE = """
+CLIENT_ID string, REFERENCE_NO string, {user} string, REPORTNUMBER string, ProductCode string,
+SuccessCode string, Date string, Time string, InquiryPurpose string, FirstName string, seq string,
+PhoneType string, Number string, Input_Detail_Type string, ErrorCode string, ErrorDesc string,
+Bur_Hist_Sta string, ACCT_NUMBER string, Institution string, ACCOUNTTYPE string,
+OWNERSHIPTYPE string, BALANCE double, PASTDUEAMOUNT string, Open string, HIGHCREDIT string,
+LASTPAYMENTDATE string, CREDITLIMIT string, ACCOUNTSTATUS string, source string,
+LASTPAYMENT string, SANCTIONAMOUNT string, REPAYMENTTENURE string, TERMFREQUENCY string,
+INSTALLMENTAMOUNT string, Reason string, ASSETCLASSIFICATION string, key_0..48 string,
+INTERESTRATE string, WRITEOFFAMOUNT double, SUITFILEDSTATUS string, DAYS_PAST_DUE int,
+ACCT_UNIQ_ID int, ACCT_ST_49 string, SUIT_FILED_ST_49 string, ASSET_CL_ST_49 string,
+DATEOPENED_N timestamp_ntz, Acct_MOB int, Score bigint, Purpose string, Total string,
+Past30Days string, Past12Months string, Past24Months string, DATECLOSED_N timestamp_ntz,
+DATEREPORTED_N timestamp_ntz, Tenure_Clo_Ope int, Tenure_Rep_Ope int, Tenure_Avai int,
+Non_Avail_Per int, SuitSt_L0..48M int, AcctSt_L0..48M int, AssetSt_L0..48M int,
+Perf_Avail boolean, Derog_Pol boolean, Act_Acct_Pol boolean, DPD90_Pol_L12M boolean,
+DPD60_Pol_L12M boolean, DPD30_Pol_L6M boolean, DPD30_Pol_L12M boolean, DPD30_Pol_l12m_cnt int,
+DPD30_Pol_l6m_cnt int, DPD30_Pol_l3m_cnt int, Sco_Pol boolean, INQ_Flag bigint, Recent string,
+CollateralType string, CollateralValue string, LastName string, CustomFields string
+"""
+
+# The launch profile's spelling of the user table's columns.
+_LAUNCH_USER = (
+    "Sum_Perf_Avail", "Cnt_Derog_Accts", "Cnt_OverDue_Accts", "Cnt_DPD90_L12M_Accts",
+    "Cnt_DPD60_L12M_Accts", "Cnt_DPD30_L6M_Accts", "Cnt_DPD30_L12M_Accts", "Sum_DPD_Ins_L12M",
+    "Sum_DPD_Ins_L6M", "Sum_DPD_Ins_L3M", "Max_Inq_L3M", "Max_Score", "Cnt_Accts",
+    "Sum_Perf_Avail_Dec", "Cnt_Derog_Accts_Dec", "Cnt_OverDue_Accts_Dec",
+    "Cnt_DPD90_L12M_Accts_Dec", "Cnt_DPD60_L12M_Accts_Dec", "Cnt_DPD30_L6M_Accts_Dec",
+    "Cnt_DPD30_L12M_Accts_Rt_Dec", "Sum_DPD_Ins_L12M_Dec", "Sum_DPD_Ins_L6M_Dec",
+    "Sum_DPD_Ins_L3M_Dec", "Max_Inq_L3M_Dec", "Max_Score_Dec",
 )
 
 
 def _spelled_bureau_fields(user_column: str) -> list[tuple[str, str]]:
-    def typed(kind: str, *names: str) -> list[tuple[str, str]]:
-        return [(name, kind) for name in names]
-
-    months = [f"{s}_L{k}M" for s in ("SuitSt", "AcctSt", "AssetSt") for k in range(49)]
-    return [
-        *typed("string", "CLIENT_ID", "REFERENCE_NO", user_column, "REPORTNUMBER"),
-        *typed("string", *_HEADER_COLUMNS), *typed("double", "BALANCE"),
-        *typed("string", *_AMOUNT_COLUMNS), *typed("string", *(f"key_{i}" for i in range(49))),
-        *typed("string", "INTERESTRATE"), *typed("double", "WRITEOFFAMOUNT"),
-        *typed("string", "SUITFILEDSTATUS"), *typed("int", "DAYS_PAST_DUE", "ACCT_UNIQ_ID"),
-        *typed("string", "ACCT_ST_49", "SUIT_FILED_ST_49", "ASSET_CL_ST_49", "DATEOPENED_N"),
-        *typed("int", "Acct_MOB"), *typed("bigint", "Score"), *typed("string", *_SUMMARY_COLUMNS),
-        *typed("int", *_LAG_COLUMNS), *typed("int", *months), *typed("boolean", *_FLAG_COLUMNS),
-        *typed("int", *(f"DPD30_Pol_l{m}m_cnt" for m in (12, 6, 3))),
-        *typed("boolean", "Sco_Pol"), *typed("bigint", "INQ_Flag"),
-        *typed("string", "Recent", "CollateralType", "CollateralValue", "LastName", "CustomFields"),
-    ]
+    out = []
+    for field in _ACCOUNT_TABLE.format(user=user_column).split(","):
+        name, kind = field.split()
+        if ".." in name:
+            stem, last = name.split("0..48")
+            out += [(f"{stem}{i}{last}", kind) for i in range(49)]
+        else:
+            out.append((name, kind))
+    return out
 
 
 def bureau_fields(user_column: str = "user_id") -> tuple[tuple[str, str], ...]:
@@ -157,12 +178,7 @@ def launch_names(user_column: str = "user_id") -> dict[str, str]:
     enquiry = (*ENQUIRY_FIELDS, "Date_N", "INQ_Flag")
     out = {name.lower(): name for name in enquiry}
     out.update({name.lower(): name for name, _ in _spelled_bureau_fields(user_column)})
-    for name, _ in USER_POLICY_FIELDS[1:]:
-        words = [
-            w.upper() if w.startswith("dpd") or w[1:-1].isdigit() else w.capitalize()
-            for w in name.split("_")
-        ]
-        out[name] = "_".join(words).replace("Overdue", "OverDue")
+    out.update({name.lower(): name for name in _LAUNCH_USER})
     return out
 
 

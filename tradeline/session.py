@@ -1,14 +1,11 @@
-"""Session settings and the shared work folder."""
+"""Session settings, the shared work folder and its file system."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
 
 def build_session(name: str = "tradeline", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this package is tuned for."""
@@ -19,6 +16,7 @@ def build_session(name: str = "tradeline", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         # Recording the call site of every column expression costs more than
         # building the expression.
@@ -31,22 +29,42 @@ def build_session(name: str = "tradeline", master: str | None = None, **conf: st
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as named by ``spark.checkpoint.dir``.
-
-    A local session without that setting (tests, a laptop) gets a temporary
-    folder; on a cluster the setting is required.
-    """
+    """A folder that all executors share: ``spark.checkpoint.dir``, else below the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="tradeline-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work").rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the work folder."""
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+class Files:
+    """Whole folders and small marker files on the file system of a path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._path(path))
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        """``source`` takes the place of ``target``, which is deleted if it exists."""
+        self.delete(target)
+        self._fs.mkdirs(self._path(target).getParent())
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
+    def mark(self, path: str) -> None:
+        """An empty file."""
+        self._fs.create(self._path(path), True).close()
+
+    def names(self, path: str) -> list[str]:
+        """Names in a folder; none if there is no such folder."""
+        if not self.exists(path):
+            return []
+        return [f.getPath().getName() for f in self._fs.listStatus(self._path(path))]

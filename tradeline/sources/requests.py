@@ -1,34 +1,71 @@
-"""Request documents from text files, in batch or as a stream."""
+"""Request documents from text files, in batch or as a stream.
+
+Every submission is a request of its own, so its id is where it stands: file, block and row. Two
+equal documents are two requests. Callers whose documents carry an id name that field. The digest of
+the document is a column of its own.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def document_id(value: Column) -> Column:
-    """A request id that survives retries: the digest of the document."""
+def document_digest(value: Column) -> Column:
+    """The same for equal documents."""
     return F.sha2(value, 256)
 
 
-def _with_id(df: DataFrame) -> DataFrame:
-    return df.withColumn("request_id", document_id(F.col("value")))
+def _block() -> Column:
+    """File and start of the block that a task read."""
+    return F.concat_ws("#", "_metadata.file_path", F.col("_metadata.file_block_start"))
+
+
+def _row() -> Column:
+    """The row's place in its task. A task that is repeated reads the same block in the same order."""
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+
 
+def numbered(lines: DataFrame) -> DataFrame:
+    """Lines of a micro-batch with the ids that a stream cannot give: block and row."""
+    place = F.concat_ws("#", "block", _row())
+    return lines.withColumn("request_id", F.coalesce("request_id", place)).drop("block")
 
-def read_requests(spark: SparkSession, path: str) -> DataFrame:
+
+def _identified(lines: DataFrame, place: Column, id_field: str | None, *columns: Column) -> DataFrame:
+    """Lines with ``request_id`` (the named field, else the place) and ``digest``."""
+    value = F.col("value")
+    given = [F.get_json_object(value, f"$['{id_field}']")] if id_field else []
+    return lines.select(
+        value, F.coalesce(*given, place).alias("request_id"), document_digest(value).alias("digest"), *columns
+    )
+
+
+def read_requests(spark: SparkSession, path: str, id_field: str | None = None) -> DataFrame:
     """JSON lines, one request per line. Large files are split between tasks."""
-    return _with_id(spark.read.text(path))
+    return _identified(spark.read.text(path), F.concat_ws("#", _block(), _row()), id_field)
 
 
-def read_request_files(spark: SparkSession, path: str) -> DataFrame:
-    """One request per file; ``file_name`` names the result document later."""
+def read_request_files(spark: SparkSession, path: str, id_field: str | None = None) -> DataFrame:
+    """One request per file; ``file_name`` (its path below ``path``) names the result document."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    return _with_id(files.select("value", F.col("_metadata.file_name").alias("file_name")))
+    file_path = F.col("_metadata.file_path")
+    folder = re.sub("^[a-z0-9]+:/*", "/", path).strip("/")
+    below = F.substring_index(file_path, f"/{folder}/", -1)
+    return _identified(files, file_path, id_field, below.alias("file_name"))
+
 
+def stream_requests(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, id_field: str | None = None
+) -> DataFrame:
+    """JSON lines arriving in a folder, as an unbounded table.
 
-def stream_requests(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """JSON lines arriving in a folder, as an unbounded table."""
+    ``request_id`` is null unless the named field holds it; ``block`` says where a line stands, and
+    each micro-batch is ``numbered`` before it is decided.
+    """
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_id(reader.text(path))
+    return _identified(reader.text(path), F.lit(None).cast("string"), id_field, _block().alias("block"))
