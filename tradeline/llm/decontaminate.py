@@ -45,7 +45,8 @@ TOKEN = r"\x01[^\x02]*\x02|[\p{L}\p{M}\p{Nd}]+"
 
 def tokens(text: Column) -> Column:
     """Words and slots; a slot is marked by \\x01, its type and value, and \\x02."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ")
+    marked = text.contains("\x01") | text.contains("\x02")
+    plain = F.when(text.isNull(), "").when(marked, F.translate(text, "\x01\x02", "  ")).otherwise(text)
     named = F.regexp_replace(plain, NAME, "$1\x01n$2\x02")
     counted = F.regexp_replace(named, NUMBER, "$1\x01d$2\x02")
     measured = F.regexp_replace(counted, UNIT, "$1\x01u$2\x02$3")
@@ -57,44 +58,44 @@ def canonical(token: Column) -> Column:
     return F.when(token.startswith("\x01"), F.substring(token, 1, 2)).otherwise(F.lower(token))
 
 
-def window_hashes(words: Column, size: Column) -> Column:
-    """(at, hash) of each window of canonical words that has enough literal ones."""
+def _word_hashes(text: Column) -> Column:
+    return F.transform(tokens(text), lambda w: F.xxhash64(canonical(w)))
 
-    def one(at: Column) -> Column:
-        part = F.slice(words, at, size)
-        literal = F.size(F.filter(part, lambda w: ~w.startswith("\x01")))
-        return F.when(literal * 2 >= size, F.struct(at.alias("at"), F.xxhash64(part, size).alias("hash")))
 
-    last = F.size(words) - size + 1
-    starts = F.when((last > 0) & (size > 0), F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, one)
+def _windows(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` with column ``words`` (hashes): at (from 0), hash of every window of ``size`` words."""
+    last = F.size("words") - size
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    parts = [F.get("words", F.col("at") + i) for i in range(size)]
+    return rows.withColumn("at", F.explode(starts)).withColumn("hash", F.xxhash64(*parts)).drop("words")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item_id, size, hash, at (first place): the distinct windows of each question."""
-    rows = benchmark.where("item_id is not null").select(
-        F.col("item_id").cast("long").alias("item_id"), F.transform(tokens(F.col("text")), canonical).alias("words")
-    )
-    rows = rows.withColumn("size", F.least(F.size("words"), F.lit(window)))
-    found = rows.select("item_id", "size", F.explode(window_hashes(F.col("words"), F.col("size"))).alias("w"))
-    return found.where("w is not null").groupBy("item_id", "size", F.col("w.hash").alias("hash")).agg(F.min("w.at").alias("at"))
+    """item_id, size, hash, at (first place): the distinct windows of each question with enough literal words."""
+    rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("raw"))
+    rows = rows.withColumn("size", F.least(F.size("raw"), F.lit(window))).where("size > 0")
+    rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("raw") - F.col("size"))))
+    part = F.slice("raw", F.col("at") + 1, F.col("size"))
+    rows = rows.where(F.size(F.filter(part, lambda w: ~w.startswith("\x01"))) * 2 >= F.col("size"))
+    hashes = F.transform(part, lambda w: F.xxhash64(canonical(w)))
+    # The hash of an array is that of its elements as columns, so documents needn't cut arrays.
+    return rows.groupBy("item_id", "size", F.xxhash64(hashes).alias("hash")).agg(F.min("at").alias("at"))
 
 
 def _hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """doc_id, item_id, hash, shift: document windows that are a question's."""
     sizes = [r["size"] for r in windows.select("size").distinct().orderBy("size").collect()]  # at most ``window``
-    words = docs.select("doc_id", F.transform(tokens(F.col("text")), canonical).alias("words"))
-    if not sizes:
-        sizes = [WINDOW]
-    arrays = [window_hashes(F.col("words"), F.lit(size)) for size in sizes]
-    every = arrays[0] if len(arrays) == 1 else F.concat(*arrays)
-    seen = words.select("doc_id", F.explode(every).alias("w")).where("w is not null")
-    seen = seen.select("doc_id", F.col("w.hash").alias("hash"), F.col("w.at").alias("doc_at"))
-    known = cut(windows.select("hash").distinct())
-    if known.count() <= BROADCAST_WINDOWS:
-        known = F.broadcast(known)
-    hits = seen.join(known, "hash", "left_semi").join(windows, "hash")
-    return hits.select("doc_id", "item_id", "hash", (F.col("doc_at") - F.col("at")).alias("shift"))
+    words = docs.select("doc_id", _word_hashes(F.col("text")).alias("words"))
+    known = cut(windows.select("size", "hash").distinct())
+    broadcast = known.count() <= BROADCAST_WINDOWS
+    hits = None
+    for size in sizes or [WINDOW]:
+        own = known.where(F.col("size") == size).select("hash")
+        seen = _windows(words, size).join(F.broadcast(own) if broadcast else own, "hash", "left_semi")
+        seen = seen.withColumn("size", F.lit(size))
+        hits = seen if hits is None else hits.unionByName(seen)
+    found = hits.join(windows.withColumnRenamed("at", "item_at"), ["size", "hash"])
+    return found.select("doc_id", "item_id", "size", "hash", (F.col("at") - F.col("item_at")).alias("shift"))
 
 
 def _pairs_of(doc: Column, item: Column, shift: Column) -> Column:
@@ -121,27 +122,25 @@ def contaminated(
     windows = cut(benchmark_windows(benchmark, window))
     hits = cut(_hits(docs, windows))
     totals = windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    matched = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("hash").alias("n_matched"))
+    matched = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("size", "hash").alias("n_matched"))
     matched = matched.join(totals, "item_id").where(F.col("n_matched") >= F.col("n_windows") * least_coverage)
     shifts = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"))
     shifts = shifts.groupBy("doc_id", "item_id").agg(F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift"))
     pairs = cut(matched.join(shifts, ["doc_id", "item_id"]))
     if pairs.count() <= BROADCAST_IDS:
         pairs = F.broadcast(pairs)
-    questions = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("question"))
-    found = docs.join(pairs, "doc_id").join(questions, "item_id")
-    found = found.withColumn("slots", _pairs_of(tokens(F.col("text")), tokens(F.col("question")), F.col("shift")))
+    questions = benchmark.where("item_id is not null").select(
+        F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("question")
+    )
+    # Cut, so that tokens are columns below and not expressions that run for each element.
+    found = cut(docs.join(pairs, "doc_id").withColumn("words", tokens(F.col("text"))).drop("text").join(questions, "item_id"))
+    found = cut(found.withColumn("slots", _pairs_of(F.col("words"), F.col("question"), F.col("shift"))).drop("words", "question"))
     values = lambda side: F.size(F.array_distinct(F.transform("slots", lambda p: p[side])))
     found = found.where((values("q") == F.size("slots")) & (values("d") == F.size("slots")))
     changed = F.size(F.filter("slots", lambda p: p["q"] != p["d"]))
-    return (
-        found.select(
-            "doc_id", "item_id", "n_matched", "n_windows",
-            F.size("slots").cast("long").alias("n_slots"), changed.cast("long").alias("n_changed"),
-        )
-        .groupBy("doc_id", "item_id")
-        .agg(*(F.max(c).alias(c) for c in ("n_matched", "n_windows", "n_slots", "n_changed")))
-    )
+    found = found.withColumn("n_slots", F.size("slots").cast("long")).withColumn("n_changed", changed.cast("long"))
+    counts = ("n_matched", "n_windows", "n_slots", "n_changed")
+    return found.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in counts))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
