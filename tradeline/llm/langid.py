@@ -5,8 +5,9 @@ places. Linear support vector machines (squared hinge) first separate the langua
 other, then the languages of the chosen family, one machine for each pair. A decision is the votes of
 the pairs, then their margins; the score is the product of the two steps' confidences.
 
-The machines are fitted on the driver on a bounded sample: of each language the ``per_language`` rows
-with the smallest hash of their id, whose features (not texts) are collected. Only ``text`` and
+The machines are fitted on the driver on a bounded sample: of each of the ``LANGUAGES`` most frequent
+languages the ``per_language`` rows with the smallest hash of their id, whose features (not texts) are
+collected. Only ``text`` and
 ``lang`` of rows outside the held-out fold are used. Everything else reads all rows and whole texts.
 
 Cases: a null text or one without a letter is ``und`` with score 0. Rows without a language or id are
@@ -30,7 +31,7 @@ from tradeline.llm.common import map_batches
 
 UNDETERMINED = "und"
 
-DIMS = 1 << 12
+DIMS, LANGUAGES = 1 << 12, 64
 
 #: ISO 639-1 codes by language family.
 FAMILIES = {
@@ -154,9 +155,12 @@ def learn(docs: DataFrame, per_language: int = 500, id_col: str = "doc_id") -> L
     known = docs.select(
         F.col("lang"), F.col("text"), F.xxhash64(F.col(id_col).cast("string")).alias("place"), _remainder(id_col)
     ).where("lang is not null and remainder <> 2")
+    names = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    learned = [r["lang"] for r in names.collect()]
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
     last = (
         known.select("lang", "place")
+        .where(F.col("lang").isin(learned))
         .withColumn("rank", rank)
         .where(F.col("rank") <= per_language)
         .groupBy("lang")

@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from tradeline.llm.common import cut, map_batches
 
 SAMPLE, MOST_LISTS, GROUP, BLOCK = 20_000, 4096, 8192, 16
+#: Vectors whose nearness to all lists is worked out at a time.
+SLICE = 256
 
 
 @dataclass
@@ -53,8 +55,14 @@ class Index:
         return np.c_[x, more] @ self.rotation
 
     def nearest_lists(self, turned: np.ndarray) -> np.ndarray:
+        """How near each list is; the largest is the nearest."""
         return turned @ self.centroids.T - 0.5 * (self.centroids**2).sum(axis=1)
 
+    def own_lists(self, x: np.ndarray) -> np.ndarray:
+        """The list that each vector belongs to."""
+        parts = [x[i : i + SLICE] for i in range(0, len(x), SLICE)]
+        return np.concatenate([self.nearest_lists(self.turned(p, query=False)).argmax(axis=1) for p in parts])
+
 
 def _matrix(column: pa.ListArray) -> np.ndarray:
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -185,7 +193,7 @@ def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: flo
     """query, node, score: the k best different vectors of each group probed."""
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = index.nearest_lists(index.turned(_matrix(batch.column("vector")), query=False)).argmax(axis=1)
+        own = index.own_lists(_matrix(batch.column("vector")))
         return pa.RecordBatch.from_arrays(
             [batch.column("node"), pa.array(own, pa.int32()), batch.column("vector")], ["node", "list", "vector"]
         )
@@ -208,12 +216,15 @@ def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: flo
         )
 
     def ask(batch: pa.RecordBatch) -> pa.RecordBatch:
-        turned = index.turned(_matrix(batch.column("vector")), query=True)
-        order = np.argsort(-index.nearest_lists(turned), axis=1, kind="stable")
+        x = _matrix(batch.column("vector"))
         groups, rows, lists = [], [], []
-        for i in range(len(order)):
-            enough = int(np.searchsorted(np.cumsum(index.sizes[order[i]]), 4 * k)) + 1
-            probed = order[i, : max(index.probes, enough)]
+        for i in range(len(x)):
+            if i % SLICE == 0:
+                near = index.nearest_lists(index.turned(x[i : i + SLICE], query=True))
+                order = np.argsort(-near, axis=1, kind="stable")
+            nearest_first = order[i % SLICE]
+            enough = int(np.searchsorted(np.cumsum(index.sizes[nearest_first]), 4 * k)) + 1
+            probed = nearest_first[: max(index.probes, enough)]
             first, splits = index.first[probed], index.splits[probed]
             found: dict[int, list[int]] = {}
             for number, start, n in zip(probed.tolist(), first.tolist(), splits.tolist(), strict=True):
