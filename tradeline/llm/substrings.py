@@ -1,7 +1,8 @@
 """Removal of repeated passages by sliding spans of sentences.
 
-A text is cut into sentences; a line end and a capital after a word without a full stop also begin a
-new one, so that a passage pasted into the middle of a sentence is cut off. From every sentence a span
+A text is cut into sentences, and these at commas, semicolons and colons, so that a passage of a few long
+sentences holds several; a line end and a capital after a word without a full stop also begin a new
+one, so that a passage pasted into the middle of a sentence is cut off. From every sentence a span
 runs over at least ``SENTENCES`` sentences and on until it holds ``WORDS`` words. Spans are hashed
 (lower case, white space aside) by prefix sums, whatever their length. A span that occurs in several
 documents belongs to the smallest doc_id; sentences that it covers in any other document are removed,
@@ -32,8 +33,8 @@ from tradeline.llm.common import map_batches
 SENTENCES, WORDS = 2, 25
 
 _END = re.compile(
-    "\\s(?:(?<=\n)|(?<=[.!?…][\\s])|(?<=[.!?…][\"'»”)][\\s])"
-    "|(?<=[a-zß-öø-ÿ,;:]\\s)(?=[A-ZÀ-ÖØ-Þ]))\\s*"
+    "\\s(?:(?<=\n)|(?<=[.!?…,;:][\\s])|(?<=[.!?…][\"'»”)][\\s])"
+    "|(?<=[a-zß-öø-ÿ]\\s)(?=[A-ZÀ-ÖØ-Þ]))\\s*"
 )
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
