@@ -9,12 +9,14 @@ sequences. Rows with a null doc_id pass the stages that compare documents unchan
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeline.llm import decontaminate, langid, minhash, packing, substrings
-from tradeline.llm.common import remove_folder, shared_folder, table
+from tradeline.llm.common import remove_folder, shared_folder, ship, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +39,26 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _with_package(stage: Stage) -> Stage:
+    """``stage`` on executors that have the package."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("substring_dedup", substring_dedup),
-    ("decontamination", decontamination),
-    ("packing", pack_sequences),
+    ("language_id", _with_package(language_id)),
+    ("near_dedup", _with_package(near_dedup)),
+    ("substring_dedup", _with_package(substring_dedup)),
+    ("decontamination", _with_package(decontamination)),
+    ("packing", _with_package(pack_sequences)),
 ]
 
 #: Learned machines and tokenizers can't be said in SQL; the tests follow the rows by brute force.

@@ -2,7 +2,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from tests.llm import test_minhash, test_substrings
-from tests.llm.data import SF, awkward
+from tests.llm.data import SF, awkward, empty, prose
 from tests.llm.test_tokens_packing import check_pieces
 from tradeline.llm import queries
 
@@ -33,3 +33,20 @@ def test_stages_take_awkward_rows(spark, tmp_path):
             done.write.parquet(str(tmp_path / str(number)))
             docs = spark.read.parquet(str(tmp_path / str(number)))
     assert {r.doc_id for r in done.collect()} >= {1, 6, None}
+
+
+def test_stages_take_an_empty_table_and_clashing_names(spark, tmp_path):
+    extra = "row_key long, row string, contaminated_id long, component_id int, foreign_spans string, hashes binary"
+    docs = empty(spark, f"doc_id long, text string, lang string, n_chars long, {extra}")
+    full = spark.createDataFrame(
+        [(i, prose(i), "en", len(prose(i)), i, "r", 1, 2, "f", b"h") for i in range(6)], docs.schema
+    )
+    for docs in (docs, full):
+        columns = docs.schema.simpleString()
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            path = str(tmp_path / f"{number}-{docs.count()}-{id(docs)}")
+            stage(spark, docs, SF).write.parquet(path)
+            docs = spark.read.parquet(path)
+            assert docs.schema.simpleString() == columns
+        assert docs.count() == full.count() or docs.count() == 0
+        assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()} == {r.doc_id for r in docs.collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, packing, pages, quality, substrings, tokens
-from tradeline.llm.common import table
+from tradeline.llm.common import ship, table
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,18 +61,34 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_classifier": op1_quality_classifier,
-    "op2_minhash_dedup": op2_minhash_dedup,
-    "op3_token_counts": op3_token_counts,
-    "op4_nearest_neighbours": op4_nearest_neighbours,
-    "op5_html_extraction": op5_html_extraction,
-    "op6_decontamination": op6_decontamination,
-    "op7_packing": op7_packing,
-    "op8_chat_format": op8_chat_format,
-    "op9_language_id": op9_language_id,
-    "op10_substring_dedup": op10_substring_dedup,
-    "pipeline": corpus_pipeline.run,
-}
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _with_package(query: Query) -> Query:
+    """``query`` on executors that have this package."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: _with_package(query)
+    for query in (
+        op1_quality_classifier,
+        op2_minhash_dedup,
+        op3_token_counts,
+        op4_nearest_neighbours,
+        op5_html_extraction,
+        op6_decontamination,
+        op7_packing,
+        op8_chat_format,
+        op9_language_id,
+        op10_substring_dedup,
+    )
+} | {"pipeline": corpus_pipeline.run}
 
 ORACLES: dict[str, str] = {"op6_decontamination": decontaminate.SQL}
