@@ -51,6 +51,8 @@ def test_blocks_of_the_article():
         ("<p title='a>b'>t</p>", "t"), ("</p></div>x", "x"), ("<article></article><p>out</p>", ""),
         ("<p hidden>h</p><p style='display: none'>n</p><p>v</p>", "v"), ("<div role=navigation>m</div><p>v</p>", "v"),
         ("<ul><li><a href=x>only link</a></li></ul><p>text with <a>a link</a> in it, and more</p>", "text with a link in it, and more"),
+        ("<ol class='commentlist'><li>r</ol><p class=commentary>v</p><div id=siteHeader>s</div>", "v"),
+        ("<div class='adsbygoogle'>b</div><div class='header-top'>h</div><div class=address>Main St</div>", "Main St"),
         ("<P>A</P><NAV>n</NAV>", "A"), ("<p>" + "w " * 200_000 + "</p>", ("w " * 200_000).strip()),
         ("<div>" * 3000 + "deep", "deep"), ("<p>x&#0;&#x110000;&bogus;&amp</p>", "x��&bogus;&"),
     ],

@@ -64,6 +64,12 @@ _PURPOSE = frozenset(
     "newsletter subscribe subscription signup login share sharing social comment comments disqus reply replies respond "
     "related recommended recommendations widget pagination pager toolbar form search paywall".split()
 )
+#: Beginnings of compound words that say the same.
+_PURPOSE_STEMS = tuple(
+    "commentlist commentarea commentform commentbox commentbody commentsection commentthread advert adsby adslot adbanner "
+    "adbox sidebar navbar navmenu topnav mainnav sitenav breadcrumb footer sitefooter pagefooter cookie newsletter sponsor "
+    "sharebar sharebutton sociallinks relatedposts relatedarticles disqus".split()
+)
 
 
 @dataclass
@@ -192,8 +198,8 @@ def _purpose(attributes: str) -> tuple[set[str], str]:
             out.update("main" for _ in range(value == "articlebody"))
         else:
             marks.append(f"{name}={' '.join(words)}")
-            out.update("drop" for w in words if w in _PURPOSE)
-            out.update("header" for w in words if w == "header")
+            out.update("drop" for w in words if w in _PURPOSE or w.startswith(_PURPOSE_STEMS))
+            out.update("header" for w in words if w in ("header", "siteheader", "pageheader"))
     return out, " ".join(marks)
 
 
