@@ -1,18 +1,9 @@
-import pytest
-
 from tests.llm.data import SCHEMA, awkward, empty
-from tests.oracle import connect, mismatch
-from tradeline.llm import decontaminate, queries
+from tradeline.llm import decontaminate
 
 ITEM = "Mrs Baker sold 48 apples to her friend Anna for 12 dollars and then gave Anna half of what was left over in the shop."
 
 
-@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
-def test_query_equals_its_sql(spark, sf):
-    name = "op6_decontamination"
-    assert mismatch(spark, connect(sf), name, queries.QUERIES[name], queries.ORACLES[name], sf) is None
-
-
 def found(spark, texts, items=(ITEM,)):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, packing, pages, quality, substrings, tokens
+from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, oracles, packing, pages, quality, substrings, tokens
 from tradeline.llm.common import ship, table
 
 
@@ -91,4 +91,4 @@ QUERIES: dict[str, Query] = {
     )
 } | {"pipeline": corpus_pipeline.run}
 
-ORACLES: dict[str, str] = {"op6_decontamination": decontaminate.SQL}
+ORACLES: dict[str, str] = oracles.ORACLES
