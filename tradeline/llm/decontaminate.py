@@ -145,8 +145,9 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of ``docs`` that hold no question of ``benchmark``; all columns stay, null ids too."""
-    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias("contaminated_id")).distinct()
-    return docs.join(cut(bad), F.col("doc_id").cast("long") == F.col("contaminated_id"), "left_anti")
+    bad = cut(contaminated(docs, benchmark).select(F.col("doc_id").alias("contaminated_id")).distinct())
+    found = bad.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(bad) if found else bad, docs["doc_id"].cast("long") == bad["contaminated_id"], "left_anti")
 
 
 def _quoted(pattern: str) -> str:
