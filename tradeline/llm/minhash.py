@@ -427,5 +427,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """
     kept = near_duplicates(docs, id_col=id_col).where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
     joined = attach(docs, id_col, kept)
-    one = joined.groupBy("row_key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    order = F.struct(F.xxhash64("row.text"), F.to_json(F.col("row").dropFields("text")))
+    one = joined.groupBy("row_key").agg(F.min_by("row", order).alias("row"))
     return one.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
