@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeline.llm import decontaminate, langid, minhash, packing, substrings
-from tradeline.llm.common import remove_folder, shared_folder, ship, table
+from tradeline.llm.common import prepare, remove_folder, shared_folder, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,23 +42,23 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def _with_package(stage: Stage) -> Stage:
-    """``stage`` on executors that have the package."""
+def _prepared(stage: Stage) -> Stage:
+    """``stage`` in a session made fit for it."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        ship(spark)
+        prepare(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage
 
 
 STAGES = [
-    ("language_id", _with_package(language_id)),
-    ("near_dedup", _with_package(near_dedup)),
-    ("substring_dedup", _with_package(substring_dedup)),
-    ("decontamination", _with_package(decontamination)),
-    ("packing", _with_package(pack_sequences)),
+    ("language_id", _prepared(language_id)),
+    ("near_dedup", _prepared(near_dedup)),
+    ("substring_dedup", _prepared(substring_dedup)),
+    ("decontamination", _prepared(decontamination)),
+    ("packing", _prepared(pack_sequences)),
 ]
 
 #: Learned machines and tokenizers can't be said in SQL; the tests follow the rows by brute force.

@@ -21,11 +21,20 @@ SLICE_CHARS = 2_000_000
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, which a session may have been started without.
+#: Texts that Python gets at a time, when the session allows more.
+BATCH_ROWS = 1000
 
-    Spark itself hands out the archive; it is made once for each application.
+
+def prepare(spark: SparkSession) -> None:
+    """Make a session fit for these operators.
+
+    Arrow batches hold at most ``BATCH_ROWS`` rows, as rows are whole texts. The package is sent to the
+    executors, which a session may have been started without; Spark itself hands out the archive, and
+    it is made once for each application.
     """
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, BATCH_ROWS)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[1]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, oracles, packing, pages, quality, substrings, tokens
-from tradeline.llm.common import ship, table
+from tradeline.llm.common import prepare, table
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,19 +64,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _with_package(query: Query) -> Query:
-    """``query`` on executors that have this package."""
+def _prepared(query: Query) -> Query:
+    """``query`` in a session made fit for it."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
+        prepare(spark)
         return query(spark, sf_dir)
 
     return run
 
 
 QUERIES: dict[str, Query] = {
-    query.__name__: _with_package(query)
+    query.__name__: _prepared(query)
     for query in (
         op1_quality_classifier,
         op2_minhash_dedup,
