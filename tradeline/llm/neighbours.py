@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tradeline.llm.common import cut, map_batches
 
-SAMPLE, MOST_LISTS, GROUP, BLOCK = 20_000, 4096, 8192, 16
+SAMPLE, MOST_LISTS, GROUP, BLOCK = 20_000, 4096, 4096, 16
 #: Vectors whose nearness to all lists is worked out at a time.
 SLICE = 256
 
