@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from tradeline.llm.common import cut, map_batches
 
 SAMPLE, MOST_LISTS, GROUP, BLOCK = 20_000, 4096, 4096, 16
+#: Partitions that groups are dealt into at most. Their number is given, as the work is not in the bytes.
+MOST_PARTITIONS = 10_000
 #: Vectors whose nearness to all lists is worked out at a time.
 SLICE = 256
 
@@ -244,7 +246,8 @@ def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: flo
 
     schema = "group long, side int, node long, lists array<int>, vector array<double>"
     both = map_batches(placed, deal, schema).unionByName(map_batches(queries.select("node", "vector"), ask, schema))
-    both = both.repartition("group").sortWithinPartitions("group", "side", "node")
+    groups = int((index.first + index.splits).max())
+    both = both.repartition(min(groups, MOST_PARTITIONS), "group").sortWithinPartitions("group", "side", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, group = None, [], None
