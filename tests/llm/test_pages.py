@@ -109,3 +109,23 @@ def test_host_of_a_url(spark):
     urls = ["https://User@A.example:80/x", "http://b.example?x", "ftp://c.example#y", "b", None]
     df = spark.createDataFrame([(u,) for u in urls], "url string")
     assert [r[0] for r in df.select(pages._host(F.col("url"))).collect()] == ["a.example", "b.example", "c.example", "", ""]
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<body class='single-post right-sidebar'><p>v</p></body>", "v"),
+        ("<html class=has-banner><body class=header-fixed><article class='post share-enabled'><p>v</p></article>", "v"),
+        ("<div class='page right-sidebar'><article><p>v</p></article><div class=sidebar>s</div></div>", "v"),
+        ("<main><div class='row right-sidebar'><article>v</article></div></main>", "v"),
+        ("<p>Skip</p><div class='page right-sidebar'><h1>T</h1><p>long own text</p><div class=left-sidebar>s</div></div>", "Skip\n\nT\n\nlong own text"),
+        ("<div class='no-sidebar comments-open'><p>v</p></div><div class=right-sidebar>s</div>", "v"),
+        ("<div class=search><article>v</article></div>", "v"),
+        ("<p>v</p><div class=comments-area><article>c</article></div>", "v"),
+        ("<article>v</article><div id=comments><article class=comment>c</article></div>", "v"),
+        ("<article>v</article><article hidden>h</article><div class=site-footer>long text of the footer</div>", "v"),
+        ("<article title='Hidden costs'><p aria-hidden=\"false\" data-class='ad'>v</p><p title='class=ad'>w</p></article>", "v\n\nw"),
+    ],
+)
+def test_names_on_what_holds_the_main_content(source, text):
+    assert pages.page_text(source) == text

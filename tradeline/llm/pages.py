@@ -9,8 +9,8 @@ their texts (constant labels, notices, adverts) are template, everything else is
 
 Of the slots those of the main content remain: blocks inside ``article`` or ``main`` (the whole body
 if there is neither) and outside of elements that serve as menu, header, footer, sidebar, notice,
-advert, form or comments by their tag, role, class or id. Without an ``article``, blocks that are mostly
-links go too. Texts are decoded, white space inside a block becomes one space, blocks are joined by an
+advert, form or comments by their tag, role, class or id. Names of ``html``, ``body`` and of what holds the
+main content say nothing of that kind. Without an ``article``, blocks that are mostly links go too. Texts are decoded, white space inside a block becomes one space, blocks are joined by an
 empty line.
 
 A host needs ``LEAST_PAGES`` different pages for a class; on hosts with fewer the markup alone decides.
@@ -40,7 +40,7 @@ from tradeline.llm.common import cut, map_batches
 LEAST_PAGES, LEAST_SHARE, BROADCAST_TOKENS = 10, 0.1, 100_000
 
 _TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|style)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)|\b(hidden)\b", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORD = re.compile(r"[a-z]+")
 
 #: Elements of the HTML standard by what they do to the text.
@@ -70,17 +70,28 @@ _PURPOSE_STEMS = tuple(
     "adbox sidebar navbar navmenu topnav mainnav sitenav breadcrumb footer sitefooter pagefooter cookie newsletter sponsor "
     "sharebar sharebutton sociallinks relatedposts relatedarticles disqus".split()
 )
+#: Purposes of elements that hold articles of their own.
+_HOLDERS = frozenset("comment comments disqus reply replies respond related recommended recommendations sponsored promo widget".split())
+#: Words that make a compound class say something of the page ("no-sidebar", "comments-open").
+_STATES = frozenset("has no with without open closed enabled disabled layout".split())
+#: Named elements inside each other that are told apart.
+_DEPTH = 50
 
 
 @dataclass
 class Block:
-    """A run of text: where it stands, what it says, and how much of it is linked."""
+    """A run of text: where it stands, what it says, and how much of it is linked.
+
+    ``named``: numbers of the elements around it that a part of a compound name gives a purpose.
+    ``dropped``: 2 by tag, role or attribute, 1 only by a name.
+    """
 
     path: int
     text: str
     linked: float
     main: bool
-    dropped: bool
+    dropped: int
+    named: tuple[int, ...] = ()
 
 
 class _Page:
@@ -90,8 +101,9 @@ class _Page:
         self.tags: list[tuple[int, int]] = []
         self.blocks: list[tuple[int, Block]] = []
         self.has_main = False
-        # An open element: tag, hash of the path, inside main content, inside something dropped, linked.
-        self.stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+        # An open element: tag, hash of the path, inside main content, inside something dropped, linked, named.
+        self.stack: list[tuple[str, int, bool, int, bool, tuple[int, ...]]] = [("", 0, False, 0, False, ())]
+        self.titled: set[int] = set()
         self.held: list[str] = []
         self.plain = self.linked = 0
         self.order = 0
@@ -131,9 +143,9 @@ class _Page:
         if self.held:
             text = " ".join(html.unescape("".join(self.held)).split())
             if text:
-                _, path, main, dropped, _ = self.stack[-1]
+                _, path, main, dropped, _, named = self.stack[-1]
                 linked = self.linked / max(1, self.linked + self.plain)
-                self.blocks.append((self.order, Block(path, text, linked, main, dropped)))
+                self.blocks.append((self.order, Block(path, text, linked, main, dropped, named)))
                 self.order += 1
             self.held, self.plain, self.linked = [], 0, 0
 
@@ -147,18 +159,51 @@ class _Page:
                 self._pop({"p"})
             if name in _SAME:
                 self._pop(_SAME[name])
-        parent, path, main, dropped, link = self.stack[-1]
+        _, path, main, dropped, link, named = self.stack[-1]
         purpose, marks = _purpose(attributes) if attributes.strip(" /") else (frozenset(), "")
         path = xxhash.xxh64_intdigest(f"{path}>{name} {marks}")
         self.tags.append((self.order, path))
         self.order += 1
         if name in _VOID:
             return
-        inside = main or name in _MAIN or "main" in purpose
-        self.has_main |= inside and not main
-        dropped = dropped or name in _DROPPED or name in _RAW or "drop" in purpose
-        dropped = dropped or (name == "header" and not main) or ("header" in purpose and not main)
-        self.stack.append((name, path, inside, dropped, link or name == "a"))
+        holds_main = name in _MAIN or "main" in purpose
+        if name in ("html", "body") or (holds_main and not main):
+            purpose = purpose - {"name", "part", "header", "header part"}
+        elif holds_main:
+            purpose = purpose - {"part"}
+        if holds_main:
+            named = ()  # what holds the main content is no furniture
+        if name in _DROPPED or name in _RAW or "drop" in purpose or (name == "header" and not main):
+            dropped = 2
+        elif "name" in purpose or ("header" in purpose and not main) or len(named) >= _DEPTH:
+            dropped = max(dropped, 1)
+        elif "part" in purpose or ("header part" in purpose and not main):
+            named = (*named, self.order)
+        if name == "h1":
+            self.titled.update(named)
+        inside = main or holds_main
+        self.has_main |= inside and not main and not dropped
+        self.stack.append((name, path, inside, dropped, link or name == "a", named))
+
+    def main_blocks(self) -> list[Block]:
+        """The blocks that the markup alone gives as main content.
+
+        A purpose that is a part of a compound name does not count for an element that holds most of the
+        text and a first heading, or most of the text when nothing else is left.
+        """
+        area = [b for _, b in self.blocks if b.main or not self.has_main]
+        open_ = [b for b in area if not b.dropped]
+        held: dict[int, int] = {}
+        for block in open_:
+            for number in block.named:
+                held[number] = held.get(number, 0) + len(block.text)
+        half = sum(len(b.text) for b in open_) / 2
+        most = {number for number, size in held.items() if size > half}
+        kept = [b for b in open_ if self.titled.intersection(most).issuperset(b.named)]
+        kept = kept or [b for b in open_ if most.issuperset(b.named)]
+        if not kept:
+            kept = [b for b in area if b.main and b.dropped < 2 and not b.named]
+        return kept if self.has_main else [b for b in kept if b.linked <= 0.5 or b.main]
 
     def _close(self, name: str) -> None:
         if name in _BLOCK:
@@ -182,10 +227,12 @@ def _purpose(attributes: str) -> tuple[set[str], str]:
     """What an element's attributes say about it, and class and id for its path."""
     out, marks = set(), []
     for found in _ATTRIBUTE.finditer(attributes):
-        if found[3]:
+        name = (found[1] or "").lower()
+        if name == "hidden":
             out.add("drop")
+        if name not in ("class", "id", "role", "itemprop", "style") or found[2] is None:
             continue
-        name, value = found[1].lower(), found[2].strip("\"'").lower()
+        value = found[2].strip("\"'").lower()
         if name == "style":
             if "display:none" in value.replace(" ", ""):
                 out.add("drop")
@@ -198,11 +245,23 @@ def _purpose(attributes: str) -> tuple[set[str], str]:
             out.update("main" for _ in range(value == "articlebody"))
         else:
             marks.append(f"{name}={' '.join(words)}")
-            out.update("drop" for w in words if w in _PURPOSE or w.startswith(_PURPOSE_STEMS))
-            out.update("header" for w in words if w in ("header", "siteheader", "pageheader"))
+            out.update(kind for token in value.split() for kind in _name_purpose(token))
     return out, " ".join(marks)
 
 
+def _name_purpose(token: str) -> Iterator[str]:
+    """name: the token itself says what the element is for; part: one word of a compound does."""
+    words = _WORD.findall(token)
+    if len(words) > 1 and not _STATES.isdisjoint(words):
+        return
+    for word in words:
+        if word in _PURPOSE or word.startswith(_PURPOSE_STEMS):
+            holder = word in _HOLDERS or word.startswith(("comment", "related", "disqus"))
+            yield "name" if len(words) == 1 or holder else "part"
+        if word in ("header", "siteheader", "pageheader"):
+            yield "header" if len(words) == 1 else "header part"
+
+
 def _text_token(block: Block) -> int:
     return xxhash.xxh64_intdigest(block.text, block.path)
 
@@ -216,7 +275,7 @@ def page_text(source: str | None, template: dict[int, tuple[int, int]] | None =
     if not source:
         return ""
     page = _Page(source)
-    kept = [b for _, b in page.blocks if not b.dropped and (b.main or not page.has_main)]
+    kept = page.main_blocks()
     if template:
         placed = [(template[t], t) for t in map(_text_token, (b for _, b in page.blocks)) if t in template]
         last: dict[int, int] = {}
@@ -227,8 +286,6 @@ def page_text(source: str | None, template: dict[int, tuple[int, int]] | None =
             last[number] = place
         fixed = {t for (number, _), t in placed if number not in broken}
         kept = [b for b in kept if _text_token(b) not in fixed]
-    if not page.has_main:
-        kept = [b for b in kept if b.linked <= 0.5]
     return "\n\n".join(b.text for b in kept)
 
 
