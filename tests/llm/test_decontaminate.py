@@ -60,3 +60,13 @@ def test_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     monkeypatch.setattr(decontaminate, "BROADCAST_IDS", 0)
     assert found(spark, [f"x {ITEM}", "no"]).keys() == {(0, 0)}
+
+
+def test_copies_are_found_whatever_their_names_and_case(spark):
+    sums = "12 + 7 = 19, 30 + 4 = 34, 8 + 8 = 16"
+    items = ["What is the capital of France?", ITEM, sums, "Paris, Berlin, Madrid, Rome, Vienna, Oslo, Bern, Prague, Riga"]
+    texts = [f"Question: {items[0]} Answer: Paris", ITEM.upper(), ITEM.lower(), f"Add up {sums}!", f"Towns: {items[3]}."]
+    texts += [ITEM.replace("48", "12"), "Question: What is the capital of Spain, and of Italy?"]
+    got = found(spark, texts, items)
+    assert {(0, 0), (1, 1), (2, 1), (3, 2), (4, 3)} == got.keys()
+    assert (got[1, 1].n_matched, got[1, 1].n_changed) == (got[1, 1].n_windows, 0)

@@ -7,12 +7,17 @@ if, along the alignment with most windows, the slots are consistent: a value of
 stands for the same value in the document and the other way round. So a question with other names
 and numbers is caught, while a text that only shares the template's shape is not.
 
+Beside these, runs of ``window`` lower-case words without placeholders are hashed and joined alike. A document
+with at least ``least_coverage`` of them holds a copy of the question, whatever its case and however
+many names and numbers it has. If the slots along the placeholders' alignment contradict the question,
+only a copy of all its windows counts. Such pairs have counts of these windows, and no slots.
+
 Name: capitalised words after a small letter, digit, comma, colon or semicolon. Number: digits with
 separators, sign or per cent. Unit: a word of ``UNITS`` after a number. A window needs literal words in
 half of its places. Questions shorter than a window are matched by windows of their own length.
 
 The windows of documents are filtered by a broadcast of the benchmark's distinct hashes if there are at
-most ``BROADCAST_WINDOWS`` (8 bytes each), beyond that by a shuffled join; what follows handles hits only.
+most ``BROADCAST_WINDOWS`` (a few bytes each), beyond that by a shuffled join; what follows handles hits only.
 
 Cases: null and empty texts have no window and hit nothing; so have questions without words. A null
 doc_id or item_id takes no part. Rows with the same doc_id count as one document, rows with the same
@@ -40,7 +45,10 @@ UNITS = (
 NAME = r"([\p{Ll}\p{Nd},;:] )(\p{Lu}[\p{L}\p{M}]*(?: \p{Lu}[\p{L}\p{M}]*)*)"
 NUMBER = r"(^|[^\p{L}\p{Nd}\x01])([+-]?\p{Nd}+(?:[.,:/]\p{Nd}+)*%?)"
 UNIT = r"(\x02) ?(" + "|".join(UNITS) + r")([^\p{L}]|$)"
-TOKEN = r"\x01[^\x02]*\x02|[\p{L}\p{M}\p{Nd}]+"
+WORD = r"[\p{L}\p{M}\p{Nd}]+"
+TOKEN = r"\x01[^\x02]*\x02|" + WORD
+#: Kinds of windows: with placeholders, and of plain words.
+SLOTS, PLAIN = 0, 1
 
 
 def tokens(text: Column) -> Column:
@@ -58,7 +66,14 @@ def canonical(token: Column) -> Column:
     return F.when(token.startswith("\x01"), F.substring(token, 1, 2)).otherwise(F.lower(token))
 
 
-def _word_hashes(text: Column) -> Column:
+def plain_words(text: Column) -> Column:
+    """Words in lower case."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+
+
+def _word_hashes(text: Column, kind: int) -> Column:
+    if kind == PLAIN:
+        return F.transform(plain_words(text), lambda w: F.xxhash64(w))
     return F.transform(tokens(text), lambda w: F.xxhash64(canonical(w)))
 
 
@@ -70,32 +85,45 @@ def _windows(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("at", F.explode(starts)).withColumn("hash", F.xxhash64(*parts)).drop("words")
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item_id, size, hash, at (first place): the distinct windows of each question with enough literal words."""
-    rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("raw"))
+def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, kind: int = SLOTS) -> DataFrame:
+    """item_id, size, hash, at (first place): the distinct windows of each question.
+
+    Those with placeholders need enough literal words.
+    """
+    raw = tokens(F.col("text")) if kind == SLOTS else plain_words(F.col("text"))
+    rows = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), raw.alias("raw"))
     rows = rows.withColumn("size", F.least(F.size("raw"), F.lit(window))).where("size > 0")
     rows = rows.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("raw") - F.col("size"))))
     part = F.slice("raw", F.col("at") + 1, F.col("size"))
-    rows = rows.where(F.size(F.filter(part, lambda w: ~w.startswith("\x01"))) * 2 >= F.col("size"))
-    hashes = F.transform(part, lambda w: F.xxhash64(canonical(w)))
+    if kind == SLOTS:
+        rows = rows.where(F.size(F.filter(part, lambda w: ~w.startswith("\x01"))) * 2 >= F.col("size"))
+    hashes = F.transform(part, lambda w: F.xxhash64(canonical(w) if kind == SLOTS else w))
     # The hash of an array is that of its elements as columns, so documents needn't cut arrays.
     return rows.groupBy("item_id", "size", F.xxhash64(hashes).alias("hash")).agg(F.min("at").alias("at"))
 
 
 def _hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, item_id, hash, shift: document windows that are a question's."""
-    sizes = [r["size"] for r in windows.select("size").distinct().orderBy("size").collect()]  # at most ``window``
-    words = docs.select("doc_id", _word_hashes(F.col("text")).alias("words"))
-    known = cut(windows.select("size", "hash").distinct())
+    """doc_id, item_id, kind, size, hash, shift: document windows that are a question's."""
+    # At most ``window`` sizes of each kind.
+    sizes = [(r["kind"], r["size"]) for r in windows.select("kind", "size").distinct().orderBy("kind", "size").collect()]
+    known = cut(windows.select("kind", "size", "hash").distinct())
     broadcast = known.count() <= BROADCAST_WINDOWS
     hits = None
-    for size in sizes or [WINDOW]:
-        own = known.where(F.col("size") == size).select("hash")
+    for kind, size in sizes or [(SLOTS, WINDOW)]:
+        words = docs.select("doc_id", _word_hashes(F.col("text"), kind).alias("words"))
+        own = known.where((F.col("kind") == kind) & (F.col("size") == size)).select("hash")
         seen = _windows(words, size).join(F.broadcast(own) if broadcast else own, "hash", "left_semi")
-        seen = seen.withColumn("size", F.lit(size))
+        seen = seen.withColumn("size", F.lit(size)).withColumn("kind", F.lit(kind))
         hits = seen if hits is None else hits.unionByName(seen)
-    found = hits.join(windows.withColumnRenamed("at", "item_at"), ["size", "hash"])
-    return found.select("doc_id", "item_id", "size", "hash", (F.col("at") - F.col("item_at")).alias("shift"))
+    found = hits.join(windows.withColumnRenamed("at", "item_at"), ["kind", "size", "hash"])
+    return found.select("doc_id", "item_id", "kind", "size", "hash", (F.col("at") - F.col("item_at")).alias("shift"))
+
+
+def _covered(hits: DataFrame, windows: DataFrame, least_coverage: float) -> DataFrame:
+    """doc_id, item_id, n_matched, n_windows of the pairs with enough of a question's windows."""
+    totals = windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    matched = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("size", "hash").alias("n_matched"))
+    return matched.join(totals, "item_id").where(F.col("n_matched") >= F.col("n_windows") * least_coverage)
 
 
 def _pairs_of(doc: Column, item: Column, shift: Column) -> Column:
@@ -119,14 +147,15 @@ def contaminated(
     ``n_slots`` counts distinct pairs of slot values, ``n_changed`` those whose values differ.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    windows = cut(benchmark_windows(benchmark, window))
+    both = [benchmark_windows(benchmark, window, kind).withColumn("kind", F.lit(kind)) for kind in (SLOTS, PLAIN)]
+    windows = cut(both[0].unionByName(both[1]))
     hits = cut(_hits(docs, windows))
-    totals = windows.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    matched = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("size", "hash").alias("n_matched"))
-    matched = matched.join(totals, "item_id").where(F.col("n_matched") >= F.col("n_windows") * least_coverage)
+    copies = cut(_covered(hits.where(F.col("kind") == PLAIN), windows.where(F.col("kind") == PLAIN), least_coverage))
+    windows, hits = windows.where(F.col("kind") == SLOTS), hits.where(F.col("kind") == SLOTS)
+    matched = _covered(hits, windows, least_coverage)
     shifts = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"))
     shifts = shifts.groupBy("doc_id", "item_id").agg(F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift"))
-    pairs = cut(matched.join(shifts, ["doc_id", "item_id"]))
+    candidates = pairs = cut(matched.join(shifts, ["doc_id", "item_id"]))
     if pairs.count() <= BROADCAST_IDS:
         pairs = F.broadcast(pairs)
     questions = benchmark.where("item_id is not null").select(
@@ -140,7 +169,12 @@ def contaminated(
     changed = F.size(F.filter("slots", lambda p: p["q"] != p["d"]))
     found = found.withColumn("n_slots", F.size("slots").cast("long")).withColumn("n_changed", changed.cast("long"))
     counts = ("n_matched", "n_windows", "n_slots", "n_changed")
-    return found.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in counts))
+    found = cut(found.groupBy("doc_id", "item_id").agg(*(F.max(c).alias(c) for c in counts)))
+    denied = candidates.select("doc_id", "item_id", F.lit(True).alias("denied"))
+    copies = copies.join(found, ["doc_id", "item_id"], "left_anti").join(denied, ["doc_id", "item_id"], "left")
+    copies = copies.where("denied is null or n_matched = n_windows")
+    none = F.lit(0).cast("long")
+    return found.unionByName(copies.select("doc_id", "item_id", "n_matched", "n_windows", none.alias("n_slots"), none.alias("n_changed")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -162,7 +196,7 @@ def _sql_tokens(text: str) -> str:
     return f"regexp_extract_all({measured}, {_quoted(TOKEN)})"
 
 
-#: The same in DuckDB, with windows as text.
+#: The windows with placeholders in DuckDB, as text, along the best alignment.
 SQL = f"""
 WITH d AS (SELECT doc_id, {_sql_tokens('text')} AS raw FROM documents WHERE doc_id IS NOT NULL),
 b AS (SELECT item_id, {_sql_tokens('text')} AS raw FROM benchmark WHERE item_id IS NOT NULL),
