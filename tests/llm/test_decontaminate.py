@@ -70,3 +70,17 @@ def test_copies_are_found_whatever_their_names_and_case(spark):
     got = found(spark, texts, items)
     assert {(0, 0), (1, 1), (2, 1), (3, 2), (4, 3)} == got.keys()
     assert (got[1, 1].n_matched, got[1, 1].n_changed) == (got[1, 1].n_windows, 0)
+
+
+def test_every_alignment_with_enough_windows_is_tried(spark):
+    mixed = ITEM.replace("friend Anna", "friend Clara").replace("gave Anna", "gave Maria")
+    assert found(spark, [f"{mixed} And later. {ITEM.replace('Anna', 'Rosa')}"]).keys() == {(0, 0)}
+    filler = " and so on it goes with many other words" * 2
+    assert found(spark, [filler.join([mixed] * 3), filler.join([mixed, ITEM.replace("48", "12")])]) == {}
+
+
+def test_slots_count_only_where_windows_match(spark):
+    """After the end of a partial copy, slots lie upon each other by accident."""
+    item = "A farmer has 7 cows and sells some of them on the big market in town for 9 coins and 7 eggs."
+    part = "A farmer has 5 cows and sells some of them on the big market in town but not for money, 6 hens."
+    assert found(spark, [part], [item]).keys() == {(0, 0)}

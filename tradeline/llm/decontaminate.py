@@ -3,8 +3,9 @@
 Names, numbers and units become typed placeholders, the rest lower-case words. Every run of ``window``
 tokens is hashed; the hashes of the benchmark's windows meet those of all documents in a join. A
 document holds a question if it has at least ``least_coverage`` of the question's distinct windows and
-if, along the alignment with most windows, the slots are consistent: a value of the question always
-stands for the same value in the document and the other way round. So a question with other names
+if, along the alignment with most windows or any other that has enough of them by itself, the slots of
+its windows are consistent: a value of the question always stands for the same value in the document
+and the other way round. So a question with other names
 and numbers is caught, while a text that only shares the template's shape is not.
 
 Beside these, runs of ``window`` lower-case words without placeholders are hashed and joined alike. A document
@@ -103,7 +104,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, kind: int = SL
 
 
 def _hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """doc_id, item_id, kind, size, hash, shift: document windows that are a question's."""
+    """doc_id, item_id, kind, size, hash, item_at, shift: document windows that are a question's."""
     # At most ``window`` sizes of each kind.
     sizes = [(r["kind"], r["size"]) for r in windows.select("kind", "size").distinct().orderBy("kind", "size").collect()]
     known = cut(windows.select("kind", "size", "hash").distinct())
@@ -116,7 +117,7 @@ def _hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
         seen = seen.withColumn("size", F.lit(size)).withColumn("kind", F.lit(kind))
         hits = seen if hits is None else hits.unionByName(seen)
     found = hits.join(windows.withColumnRenamed("at", "item_at"), ["kind", "size", "hash"])
-    return found.select("doc_id", "item_id", "kind", "size", "hash", (F.col("at") - F.col("item_at")).alias("shift"))
+    return found.select("doc_id", "item_id", "kind", "size", "hash", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
 
 
 def _covered(hits: DataFrame, windows: DataFrame, least_coverage: float) -> DataFrame:
@@ -126,14 +127,33 @@ def _covered(hits: DataFrame, windows: DataFrame, least_coverage: float) -> Data
     return matched.join(totals, "item_id").where(F.col("n_matched") >= F.col("n_windows") * least_coverage)
 
 
-def _pairs_of(doc: Column, item: Column, shift: Column) -> Column:
-    """(kind, value in the question, value in the document) of slots that lie upon each other."""
+def _pairs_of(doc: Column, item: Column, shift: Column, places: Column) -> Column:
+    """(value in the question, value in the document) of slots that lie upon each other at ``places`` of the question."""
     other = lambda at: F.get(doc, at + shift)
-    both = F.transform(F.sequence(F.lit(0), F.size(item) - 1), lambda at: F.struct(F.get(item, at).alias("q"), other(at).alias("d")))
+    both = F.transform(places, lambda at: F.struct(F.get(item, at).alias("q"), other(at).alias("d")))
     slots = F.filter(both, lambda p: p["q"].startswith("\x01") & (F.substring(p["q"], 1, 2) == F.substring(p["d"], 1, 2)))
     return F.array_distinct(slots)
 
 
+def _consistent(slots: Column) -> Column:
+    values = lambda side: F.size(F.array_distinct(F.transform(slots, lambda p: p[side])))
+    return (values("q") == F.size(slots)) & (values("d") == F.size(slots))
+
+
+def _alignments(hits: DataFrame, matched: DataFrame, least_coverage: float) -> DataFrame:
+    """``matched`` with column ``shifts``: the alignment with most windows, then others that reach the coverage.
+
+    Each has the first place and size of its windows. One row gathers the hits of one document.
+    """
+    spots = F.collect_set(F.struct("item_at", "size")).alias("spots")
+    shifts = hits.groupBy("doc_id", "item_id", "shift").agg((-F.count("*")).alias("order"), spots)
+    shifts = shifts.join(matched.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
+    shifts = shifts.groupBy("doc_id", "item_id").agg(F.array_sort(F.collect_list(F.struct("order", "shift", "spots"))).alias("all"))
+    least = F.col("n_windows") * least_coverage
+    own = F.filter("all", lambda c, i: (i == 0) | (F.size(c["spots"]) >= least))
+    return matched.join(shifts, ["doc_id", "item_id"]).withColumn("shifts", own).drop("all")
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -152,10 +172,8 @@ def contaminated(
     hits = cut(_hits(docs, windows))
     copies = cut(_covered(hits.where(F.col("kind") == PLAIN), windows.where(F.col("kind") == PLAIN), least_coverage))
     windows, hits = windows.where(F.col("kind") == SLOTS), hits.where(F.col("kind") == SLOTS)
-    matched = _covered(hits, windows, least_coverage)
-    shifts = hits.groupBy("doc_id", "item_id", "shift").agg(F.count("*").alias("n"))
-    shifts = shifts.groupBy("doc_id", "item_id").agg(F.max_by("shift", F.struct("n", -F.col("shift"))).alias("shift"))
-    candidates = pairs = cut(matched.join(shifts, ["doc_id", "item_id"]))
+    matched = cut(_covered(hits, windows, least_coverage))
+    candidates = pairs = cut(_alignments(hits, matched, least_coverage))
     if pairs.count() <= BROADCAST_IDS:
         pairs = F.broadcast(pairs)
     questions = benchmark.where("item_id is not null").select(
@@ -163,9 +181,17 @@ def contaminated(
     )
     # Cut, so that tokens are columns below and not expressions that run for each element.
     found = cut(docs.join(pairs, "doc_id").withColumn("words", tokens(F.col("text"))).drop("text").join(questions, "item_id"))
-    found = cut(found.withColumn("slots", _pairs_of(F.col("words"), F.col("question"), F.col("shift"))).drop("words", "question"))
-    values = lambda side: F.size(F.array_distinct(F.transform("slots", lambda p: p[side])))
-    found = found.where((values("q") == F.size("slots")) & (values("d") == F.size("slots")))
+    covered = lambda spots: F.array_distinct(
+        F.flatten(F.transform(spots, lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1)))
+    )
+    slots = lambda shift, places: _pairs_of(F.col("words"), F.col("question"), shift, places)
+    tried = F.transform("shifts", lambda c: F.struct(c["shift"].alias("shift"), slots(c["shift"], covered(c["spots"])).alias("slots")))
+    found = cut(found.withColumn("tried", tried).drop("shifts"))
+    found = found.withColumn("best", F.get(F.filter("tried", lambda c: _consistent(c["slots"])), F.lit(0))).where("best is not null")
+    # Slots beside the matched windows are counted if they agree too.
+    places = F.sequence(F.lit(0), F.size("question") - 1)
+    found = cut(found.withColumn("whole", slots(F.col("best.shift"), places)).drop("words", "question", "tried"))
+    found = found.withColumn("slots", F.when(_consistent(F.col("whole")), F.col("whole")).otherwise(F.col("best.slots")))
     changed = F.size(F.filter("slots", lambda p: p["q"] != p["d"]))
     found = found.withColumn("n_slots", F.size("slots").cast("long")).withColumn("n_changed", changed.cast("long"))
     counts = ("n_matched", "n_windows", "n_slots", "n_changed")
