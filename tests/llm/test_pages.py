@@ -129,3 +129,14 @@ def test_host_of_a_url(spark):
 )
 def test_names_on_what_holds_the_main_content(source, text):
     assert pages.page_text(source) == text
+
+
+def test_copies_with_differing_html_keep_their_text(spark):
+    body = "<p>First paragraph of the story.</p><blockquote>Said by someone</blockquote><p>Last paragraph.</p>"
+    rows = [(i, "http://a/", f"<body><article>{body}</article><p>Session {i}</p><footer>at {i}</footer></body>") for i in range(30)]
+    rows += [(100 + i, "http://b/", f"<body><article><p>At {i}</p>{body}</article></body>") for i in range(30)]
+    rows += [(200 + i, "http://c/", f"<body><div class=x{i}>{body}</div></body>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    story = "First paragraph of the story.\n\nSaid by someone\n\nLast paragraph."
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert got == {i: f"At {i - 100}\n\n{story}" if 100 <= i < 200 else story for i, _, _ in rows}

@@ -14,7 +14,8 @@ main content say nothing of that kind. Without an ``article``, blocks that are m
 empty line.
 
 A host needs ``LEAST_PAGES`` different pages for a class; on hosts with fewer the markup alone decides.
-Equal pages of a host count once. Only hashes are shuffled, never pages; the templates are broadcast if
+Pages of a host with equal main texts count once. A template that would take all of a page's main content,
+or most of an ``article``, takes none of it. Only hashes are shuffled, never pages; the templates are broadcast if
 they have at most ``BROADCAST_TOKENS`` texts, else they are joined by host.
 
 Cases: a null or empty html has an empty text. A null or odd url belongs to host ''. Comments, scripts and
@@ -285,7 +286,10 @@ def page_text(source: str | None, template: dict[int, tuple[int, int]] | None =
                 broken.add(number)  # not in the template's order: no template on this page
             last[number] = place
         fixed = {t for (number, _), t in placed if number not in broken}
-        kept = [b for b in kept if _text_token(b) not in fixed]
+        slots = [b for b in kept if _text_token(b) not in fixed]
+        least = sum(len(b.text) for b in kept) / 2 if page.has_main else 0
+        if slots and sum(len(b.text) for b in slots) >= least:
+            kept = slots
     return "\n\n".join(b.text for b in kept)
 
 
@@ -294,7 +298,7 @@ def _host(url: Column) -> Column:
 
 
 def _tokens(rows: DataFrame) -> DataFrame:
-    """host, page (digest), token, kind (1: text), n, at: the tokens of each page (first place, count)."""
+    """host, page (digest of the main texts), token, kind (1: text), n, at: the tokens of each page (first place, count)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hosts, pages, tokens, kinds, counts, places = [], [], [], [], [], []
@@ -307,7 +311,8 @@ def _tokens(rows: DataFrame) -> DataFrame:
             for at, block in page.blocks:
                 seen.setdefault((_text_token(block), 1), [at, 0])[1] += 1
             hosts.extend([host] * len(seen))
-            pages.extend([xxhash.xxh64_intdigest(text)] * len(seen))
+            own = "\n\n".join(b.text for b in page.main_blocks()) or text
+            pages.extend([xxhash.xxh64_intdigest(own)] * len(seen))
             for (token, kind), (at, n) in seen.items():
                 tokens.append(token)
                 kinds.append(kind)
@@ -330,7 +335,7 @@ def templates(rows: DataFrame, least_pages: int = LEAST_PAGES, least_share: floa
 
     ``rows`` has host and html.
     """
-    once = _tokens(rows).groupBy("host", "token", "kind", "page").agg(F.first("n").alias("n"), F.first("at").alias("at"))
+    once = _tokens(rows).groupBy("host", "token", "kind", "page").agg(F.max("n").alias("n"), F.min("at").alias("at"))
     vectors = (
         once.groupBy("host", "token", "kind")
         .agg(
