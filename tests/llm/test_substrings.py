@@ -83,3 +83,10 @@ def test_awkward_rows(spark):
     assert 2 not in ids and ids.count(1) == 2 and ids.count(None) == 2
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in cleaned.collect())
     assert substrings.clean_documents(empty(spark, SCHEMA)).collect() == []
+
+
+def test_a_letter_that_grows_in_lower_case_changes_no_other(spark):
+    passage = prose(31, 8)
+    df = spark.createDataFrame([(1, f"{prose(32, 3)} {passage}"), (2, f"İstanbul. {passage} {prose(33, 3)}")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in substrings.remove_repeats(df).collect()}
+    assert passage in got[1] and " ".join(got[2].split()) == f"İstanbul. {prose(33, 3)}"

@@ -60,11 +60,8 @@ def spans(text: str, least_sentences: int = SENTENCES, least_words: int = WORDS)
     bounds = sentences(text)
     n = len(bounds) - 1
     hashes, words = np.zeros(n, np.uint64), np.zeros(n + 1, np.int64)
-    lowered = text.lower()
-    if len(lowered) != len(text):  # some capitals become two characters
-        lowered = text
     for i in range(n):
-        own = lowered[bounds[i] : bounds[i + 1]].split()
+        own = text[bounds[i] : bounds[i + 1]].lower().split()
         words[i + 1] = len(own)
         hashes[i] = xxhash.xxh64_intdigest(" ".join(own))
     words = np.cumsum(words)
