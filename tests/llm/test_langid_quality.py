@@ -143,3 +143,20 @@ def test_awkward_quality(spark):
 @pytest.mark.parametrize("text", [None, "", " \n\t", "x", "\x00", "é" * 1000, "word " * 50_000, "A.B.C!\n\n\n1 2 3"])
 def test_statistics_are_finite(text):
     assert np.isfinite(quality.statistics(text)).all()
+
+
+def test_every_language_is_learned_from_a_bounded_sample(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"x{i}" for i in range(68)] + ["en-US", "en-GB"]
+    word = {name: (letters[i % 26] + letters[(3 * i + i // 26) % 26] + letters[(7 * i + 5) % 26]) for i, name in enumerate(names)}
+    rows = [(100 * n + i, f"{word[name]} " * (5 + i % 3), name) for n, name in enumerate(names) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, per_language=4).collect()}
+    assert got == {i: name for i, _, name in rows}
+
+    seen = []
+    fit = langid.LanguageModel.fit
+    monkeypatch.setattr(langid.LanguageModel, "fit", lambda x, langs, *more: seen.extend(langs) or fit(x, langs, *more))
+    same = spark.createDataFrame([(1, f"text {i % 7}", "en") for i in range(60)] + [(3, "texte", "fr")], "doc_id long, text string, lang string")
+    langid.learn(same, per_language=4)
+    assert sorted(seen) == ["en"] * 4 + ["fr"]

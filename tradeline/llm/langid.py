@@ -5,10 +5,9 @@ places. Linear support vector machines (squared hinge) first separate the langua
 other, then the languages of the chosen family, one machine for each pair. A decision is the votes of
 the pairs, then their margins; the score is the product of the two steps' confidences.
 
-The machines are fitted on the driver on a bounded sample: of each of the ``LANGUAGES`` most frequent
-languages the ``per_language`` rows with the smallest hash of their id, whose features (not texts) are
-collected. Only ``text`` and
-``lang`` of rows outside the held-out fold are used. Everything else reads all rows and whole texts.
+The machines are fitted on a sample: of each language the ``per_language`` rows with the smallest hash of
+their id, whose features (not texts) are collected; more than ``DRIVER_PAIRS`` machines are fitted in
+Spark tasks. Only ``text`` and ``lang`` of rows outside the held-out fold are used. Everything else reads all rows and whole texts.
 
 Cases: a null text or one without a letter is ``und`` with score 0. Rows without a language or id are
 not learned from; a null id is not held out. A language without a known family is a family of its own.
@@ -24,14 +23,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeline.llm.common import map_batches
 
 UNDETERMINED = "und"
 
-DIMS, LANGUAGES = 1 << 12, 64
+DIMS, DRIVER_PAIRS = 1 << 12, 100
 
 #: ISO 639-1 codes by language family.
 FAMILIES = {
@@ -76,7 +75,8 @@ def features(text: str | None) -> np.ndarray | None:
 
 def fit_machine(x: np.ndarray, positive: np.ndarray, penalty: float = 1e-4, steps: int = 150) -> np.ndarray:
     """Weights (bias last) of a squared-hinge machine, by accelerated gradient steps; classes weigh alike."""
-    x = np.c_[x, np.ones(len(x))].astype(np.float32)
+    x, given = np.ones((len(x), x.shape[1] + 1), np.float32), x
+    x[:, :-1] = given
     y = np.where(positive, 1, -1).astype(np.float32)
     share = np.where(positive, 0.5 / max(positive.sum(), 1), 0.5 / max((~positive).sum(), 1)).astype(np.float32)
     rate = 1 / (4.0 + penalty)  # |x|^2 is 2, the loss has curvature 2 |x|^2
@@ -90,6 +90,43 @@ def fit_machine(x: np.ndarray, positive: np.ndarray, penalty: float = 1e-4, step
     return w
 
 
+class Sample:
+    """Feature vectors as places and shares; rows become dense where they are asked for."""
+
+    def __init__(self, offsets: np.ndarray, places: np.ndarray, shares: np.ndarray):
+        self.offsets, self.places, self.shares = offsets, places, shares
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(rows), DIMS), np.float32)
+        for i, row in enumerate(rows):
+            own = slice(self.offsets[row], self.offsets[row + 1])
+            x[i, self.places[own]] = self.shares[own]
+        return x
+
+
+def _fit_pair(x: np.ndarray | Sample, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    rows = np.r_[one, other]
+    order = np.argsort(rows)
+    return fit_machine(x[rows[order]], order < len(one))
+
+
+def _fit_pairs(x: np.ndarray | Sample, at: dict, pairs: list[tuple], spark: SparkSession | None) -> list[np.ndarray]:
+    """Weights for each pair of keys of ``at`` (rows of a class)."""
+    if spark is None or len(pairs) <= DRIVER_PAIRS:
+        return [_fit_pair(x, at[a], at[b]) for a, b in pairs]
+    held = spark.sparkContext.broadcast((x, at, pairs))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, places, wanted = held.value
+        found = [_fit_pair(rows, *(places[k] for k in wanted[i])).tobytes() for i in batch.column(0).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "weights"])
+
+    tasks = min(len(pairs), 4 * spark.sparkContext.defaultParallelism)
+    fitted = map_batches(spark.range(0, len(pairs), 1, tasks), run, "id long, weights binary").toArrow().sort_by("id")
+    held.destroy()
+    return [np.frombuffer(w.as_buffer(), np.float32) for w in fitted["weights"]]
+
+
 @dataclass
 class Machines:
     """One-versus-one machines over named classes; ``weights`` has a column for each pair."""
@@ -98,16 +135,6 @@ class Machines:
     pairs: list[tuple[int, int]]
     weights: np.ndarray
 
-    @classmethod
-    def fit(cls, x: np.ndarray, labels: np.ndarray) -> Machines:
-        names = sorted(set(labels))
-        pairs = list(itertools.combinations(range(len(names)), 2))
-        columns = []
-        for a, b in pairs:
-            own = (labels == names[a]) | (labels == names[b])
-            columns.append(fit_machine(x[own], labels[own] == names[a]))
-        return cls(names, pairs, np.array(columns).T)
-
     def decide(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Class number and confidence of each row."""
         if not self.pairs:
@@ -132,10 +159,24 @@ class LanguageModel:
     within: dict[str, Machines]
 
     @classmethod
-    def fit(cls, x: np.ndarray, langs: np.ndarray) -> LanguageModel:
+    def fit(cls, x: np.ndarray | Sample, langs: np.ndarray, spark: SparkSession | None = None) -> LanguageModel:
         groups = np.array([family(lang) for lang in langs])
-        within = {g: Machines.fit(x[groups == g], langs[groups == g]) for g in sorted(set(groups))}
-        return cls(Machines.fit(x, groups), within)
+        # Classes by the family that they are languages of, families by ''.
+        at: dict[tuple[str, str], np.ndarray] = {}
+        for lang in sorted(set(langs)):
+            at[family(lang), lang] = np.flatnonzero(langs == lang)
+        for group in sorted(set(groups)):
+            at["", group] = np.flatnonzero(groups == group)
+        names: dict[str, list[str]] = {}
+        for group, name in at:
+            names.setdefault(group, []).append(name)
+        pairs = [((g, a), (g, b)) for g, own in names.items() for a, b in itertools.combinations(own, 2)]
+        fitted = iter(_fit_pairs(x, at, pairs, spark))
+        machines = {}
+        for group, own in names.items():
+            numbers = list(itertools.combinations(range(len(own)), 2))
+            machines[group] = Machines(own, numbers, np.array([next(fitted) for _ in numbers]).T)
+        return cls(machines.pop(""), machines)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         group, score = self.families.decide(x)
@@ -155,45 +196,40 @@ def learn(docs: DataFrame, per_language: int = 500, id_col: str = "doc_id") -> L
     known = docs.select(
         F.col("lang"), F.col("text"), F.xxhash64(F.col(id_col).cast("string")).alias("place"), _remainder(id_col)
     ).where("lang is not null and remainder <> 2")
-    names = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    learned = [r["lang"] for r in names.collect()]
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    by_place = Window.partitionBy("lang").orderBy("place")
     last = (
         known.select("lang", "place")
-        .where(F.col("lang").isin(learned))
-        .withColumn("rank", rank)
+        .withColumn("rank", F.row_number().over(by_place))
         .where(F.col("rank") <= per_language)
         .groupBy("lang")
         .agg(F.max("place").alias("last"))
-        .collect()
     )  # one row for each language
-    if not last:
-        return None
-    limits = F.create_map(*(F.lit(v) for r in last for v in (r["lang"], r["last"])))
-    sample = known.where(F.col("place") <= limits[F.col("lang")]).select("lang", "text")
+    sample = known.join(F.broadcast(last), "lang").where("place <= last").select("lang", "text", "place", F.xxhash64("text").alias("mix"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        place, share, lang = [], [], []
-        for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        place, share, kept = [], [], []
+        for i, text in enumerate(batch.column(1)):
             vector = features(text.as_py())
             if vector is not None:
                 at = np.flatnonzero(vector)
-                lang.append(name)
+                kept.append(i)
                 place.append(at.astype(np.int32))
                 share.append(vector[at].astype(np.float32))
+        known = batch.select(["lang", "place", "mix"]).take(pa.array(kept, pa.int64()))
         return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(place, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))],
-            ["lang", "place", "share"],
+            [*known.columns, pa.array(place, pa.list_(pa.int32())), pa.array(share, pa.list_(pa.float32()))],
+            ["lang", "place", "mix", "places", "shares"],
         )
 
-    rows = map_batches(sample, run, "lang string, place array<int>, share array<float>").toArrow()
+    rows = map_batches(sample, run, "lang string, place long, mix long, places array<int>, shares array<float>")
+    # Rows with one id have one place; no more than the bound go to the driver.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "mix"))
+    rows = rows.withColumn("rank", rank).where(F.col("rank") <= per_language).select("lang", "places", "shares").toArrow()
     if not rows.num_rows:
         return None
-    x = np.zeros((rows.num_rows, DIMS), np.float32)
-    places, shares = rows["place"].combine_chunks(), rows["share"].combine_chunks()
-    row = np.repeat(np.arange(rows.num_rows), np.diff(places.offsets.to_numpy()))
-    x[row, places.values.to_numpy()] = shares.values.to_numpy()
-    return LanguageModel.fit(x, np.array(rows["lang"].to_pylist(), object))
+    places, shares = rows["places"].combine_chunks(), rows["shares"].combine_chunks()
+    x = Sample(places.offsets.to_numpy(), places.values.to_numpy(), shares.values.to_numpy())
+    return LanguageModel.fit(x, np.array(rows["lang"].to_pylist(), object), docs.sparkSession)
 
 
 def _remainder(id_col: str):
