@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, oracles, packing, pages, quality, substrings, tokens
+from tradeline.llm import chat, decontaminate, langid, minhash, neighbours, oracles, packing, pages, periods, quality, substrings, tokens
 from tradeline.llm.common import prepare, table
 
 
@@ -61,6 +61,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(periods.collapse_runs(periods.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -88,6 +92,7 @@ QUERIES: dict[str, Query] = {
         op8_chat_format,
         op9_language_id,
         op10_substring_dedup,
+        op11_periodic_runs,
     )
 } | {"pipeline": corpus_pipeline.run}
 
