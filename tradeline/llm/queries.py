@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradeline.llm import chat, decontaminate, fingerprints, langid, minhash, neighbours, oracles, packing, pages, periods, quality, substrings, tokens
+from tradeline.llm import chat, decontaminate, fingerprints, langid, minhash, neighbours, oracles, packing, pages, periods, quality, substrings, tokens, whitening
 from tradeline.llm.common import prepare, table
 
 
@@ -65,6 +65,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.digests(periods.collapse_runs(periods.with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.against_next(table(spark, sf_dir, "documents"))
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_substring_dedup,
         op11_periodic_runs,
+        op12_embedding_whitening,
         op13_document_fingerprints,
     )
 } | {"pipeline": corpus_pipeline.run}
