@@ -1,5 +1,7 @@
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,7 +102,7 @@ def test_awkward_rows_and_join_beyond_the_bound(spark, monkeypatch):
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
     one = sorted(map(str, pages.extract(df).collect()))
     assert len(one) == len(rows)
-    monkeypatch.setattr(pages, "BROADCAST_TOKENS", -1)
+    monkeypatch.setattr(pages, "BROADCAST_TEXTS", -1)
     assert sorted(map(str, pages.extract(df).collect())) == one
     assert pages.extract(empty(spark, "page_id long, url string, html string")).collect() == []
 
@@ -140,3 +142,63 @@ def test_copies_with_differing_html_keep_their_text(spark):
     story = "First paragraph of the story.\n\nSaid by someone\n\nLast paragraph."
     got = {r.page_id: r.text for r in pages.extract(df).collect()}
     assert got == {i: f"At {i - 100}\n\n{story}" if 100 <= i < 200 else story for i, _, _ in rows}
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<b " + "x" * 20_000_000, None), ("<p>v</p><b title=\"" + "x " * 10_000_000, None), ("<b \"" * 250_000 + ">v", "v"),
+        ("<b title='" * 100_000, None), ("<b>" * 100_000 + "v" + "</i>" * 100_000, "v"), ("<b>" * 50_000 + "<p>" * 50_000 + "v", "v"),
+        ("<script>" + "</script" * 100_000, ""), ("<!-" * 300_000, None), ("<b href=" * 200_000 + ">v", "v"),
+    ],
+)
+def test_long_odd_sources_take_little(source, text):
+    began = time.perf_counter()
+    tracemalloc.start()
+    try:
+        got = pages.page_text(source)
+        assert tracemalloc.get_traced_memory()[1] < 300e6
+    finally:
+        tracemalloc.stop()
+    assert time.perf_counter() - began < 20
+    assert got == text if text is not None else got
+
+
+def test_many_named_wrappers_drop_nothing():
+    for depth in (1, 49, 50, 200, 5000):
+        source = "<p>Skip</p>" + "<div class=left-nav>" * depth + "<h1>T</h1><p>" + "own text " * 30 + "</p>"
+        assert pages.page_text(source) == "Skip\n\nT\n\n" + ("own text " * 30).strip()
+
+
+def test_quotes_and_ends_of_tags():
+    assert pages.page_text("<p title='a>b' id=\"c>d\">v</p>w") == "v\n\nw"
+    assert pages.page_text("<p title='a>v") == "v"
+    assert pages.page_text("<p it's>v</p><p class=x'y>w") == "v\n\nw"
+    assert pages.page_text("v <b") == "v <b" and pages.page_text("<!-- x --!>v<!doctype>w<?p ?>") == "vw"
+
+
+def test_shared_headings_of_articles_stay(spark):
+    rows = [
+        (i, f"http://r/{i}", f"<body><article><h1>Recipe {i}</h1><h2>Ingredients</h2><p>Own {i}</p><blockquote>Method</blockquote><p>Do {i}</p></article></body>")
+        for i in range(30)
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert got == {i: f"Recipe {i}\n\nIngredients\n\nOwn {i}\n\nMethod\n\nDo {i}" for i in range(30)}
+
+
+def test_near_copies_without_an_article_stay(spark):
+    body = "".join(f"<p>Paragraph {k} of the story that all of these pages tell alike.</p><hr>" for k in range(8))
+    rows = [(i, "http://n/", f"<body><div>{body}<span>Stamp {i}</span></div></body>") for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert all(got[i].count("Paragraph") == 8 and got[i].endswith(f"Stamp {i}") for i in range(12))
+
+
+def test_a_large_host_is_dealt_over_parts(spark, monkeypatch):
+    rows = site(200, "big.example") + [(1000 + i, f"http://s{i}.example/", "<p>v</p>") for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted(map(str, pages.extract(df).collect()))
+    monkeypatch.setattr(pages, "BROADCAST_TEXTS", -1)
+    assert sorted(map(str, pages.extract(df).collect())) == want
+    assert not any("Written with care" in row for row in want)

@@ -14,13 +14,17 @@ main content say nothing of that kind. Without an ``article``, blocks that are m
 empty line.
 
 A host needs ``LEAST_PAGES`` different pages for a class; on hosts with fewer the markup alone decides.
-Pages of a host with equal main texts count once. A template that would take all of a page's main content,
-or most of an ``article``, takes none of it. Only hashes are shuffled, never pages; the templates are broadcast if
-they have at most ``BROADCAST_TOKENS`` texts, else they are joined by host.
+Pages of a host with equal main texts count once. Template texts go only where no ``article`` or ``main`` says what
+the content is, and only labels do: texts of at most ``LABEL_CHARS``, in classes that are at most ``CLASS_SHARE`` of what the
+markup keeps of the page. So near copies and headings that a host's articles share stay. Only hashes are
+shuffled for the template. Templates of at most ``BROADCAST_TEXTS`` texts are broadcast; more of them meet
+their pages by host, sorted so that a host's template comes once, before its pages. A host with more than a
+thousandth of all pages is then dealt over as many parts as it has thousandths.
 
 Cases: a null or empty html has an empty text. A null or odd url belongs to host ''. Comments, scripts and
-other raw elements that never end run to the end of the page; unclosed elements end with their parent.
-Repeated rows give equal rows. Extra columns are ignored. Pages of any length are read whole.
+other raw elements that never end run to the end of the page; unclosed elements end with their parent; a quote that
+never ends is none; what looks like a tag and never ends is text. A page is read once from left to right, in time in
+proportion to its length. Repeated rows give equal rows. Extra columns are ignored. Pages of any length are read whole.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +41,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeline.llm.common import cut, map_batches
+from tradeline.llm.common import SLICE_CHARS, cut, map_batches
 
-LEAST_PAGES, LEAST_SHARE, BROADCAST_TOKENS = 10, 0.1, 100_000
+LEAST_PAGES, LEAST_SHARE, BROADCAST_TEXTS = 10, 0.1, 100_000
+#: Characters of a template text, and share of a page's text that one class may be, at most.
+LABEL_CHARS, CLASS_SHARE = 200, 0.5
 
-_TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*>|(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>)", re.DOTALL)
+_NAME = re.compile(r"[a-zA-Z][\w:-]*")
+_STOP = re.compile(r">|=\s*([\"'])")
+_COMMENT_END = re.compile(r"--!?>")
+_SPACE = re.compile(r"\s")
 _ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORD = re.compile(r"[a-z]+")
 
@@ -75,15 +85,20 @@ _PURPOSE_STEMS = tuple(
 _HOLDERS = frozenset("comment comments disqus reply replies respond related recommended recommendations sponsored promo widget".split())
 #: Words that make a compound class say something of the page ("no-sidebar", "comments-open").
 _STATES = frozenset("has no with without open closed enabled disabled layout".split())
-#: Named elements inside each other that are told apart.
-_DEPTH = 50
+#: Raw elements end where their name follows "</", whatever stands inside.
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|$)", re.IGNORECASE) for name in _RAW}
+#: Elements that an opening tag of the same kind closes, unless a container stands between.
+_KINDS = tuple(dict.fromkeys(map(frozenset, [{"p"}, *_SAME.values()])))
+_KIND = {kind: i for i, kind in enumerate(_KINDS)}
+_KIND_NAMES = frozenset().union(*_KINDS)
+_NONE = (0,) * len(_KINDS)
 
 
 @dataclass
 class Block:
     """A run of text: where it stands, what it says, and how much of it is linked.
 
-    ``named``: numbers of the elements around it that a part of a compound name gives a purpose.
+    ``named``: the innermost element around it that a part of a compound name gives a purpose, by number.
     ``dropped``: 2 by tag, role or attribute, 1 only by a name.
     """
 
@@ -92,7 +107,73 @@ class Block:
     linked: float
     main: bool
     dropped: int
-    named: tuple[int, ...] = ()
+    named: int = -1
+
+
+class _Open(NamedTuple):
+    """An open element.
+
+    ``nearest``: for each kind of ``_KINDS`` the place on the stack of the nearest one without a container between.
+    """
+
+    name: str
+    path: int
+    main: bool
+    dropped: int
+    linked: bool
+    named: int
+    nearest: tuple[int, ...]
+
+
+def _next_tag(source: str, at: int, lost: set[str]) -> tuple[int, int, str, str] | None:
+    """Start, end, name ("/name" if closing, empty for comments and the like) and attributes of the next tag.
+
+    Quotes count behind an equals sign. ``lost`` keeps the characters that don't come again, so that no search for
+    them is repeated.
+    """
+    while ">" not in lost and (start := source.find("<", at)) >= 0:
+        if source.startswith("<!--", start):
+            end = _COMMENT_END.search(source, start + 4)
+            return start, end.end() if end else len(source), "", ""
+        closing = source.startswith("/", start + 1)
+        name = _NAME.match(source, start + 1 + closing)
+        if name is None and not source.startswith(("!", "?"), start + 1):
+            at = start + 1
+            continue
+        place = name.end() if name else start + 2
+        while (stop := _STOP.search(source, place)) is not None and (quote := stop[1]):
+            place = stop.end()
+            if quote not in lost:
+                close = source.find(quote, place)
+                if close < 0:
+                    lost.add(quote)
+                else:
+                    place = close + 1
+        if stop is None:
+            if source.find(">", start) < 0:
+                lost.add(">")
+                break
+            # The only ends stand in quotes: the first of them counts.
+            end = source.find(">", start) + 1
+        else:
+            end = stop.end()
+        if name is None:
+            return start, end, "", ""
+        return start, end, ("/" if closing else "") + name[0].lower(), source[name.end() : end - 1]
+    return None
+
+
+def _one_space(text: str) -> str:
+    """White space as one space, trimmed; long texts a part at a time."""
+    if len(text) <= SLICE_CHARS:
+        return " ".join(text.split())
+    parts, at = [], 0
+    while at < len(text):
+        space = _SPACE.search(text, min(at + SLICE_CHARS, len(text)))
+        end = space.end() if space else len(text)
+        parts.append(" ".join(text[at:end].split()))
+        at = end
+    return " ".join(filter(None, parts))
 
 
 class _Page:
@@ -102,9 +183,11 @@ class _Page:
         self.tags: list[tuple[int, int]] = []
         self.blocks: list[tuple[int, Block]] = []
         self.has_main = False
-        # An open element: tag, hash of the path, inside main content, inside something dropped, linked, named.
-        self.stack: list[tuple[str, int, bool, int, bool, tuple[int, ...]]] = [("", 0, False, 0, False, ())]
-        self.titled: set[int] = set()
+        self.stack = [_Open("", 0, False, 0, False, -1, _NONE)]
+        self.open: dict[str, int] = {}
+        # Elements with a purpose by a part of their name: the one around each, and whether a first heading is inside.
+        self.around: list[int] = []
+        self.titled: list[bool] = []
         self.held: list[str] = []
         self.plain = self.linked = 0
         self.order = 0
@@ -112,41 +195,40 @@ class _Page:
 
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
+        lost: set[str] = set()
         while at < n:
-            found = _TAG.search(source, at)
-            self._text(source[at : found.start() if found else n])
-            if not found:
+            tag = _next_tag(source, at, lost)
+            if tag is None:
+                self._text(source[at:])
                 break
-            at = found.end()
-            name = found[2]
-            if name is None:
-                continue
-            name = name.lower()
-            if found[1]:
-                self._close(name)
-                continue
-            self._open(name, found[3])
-            if name in _RAW:
-                end = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else n
-                self.stack.pop()
+            start, end, name, attributes = tag
+            self._text(source[at:start])
+            at = end
+            if name.startswith("/"):
+                self._close(name[1:])
+            elif name:
+                self._open(name, attributes)
+                if name in _RAW:
+                    stop = _RAW_END[name].search(source, at)
+                    at = (source.find(">", stop.end()) if stop else -1) + 1 or n
+                    self._cut(len(self.stack) - 1)
         self._flush()
 
     def _text(self, text: str) -> None:
         if text:
             self.held.append(text)
-            if self.stack[-1][4]:
+            if self.stack[-1].linked:
                 self.linked += len(text)
             else:
                 self.plain += len(text)
 
     def _flush(self) -> None:
         if self.held:
-            text = " ".join(html.unescape("".join(self.held)).split())
+            text = _one_space(html.unescape("".join(self.held)))
             if text:
-                _, path, main, dropped, _, named = self.stack[-1]
+                own = self.stack[-1]
                 linked = self.linked / max(1, self.linked + self.plain)
-                self.blocks.append((self.order, Block(path, text, linked, main, dropped, named)))
+                self.blocks.append((self.order, Block(own.path, text, linked, own.main, own.dropped, own.named)))
                 self.order += 1
             self.held, self.plain, self.linked = [], 0, 0
 
@@ -157,12 +239,13 @@ class _Page:
         if name in _BLOCK:
             self._flush()
             if name in _CLOSES_P:
-                self._pop({"p"})
+                self._pop(_KIND[frozenset({"p"})])
             if name in _SAME:
-                self._pop(_SAME[name])
-        _, path, main, dropped, link, named = self.stack[-1]
+                self._pop(_KIND[frozenset(_SAME[name])])
+        above = self.stack[-1]
+        main, dropped, named = above.main, above.dropped, above.named
         purpose, marks = _purpose(attributes) if attributes.strip(" /") else (frozenset(), "")
-        path = xxhash.xxh64_intdigest(f"{path}>{name} {marks}")
+        path = xxhash.xxh64_intdigest(f"{above.path}>{name} {marks}")
         self.tags.append((self.order, path))
         self.order += 1
         if name in _VOID:
@@ -173,18 +256,24 @@ class _Page:
         elif holds_main:
             purpose = purpose - {"part"}
         if holds_main:
-            named = ()  # what holds the main content is no furniture
+            named = -1  # what holds the main content is no furniture
         if name in _DROPPED or name in _RAW or "drop" in purpose or (name == "header" and not main):
             dropped = 2
-        elif "name" in purpose or ("header" in purpose and not main) or len(named) >= _DEPTH:
+        elif "name" in purpose or ("header" in purpose and not main):
             dropped = max(dropped, 1)
         elif "part" in purpose or ("header part" in purpose and not main):
-            named = (*named, self.order)
-        if name == "h1":
-            self.titled.update(named)
+            self.around.append(named)
+            self.titled.append(False)
+            named = len(self.around) - 1
+        if name == "h1" and named >= 0:
+            self.titled[named] = True
         inside = main or holds_main
         self.has_main |= inside and not main and not dropped
-        self.stack.append((name, path, inside, dropped, link or name == "a", named))
+        nearest = _NONE if name in _SCOPE else above.nearest
+        if name in _KIND_NAMES:
+            nearest = tuple(len(self.stack) if name in kind else place for kind, place in zip(_KINDS, nearest, strict=True))
+        self.stack.append(_Open(name, path, inside, dropped, above.linked or name == "a", named, nearest))
+        self.open[name] = self.open.get(name, 0) + 1
 
     def main_blocks(self) -> list[Block]:
         """The blocks that the markup alone gives as main content.
@@ -194,34 +283,43 @@ class _Page:
         """
         area = [b for _, b in self.blocks if b.main or not self.has_main]
         open_ = [b for b in area if not b.dropped]
-        held: dict[int, int] = {}
+        held = [0] * (len(self.around) + 1)  # the last for blocks inside none
         for block in open_:
-            for number in block.named:
-                held[number] = held.get(number, 0) + len(block.text)
+            held[block.named] += len(block.text)
+        titled = [*self.titled, False]
+        for i in range(len(self.around) - 1, -1, -1):
+            held[self.around[i]] += held[i]
+            titled[self.around[i]] |= titled[i]
         half = sum(len(b.text) for b in open_) / 2
-        most = {number for number, size in held.items() if size > half}
-        kept = [b for b in open_ if self.titled.intersection(most).issuperset(b.named)]
-        kept = kept or [b for b in open_ if most.issuperset(b.named)]
+        most, first = [True] * len(held), [True] * len(held)
+        for i, around in enumerate(self.around):
+            most[i] = most[around] and held[i] > half
+            first[i] = first[around] and most[i] and titled[i]
+        kept = [b for b in open_ if first[b.named]]
+        kept = kept or [b for b in open_ if most[b.named]]
         if not kept:
-            kept = [b for b in area if b.main and b.dropped < 2 and not b.named]
+            kept = [b for b in area if b.main and b.dropped < 2 and b.named < 0]
         return kept if self.has_main else [b for b in kept if b.linked <= 0.5 or b.main]
 
+    def _cut(self, size: int) -> None:
+        """Close all elements from place ``size`` on."""
+        for closed in self.stack[size:]:
+            self.open[closed.name] -= 1
+        del self.stack[size:]
+
     def _close(self, name: str) -> None:
         if name in _BLOCK:
             self._flush()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == name:
-                del self.stack[i:]
-                return
+        if self.open.get(name):
+            place = len(self.stack) - 1
+            while self.stack[place].name != name:
+                place -= 1
+            self._cut(place)
 
-    def _pop(self, names: set[str]) -> None:
-        """Close the nearest open element of ``names`` unless a container stands in between."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] in names:
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in _SCOPE:
-                return
+    def _pop(self, kind: int) -> None:
+        """Close the nearest open element of ``kind`` unless a container stands in between."""
+        if place := self.stack[-1].nearest[kind]:
+            self._cut(place)
 
 
 def _purpose(attributes: str) -> tuple[set[str], str]:
@@ -277,22 +375,31 @@ def page_text(source: str | None, template: dict[int, tuple[int, int]] | None =
         return ""
     page = _Page(source)
     kept = page.main_blocks()
-    if template:
-        placed = [(template[t], t) for t in map(_text_token, (b for _, b in page.blocks)) if t in template]
-        last: dict[int, int] = {}
-        broken = set()
-        for (number, place), _ in placed:
-            if place < last.get(number, -1):
-                broken.add(number)  # not in the template's order: no template on this page
-            last[number] = place
-        fixed = {t for (number, _), t in placed if number not in broken}
-        slots = [b for b in kept if _text_token(b) not in fixed]
-        least = sum(len(b.text) for b in kept) / 2 if page.has_main else 0
-        if slots and sum(len(b.text) for b in slots) >= least:
-            kept = slots
+    if template and not page.has_main:
+        fixed = _template_texts(page, kept, template)
+        slots = [b for b in kept if len(b.text) > LABEL_CHARS or _text_token(b) not in fixed]
+        kept = slots or kept
     return "\n\n".join(b.text for b in kept)
 
 
+def _template_texts(page: _Page, kept: list[Block], template: dict[int, tuple[int, int]]) -> set[int]:
+    """Tokens of the template on this page: classes in the template's order that are a small part of the text."""
+    last: dict[int, int] = {}
+    refused = set()
+    found = [(t, *template[t]) for t in (_text_token(b) for _, b in page.blocks) if t in template]
+    for _, number, place in found:
+        if place < last.get(number, -1):
+            refused.add(number)
+        last[number] = place
+    most = CLASS_SHARE * sum(len(b.text) for b in kept)
+    taken: dict[int, int] = {}
+    for block in kept:
+        if (number := template.get(_text_token(block), (None,))[0]) is not None:
+            taken[number] = taken.get(number, 0) + len(block.text)
+    refused.update(number for number, size in taken.items() if size > most)
+    return {t for t, number, _ in found if number not in refused}
+
+
 def _host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://(?:[^/@]*@)?([^/:?#]*)", 1), F.lit("")))
 
@@ -368,29 +475,50 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         _host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"),
     )
     known = cut(templates(rows.select("host", "html")))
-    if (known.agg(F.sum(F.size("template"))).first()[0] or 0) <= BROADCAST_TOKENS:
-        known = F.broadcast(known)
-    joined = rows.join(known, "host", "left").select("page_id", "url", "host", "template", "html")
+    if (known.agg(F.sum(F.size("template"))).first()[0] or 0) <= BROADCAST_TEXTS:
+        few = {r.host: [tuple(t) for t in r.template] for r in known.toLocalIterator()}
+        given = rows.sparkSession.sparkContext.broadcast(few)
+        rows = rows.select("page_id", "url", "host", F.lit(None).cast(known.schema["template"].dataType).alias("template"), "html")
+    else:
+        given = None
+        rows = _beside_templates(rows, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict] = {}
+        now, template = None, {}
         for batch in batches:
-            text = []
-            for host, template, source in zip(*(batch.column(c) for c in ("host", "template", "html")), strict=True):
-                name = host.as_py()
-                if name not in held:
-                    held = held if len(held) < 100 else {}
-                    held[name] = _places(template.as_py() or [])
-                text.append(page_text(source.as_py(), held[name]))
-            n_chars = pa.array([len(t) for t in text], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(text, pa.string()), n_chars], ["page_id", "url", "text", "n_chars"]
-            )
-
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
-
-
-def _places(template: list[dict]) -> dict[int, tuple[int, int]]:
-    """Token -> class and rank of its place there."""
-    ordered = sorted(template, key=lambda t: (t["place"], t["token"]))
-    return {t["token"] % (1 << 64): (t["class"], rank) for rank, t in enumerate(ordered)}
+            places, texts = [], []
+            for i, host in enumerate(batch.column("host").to_pylist()):
+                head = batch.column("template")[i]
+                if head.is_valid:  # the template of the pages that follow
+                    now, template = host, _places([(t["token"], t["class"], t["place"]) for t in head.as_py()])
+                    continue
+                if host != now:
+                    now, template = host, _places(given.value.get(host, []) if given else [])
+                texts.append(page_text(batch.column("html")[i].as_py(), template))
+                places.append(i)
+            own = batch.take(pa.array(places, pa.int64()))
+            columns = [own.column("page_id"), own.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
+
+    return rows.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+
+
+def _beside_templates(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` by host, behind a row with the host's template. Parts of a large host have a row each."""
+    counts = cut(rows.groupBy("host").agg(F.count("*").alias("n")))
+    least = (counts.agg(F.sum("n")).first()[0] or 0) / 1000
+    # Fewer than a thousand hosts are this large, whatever the number of hosts.
+    large = F.broadcast(counts.where(F.col("n") > least).select("host", F.ceil(F.col("n") / least).cast("int").alias("parts")))
+    pages = rows.join(large, "host", "left").withColumn("part", F.pmod(F.xxhash64("html", "url"), F.coalesce("parts", F.lit(1))))
+    heads = known.join(large, "host", "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), (F.coalesce("parts", F.lit(1)) - 1).cast("long")))
+    )
+    both = pages.drop("parts").unionByName(heads.drop("parts"), allowMissingColumns=True)
+    both = both.repartition("host", "part").sortWithinPartitions("host", "part", F.col("template").isNull())
+    return both.select("page_id", "url", "host", "template", "html")
+
+
+def _places(template: list[tuple[int, int, float]]) -> dict[int, tuple[int, int]]:
+    """Token -> class and rank of its place there, of (token, class, place)."""
+    ordered = sorted(template, key=lambda t: (t[2], t[0]))
+    return {token % (1 << 64): (number, rank) for rank, (token, number, _) in enumerate(ordered)}
