@@ -2,15 +2,21 @@
 
 A text is cut into sentences, and these at commas, semicolons and colons, so that a passage of a few long
 sentences holds several; a line end and a capital after a word without a full stop also begin a new
-one, so that a passage pasted into the middle of a sentence is cut off. From every sentence a span
-runs over at least ``SENTENCES`` sentences and on until it holds ``WORDS`` words. Spans are hashed
-(lower case, white space aside) by prefix sums, whatever their length. A span that occurs in several
-documents belongs to the smallest doc_id; sentences that it covers in any other document are removed,
-as are sentences covered by a span's second or later place in one text.
-
-Only hashes and ids are joined over all documents. The owner of a span is a minimum, combined before
-the shuffle, and spans meet their owner in an inner join that Spark can split, so a passage shared by
-a third of all documents is no bottleneck. What is gathered for one document is bounded by its text.
+one, so that a passage pasted into the middle of a sentence is cut off. What then still has more than ``LONG``
+words is cut behind those words whose hash is divisible by ``PICK``: by its content, so a passage without any marks
+is cut alike wherever it stands.
+
+Spans are runs of at least ``SENTENCES`` sentences that hold ``WORDS`` words, or one sentence that does: from every sentence the
+shortest one forward, and up to every sentence the shortest one backward, so that the spans of a passage reach from
+its first to its last whole sentence. Spans are hashed (lower case, white space aside) by prefix sums, whatever their
+length. A span that occurs in several documents belongs to the smallest doc_id; sentences that it covers in any other
+document are removed, as are sentences covered by a span's second or later place in one text. Passages below ``WORDS`` words
+stay; one of more than 50 words holds spans even if it loses the sentences at both ends to the text around it.
+
+The spans are made once and written to the shared folder. Only hashes and ids are joined over all documents. The owner of
+a span is a minimum, combined before the shuffle, and spans meet their owner in an inner join that Spark can split, so a
+passage shared by a third of all documents is no bottleneck. What is gathered for one document is bounded by its
+text. Documents without foreign spans are not shuffled if the others are at most ``BROADCAST_IDS``.
 
 Cases: null and empty texts stay as they are and have no sentence. A null doc_id takes no part between
 documents. Rows with the same doc_id count as one document, so they don't remove each other's spans.
@@ -20,6 +26,9 @@ Texts of any length are handled whole; extra columns are ignored (``clean_docume
 from __future__ import annotations
 
 import re
+import uuid
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,26 +37,58 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeline.llm.common import map_batches
+from tradeline.llm.common import cut, map_batches, remove_folder, shared_folder
 
-SENTENCES, WORDS = 2, 25
+SENTENCES, WORDS, BROADCAST_IDS = 2, 35, 500_000
+LONG, PICK = 8, 4
 
 _END = re.compile(
     "\\s(?:(?<=\n)|(?<=[.!?…,;:][\\s])|(?<=[.!?…][\"'»”)][\\s])"
     "|(?<=[a-zß-öø-ÿ]\\s)(?=[A-ZÀ-ÖØ-Þ]))\\s*"
 )
+_WORD = re.compile(r"\S+")
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def sentences(text: str) -> list[int]:
-    """Starts of the sentences, and the end of the text; white space belongs to what stands before it."""
+def _coarse(text: str) -> list[int]:
+    """Starts of what marks, line ends and capitals cut, and the end of the text."""
     starts = [0, *(m.end() for m in _END.finditer(text))]
     if starts[-1] < len(text) or not text:
         starts.append(len(text))
     return starts if text else [0]
 
 
+def _picked(words: list[str]) -> Iterator[int]:
+    """Behind how many words a sentence is cut."""
+    if len(words) > LONG:
+        for k, word in enumerate(words[:-1], 1):
+            if zlib.crc32(word.encode("utf-8", "surrogatepass")) % PICK == 0:
+                yield k
+
+
+def sentences(text: str) -> list[int]:
+    """Starts of the sentences, and the end of the text; white space belongs to what stands before it."""
+    coarse, out = _coarse(text), []
+    for low, high in zip(coarse, coarse[1:]):
+        out.append(low)
+        if cuts := list(_picked(text[low:high].lower().split())):
+            starts = [m.start() for m in _WORD.finditer(text, low, high)]
+            out += [starts[k] for k in cuts]
+    return [*out, coarse[-1]]
+
+
+def _sentence_words(text: str) -> Iterator[list[str]]:
+    """The words of each sentence in lower case."""
+    coarse = _coarse(text)
+    for low, high in zip(coarse, coarse[1:]):
+        own, last = text[low:high].lower().split(), 0
+        for k in _picked(own):
+            yield own[last:k]
+            last = k
+        yield own[last:]
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     factors = np.full(n, base, np.uint64)
     if n:
@@ -56,24 +97,32 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def spans(text: str, least_sentences: int = SENTENCES, least_words: int = WORDS):
-    """Sentence bounds; hash and end (exclusive) of the span from each sentence, as long as one fits."""
-    bounds = sentences(text)
-    n = len(bounds) - 1
-    hashes, words = np.zeros(n, np.uint64), np.zeros(n + 1, np.int64)
-    for i in range(n):
-        own = text[bounds[i] : bounds[i + 1]].lower().split()
-        words[i + 1] = len(own)
-        hashes[i] = xxhash.xxh64_intdigest(" ".join(own))
-    words = np.cumsum(words)
-    end = np.searchsorted(words, words[:-1] + least_words)
-    end = np.maximum(end, np.arange(n) + least_sentences)
-    end = end[: np.searchsorted(end, n, side="right")] if n else end
+    """Number of sentences; hash, start and end (exclusive) of the spans, by start and end.
+
+    From every sentence the shortest span forward, and up to every sentence the shortest one backward, of at least
+    ``least_words`` words in ``least_sentences`` sentences. A sentence of ``least_words`` words is a span by itself.
+    """
+    counts, digests = [], []
+    for own in _sentence_words(text):
+        counts.append(len(own))
+        digests.append(xxhash.xxh64_intdigest(" ".join(own).encode("utf-8", "surrogatepass")))
+    n = len(counts)
+    hashes, words = np.array(digests, np.uint64), np.r_[0, np.array(counts, np.int64)]
+    long = np.diff(words_up_to := np.cumsum(words)) >= least_words
+    place = np.arange(n)
+    after = np.searchsorted(words_up_to, words_up_to[:-1] + least_words)
+    after = np.where(long, place + 1, np.maximum(after, place + least_sentences))
+    before = np.searchsorted(words_up_to, words_up_to[1:] - least_words, side="right") - 1
+    before = np.where(long, place, np.minimum(before, place + 1 - least_sentences))
+    forward, backward = after <= n, before >= 0
+    start = np.concatenate([place[forward], before[backward]])
+    end = np.concatenate([after[forward], place[backward] + 1])
+    start, end = np.divmod(np.unique(start * (n + 1) + end), n + 1)
     total = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, n), dtype=np.uint64)]
-    start = np.arange(len(end))
-    value = (total[end] - total[start]) * _powers(_INVERSE, len(end))
+    value = (total[end] - total[start]) * _powers(_INVERSE, n)[start]
     value ^= (end - start).astype(np.uint64) * np.uint64(0xC4CEB9FE1A85EC53)
     value = (value ^ (value >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
-    return bounds, (value ^ (value >> np.uint64(29))).view(np.int64), end
+    return n, (value ^ (value >> np.uint64(29))).view(np.int64), start, end
 
 
 def remove(text: str | None, foreign: np.ndarray, least_sentences: int, least_words: int):
@@ -83,18 +132,18 @@ def remove(text: str | None, foreign: np.ndarray, least_sentences: int, least_wo
     """
     if not text:
         return text, 0, 0
-    bounds, hashes, end = spans(text, least_sentences, least_words)
-    n = len(bounds) - 1
+    n, hashes, start, end = spans(text, least_sentences, least_words)
     _, first = np.unique(hashes, return_index=True)
     gone = np.ones(len(hashes), bool)
     gone[first] = False
     gone |= np.isin(hashes, foreign)
+    if not gone.any():
+        return text, n, 0
     edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, np.flatnonzero(gone), 1)
+    np.add.at(edge, start[gone], 1)
     np.add.at(edge, end[gone], -1)
     covered = np.cumsum(edge)[:n] > 0
-    if not covered.any():
-        return text, n, 0
+    bounds = sentences(text)
     kept = "".join(text[bounds[i] : bounds[i + 1]] for i in np.flatnonzero(~covered))
     return kept.rstrip(), n, int(covered.sum())
 
@@ -112,20 +161,26 @@ def span_rows(docs: DataFrame, least_sentences: int = SENTENCES, least_words: in
 
 def _cleaned(rows: DataFrame, least_sentences: int, least_words: int) -> DataFrame:
     """``rows`` (doc_id, text, others) with cleaned ``text``, ``n_sentences`` and ``n_removed``."""
-    found = span_rows(rows.select("doc_id", "text"), least_sentences, least_words)
+    spark = rows.sparkSession
+    path = f"{shared_folder(spark)}/spans-{uuid.uuid4().hex}"
+    span_rows(rows.select("doc_id", "text"), least_sentences, least_words).write.parquet(path)
+    found = spark.read.schema("span long, doc_id long").parquet(path)
     owners = (
         found.groupBy("span")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
         .where("owner < other")
         .select("span", "owner")
     )
-    foreign = (
-        found.join(owners, "span")
-        .where("doc_id <> owner")
-        .groupBy(F.col("doc_id").alias("span_doc"))
-        .agg(F.collect_set("span").alias("foreign_spans"))
-    )
-    joined = rows.join(foreign, F.col("doc_id") == F.col("span_doc"), "left").drop("span_doc")
+    foreign = found.join(owners, "span").where("doc_id <> owner")
+    foreign = cut(foreign.groupBy(F.col("doc_id").alias("span_doc")).agg(F.collect_set("span").alias("foreign_spans")))
+    remove_folder(spark, path)
+    same = rows["doc_id"] == F.col("span_doc")
+    if foreign.count() <= BROADCAST_IDS:
+        ids = F.broadcast(foreign.select("span_doc"))
+        apart = rows.join(ids, same, "left_anti").withColumn("foreign_spans", F.lit(None).cast("array<long>"))
+        joined = rows.join(ids, same, "left_semi").join(foreign, same).drop("span_doc").unionByName(apart)
+    else:
+        joined = rows.join(foreign, same, "left").drop("span_doc")
     others = [c for c in rows.columns if c != "text"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
