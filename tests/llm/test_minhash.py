@@ -97,6 +97,19 @@ def test_keep_one_leaves_all_columns_and_one_row(spark):
     assert minhash.keep_one(empty(spark, SCHEMA)).collect() == []
 
 
+def test_texts_decide_and_not_ids(spark):
+    a, b, c, d = (prose(k, 40) for k in range(4))
+    near_a = a.replace(a.split()[30], "another", 1)
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, c), (4, near_a), (4, d), (5, d), (5, ""), (5, None), (6, b), (None, a)]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    texts = [r.text for r in kept if r.doc_id is not None]
+    # One of a and near_a, b, c and d, and the rows without a shingle.
+    assert sorted(t for t in texts if t) == sorted([a, b, c, d]) and len(texts) == 6
+    ids = {r.text: r.doc_id for r in kept if r.text and r.doc_id is not None}
+    assert ids[a] == 1 and ids[c] == 3 and ids[b] in (2, 6) and ids[d] in (4, 5)
+    assert [r.text for r in kept if r.doc_id is None] == [a]
+
+
 @pytest.mark.parametrize("share", [0.0, 0.5, 0.75, 0.9, 1.0])
 def test_estimate_is_corrected_for_collisions(spark, share):
     rng = np.random.default_rng(3)

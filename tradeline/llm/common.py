@@ -97,15 +97,6 @@ def text_slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[l
         yield part
 
 
-def attach(docs: DataFrame, key: str, facts: DataFrame, how: str = "inner") -> DataFrame:
-    """Rows of ``docs`` as one struct ``row`` joined with ``facts`` on ``key``.
-
-    No column of ``docs`` can clash with one of ``facts``; ``select("row.*")`` gives them back.
-    """
-    rows = docs.select(F.col(key).alias("row_key"), F.struct("*").alias("row"))
-    return rows.join(facts.withColumnRenamed(key, "row_key"), "row_key", how)
-
-
 def links_to_components(links: DataFrame) -> DataFrame:
     """Connected components of ``links`` (u long, v long): node, component (its smallest node).
 

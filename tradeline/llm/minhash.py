@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradeline.llm.common import attach, cut, links_to_components, map_batches
+from tradeline.llm.common import cut, links_to_components, map_batches
 
 WORDS, THRESHOLD = 5, 75  # a shingle's words; similarity in per cent
 PERMUTATIONS, BITS, BANDS, ROWS = 256, 4, 32, 4
@@ -420,13 +420,34 @@ def near_duplicates(
     )
 
 
+def _row_keys(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` (id not null) as row_key, row: one key for each different id and text.
+
+    The text with the smallest hash has its id as key. Other texts of the same id have keys above all ids, so
+    that they are documents of their own that come last.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("row_key"), F.xxhash64("text").alias("text_hash"), F.struct("*").alias("row"))
+    texts = rows.select("row_key", "text_hash")
+    least = texts.groupBy("row_key").agg(F.min("text_hash").alias("low"), F.max("text_hash").alias("high"))
+    least = cut(least.where("low < high").select("row_key", "low"))
+    if least.isEmpty():
+        return rows.select("row_key", "row")
+    top = texts.agg(F.max("row_key")).first()[0]
+    others = texts.join(least, "row_key").where("text_hash <> low").select("row_key", "text_hash").distinct()
+    others = cut(others.withColumn("own_key", F.monotonically_increasing_id() + F.lit(top + 1)))
+    joined = rows.join(others, ["row_key", "text_hash"], "left")
+    return joined.select(F.coalesce("own_key", "row_key").alias("row_key"), "row")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` without near copies: of each component one row with the smallest id.
+    """Rows of ``docs`` without near copies: of each component one row, the one with the smallest id.
 
-    All columns of ``docs`` stay. Rows with a null id stay.
+    Texts decide, not ids: different texts under one id are documents of their own, and each stays unless it is a near
+    copy of another. Of equal rows of one id one stays. All columns of ``docs`` stay. Rows with a null id stay.
     """
-    kept = near_duplicates(docs, id_col=id_col).where("kept and doc_id is not null").select(F.col("doc_id").alias(id_col)).distinct()
-    joined = attach(docs, id_col, kept)
-    order = F.struct(F.xxhash64("row.text"), F.to_json(F.col("row").dropFields("text")))
-    one = joined.groupBy("row_key").agg(F.min_by("row", order).alias("row"))
+    keyed = _row_keys(docs.where(F.col(id_col).isNotNull()), id_col)
+    texts = keyed.select("row_key", F.col("row.text").alias("text"))
+    kept = near_duplicates(texts, id_col="row_key").where("kept").select(F.col("doc_id").alias("row_key")).distinct()
+    one = keyed.join(kept, "row_key").groupBy("row_key")
+    one = one.agg(F.min_by("row", F.to_json(F.col("row").dropFields("text"))).alias("row"))
     return one.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
