@@ -90,6 +90,20 @@ def test_quality_query_on_whole_table(spark):
     assert auc(*map(np.array, zip(*held))) > 0.95
 
 
+def test_held_out_quality_labels_do_not_matter(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    spoilt = labels.withColumn("quality", _when_held(labels, "quality", 3, 1, "1 - quality").cast("int"))
+    changed = docs.withColumns({c: _when_held(docs, c, 3, 1, "'z'") for c in ("lang", "source")})
+    one, two = sorted(quality.score_quality(docs, labels).collect()), sorted(quality.score_quality(changed, spoilt).collect())
+    assert [(r.doc_id, r.held_out) for r in one] == [(r.doc_id, r.held_out) for r in two]
+    assert np.allclose([r.score for r in one], [r.score for r in two], atol=1e-9)
+
+
+def test_half_and_other_numerals_are_no_letters():
+    assert all(langid.features(t) is None for t in ("½ ² ① Ⅷ", "12 _ %%", "", None))
+    assert all(langid.features(t) is not None for t in ("½ a", "ª", "語", "ǅ"))
+
+
 def test_normal_equations_are_those_of_one_matrix(spark):
     rng = np.random.default_rng(5)
     d = len(quality.STATISTICS)

@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ FAMILIES = {
 _FAMILY_OF = {code: name for name, codes in FAMILIES.items() for code in codes.split()}
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _PART = 1_000_000
 
 
