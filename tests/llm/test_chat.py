@@ -1,5 +1,8 @@
 import hashlib
+import time
+import tracemalloc
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -85,3 +88,24 @@ def test_awkward_rows_and_a_hot_conversation(spark):
     assert {r.conv_id: tuple(r[1:5]) for r in found} == brute(rows)
     schema = "conv_id long, turn long, role string, text string"
     assert chat.digests(chat.format_conversations(empty(spark, schema))).collect() == []
+
+
+@pytest.mark.parametrize("said", ["word " * 4_000_000, "</turn>\n" * 400_000, "\\" * 1_000_000 + "</turn>\n" + "#" * 1_000_000])
+def test_a_very_long_turn_is_read_in_proportion(said):
+    formatted = chat.format_turn("user", [{"kind": "text", "text": said}])[0]
+    began = time.perf_counter()
+    tracemalloc.start()
+    try:
+        (role, text, low, high), = chat.read_turns(formatted)
+        if "word" in said:
+            assert tracemalloc.get_traced_memory()[1] < 200e6
+    finally:
+        tracemalloc.stop()
+    assert (role, text) == ("user", said) and time.perf_counter() - began < 20
+    assert formatted[:low] == "### user: " and formatted[high:] == "</turn>\n"
+
+
+@pytest.mark.parametrize("odd", ["x", "### user", "### user:", "### user: a", "### user: a\\</turn>\n", "## user: a</turn>\n", "### a:b</turn>\n"])
+def test_what_is_no_turn_is_an_error(odd):
+    with pytest.raises(ValueError):
+        chat.read_turns(odd)

@@ -38,7 +38,7 @@ ATTACHMENTS = "array<struct<kind: string, uri: string, start: long, tokens: long
 _ESCAPED = re.compile(r"\\|###|</turn>|<(?=(?:image|audio|document):)")
 _ESCAPED_ROLE = re.compile(_ESCAPED.pattern + r"|:|\n")
 _ESCAPE = re.compile(r"\\(.)", re.DOTALL)
-_TURN = re.compile(r"### ((?:\\.|[^\\:])*): ((?:\\.|(?!</turn>\n)[^\\])*)</turn>\n", re.DOTALL)
+_HEAD, _COLON, _END = "### ", ": ", "</turn>\n"
 
 ASSISTANT = "assistant"
 
@@ -48,7 +48,7 @@ def escape(text: str, pattern: re.Pattern = _ESCAPED) -> str:
 
 
 def unescape(text: str) -> str:
-    return _ESCAPE.sub(r"\1", text)
+    return _ESCAPE.sub(r"\1", text) if "\\" in text else text
 
 
 @dataclass
@@ -94,21 +94,36 @@ def format_turn(role: str | None, parts: list[dict] | None) -> tuple[str, int, i
     for part in parts or []:
         if part is not None:
             visitor.visit(part)
-    head = f"### {escape(role or '', _ESCAPED_ROLE)}: "
+    head = _HEAD + escape(role or "", _ESCAPED_ROLE) + _COLON
     for attachment in visitor.attachments:
         attachment["start"] += len(head)
-    return head + "".join(visitor.pieces) + "</turn>\n", len(head), len(head) + visitor.size, visitor.attachments
+    return head + "".join(visitor.pieces) + _END, len(head), len(head) + visitor.size, visitor.attachments
+
+
+def _unescaped(text: str, mark: str, at: int) -> int:
+    """The next place of ``mark`` that no backslash escapes; -1 without one."""
+    while (at := text.find(mark, at)) >= 0:
+        before = at
+        while before and text[before - 1] == "\\":
+            before -= 1
+        if (at - before) % 2 == 0:
+            return at
+        at += 1
+    return -1
 
 
 def read_turns(formatted: str) -> list[tuple[str, str, int, int]]:
     """Role, unescaped content, and bounds of the content of each turn of a formatted string."""
     out, at = [], 0
     while at < len(formatted):
-        found = _TURN.match(formatted, at)
-        if not found:
+        first = at + len(_HEAD)
+        colon = _unescaped(formatted, _COLON[0], first) if formatted.startswith(_HEAD, at) else -1
+        end = _unescaped(formatted, _END, colon + len(_COLON)) if formatted.startswith(_COLON, colon) and colon >= 0 else -1
+        if end < 0:
             raise ValueError(f"no turn at {at}")
-        out.append((unescape(found[1]), unescape(found[2]), found.start(2), found.end(2)))
-        at = found.end()
+        low = colon + len(_COLON)
+        out.append((unescape(formatted[first:colon]), unescape(formatted[low:end]), low, end))
+        at = end + len(_END)
     return out
 
 
