@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from bridge import document_sql as d
+from bridge import flat_queries as fq
 from bridge import flat_sql as q
 from bridge import tables as t
 from bridge.registry import query
@@ -413,6 +416,60 @@ def decision_launch(spark, sf):
     return documents.decide_documents(raw, AS_OF, cfgs.LAUNCH).drop("user_id", "bnpl_limit")
 
 
+@query("decision_dated", q.decided_later(q.with_ctes(*d.DECIDED, body=f"SELECT {ID}, {_DECISION} FROM judged"), "request_id % 4"))
+def decision_dated(spark, sf):
+    """Every document is decided as of a date of its own, still in one stage."""
+    raw = t.documents(spark, sf).withColumn("as_of", F.expr(fq.OWN_DATE.format(k="request_id")))
+    return documents.decide_documents(raw, F.col("as_of"))
+
+
+_STRICT = [
+    d.REQ, d.ACCT, q.CELL, q.FLAG, fq.strict_enquiries(d.ENQ), fq.STRICT_METRIC, fq._STRICT_LIMIT[0],
+    d.judged(limited=fq._STRICT_LIMIT[1]),
+]
+_OWN = f"SELECT {ID}, {_DECISION} FROM judged"
+
+
+@query(
+    "decision_policies",
+    fq.side_by_side(
+        current=q.with_ctes(*d.DECIDED, body=_OWN),
+        launch=q.with_ctes(*d.DECIDED[:-1], d.judged(envelope=False), body=_OWN.replace("user_id", "NULL AS user_id")),
+        strict=q.with_ctes(*_STRICT, body=_OWN),
+    ),
+)
+def decision_policies(spark, sf):
+    """Three policies on documents that are parsed once."""
+    policies = {"current": CFG, "launch": cfgs.LAUNCH, "strict": fq.strict(fq.OTHER)}
+    return documents.decide_policies(t.documents(spark, sf), AS_OF, policies)
+
+
+@query(
+    "request_ids",
+    q.with_ctes(
+        d.REQ,
+        body="SELECT user_id, CAST(copy AS BIGINT) AS copy, true AS found_again FROM req "
+        "CROSS JOIN (VALUES (0), (1)) AS copies(copy) WHERE copy = 0 OR request_id % 3 = 0",
+    ),
+)
+def request_ids(spark, sf):
+    """Ids of lines, some of them equal, are found again after more files have come."""
+    inbox, first = new_path(spark, "inbox"), new_path(spark, "ids")
+    docs = t.documents(spark, sf)
+    twice = docs.unionByName(docs.where("CAST(request_id AS INT) % 3 = 0")).repartition(3, "request_id")
+    twice.select("value").write.text(inbox)
+    src.read_requests(spark, inbox, stable_ids=True).select("request_id", "digest", "value").write.parquet(first)
+    docs.where("CAST(request_id AS INT) % 5 = 0").select("value").repartition(7).write.mode("append").text(inbox)
+    again = src.read_requests(spark, inbox, stable_ids=True)
+    found = again.select("request_id", F.col("digest").alias("other"), F.lit(True).alias("found"))
+    rows = spark.read.parquet(first).join(found, "request_id", "left")
+    return rows.select(
+        F.when(F.col("value").endswith("}"), F.get_json_object("value", "$.user_id")).alias("user_id"),
+        F.substring_index("request_id", "#", -1).cast("bigint").alias("copy"),
+        F.coalesce(F.col("found") & (F.col("digest") == F.col("other")), F.lit(False)).alias("found_again"),
+    )
+
+
 @query(
     "quarantine",
     q.with_ctes(*d.DECIDED, body=f"SELECT {ID}, user_id, error_reason FROM judged WHERE error_reason IS NOT NULL"),
@@ -446,11 +503,33 @@ def conform_bureau(spark, sf):
 
 @query("conform_bureau_flat", q.with_ctes(*d.DECIDED, d.PIVOT, body=d.bureau_table()))
 def conform_bureau_flat(spark, sf):
-    """The same table from flat request, account and enquiry tables."""
-    tables = ledger.tables_from_requests(parsed(spark, sf), AS_OF, CFG)
+    """The same table from flat request, account and enquiry tables, made by one pass over the documents."""
+    tables = ledger.tables_from_requests(parsed(spark, sf), AS_OF, CFG, saved=new_path(spark, "flat"))
     return _conformed(ledger.account_table(*tables, AS_OF, CFG), s.bureau_fields(CFG.user_column))
 
 
+@query(
+    "highcredit_presence",
+    q.with_ctes(
+        *d.DECIDED, d.PIVOT,
+        body="SELECT request_id, acct_number, CASE WHEN CAST(request_id AS BIGINT) % 12 <> 0 THEN highcredit END AS highcredit, "
+        "CASE WHEN CAST(request_id AS BIGINT) % 4 <> 1 THEN suitfiledstatus END AS suitfiledstatus "
+        f"FROM ({d.bureau_table()}) AS bureau WHERE acct_number IS NOT NULL",
+    ),
+)
+def highcredit_presence(spark, sf):
+    """Keys that are sent as null on every account are there: no other field stands in for them."""
+    sent = lambda key: F.replace(
+        F.col("value"), F.lit('"RetailAccountDetails":[{'), F.lit(f'"RetailAccountDetails":[{{"{key}":null,')
+    )
+    k = F.col("request_id").cast("int")
+    value = F.when(k % 12 == 0, sent("HighCredit")).when(k % 4 == 1, sent("SuitFiledStatus")).otherwise(F.col("value"))
+    cfg = dataclasses.replace(CFG, key_presence=True)
+    rows = documents.score_requests(parse.parse_requests(t.documents(spark, sf).withColumn("value", value), cfg), AS_OF, cfg)
+    accounts = export.account_table(rows, cfg).where("acct_number IS NOT NULL")
+    return accounts.select("request_id", "acct_number", "highcredit", "suitfiledstatus")
+
+
 _ENQUIRY_SQL = q.with_ctes(
         *d.DECIDED,
         body=f"""SELECT CAST(e.request_id AS VARCHAR) AS request_id, CAST(e AS VARCHAR) AS seq, 'E' || e % 3 AS institution,
@@ -464,12 +543,15 @@ FROM enq e JOIN judged j ON j.request_id = e.request_id WHERE error_reason IS NU
 
 @query("conform_enquiry", _ENQUIRY_SQL)
 def conform_enquiry(spark, sf):
-    return _conformed(export.enquiry_table(scored(spark, sf), AS_OF, CFG), s.ENQUIRY_OUT_FIELDS)
+    """Of the report only the enquiries are parsed in full."""
+    rows = parse.parse_requests(t.documents(spark, sf), detail=("Enquiries",))
+    rows = documents.score_requests(rows, AS_OF, CFG, detail=("enquiries",))
+    return _conformed(export.enquiry_table(rows, AS_OF, CFG), s.ENQUIRY_OUT_FIELDS)
 
 
 @query("conform_enquiry_flat", _ENQUIRY_SQL)
 def conform_enquiry_flat(spark, sf):
-    tables = ledger.tables_from_requests(parsed(spark, sf), AS_OF, CFG)
+    tables = ledger.tables_from_requests(parsed(spark, sf), AS_OF, CFG, saved=new_path(spark, "flat"))
     return _conformed(ledger.enquiry_table(*tables, AS_OF, CFG), s.ENQUIRY_OUT_FIELDS)
 
 
@@ -608,7 +690,7 @@ def duplicate_requests(spark, sf):
     twice.select("value").write.text(path)
     raw = src.read_requests(spark, path)
     nested = documents.decide_documents(raw, AS_OF, CFG)
-    tables = ledger.tables_from_requests(parse.parse_requests(raw, CFG), AS_OF, CFG)
+    tables = ledger.tables_from_requests(parse.parse_requests(raw, CFG), AS_OF, CFG, saved=new_path(spark, "flat"))
     flat = ledger.decide_tables(*tables, AS_OF, CFG).where("error_reason IS NULL")
     columns = _DECISION.split(", ")
     return nested.select(*columns, F.lit("document").alias("form")).unionByName(

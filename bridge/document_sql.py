@@ -65,7 +65,7 @@ enq_count AS (
   FROM enq GROUP BY request_id)"""
 
 
-def judged(envelope: bool = True) -> str:
+def judged(envelope: bool = True, limited: str | None = None) -> str:
     """CTEs ``fact`` and ``judged``: error reason, routing and decision per document."""
     wrapper = (
         "WHEN v = 11 THEN 'MISSING_ENVELOPE' WHEN v = 83 THEN 'BAD_NUMBER'" if envelope else ""
@@ -74,7 +74,7 @@ def judged(envelope: bool = True) -> str:
         "WHEN limit_score IS NULL OR base_limit IS NULL THEN 'BAD_LIMIT_INPUT'" if envelope else ""
     )
     undated = "true" if envelope else "false"
-    source = q.limited("ruled") if envelope else (
+    source = limited or q.limited("ruled") if envelope else (
         "limited AS (SELECT *, CAST(NULL AS BIGINT) AS bnpl_limit FROM ruled)"
     )
     # A document without a limit score has no band; keep its row.

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
+import uuid
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,7 +21,10 @@ from tradeline.functions import dates, history, limits, numbers
 from tradeline.functions.codes import code_level, code_levels
 from tradeline.operators import accounts as acc
 from tradeline.operators import policy
-from tradeline.plans import ledger
+from tradeline.plans import ledger, monthly
+from tradeline.session import new_path
+from tradeline.sources import flat
+from tradeline.streaming.tables import decide_table_streams
 
 CFG = cfgs.CURRENT
 
@@ -444,24 +449,121 @@ def rules_user_policy(spark, sf):
     return rows.select("request_id", *s.RULE_NAMES, policy.all_pass(F.col, CFG).alias("accepted"))
 
 
-@query(
-    "decision_table",
-    q.with_ctes(
-        q.REQ, q.ACCT, q.CELL, q.FLAG, q.ENQ, q.METRIC, q.GRID, q.limited("ruled"),
-        body=f"""SELECT request_id,
+def _decision_sql(*, metric=q.METRIC, enq=q.ENQ, limit=(q.GRID, q.limited("ruled")), undated="true", extra="") -> str:
+    """SELECT for the decision table; ``limit`` is None for a policy without one."""
+    ctes = limit or ("limited AS (SELECT *, CAST(NULL AS BIGINT) AS bnpl_limit FROM ruled)",)
+    return q.with_ctes(
+        q.REQ, q.ACCT, q.CELL, q.FLAG, enq, metric, *ctes,
+        body=f"""SELECT {extra}request_id,
   CASE WHEN bad THEN NULL WHEN route = 'INVALID' THEN NULL WHEN route = 'NOHIT' THEN 'True' WHEN n_usable = 0 THEN '0'
        WHEN {' AND '.join(q.RULES)} THEN 'True' ELSE 'False' END AS accept_ind,
   CASE WHEN bad THEN NULL WHEN route = 'INVALID' THEN 'NA' WHEN route = 'NOHIT' THEN 'NTC'
-       WHEN n_accounts <= 1 AND coalesce(max_mob < 6, true) THEN 'NTC' ELSE 'ETC' END AS bureau_history_status,
+       WHEN n_accounts <= 1 AND coalesce(max_mob < 6, {undated}) THEN 'NTC' ELSE 'ETC' END AS bureau_history_status,
   CASE WHEN bad THEN NULL ELSE bnpl_limit END AS bnpl_limit,
   CASE WHEN bad THEN 'MISSING_HISTORY' END AS error_reason
 FROM (SELECT *, route = 'HIT' AND n_accounts IS NULL AS bad FROM limited)""",
-    ),
-)
+    )
+
+
+def _tables(spark, sf):
+    return t.requests(spark, sf), t.accounts(spark, sf), t.enquiries(spark, sf)
+
+
+@query("decision_table", _decision_sql())
 def decision_table(spark, sf):
-    return ledger.decide_tables(
-        t.requests(spark, sf), t.accounts(spark, sf), t.enquiries(spark, sf), AS_OF, CFG
-    ).drop("user_id")
+    return ledger.decide_tables(*_tables(spark, sf), AS_OF, CFG).drop("user_id")
+
+
+#: The usual decision date, up to three months later by request.
+OWN_DATE = "add_months(DATE '2024-01-31', CAST({k} AS INT) % 4)"
+
+
+@query("decision_dated_table", q.decided_later(_decision_sql(), "request_id % 4"))
+def decision_dated_table(spark, sf):
+    """Every request has a decision date of its own."""
+    requests, accounts, enquiries = _tables(spark, sf)
+    requests = requests.withColumn("as_of", F.expr(OWN_DATE.format(k="request_id")))
+    accounts, enquiries = (ledger.with_dates(rows, requests) for rows in (accounts, enquiries))
+    return ledger.decide_tables(requests, accounts, enquiries, F.col("as_of"), CFG).drop("user_id")
+
+
+@query("decision_bucketed", _decision_sql())
+def decision_bucketed(spark, sf):
+    """The tables lie by request, so nothing is shuffled for the decision."""
+    name, path = f"flat_{uuid.uuid4().hex}", new_path(spark, "bucketed")
+    flat.write_flat_tables(_tables(spark, sf), name, path, buckets=8)
+    return ledger.decide_tables(*flat.read_flat_tables(spark, name), AS_OF, CFG).drop("user_id")
+
+
+@query("stream_tables", _decision_sql())
+def stream_tables(spark, sf):
+    """Three streams of files; rows come in any order, and some twice."""
+    inbox, out = new_path(spark, "flat-inbox"), new_path(spark, "flat-stream")
+    keys = {"requests": "request_id", "accounts": "acct_number", "enquiries": "event_id"}
+    tables = dict(zip(keys, _tables(spark, sf), strict=True))
+    came = "TIMESTAMP '2024-01-31 10:00:00' + make_dt_interval(0, 0, CAST(request_id % 40 + {key} % 20 AS INT))"
+    streams = {}
+    for kind, df in tables.items():
+        df = df.withColumn("arrived", F.expr(came.format(key=keys[kind])))
+        df = df.unionByName(df.where(f"{keys[kind]} % 7 = 0"))
+        df.repartition(3, F.hash(keys[kind])).write.parquet(f"{inbox}/{kind}")
+        streams[kind] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{inbox}/{kind}")
+    # What comes two days later closes all sessions before it, and stays open itself.
+    late = tables["requests"].limit(1).withColumns({"request_id": F.lit(-1).cast("bigint"), "arrived": F.expr("TIMESTAMP '2024-02-02 10:00:00'")})
+    decisions = decide_table_streams(**streams, as_of=AS_OF, cfg=CFG, delay="2 hours", gap="2 hours")
+    for more in (None, late):
+        if more is not None:
+            more.write.mode("append").parquet(f"{inbox}/requests")
+        writer = decisions.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(decisions.schema).parquet(f"{out}/rows").drop("user_id")
+
+
+# A stricter policy: other limits and grids, a higher score, a longer memory of enquiries, no overdue account.
+STRICT_RULES = tuple(dataclasses.replace(r, limit=0) if r.name == "cnt_overdue_accts_dec" else r for r in CFG.rules)
+
+
+def strict(other):
+    return dataclasses.replace(other, min_score=760, enquiry_months=5, rules=STRICT_RULES)
+
+
+STRICT_METRIC = q.METRIC.replace(">= 700", ">= 760").replace("cnt_overdue_accts <= 1", "cnt_overdue_accts <= 0")
+
+
+def strict_enquiries(enq: str) -> str:
+    return enq.replace("<= 3, false", "<= 5, false")
+
+
+def side_by_side(**selects: str) -> str:
+    """The rows of several SELECTs with the name of each."""
+    return " UNION ALL ".join(f"SELECT '{name}' AS policy_name, * FROM ({sql}) AS {name}_rows" for name, sql in selects.items())
+
+
+def _later_sql(months: int) -> str:
+    columns = f"CAST({months} AS INTEGER) AS months, request_id, reportnumber, {', '.join(_METRICS)}"
+    sql = q.with_ctes(
+        q.REQ, q.ACCT, q.CELL, q.FLAG, q.ENQ, q.METRIC,
+        body=f"SELECT {columns} FROM ruled WHERE route = 'HIT' AND n_usable > 0",
+    )
+    return f"SELECT * FROM ({q.decided_later(sql, str(months))}) AS m{months}"
+
+
+@query("metrics_merged", " UNION ALL ".join(map(_later_sql, (0, 7, 40))))
+def metrics_merged(spark, sf):
+    """Two deliveries, one of them sent twice, folded as of three dates."""
+    path = new_path(spark, "changes")
+    accounts, enquiries = t.accounts(spark, sf), t.enquiries(spark, sf)
+    for delivery, part in (("a", 0), ("b", 1), ("a", 0)):
+        own = monthly.account_changes(accounts.where(f"acct_number % 2 = {part}"), CFG)
+        own = own.unionByName(monthly.enquiry_changes(enquiries.where(f"event_id % 2 = {part}"), CFG))
+        monthly.save_delivery(own, path, delivery)
+    changes = monthly.read_deliveries(spark, path)
+    parts = []
+    for months, as_of in ((0, AS_OF), (7, dt.date(2024, 8, 31)), (40, dt.date(2027, 5, 31))):
+        joined = t.requests(spark, sf).join(monthly.facts_at(changes, as_of), "request_id", "left")
+        rows = ledger.user_policy_rows(ledger.ruled(joined, CFG))
+        parts.append(rows.select(F.lit(months).alias("months"), "request_id", "reportnumber", *_METRICS))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # --- limits -----------------------------------------------------------------
@@ -554,3 +656,23 @@ def limit_other_policy(spark, sf):
     )
     rows = limits.with_grid(rows, limits.grid_frame(spark, OTHER))
     return rows.select("request_id", "score_band", "income_band", "multiplier", "bnpl_limit")
+
+
+_STRICT_LIMIT = (
+    q.grid(*OTHER_GRIDS.values()),
+    q.limited("ruled", q.score_band("limit_score", OTHER_BANDS, "T"), q.income_band("min_income", "max_income", OTHER_BRACKETS), 50),
+)
+
+
+@query(
+    "decision_policies_table",
+    side_by_side(
+        current=_decision_sql(),
+        launch=_decision_sql(limit=None, undated="false"),
+        strict=_decision_sql(metric=STRICT_METRIC, enq=strict_enquiries(q.ENQ), limit=_STRICT_LIMIT),
+    ),
+)
+def decision_policies_table(spark, sf):
+    """Three policies in one pass over the tables."""
+    policies = {"current": CFG, "launch": cfgs.LAUNCH, "strict": strict(OTHER)}
+    return ledger.decide_policies_tables(*_tables(spark, sf), AS_OF, policies).drop("user_id")

@@ -18,6 +18,13 @@ def months_to(date: str) -> str:
     return f"({AS_OF_MONTH} - (year({date}) * 12 + month({date})))"
 
 
+def decided_later(sql: str, months: str) -> str:
+    """``sql`` with a decision date that lies ``months`` after the usual one; may be an expression of the request."""
+    return sql.replace(f"({AS_OF_MONTH} -", f"({AS_OF_MONTH} + {months} -").replace(
+        "CAST(lag0 AS BIGINT) AS lag", f"CAST(lag0 + {months} AS BIGINT) AS lag"
+    )
+
+
 _K, _A = "o_custkey", "o_orderkey"
 
 REQ = f"""req AS (

@@ -11,6 +11,8 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from tradeline import config
 from tradeline.plans.jobs import run_batch
 from tradeline.session import build_session
@@ -28,6 +30,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="decision date")
     parser.add_argument("--run", help="name of the run; the same name replaces that run")
     parser.add_argument("--id-field", help="field of the document that holds the request id")
+    parser.add_argument("--date-field", help="field of the document that holds its decision date")
+    parser.add_argument("--stable-ids", action="store_true", help="ids that every read of a file finds again")
     parser.add_argument("--work", help="shared folder for intermediate files")
     parser.add_argument("--profile", choices=tuple(PROFILES), default="current")
     parser.add_argument("--whole-files", action="store_true", help="one request per file")
@@ -39,8 +43,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.mode == "stream" and not args.checkpoint:
         parser.error("stream needs --checkpoint")
-    if args.mode == "batch" and not args.as_of:
-        parser.error("batch needs --as-of")
+    if args.mode == "batch" and not (args.as_of or args.date_field):
+        parser.error("batch needs --as-of or --date-field")
+    if args.as_of and args.date_field:
+        parser.error("either --as-of or --date-field")
     return args
 
 
@@ -49,16 +55,19 @@ def main(argv: list[str] | None = None) -> None:
     cfg = PROFILES[args.profile]
     conf = {"spark.checkpoint.dir": args.work} if args.work else {}
     spark = build_session(f"tradeline-{args.mode}", **conf)
+    as_of = F.col("as_of") if args.date_field else args.as_of
     if args.mode == "stream":
-        raw = stream_requests(spark, args.requests, args.files_per_batch, args.id_field)
+        raw = stream_requests(spark, args.requests, args.files_per_batch, args.id_field, args.date_field)
         run_stream(
-            raw, args.out, args.checkpoint, args.as_of, cfg, available_now=not args.keep_running
+            raw, args.out, args.checkpoint, as_of, cfg, available_now=not args.keep_running
         ).awaitTermination()
         return
-    read = read_request_files if args.whole_files else read_requests
-    raw = read(spark, args.requests, args.id_field)
+    if args.whole_files:
+        raw = read_request_files(spark, args.requests, args.id_field, args.date_field)
+    else:
+        raw = read_requests(spark, args.requests, args.id_field, args.date_field, args.stable_ids)
     run_batch(
-        raw, args.out, args.as_of, cfg, run=args.run, documents=args.documents, per_file=args.per_file
+        raw, args.out, as_of, cfg, run=args.run, documents=args.documents, per_file=args.per_file
     )
 
 

@@ -136,6 +136,8 @@ class PolicyConfig:
     normalise_phone: bool = True
     suit_from_account: bool = True
     require_enquiry_summary: bool = False
+    #: Fallbacks look at whether a key was sent at all; else a key that is null everywhere counts as absent.
+    key_presence: bool = False
     user_column: str = "user_id"
 
     def __post_init__(self):

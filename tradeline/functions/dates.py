@@ -4,6 +4,8 @@ Bureau files mix ISO dates with day-first and month-first spellings. A value is
 first rewritten to ``yyyy-M-d[ time]`` by one CASE and then cast once with
 ``try_cast``, so an unreadable value is null instead of a failed task, and ISO
 input (the usual case) pays for a single pattern test.
+
+``as_of`` is one date for all rows, or a date column that gives each request its own.
 """
 
 from __future__ import annotations
@@ -31,9 +33,18 @@ _SHORT_YEAR = rf"^(\d{{1,2}}{_SEP}\d{{1,2}}{_SEP})(\d\d)(?=$|[ T])"
 _MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
-def month_number(as_of: dt.date) -> int:
-    """Months since year zero of the reference date, as a plain number."""
-    return as_of.year * 12 + as_of.month
+#: The decision date: one for the whole job, or a column.
+AsOf = dt.date | Column
+
+
+def per_request(as_of: AsOf) -> bool:
+    """Whether every request has a date of its own."""
+    return isinstance(as_of, Column)
+
+
+def month_number(as_of: AsOf) -> Column:
+    """Months since year zero of the reference date; a plain number for one date."""
+    return month_index(as_of) if per_request(as_of) else F.lit(as_of.year * 12 + as_of.month)
 
 
 def month_index(ts: Column) -> Column:
@@ -41,9 +52,9 @@ def month_index(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts)
 
 
-def months_ago(ts: Column, as_of: dt.date) -> Column:
+def months_ago(ts: Column, as_of: AsOf) -> Column:
     """Calendar months from ``ts`` to ``as_of`` (days are ignored)."""
-    return F.lit(month_number(as_of)) - month_index(ts)
+    return month_number(as_of) - month_index(ts)
 
 
 def tenure_months(end: Column, opened: Column) -> Column:
@@ -56,10 +67,11 @@ def _named_month(name: Column) -> Column:
     return F.when(at % 3 == 1, ((at + 2) / 3).cast("int").cast("string"))
 
 
-def _full_year(text: Column, as_of: dt.date) -> Column:
+def _full_year(text: Column, as_of: AsOf) -> Column:
     """``3/4/23`` -> ``3/4/2023``, in the century closest to ``as_of``."""
     short = F.regexp_extract(text, _SHORT_YEAR, 2).try_cast("int")
-    century = F.when(short + 2000 >= as_of.year + 50, "19").otherwise("20")
+    year = F.year(as_of) if per_request(as_of) else F.lit(as_of.year)
+    century = F.when(short + 2000 >= year + 50, "19").otherwise("20")
     return F.concat(
         F.regexp_extract(text, _SHORT_YEAR, 1), century, F.regexp_replace(text, _SHORT_YEAR, "$2")
     )
@@ -99,7 +111,7 @@ def _whole_day(text: Column) -> Column:
     return F.when(text.rlike(_HALF_DAY), F.concat(part(1), hour.cast("string"), part(3))).otherwise(text)
 
 
-def parse_date(text: Column, as_of: dt.date, day_first: bool) -> Column:
+def parse_date(text: Column, as_of: AsOf, day_first: bool) -> Column:
     """Parse one date string to ``timestamp_ntz``; null when unreadable.
 
     ``day_first`` decides spellings such as ``03/04/2023``; when the preferred

@@ -10,7 +10,6 @@ field of the previous stage. The same stage therefore runs
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -19,10 +18,10 @@ from pyspark.sql import functions as F
 from tradeline.config import PolicyConfig
 from tradeline.functions import history as h
 from tradeline.functions.codes import code_level, code_levels, has_level
-from tradeline.functions.dates import months_ago
+from tradeline.functions.dates import AsOf, months_ago
 
 Getter = Callable[[str], Column]
-Stage = Callable[[Getter, PolicyConfig, dt.date], dict[str, Column]]
+Stage = Callable[[Getter, PolicyConfig, AsOf], dict[str, Column]]
 
 
 def holds(condition: Column) -> Column:
@@ -30,7 +29,7 @@ def holds(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def placed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+def placed(get: Getter, cfg: PolicyConfig, as_of: AsOf) -> dict[str, Column]:
     """Reporting lag and months on book."""
     return {
         "lag": months_ago(get("reported"), as_of),
@@ -39,7 +38,7 @@ def placed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
     }
 
 
-def coded(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+def coded(get: Getter, cfg: PolicyConfig, as_of: AsOf) -> dict[str, Column]:
     """Severe codes in the visible months; severities of the last twelve."""
     lag = get("lag")
 
@@ -55,7 +54,7 @@ def coded(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
     }
 
 
-def framed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+def framed(get: Getter, cfg: PolicyConfig, as_of: AsOf) -> dict[str, Column]:
     """Worst severity and months late in the last 12, 6 and 3 completed months."""
 
     def late(months: int) -> Column:
@@ -71,7 +70,7 @@ def framed(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
     }
 
 
-def flagged(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+def flagged(get: Getter, cfg: PolicyConfig, as_of: AsOf) -> dict[str, Column]:
     """The account flags of the policy."""
     return {
         "perf_avail": holds(get("lag") <= h.MONTHS),
@@ -92,7 +91,7 @@ def flagged(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]
 def together(*stages: Stage) -> Stage:
     """Several cheap stages in one pass; later ones may use fields of earlier ones."""
 
-    def run(get: Getter, cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+    def run(get: Getter, cfg: PolicyConfig, as_of: AsOf) -> dict[str, Column]:
         out: dict[str, Column] = {}
         for stage in stages:
             out.update(stage(lambda n: out[n] if n in out else get(n), cfg, as_of))
@@ -166,32 +165,40 @@ def contributions(get: Getter) -> dict[str, tuple[str, Column]]:
 # --- account table form -----------------------------------------------------
 
 
-def score_accounts(accounts: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> DataFrame:
-    """Add lag, months on book, flags and counts to an account table (no shuffle)."""
-    out = accounts
+def with_defaults(accounts: DataFrame) -> DataFrame:
+    """Columns that an account table may leave out."""
     for name, default in (
         ("bad_number", F.lit(False)),
         ("has_balance", F.col("balance").isNotNull()),
         ("suit_status", F.lit(None).cast("string")),
     ):
-        if name not in out.columns:
-            out = out.withColumn(name, default)
+        if name not in accounts.columns:
+            accounts = accounts.withColumn(name, default)
+    return accounts
+
+
+def score_accounts(accounts: DataFrame, as_of: AsOf, cfg: PolicyConfig) -> DataFrame:
+    """Add lag, months on book, flags and counts to an account table (no shuffle)."""
+    out = with_defaults(accounts)
     for stage in STAGES:
         out = out.withColumns(stage(F.col, cfg, as_of))
     return out.drop(*SCRATCH)
 
 
-def roll_up(scored: DataFrame, key: str = "request_id") -> DataFrame:
-    """One row per request.
+def combined(get: Getter, prefix: str = "") -> list[Column]:
+    """The aggregates of the contributions, named with ``prefix``."""
+    combine = {"sum": F.sum, "max": F.max, "any": F.bool_or}
+    return [combine[how](value).alias(prefix + name) for name, (how, value) in contributions(get).items()]
+
+
+def roll_up(scored: DataFrame, key: str = "request_id", also: dict[str, Column] | None = None) -> DataFrame:
+    """One row per request; ``also`` names further conditions that hold if any row meets them.
 
     Every aggregate is a sum, max or any, so Spark combines rows before the
     shuffle and a request with very many accounts costs one row per task.
     """
-    combine = {"sum": F.sum, "max": F.max, "any": F.bool_or}
-    parts = {name: (how, value) for name, (how, value) in contributions(F.col).items()}
-    return scored.groupBy(key).agg(
-        *[combine[how](value).alias(name) for name, (how, value) in parts.items()]
-    )
+    more = [F.bool_or(value).alias(name) for name, value in (also or {}).items()]
+    return scored.groupBy(key).agg(*combined(F.col), *more)
 
 
 # --- nested form ------------------------------------------------------------

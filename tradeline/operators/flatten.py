@@ -5,13 +5,12 @@ Exploding keeps the request's own columns beside each row, so nothing is joined.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeline import schemas as s
 from tradeline.functions import history as h
+from tradeline.functions.dates import AsOf
 from tradeline.operators import parse
 
 #: Account fields that get another name in the output tables.
@@ -79,7 +78,7 @@ def header_rows(parsed: DataFrame) -> DataFrame:
     return rows.select("request_id", "i", "z.productcode", "z.number")
 
 
-def enquiries(parsed: DataFrame, as_of: dt.date) -> DataFrame:
+def enquiries(parsed: DataFrame, as_of: AsOf) -> DataFrame:
     """request_id, raw, date."""
     typed = parse.typed_enquiries(F.col("raw_enquiries"), as_of)
     return parsed.select("request_id", F.explode(typed).alias("e")).select("request_id", "e.*")

@@ -6,7 +6,6 @@ and enquiries travel with it and nothing has to be joined or shuffled.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tradeline import schemas as s
 from tradeline.config import CURRENT, PolicyConfig
-from tradeline.functions.dates import parse_date
+from tradeline.functions.dates import AsOf, parse_date
 from tradeline.functions.numbers import is_bad_number, to_amount, to_double, to_whole
 from tradeline.operators.once import evaluated_once
 
@@ -58,16 +57,20 @@ def last_feature(features: Column, label: str) -> Column:
 def feature_map(features: Column) -> Column:
     """``map<label, double>``; a repeated label keeps its last value.
 
-    Labels are made distinct first, so the result does not depend on the
+    Entries without a label are left out. They are sorted once and the last of each label stays, so the result does not depend on the
     session's duplicate-key policy.
     """
-    labels = F.array_distinct(F.transform(features, lambda e: e["label"]))
-
-    def value_of(label: Column) -> Column:
-        hits = F.filter(features, lambda e: e["label"] == label)
-        return to_double(F.get(hits, F.array_size(hits) - 1)["value"])
-
-    return F.map_from_arrays(labels, F.transform(labels, value_of))
+    entry = lambda e, i: F.struct(e["label"].alias("label"), i.alias("i"), e["value"].alias("value"))
+    labelled = F.filter(features, lambda e: e["label"].isNotNull())
+    ordered = F.array_sort(F.transform(labelled, entry))
+    # By label and place: an entry is its label's last if the next one, laid beside it, has another label.
+    following = F.slice(ordered, 2, F.array_size(ordered))
+    own = F.zip_with(ordered, following, lambda e, n: F.when(n.isNull() | (n["label"] != e["label"]), e))
+    last = F.filter(own, lambda e: e.isNotNull())
+    by_place = F.array_sort(F.transform(last, lambda e: F.struct(e["i"].alias("i"), e["label"].alias("label"), e["value"].alias("value"))))
+    return F.map_from_entries(
+        F.transform(by_place, lambda e: F.struct(e["label"].alias("key"), to_double(e["value"]).alias("value")))
+    )
 
 
 def read_score(details: Column, missing: int) -> Column:
@@ -80,15 +83,16 @@ def read_score(details: Column, missing: int) -> Column:
 def parse_requests(
     raw: DataFrame,
     cfg: PolicyConfig = CURRENT,
-    detail: bool = True,
+    detail: s.Detail = True,
     parts: Iterable[str] = s.REPORT_PARTS,
 ) -> DataFrame:
     """Parse ``value`` (one JSON document per row) into a typed request frame.
 
     ``raw`` needs ``request_id`` and ``value``; other columns are carried along.
-    ``detail=False`` parses only what a decision reads, ``parts`` names the parts
-    of the report that are parsed at all (the others are null). Undecodable
-    documents stay in the frame with ``bad_json = true``.
+    ``detail=False`` parses only what a decision reads, a collection the named parts in full;
+    ``parts`` names the parts of the report that are parsed at all (the others are null). Undecodable
+    documents stay in the frame with ``bad_json = true``. With ``cfg.key_presence`` the accounts are read
+    a second time, as maps, and ``account_keys`` holds the keys that any account of the report has.
     """
     parts = tuple(parts)
     carried = [name for name in raw.columns if name != "value"]
@@ -120,12 +124,16 @@ def parse_requests(
             F.lit(None).cast("string").alias("max_income"),
             F.lit(False).alias("no_envelope"),
         ]
+    keys = []
+    if cfg.key_presence:
+        keys = [_account_keys(F.from_json("value", s.account_keys_ddl(cfg.envelope)), cfg.envelope).alias("account_keys")]
     inquiry = bureau["InquiryRequestInfo"]
     report = F.get(bureau["CCRResponse"]["CIRReportDataLst"], F.lit(0))
     # Two steps: the second one reads fields of the first, so the document is
     # parsed once per row and the first report is located once.
-    located = raw.select(*carried, doc.alias("doc")).select(
+    located = raw.select(*carried, doc.alias("doc"), *keys).select(
         *carried,
+        *(["account_keys"] if keys else []),
         bad_json.alias("bad_json"),
         *envelope,
         bureau["Error"].alias("top_error"),
@@ -156,6 +164,13 @@ def parse_requests(
     return parsed.withColumn("header_rows", F.coalesce(F.greatest(*sizes), F.lit(1)))
 
 
+def _account_keys(doc: Column, envelope: bool) -> Column:
+    """Distinct keys of all accounts of the first report."""
+    bureau = doc["bureau_data"] if envelope else doc
+    report = F.get(bureau["CCRResponse"]["CIRReportDataLst"], F.lit(0))["CIRReportData"]
+    return F.array_distinct(F.flatten(F.transform(report["RetailAccountDetails"], F.map_keys)))
+
+
 def report_number() -> Column:
     return header_at("ReportOrderNO", F.lit(0))
 
@@ -163,7 +178,7 @@ def report_number() -> Column:
 _ACCOUNT_DATES = {"opened": "DateOpened", "closed": "DateClosed", "reported": "DateReported"}
 
 
-def typed_account(a: Column, ordinal: Column, as_of: dt.date, detail: bool) -> dict[str, Column]:
+def typed_account(a: Column, ordinal: Column, as_of: AsOf, detail: bool) -> dict[str, Column]:
     """Typed fields of one raw account struct.
 
     Month codes become plain string arrays; with ``detail`` the raw account is
@@ -190,12 +205,12 @@ def typed_account(a: Column, ordinal: Column, as_of: dt.date, detail: bool) -> d
     return fields
 
 
-def dated(get: Callable[[str], Column], cfg: PolicyConfig, as_of: dt.date) -> dict[str, Column]:
+def dated(get: Callable[[str], Column], cfg: PolicyConfig, as_of: AsOf) -> dict[str, Column]:
     """Account dates by name."""
     return {name: F.get(get("days"), F.lit(i)) for i, name in enumerate(_ACCOUNT_DATES)}
 
 
-def typed_enquiries(enquiries: Column, as_of: dt.date) -> Column:
+def typed_enquiries(enquiries: Column, as_of: AsOf) -> Column:
     """Enquiry list with its parsed date (month-first when ambiguous)."""
     return F.transform(
         enquiries,

@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tradeline.config import PolicyConfig, Rule
-from tradeline.functions.dates import months_ago
+from tradeline.functions.dates import AsOf, months_ago
 from tradeline.operators.accounts import holds
 
 Getter = Callable[[str], Column]
 
 
-def is_recent_enquiry(date: Column, as_of: dt.date, cfg: PolicyConfig) -> Column:
+def is_recent_enquiry(date: Column, as_of: AsOf, cfg: PolicyConfig) -> Column:
     """Enquiry in the current or the previous three months; later dates count."""
     return holds(months_ago(date, as_of) <= cfg.enquiry_months)
 
 
-def count_recent(enquiries: Column, as_of: dt.date, cfg: PolicyConfig) -> Column:
+def count_recent(enquiries: Column, as_of: AsOf, cfg: PolicyConfig) -> Column:
     """Recent enquiries of a nested list; 0 when no list was sent."""
     hits = F.filter(enquiries, lambda e: is_recent_enquiry(e["date"], as_of, cfg))
     return F.coalesce(F.array_size(hits), F.lit(0)).cast("bigint")
@@ -95,6 +94,11 @@ def history_status(route: Column, thin: Column) -> Column:
     )
 
 
+def missing_date(as_of: Column) -> Column:
+    """The error of a request that should have its own decision date and has none; else null."""
+    return F.when(as_of.isNull(), "MISSING_DATE")
+
+
 def report_error(get: Getter, cfg: PolicyConfig) -> Column:
     """First failure found while reading the report of a HIT request, else null."""
     suit_known = get("any_suit")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Mapping
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeline import schemas as s
 from tradeline.config import CURRENT, PolicyConfig
+from tradeline.functions.dates import AsOf, per_request
 from tradeline.functions.limits import credit_limit
 from tradeline.functions.numbers import is_bad_number
 from tradeline.operators import accounts as acc
@@ -21,7 +23,7 @@ READ_FIELDS = (
     "request_id", "user_id", "bad_json", "features", "min_income", "max_income", "no_envelope",
     "top_error", "header", "header_lists", "inquiry", "phones", "report_error", "no_report",
     "header_rows",
-    "raw_accounts", "enquiry_summary", "raw_enquiries", "score_details",
+    "raw_accounts", "enquiry_summary", "raw_enquiries", "score_details", "account_keys",
 )
 
 # What the output tables read beside the decision.
@@ -58,7 +60,7 @@ def _limit(cfg: PolicyConfig) -> Column:
     )
 
 
-def with_inputs(requests: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> DataFrame:
+def with_inputs(requests: DataFrame, as_of: AsOf, cfg: PolicyConfig) -> DataFrame:
     """Typed request-level inputs beside the parsed report."""
     features = F.col("features")
     bad_value = lambda e: e["value"].isNull() | is_bad_number(e["value"])
@@ -78,7 +80,7 @@ def with_inputs(requests: DataFrame, as_of: dt.date, cfg: PolicyConfig) -> DataF
     )
 
 
-def _with_accounts(df: DataFrame, as_of: dt.date, cfg: PolicyConfig, detail: bool) -> DataFrame:
+def _with_accounts(df: DataFrame, as_of: AsOf, cfg: PolicyConfig, detail: bool) -> DataFrame:
     """The account array with all stages applied, and its roll-up ``facts``."""
     known: list[str] = []
 
@@ -92,7 +94,21 @@ def _with_accounts(df: DataFrame, as_of: dt.date, cfg: PolicyConfig, detail: boo
     for stage in (acc.together(parse.dated, first), *rest):
         items, known = acc.extend_structs(F.col("accounts"), known, stage, cfg, as_of)
         df = df.withColumn("accounts", items)
-    return df.withColumn("facts", acc.fold_structs(F.col("accounts")))
+    facts = acc.fold_structs(F.col("accounts"))
+    if cfg.key_presence:
+        facts = facts.withField("any_suit_status", _has_key("SuitFiledStatus"))
+    return df.withColumn("facts", facts)
+
+
+def _has_key(name: str) -> Column:
+    """Whether any account of the report was sent with this key."""
+    return acc.holds(F.array_contains("account_keys", name))
+
+
+def _high_known(cfg: PolicyConfig) -> Column:
+    if cfg.key_presence:
+        return _has_key("HighCredit") | _has_key("SanctionAmount")
+    return F.exists("raw_accounts", lambda a: a["HighCredit"].isNotNull() | a["SanctionAmount"].isNotNull())
 
 
 def _metrics(cfg: PolicyConfig) -> dict[str, Column]:
@@ -118,17 +134,19 @@ def _surviving(scored: Column) -> Column:
 
 
 def score_requests(
-    requests: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT, detail: bool = True
+    requests: DataFrame, as_of: AsOf, cfg: PolicyConfig = CURRENT, detail: s.Detail = True
 ) -> DataFrame:
     """Decide every parsed request.
 
     Adds ``error_reason, accept_ind, bureau_history_status, bnpl_limit``, the
     26-field ``policy`` struct, the surviving ``accounts`` with their flags and
     the typed ``enquiries``. A request that cannot be processed keeps its row
-    with an ``error_reason`` and null results.
+    with an ``error_reason`` and null results. ``detail=False`` leaves out what only the output
+    tables need, a collection keeps the named ones of ``DETAIL_FIELDS``.
     """
     c = F.col
-    df = _with_accounts(with_inputs(requests, as_of, cfg), as_of, cfg, detail).withColumns(
+    kept = (DETAIL_FIELDS if detail else ("policy",)) if isinstance(detail, bool) else tuple(detail)
+    df = _with_accounts(with_inputs(requests, as_of, cfg), as_of, cfg, "accounts" in kept).withColumns(
         {
             "inq_flag": policy.count_recent(c("enquiries"), as_of, cfg),
             "bnpl_limit": _limit(cfg),
@@ -141,7 +159,7 @@ def score_requests(
         {
             "thin": policy.is_thin_file(c("facts.max_mob"), rows, cfg),
             "rules": F.struct(*[outcome.alias(n) for n, outcome in rules.items()]),
-            "error_reason": _error_reason(cfg),
+            "error_reason": _error_reason(as_of, cfg),
         }
     )
     ok = c("error_reason").isNull()
@@ -161,15 +179,15 @@ def score_requests(
         "bnpl_limit": F.when(ok, c("bnpl_limit")),
         "policy": F.when(scored & (c("facts.n_usable") > 0), policy_row),
     }
-    if detail:
-        results["accounts"] = _surviving(scored)
-        results["enquiries"] = F.when(scored, c("enquiries"))
-        results["high_known"] = F.exists(
-            "raw_accounts", lambda a: a["HighCredit"].isNotNull() | a["SanctionAmount"].isNotNull()
-        )
+    for name, value in (
+        ("accounts", lambda: _surviving(scored)),
+        ("enquiries", lambda: F.when(scored, c("enquiries"))),
+        ("high_known", lambda: _high_known(cfg)),
+    ):
+        if name in kept:
+            results[name] = value()
     df = df.withColumns(results)
     carried = [n for n in requests.columns if n not in READ_FIELDS]
-    kept = DETAIL_FIELDS if detail else ("policy",)
     return evaluated_once(df.select(*[n for n, _ in s.DECISION_FIELDS], *carried, *kept))
 
 
@@ -186,9 +204,11 @@ def reading_error() -> Column:
     )
 
 
-def _error_reason(cfg: PolicyConfig) -> Column:
+def _error_reason(as_of: AsOf, cfg: PolicyConfig) -> Column:
     c = F.col
     reading = reading_error()
+    if per_request(as_of):
+        reading = F.coalesce(reading, policy.missing_date(as_of))
     request_level = {"score", "reportnumber", "enquiry_summary"}
     get = lambda n: c(n) if n in request_level else c(f"facts.{n}")
     report = F.when(c("route") == "HIT", policy.report_error(get, cfg))
@@ -198,10 +218,32 @@ def _error_reason(cfg: PolicyConfig) -> Column:
 
 
 def decide_documents(
-    raw: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT
+    raw: DataFrame, as_of: AsOf, cfg: PolicyConfig = CURRENT
 ) -> DataFrame:
     """Decision table straight from JSON, parsing only the fields it needs."""
     parsed = parse.parse_requests(raw, cfg, detail=False)
     return score_requests(parsed, as_of, cfg, detail=False).select(
         *[n for n, _ in s.DECISION_FIELDS]
     )
+
+
+def decide_policies(raw: DataFrame, as_of: AsOf, policies: Mapping[str, PolicyConfig]) -> DataFrame:
+    """Decisions of several policies side by side: a row for each request and policy.
+
+    The documents are read and parsed once, in the enveloped shape if any policy needs the envelope; a policy
+    without one then decides on the bare report inside. Each policy scores the same parsed row.
+    """
+    shape = any(cfg.envelope for cfg in policies.values())
+    parsed = parse.parse_requests(raw, replace(CURRENT, envelope=shape, key_presence=any(p.key_presence for p in policies.values())), detail=False)
+    fields = [n for n, _ in s.DECISION_FIELDS]
+    df, done = parsed.select(F.struct(*parsed.columns).alias("document")), []
+    for i, (name, cfg) in enumerate(policies.items()):
+        rows = df.select("document", *done, "document.*")
+        if shape and not cfg.envelope:
+            unread = {n: F.lit(None).cast(parsed.schema[n].dataType) for n in ("user_id", "features", "min_income", "max_income")}
+            rows = rows.withColumns(unread | {"no_envelope": F.lit(False)})
+        scored = score_requests(rows, as_of, cfg, detail=())
+        result = F.struct(F.lit(name).alias("policy_name"), *fields)
+        df = scored.select("document", *done, result.alias(f"decision_{i}"))
+        done.append(f"decision_{i}")
+    return df.select(F.explode(F.array(*done)).alias("decision")).select("decision.*")

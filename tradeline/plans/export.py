@@ -227,7 +227,7 @@ def enquiry_columns(e: Column, as_of, cfg: PolicyConfig) -> dict[str, Column]:
 
 def enquiry_table(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
     """One row per enquiry, 8 columns, keyed by request_id."""
-    rows = scored.select("request_id", F.explode("enquiries").alias("e"))
+    rows = scored.withColumn("e", F.explode("enquiries"))
     columns = enquiry_columns(F.col("e"), as_of, cfg)
     return rows.select("request_id", *[v.alias(n) for n, v in columns.items()])
 

@@ -6,6 +6,8 @@ and one-element lists, and a list read as text keeps its JSON spelling.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 CORRUPT = "_corrupt_record"
 
 HEADER_FIELDS = ("ClientID", "CustRefField", "ReportOrderNO", "ProductCode", "SuccessCode", "Date", "Time")
@@ -39,23 +41,33 @@ def _struct(fields, *typed: str) -> str:
 REPORT_PARTS = ("RetailAccountDetails", "ScoreDetails", "EnquirySummary", "Enquiries")
 
 
-def part_types(detail: bool = True) -> dict[str, str]:
+#: True: all fields of a report; False: those a decision reads; names of parts: these parts with all fields.
+Detail = bool | Collection[str]
+
+
+def in_full(detail: Detail, part: str) -> bool:
+    return detail if isinstance(detail, bool) else part in detail
+
+
+def part_types(detail: Detail = True) -> dict[str, str]:
     """DDL type of each part of the report."""
-    history = _struct(HISTORY_FIELDS if detail else DECISION_HISTORY)
+    accounts_in_full = in_full(detail, "RetailAccountDetails")
+    history = _struct(HISTORY_FIELDS if accounts_in_full else DECISION_HISTORY)
     account = _struct(
-        ACCOUNT_FIELDS if detail else DECISION_ACCOUNT, f"History48Months: array<{history}>"
+        ACCOUNT_FIELDS if accounts_in_full else DECISION_ACCOUNT, f"History48Months: array<{history}>"
     )
     return {
         "RetailAccountDetails": f"array<{account}>",
         "ScoreDetails": f"array<{_struct(('Value',))}>",
         "EnquirySummary": _struct(SUMMARY_FIELDS),
-        "Enquiries": f"array<{_struct(ENQUIRY_FIELDS if detail else ('Date',))}>",
+        "Enquiries": f"array<{_struct(ENQUIRY_FIELDS if in_full(detail, 'Enquiries') else ('Date',))}>",
     }
 
 
-def bureau_type(detail: bool = True, parts: tuple[str, ...] = REPORT_PARTS) -> str:
+def bureau_type(detail: Detail = True, parts: tuple[str, ...] = REPORT_PARTS) -> str:
     """DDL type of the bureau report; ``detail=False`` keeps decision inputs only."""
     types = part_types(detail)
+    detail = in_full(detail, "InquiryRequestInfo")
     phones = _struct(PHONE_FIELDS if detail else ("Number",))
     error = _struct(("ErrorCode", "ErrorDesc"))
     # A report without any part is still told from a missing one.
@@ -71,7 +83,7 @@ def bureau_type(detail: bool = True, parts: tuple[str, ...] = REPORT_PARTS) -> s
 
 
 def request_ddl(
-    envelope: bool = True, detail: bool = True, parts: tuple[str, ...] = REPORT_PARTS
+    envelope: bool = True, detail: Detail = True, parts: tuple[str, ...] = REPORT_PARTS
 ) -> str:
     """DDL of one input document, with the corrupt-record column."""
     bureau = bureau_type(detail, parts)
@@ -85,6 +97,13 @@ def request_ddl(
     )
 
 
+def account_keys_ddl(envelope: bool = True) -> str:
+    """DDL that reads the accounts of a report as maps, which tell an absent key from a null one."""
+    report = "struct<RetailAccountDetails: array<map<string, string>>>"
+    bureau = f"struct<CCRResponse: struct<CIRReportDataLst: array<struct<CIRReportData: {report}>>>>"
+    return f"bureau_data {bureau}" if envelope else bureau
+
+
 # Rolled-up metrics and rule outcomes: the 26 columns of the user policy table.
 METRIC_FIELDS = (
     ("sum_perf_avail", "bigint"),

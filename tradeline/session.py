@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(name: str = "tradeline", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,6 +39,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, so that nothing before it runs again; Spark removes it with the frame."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 class Files:
     """Whole folders and small marker files on the file system of a path."""
 

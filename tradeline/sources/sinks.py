@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeline.config import CURRENT, PolicyConfig
+from tradeline.functions.dates import AsOf, per_request
 from tradeline.plans import export
 from tradeline.session import Files
 
@@ -22,7 +23,7 @@ TABLES = ("decision", "bureau", "enquiry", "user_policy", "quarantine")
 
 
 def table_frames(
-    scored: DataFrame, as_of: dt.date, cfg: PolicyConfig = CURRENT
+    scored: DataFrame, as_of: AsOf, cfg: PolicyConfig = CURRENT
 ) -> dict[str, DataFrame]:
     """The five output tables of scored requests."""
     return {
@@ -37,7 +38,7 @@ def table_frames(
 def write_tables(
     scored: DataFrame,
     path: str,
-    as_of: dt.date,
+    as_of: AsOf,
     cfg: PolicyConfig = CURRENT,
     *,
     run: str,
@@ -45,16 +46,29 @@ def write_tables(
 ) -> None:
     """Write the five tables of one run (and micro-batch), all of them or none.
 
-    A run that is repeated under the same name replaces its own rows, so they appear once.
+    A run that is repeated under the same name replaces its own rows, so they appear once. If requests have
+    dates of their own (``as_of`` is a column), each date is a part that is written by itself.
     """
+    if per_request(as_of):
+        dates = [r[0] for r in scored.select(as_of.cast("date")).distinct().collect()]
+        for date in dates:
+            _write_part(scored.where(as_of.cast("date").eqNullSafe(F.lit(date))), path, date, cfg, run, batch)
+    else:
+        _write_part(scored, path, as_of, cfg, run, batch)
+
+
+def _write_part(
+    scored: DataFrame, path: str, as_of: dt.date | None, cfg: PolicyConfig, run: str, batch: int | None
+) -> None:
     if not re.fullmatch(r"[\w.-]+", run):
         raise ValueError(f"a run is named by letters, digits, points and dashes, not {run!r}")
     files = Files(scored.sparkSession, path)
-    part = f"as_of={as_of.isoformat()}/run={run}" + ("" if batch is None else f"/batch={batch}")
+    date = as_of.isoformat() if as_of else "__HIVE_DEFAULT_PARTITION__"  # read as null
+    part = f"as_of={date}/run={run}" + ("" if batch is None else f"/batch={batch}")
     marker = f"{path}/_complete/{part.replace('/', ',')}"
     staging = f"{path}/_staging/{part.replace('/', ',')}"
     files.delete(staging)
-    for name, df in table_frames(scored, as_of, cfg).items():
+    for name, df in table_frames(scored, as_of or F.lit(None).cast("date"), cfg).items():
         df.write.parquet(f"{staging}/{name}")
     files.delete(marker)
     for name in TABLES:
