@@ -16,7 +16,8 @@ stay; one of more than 50 words holds spans even if it loses the sentences at bo
 The spans are made once and written to the shared folder. Only hashes and ids are joined over all documents. The owner of
 a span is a minimum, combined before the shuffle, and spans meet their owner in an inner join that Spark can split, so a
 passage shared by a third of all documents is no bottleneck. What is gathered for one document is bounded by its
-text. Documents without foreign spans are not shuffled if the others are at most ``BROADCAST_IDS``.
+text. Only documents with foreign or repeated spans are read again; their ids are broadcast if they are at most
+``BROADCAST_IDS``, so that no other text is shuffled.
 
 Cases: null and empty texts stay as they are and have no sentence. A null doc_id takes no part between
 documents. Rows with the same doc_id count as one document, so they don't remove each other's spans.
@@ -25,19 +26,17 @@ Texts of any length are handled whole; extra columns are ignored (``clean_docume
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
-import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeline.llm.common import cut, map_batches, remove_folder, shared_folder
+from tradeline.llm.common import SLICE_CHARS, cut, few_files, map_batches, remove_folder, shared_folder
 
 SENTENCES, WORDS, BROADCAST_IDS = 2, 35, 500_000
 LONG, PICK = 8, 4
@@ -46,69 +45,89 @@ _END = re.compile(
     "\\s(?:(?<=\n)|(?<=[.!?…,;:][\\s])|(?<=[.!?…][\"'»”)][\\s])"
     "|(?<=[a-zß-öø-ÿ]\\s)(?=[A-ZÀ-ÖØ-Þ]))\\s*"
 )
-_WORD = re.compile(r"\S+")
+_BREAK = re.compile(r"\s")
+#: Fixed by Unicode: which of the code points up to U+3000 are white space; the last place stands for all others.
+_SPACE = np.array([*(chr(c).isspace() for c in range(0x3001)), False])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _coarse(text: str) -> list[int]:
-    """Starts of what marks, line ends and capitals cut, and the end of the text."""
-    starts = [0, *(m.end() for m in _END.finditer(text))]
-    if starts[-1] < len(text) or not text:
-        starts.append(len(text))
-    return starts if text else [0]
-
-
-def _picked(words: list[str]) -> Iterator[int]:
-    """Behind how many words a sentence is cut."""
-    if len(words) > LONG:
-        for k, word in enumerate(words[:-1], 1):
-            if zlib.crc32(word.encode("utf-8", "surrogatepass")) % PICK == 0:
-                yield k
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(29))
+
+
+def _lowered(text: str) -> str:
+    """Lower case, one character for one."""
+    lowered = text.lower()
+    if len(lowered) != len(text):
+        lowered = "".join(c.lower()[0] for c in text)
+    return lowered.replace("ς", "σ")
+
+
+def _hashed(lowered: str) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of every word."""
+    codes = np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), "<u4")
+    solid = np.zeros(len(codes) + 2, bool)
+    solid[1:-1] = ~_SPACE[np.minimum(codes, len(_SPACE) - 1)]
+    edge = np.flatnonzero(solid[1:] != solid[:-1])
+    start, end = edge[::2], edge[1::2]
+    total = np.zeros(len(codes) + 1, np.uint64)
+    np.cumsum(_mix((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(_BASE)) * _powers(_BASE, len(codes)), out=total[1:])
+    value = (total[end] - total[start]) * _powers(_INVERSE, len(codes))[start]
+    return start, _mix(value + (end - start).astype(np.uint64))
+
+
+def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and hash (in lower case) of every word, and behind how many words each sentence ends."""
+    parts, at = [], 0
+    while at < len(text):
+        space = _BREAK.search(text, min(at + SLICE_CHARS, len(text)))
+        stop = space.end() if space else len(text)
+        start, value = _hashed(_lowered(text[at:stop]))
+        parts.append((start + at, value))
+        at = stop
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    start, value = (np.concatenate(p) for p in zip(*parts, strict=True))
+    marks = np.array([*(m.end() for m in _END.finditer(text)), len(text)])
+    ends = np.unique(np.searchsorted(start, marks))
+    ends = ends[ends > 0]
+    sizes = np.diff(ends, prepend=0)
+    cut = np.repeat(sizes > LONG, sizes) & (value % np.uint64(PICK) == 0)
+    cut[ends - 1] = True
+    return start, value, np.flatnonzero(cut) + 1
 
 
 def sentences(text: str) -> list[int]:
     """Starts of the sentences, and the end of the text; white space belongs to what stands before it."""
-    coarse, out = _coarse(text), []
-    for low, high in zip(coarse, coarse[1:]):
-        out.append(low)
-        if cuts := list(_picked(text[low:high].lower().split())):
-            starts = [m.start() for m in _WORD.finditer(text, low, high)]
-            out += [starts[k] for k in cuts]
-    return [*out, coarse[-1]]
-
-
-def _sentence_words(text: str) -> Iterator[list[str]]:
-    """The words of each sentence in lower case."""
-    coarse = _coarse(text)
-    for low, high in zip(coarse, coarse[1:]):
-        own, last = text[low:high].lower().split(), 0
-        for k in _picked(own):
-            yield own[last:k]
-            last = k
-        yield own[last:]
+    if not text:
+        return [0]
+    start, _, ends = _words(text)
+    return [0, *start[ends[:-1]].tolist(), len(text)]
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+@functools.lru_cache(maxsize=2)
+def _all_powers(base: int, n: int) -> np.ndarray:
     factors = np.full(n, base, np.uint64)
-    if n:
-        factors[0] = 1
+    factors[0] = 1
     return np.cumprod(factors)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; those of a usual text are kept."""
+    return _all_powers(base, 1 << 17)[:n] if n <= 1 << 17 else _all_powers.__wrapped__(base, n)
+
+
 def spans(text: str, least_sentences: int = SENTENCES, least_words: int = WORDS):
     """Number of sentences; hash, start and end (exclusive) of the spans, by start and end.
 
     From every sentence the shortest span forward, and up to every sentence the shortest one backward, of at least
     ``least_words`` words in ``least_sentences`` sentences. A sentence of ``least_words`` words is a span by itself.
     """
-    counts, digests = [], []
-    for own in _sentence_words(text):
-        counts.append(len(own))
-        digests.append(xxhash.xxh64_intdigest(" ".join(own).encode("utf-8", "surrogatepass")))
-    n = len(counts)
-    hashes, words = np.array(digests, np.uint64), np.r_[0, np.array(counts, np.int64)]
-    long = np.diff(words_up_to := np.cumsum(words)) >= least_words
+    _, hashes, ends = _words(text)
+    n, words_up_to = len(ends), np.r_[0, ends]
+    long = np.diff(words_up_to) >= least_words
     place = np.arange(n)
     after = np.searchsorted(words_up_to, words_up_to[:-1] + least_words)
     after = np.where(long, place + 1, np.maximum(after, place + least_sentences))
@@ -118,87 +137,103 @@ def spans(text: str, least_sentences: int = SENTENCES, least_words: int = WORDS)
     start = np.concatenate([place[forward], before[backward]])
     end = np.concatenate([after[forward], place[backward] + 1])
     start, end = np.divmod(np.unique(start * (n + 1) + end), n + 1)
-    total = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, n), dtype=np.uint64)]
-    value = (total[end] - total[start]) * _powers(_INVERSE, n)[start]
-    value ^= (end - start).astype(np.uint64) * np.uint64(0xC4CEB9FE1A85EC53)
-    value = (value ^ (value >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
-    return n, (value ^ (value >> np.uint64(29))).view(np.int64), start, end
+    low, high = words_up_to[start], words_up_to[end]
+    total = np.r_[np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64)]
+    value = (total[high] - total[low]) * _powers(_INVERSE, len(hashes) + 1)[low]
+    value ^= (high - low).astype(np.uint64) * np.uint64(0xC4CEB9FE1A85EC53)
+    return n, _mix(value).view(np.int64), start, end
 
 
 def remove(text: str | None, foreign: np.ndarray, least_sentences: int, least_words: int):
-    """The text without repeated sentences, its sentences, and how many of them went.
+    """The text without repeated sentences, and how many of them went.
 
     ``foreign``: hashes of spans that belong to other documents.
     """
     if not text:
-        return text, 0, 0
+        return text, 0
     n, hashes, start, end = spans(text, least_sentences, least_words)
     _, first = np.unique(hashes, return_index=True)
     gone = np.ones(len(hashes), bool)
     gone[first] = False
     gone |= np.isin(hashes, foreign)
     if not gone.any():
-        return text, n, 0
+        return text, 0
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, start[gone], 1)
     np.add.at(edge, end[gone], -1)
     covered = np.cumsum(edge)[:n] > 0
     bounds = sentences(text)
     kept = "".join(text[bounds[i] : bounds[i + 1]] for i in np.flatnonzero(~covered))
-    return kept.rstrip(), n, int(covered.sum())
+    return kept.rstrip(), int(covered.sum())
 
 
 def span_rows(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
-    """span (hash), doc_id: every distinct span of each row of ``docs`` (doc_id, text)."""
+    """span (hash), doc_id: every distinct span of each row of ``docs`` (doc_id, text).
+
+    A text that repeats a span of its own has a row more, without a span.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.unique(spans(t.as_py() or "", least_sentences, least_words)[1]) for t in batch.column(1)]
-        ids = np.repeat(batch.column(0).to_numpy(), [len(f) for f in found])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(ids)], ["span", "doc_id"])
+        found, counts, repeats = [], [], []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            hashes = spans(text.as_py() or "", least_sentences, least_words)[1]
+            found.append(np.unique(hashes))
+            counts.append(len(found[-1]))
+            if counts[-1] < len(hashes):
+                repeats.append(doc_id)
+        ids = np.repeat(batch.column(0).to_numpy(), counts)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([pa.array(np.concatenate(found)), pa.nulls(len(repeats), pa.int64())]),
+                pa.concat_arrays([pa.array(ids), pa.array(repeats, pa.int64())]),
+            ],
+            ["span", "doc_id"],
+        )
 
     return map_batches(docs.where("doc_id is not null"), run, "span long, doc_id long")
 
 
 def _cleaned(rows: DataFrame, least_sentences: int, least_words: int) -> DataFrame:
-    """``rows`` (doc_id, text, others) with cleaned ``text``, ``n_sentences`` and ``n_removed``."""
+    """``rows`` (doc_id, text, others) with cleaned ``text`` and ``n_removed``.
+
+    Only documents with spans of other documents or repeated ones of their own are read again.
+    """
     spark = rows.sparkSession
     path = f"{shared_folder(spark)}/spans-{uuid.uuid4().hex}"
-    span_rows(rows.select("doc_id", "text"), least_sentences, least_words).write.parquet(path)
+    few_files(span_rows(rows.select("doc_id", "text"), least_sentences, least_words)).write.parquet(path)
     found = spark.read.schema("span long, doc_id long").parquet(path)
     owners = (
         found.groupBy("span")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("other"))
-        .where("owner < other")
+        .where("span is not null and owner < other")
         .select("span", "owner")
     )
-    foreign = found.join(owners, "span").where("doc_id <> owner")
+    foreign = found.join(owners, "span").where("doc_id <> owner").select("span", "doc_id")
+    foreign = foreign.unionByName(found.where("span is null"))
     foreign = cut(foreign.groupBy(F.col("doc_id").alias("span_doc")).agg(F.collect_set("span").alias("foreign_spans")))
     remove_folder(spark, path)
-    same = rows["doc_id"] == F.col("span_doc")
+    ids = foreign.select("span_doc")
     if foreign.count() <= BROADCAST_IDS:
-        ids = F.broadcast(foreign.select("span_doc"))
-        apart = rows.join(ids, same, "left_anti").withColumn("foreign_spans", F.lit(None).cast("array<long>"))
-        joined = rows.join(ids, same, "left_semi").join(foreign, same).drop("span_doc").unionByName(apart)
-    else:
-        joined = rows.join(foreign, same, "left").drop("span_doc")
+        ids = F.broadcast(ids)
+    same, unnamed = rows["doc_id"] == F.col("span_doc"), rows["doc_id"].isNull()
+    touched = rows.join(ids, same, "left_semi").join(foreign, same).drop("span_doc")
+    touched = touched.unionByName(rows.where(unnamed).withColumn("foreign_spans", F.array().cast("array<long>")))
+    untouched = rows.where(~unnamed).join(ids, same, "left_anti").withColumn("n_removed", F.lit(0).cast("long"))
     others = [c for c in rows.columns if c != "text"]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, total, removed = [], [], []
+        texts, removed = [], []
         for text, own in zip(batch.column("text"), batch.column("foreign_spans"), strict=True):
-            hashes = own.values.to_numpy() if own.is_valid else np.zeros(0, np.int64)
-            kept, n, gone = remove(text.as_py(), hashes, least_sentences, least_words)
+            kept, gone = remove(text.as_py(), own.values.to_numpy(), least_sentences, least_words)
             texts.append(kept)
-            total.append(n)
             removed.append(gone)
-        new = [pa.array(texts, pa.string()), pa.array(total, pa.int64()), pa.array(removed, pa.int64())]
-        return pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in others), *new], [*others, "text", "n_sentences", "n_removed"]
-        )
+        new = [pa.array(texts, pa.string()), pa.array(removed, pa.int64())]
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), *new], [*others, "text", "n_removed"])
 
     fields = [rows.schema[c] for c in others]
-    new = [T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())]
-    return map_batches(joined, run, T.StructType([*fields, *new]))
+    new = [T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType())]
+    cleaned = map_batches(touched, run, T.StructType([*fields, *new]))
+    return cleaned.unionByName(untouched.select(*cleaned.columns))
 
 
 def remove_repeats(
@@ -208,7 +243,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, text (without repeated sentences), n_sentences, n_removed of every row."""
+    """doc_id, text (without repeated sentences), n_removed of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return _cleaned(rows, least_sentences, least_words)
 
