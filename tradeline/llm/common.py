@@ -56,12 +56,27 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 
+#: Tasks and files of an intermediate result at most, for each core of the cluster.
+FILES_PER_CORE = 8
+
+
+def few_files(df: DataFrame) -> DataFrame:
+    """``df`` in at most ``FILES_PER_CORE`` tasks and files for each core; a task then reads several partitions.
+
+    Unchanged where the number of cores is not known before the work (dynamic allocation).
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return df
+    return df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder, so that nothing before it runs again."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    return few_files(df).checkpoint()
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -71,14 +86,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def map_batches(
-    df: DataFrame, func: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType
+    df: DataFrame,
+    func: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str | T.StructType,
+    forget: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """``func`` on every Arrow batch; the batches of a partition stay independent."""
+    """``func`` on every Arrow batch; the batches of a partition stay independent.
+
+    ``forget`` empties what ``func`` remembers: a Python worker outlives its tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 yield func(batch)
+        if forget:
+            forget()
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

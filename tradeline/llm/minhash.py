@@ -60,6 +60,11 @@ class _WordHashes(dict):
 _words = _WordHashes()
 
 
+def _forget() -> None:
+    """Drop the hashes of words when a task ends."""
+    _words.clear()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -132,7 +137,7 @@ def signatures(docs: DataFrame, size: int = WORDS, id_col: str = "doc_id", text_
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>"
-    return map_batches(rows, run, schema)
+    return map_batches(rows, run, schema, _forget)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -196,7 +201,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD, size:
 
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(work, "node")
     texts = texts.select("node", "a", "part", "side", "text")
-    grouped = map_batches(texts, sets, "node long, a long, part int, side int, hashes binary")
+    grouped = map_batches(texts, sets, "node long, a long, part int, side int, hashes binary", _forget)
     grouped = grouped.repartition("a", "part").sortWithinPartitions("a", "part", "side", "node")
     return grouped.mapInArrow(compare, "u long, v long")
 
@@ -339,7 +344,7 @@ def _confirm_blocks(docs: DataFrame, rows: DataFrame, threshold: int, size: int)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "hashes"])
 
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(nodes, "node")
-    found = map_batches(texts, sets, "node long, hashes binary")
+    found = map_batches(texts, sets, "node long, hashes binary", _forget)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, hashes, own = None, [], [], None

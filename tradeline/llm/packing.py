@@ -46,7 +46,7 @@ _WORDS = re.compile(
 #: No pre-token goes on from a visible character to a space, so a text may be cut there.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _CUT_CHARS = 500_000
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 
 
 class _WordIds(dict):
