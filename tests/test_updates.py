@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from bridge.shapes import AS_OF
 from tests import golden as g
 from tradeline import CURRENT, decide_table_streams, decide_tables, parse_requests, read_requests
 from tradeline.plans import ledger, monthly
-from tradeline.session import new_path
+from tradeline.session import new_path, work_folder
 from tradeline.sources import requests as src
 
 SF = "/root/testdata/sf0.001"
@@ -102,6 +103,20 @@ def test_a_large_request_is_few_changes(spark):
     assert monthly.account_changes(one.limit(0)).collect() == []
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Session:
+        def __init__(self, master, warehouse, folder=None):
+            settings = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": folder}
+            self.conf = SimpleNamespace(get=lambda key, default=None: settings[key])
+            self.sparkContext = SimpleNamespace(master=master)
+
+    assert work_folder(Session("yarn", "file:/w", "hdfs://x/y/")) == "hdfs://x/y"
+    assert work_folder(Session("yarn", "hdfs://x/w")) == "hdfs://x/w/work" and work_folder(Session("local[2]", "/w")) == "/w/work"
+    for warehouse in ("/w", "file:/w"):
+        with pytest.raises(ValueError):
+            work_folder(Session("spark://host:7077", warehouse))
+
+
 # --- ids ---------------------------------------------------------------------
 
 

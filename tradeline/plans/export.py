@@ -206,13 +206,15 @@ def account_table(scored: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
     return account_columns(scored.withColumn("row", F.explode(account_rows())), cfg)
 
 
-def account_columns(rows: DataFrame, cfg: PolicyConfig = CURRENT) -> DataFrame:
+def account_columns(
+    rows: DataFrame, cfg: PolicyConfig = CURRENT, keys: Iterable[str] = ("request_id",)
+) -> DataFrame:
     """The account table of rows that hold one (head, acct) struct ``row`` and the request's fields."""
     bound = rows.withColumn(
         "b", F.struct(*[v.alias(n) for n, v in _bind(lambda n: F.col("row")[n], cfg).items()])
     )
     columns = _bureau_columns(lambda n: F.col("b")[n], cfg)
-    return bound.select("request_id", *[v.alias(n) for n, v in columns.items()])
+    return bound.select(*keys, *[v.alias(n) for n, v in columns.items()])
 
 
 # --- enquiry and user tables ------------------------------------------------
@@ -258,7 +260,7 @@ def column_dict(rows: Column, fields: Iterable[str], names: dict[str, str] | Non
 
 
 def with_result_arrays(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
-    """Add the three tables as nested arrays: bureau_rows, enquiry_rows, user_rows."""
+    """Add the tables as nested arrays: bureau_rows, enquiry_rows."""
 
     def struct(columns: dict[str, Column]) -> Column:
         return F.struct(*[v.alias(n) for n, v in columns.items()])
@@ -274,11 +276,24 @@ def with_result_arrays(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) ->
             "enquiry_rows": F.transform(
                 "enquiries", lambda e: struct(enquiry_columns(e, as_of, cfg))
             ),
-            "user_rows": F.when(F.col("policy").isNotNull(), F.array("policy")),
         }
     )
 
 
+def user_document(cfg: PolicyConfig = CURRENT) -> Column:
+    """The user table of a result document, from column ``policy``: by row, at launch by report number."""
+    if cfg.envelope:
+        rows = F.when(F.col("policy").isNotNull(), F.array("policy"))
+        return column_dict(rows, [n for n, _ in s.USER_POLICY_FIELDS])
+    names = s.launch_names(cfg.user_column)
+    values = [
+        F.create_map(F.col("reportnumber"), F.col("policy")[n]).alias(names[n])
+        for n, _ in s.USER_POLICY_FIELDS
+        if n != "reportnumber"
+    ]
+    return F.when(F.col("policy").isNotNull(), F.struct(*values))
+
+
 def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> DataFrame:
     """``request_id, value``: one JSON result document per request.
 
@@ -290,8 +305,8 @@ def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> D
     fields = s.bureau_fields(cfg.user_column)
     bureau = column_dict(F.col("bureau_rows"), [n for n, _ in fields], names)
     enquiry = column_dict(F.col("enquiry_rows"), [n for n, _ in s.ENQUIRY_OUT_FIELDS], names)
+    user = user_document(cfg)
     if cfg.envelope:
-        user = column_dict(F.col("user_rows"), [n for n, _ in s.USER_POLICY_FIELDS])
         body = F.struct(
             F.col("accept_ind"),
             F.col("bureau_history_status"),
@@ -303,16 +318,6 @@ def result_documents(scored: DataFrame, as_of, cfg: PolicyConfig = CURRENT) -> D
             ).alias("analytics_data"),
         )
     else:
-        user = F.when(
-            F.col("policy").isNotNull(),
-            F.struct(
-                *[
-                    F.create_map(F.col("reportnumber"), F.col("policy")[n]).alias(names[n])
-                    for n, _ in s.USER_POLICY_FIELDS
-                    if n != "reportnumber"
-                ]
-            ),
-        )
         body = F.struct(
             F.col("bureau_history_status").alias("Bur_Hist_Sta"),
             bureau.alias("Bur_Data"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,9 +30,17 @@ def build_session(name: str = "tradeline", master: str | None = None, **conf: st
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A folder that all executors share: ``spark.checkpoint.dir``, else below the warehouse."""
+    """A folder that all executors share: ``spark.checkpoint.dir``, else below the warehouse.
+
+    On a cluster a warehouse on a local disk is no such folder, so the setting is needed there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work").rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and urlsplit(warehouse).scheme in ("", "file"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{warehouse}/work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
