@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradeline.session import work_folder
+
 #: Texts are handled in slices of about this many characters, so that the Python objects
 #: made from one slice stay small whatever the size of an Arrow batch.
 SLICE_CHARS = 2_000_000
@@ -51,9 +53,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that driver and executors share: ``spark.checkpoint.dir``, else the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    """A folder that driver and executors share: ``spark.checkpoint.dir``, else one below the warehouse."""
+    return work_folder(spark)
 
 
 #: Tasks and files of an intermediate result at most, for each core of the cluster.

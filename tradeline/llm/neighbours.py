@@ -4,7 +4,7 @@ Vectors get one more component, so that the nearest by distance is the largest b
 turned by a random rotation. Lists are the cells of centroids, fitted on a bounded sample; every vector
 is indexed. The sample also tells how many lists must be probed to find ``recall`` of its neighbours.
 Lists are gathered into groups of about ``GROUP`` vectors (a longer list is split), and a query goes
-once to each group that holds one of its lists. There it reads the probed vectors in blocks of columns.
+once to each group that holds one of its lists. There queries read the probed vectors together, in blocks of columns.
 After each block a test compares the distance so far, scaled up, with the k-th best: the share of a
 squared distance that lies in d of D rotated components varies by sqrt(2 (D - d) / (d (D + 2))), and
 candidates that are too far by ``z`` of these deviations are abandoned. What is left is scored exactly, in
@@ -34,8 +34,8 @@ from tradeline.llm.common import cut, map_batches
 SAMPLE, MOST_LISTS, GROUP, BLOCK = 20_000, 4096, 4096, 16
 #: Partitions that groups are dealt into at most. Their number is given, as the work is not in the bytes.
 MOST_PARTITIONS = 10_000
-#: Vectors whose nearness to all lists is worked out at a time.
-SLICE = 256
+#: Vectors whose nearness to all lists is worked out at a time; queries times vectors that are compared at a time.
+SLICE, PAIRS = 256, 1 << 18
 
 
 @dataclass
@@ -116,7 +116,8 @@ def fit(vectors: DataFrame, k: int, recall: float, sample: int = SAMPLE, seed: i
         np.add.at(total, near, turned)
         n = np.bincount(near, minlength=lists)
         index.centroids = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], index.centroids)
-    index.probes = _probes(index, x, turned, k, recall, rng)
+    # The k nearest of all are about as near as this many of the sample.
+    index.probes = _probes(index, x, turned, -(-k * len(x) // facts["n"]), recall, rng)
     return index
 
 
@@ -164,31 +165,51 @@ class _Group:
         self.edges = list(zip(edges, edges[1:], strict=False))
         self.blocks = [np.ascontiguousarray(turned[:, a:b]) for a, b in self.edges]
 
-    def search(self, vector: np.ndarray, turned: np.ndarray, probed: np.ndarray, k: int, z: float):
-        """Nodes and scores of the k best in the probed lists."""
-        at = np.flatnonzero(np.isin(self.lists, probed))
-        if not len(at):
-            return at, np.zeros(0)
-        near = at[self.lists[at] == probed[0]]  # evaluated whole, for a first threshold
-        if len(near) < k:
-            near = at[:k]
-        so_far = np.zeros(len(at), np.float32)
-        limit = np.inf
-        if len(near) >= k:
-            distance = sum(((block[near] - turned[a:b]) ** 2).sum(axis=1) for (a, b), block in zip(self.edges, self.blocks, strict=True))
-            limit = np.partition(distance, k - 1)[k - 1]
-        for (a, b), block in zip(self.edges, self.blocks, strict=True):
-            step = block[at] - turned[a:b]
-            so_far = so_far + np.einsum("ij,ij->i", step, step)
-            if b < self.size and np.isfinite(limit):
-                spread = np.sqrt(2 * (self.size - b) / (b * (self.size + 2)))
-                stay = so_far * (self.size / b) * max(0.0, 1 - z * spread) <= limit * (1 + 1e-5)
-                at, so_far = at[stay], so_far[stay]
-        if np.isfinite(limit):
-            at = at[so_far <= limit * (1 + 1e-4) + 1e-6]
-        score = (self.original[at] * vector).sum(axis=1)
-        best = np.lexsort((self.nodes[at], -score))[:k]
-        return self.nodes[at[best]], score[best]
+    def search(self, vectors: np.ndarray, turned: np.ndarray, probed: list[np.ndarray], k: int, z: float):
+        """Query (by place), node and score of the k best in the lists that each query probes."""
+        alive = np.array([np.isin(self.lists, own) for own in probed])
+        first = slice(*self.edges[0])
+        so_far = self._distances(0, turned[:, first])
+        so_far[~alive] = np.inf
+        # The k nearest by the first columns, measured whole, bound the distance of the k-th nearest.
+        few = min(k, len(self.nodes))
+        near = np.argpartition(so_far, few - 1, axis=1)[:, :few]
+        whole = np.zeros(near.shape, np.float32)
+        for (low, high), block in zip(self.edges, self.blocks, strict=True):
+            step = block[near] - turned[:, None, low:high]
+            whole += np.einsum("ijk,ijk->ij", step, step)
+        whole[~np.take_along_axis(alive, near, axis=1)] = np.inf
+        limit = whole.max(axis=1) if few == k else np.full(len(turned), np.inf, np.float32)
+        query, at = np.nonzero(alive)
+        stay = so_far[query, at] * self._scale(self.edges[0][1], z) <= limit[query] * (1 + 1e-5)
+        query, at = query[stay], at[stay]
+        distance = so_far[query, at]
+        for number, (low, high) in enumerate(self.edges[1:], 1):
+            if len(at) > 0.3 * alive.size:  # most are left: all of them at once
+                distance = distance + self._distances(number, turned[:, low:high])[query, at]
+            else:
+                step = self.blocks[number][at] - turned[query, low:high]
+                distance = distance + np.einsum("ij,ij->i", step, step)
+            # What is left at the end needs no test but its distance, with room for rounding.
+            scale, room = (self._scale(high, z), 1e-5) if high < self.size else (1.0, 1e-4)
+            stay = distance * scale <= limit[query] * (1 + room) + 1e-6
+            query, at, distance = query[stay], at[stay], distance[stay]
+        score = (self.original[at] * vectors[query]).sum(axis=1)
+        order = np.lexsort((self.nodes[at], -score, query))
+        query, at, score = query[order], at[order], score[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        return query[place < k], self.nodes[at[place < k]], score[place < k]
+
+    def _scale(self, known: int, z: float) -> np.float32:
+        """Factor that makes a distance in ``known`` columns a low estimate of the whole one."""
+        spread = np.sqrt(2 * (self.size - known) / (known * (self.size + 2)))
+        return np.float32(self.size / known * max(0.0, 1 - z * spread))
+
+    def _distances(self, number: int, turned: np.ndarray) -> np.ndarray:
+        """Squared distances of all queries and vectors in one block of columns."""
+        block = self.blocks[number]
+        both = (turned**2).sum(axis=1)[:, None] + (block**2).sum(axis=1) - 2 * turned @ block.T
+        return np.maximum(both, 0)
 
 
 def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: float) -> DataFrame:
@@ -251,11 +272,24 @@ def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: flo
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, group = None, [], None
+        waiting: list[tuple] = []
+
+        def answered() -> pa.RecordBatch:
+            names, lists, vectors = zip(*waiting, strict=True)
+            x = np.array(vectors)
+            turned = index.turned(x, query=True).astype(np.float32)
+            query, node, score = group.search(x, turned, [np.array(own) for own in lists], k, z)
+            waiting.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.array(names, np.int64)[query]), pa.array(node, pa.int64()), pa.array(score)], ["query", "node", "score"]
+            )
+
         for batch in batches:
-            query, node, score = [], [], []
             columns = (batch.column(i).to_pylist() for i in range(5))
             for own, side, name, lists, vector in zip(*columns, strict=True):
                 if own != number:
+                    if waiting:
+                        yield answered()
                     number, held, group = own, [], None
                 if side == 0:
                     held.append((name, lists[0], vector))
@@ -264,16 +298,11 @@ def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: flo
                     continue
                 if group is None:
                     group, held = _Group(held, index), []
-                x = np.array(vector)
-                turned = index.turned(x[None], query=True)[0].astype(np.float32)
-                nodes, scores = group.search(x, turned, np.array(lists), k, z)
-                query.extend([name] * len(nodes))
-                node.extend(nodes.tolist())
-                score.extend(scores.tolist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(query, pa.int64()), pa.array(node, pa.int64()), pa.array(score, pa.float64())],
-                ["query", "node", "score"],
-            )
+                waiting.append((name, lists, vector))
+                if len(waiting) * len(group.nodes) >= PAIRS:
+                    yield answered()
+        if waiting:
+            yield answered()
 
     return both.mapInArrow(scan, "query long, node long, score double")
 
