@@ -164,9 +164,14 @@ class _Group:
         edges = [*range(0, self.size, BLOCK), self.size]
         self.edges = list(zip(edges, edges[1:], strict=False))
         self.blocks = [np.ascontiguousarray(turned[:, a:b]) for a, b in self.edges]
+        self.squares = [(block**2).sum(axis=1) for block in self.blocks]
 
     def search(self, vectors: np.ndarray, turned: np.ndarray, probed: list[np.ndarray], k: int, z: float):
-        """Query (by place), node and score of the k best in the lists that each query probes."""
+        """Query (by place), node and score of the k best in the lists that each query probes.
+
+        Blocks of columns are taken for all queries and vectors at once until most pairs are abandoned, then for
+        the pairs that are left.
+        """
         alive = np.array([np.isin(self.lists, own) for own in probed])
         first = slice(*self.edges[0])
         so_far = self._distances(0, turned[:, first])
@@ -180,20 +185,34 @@ class _Group:
             whole += np.einsum("ijk,ijk->ij", step, step)
         whole[~np.take_along_axis(alive, near, axis=1)] = np.inf
         limit = whole.max(axis=1) if few == k else np.full(len(turned), np.inf, np.float32)
-        query, at = np.nonzero(alive)
-        stay = so_far[query, at] * self._scale(self.edges[0][1], z) <= limit[query] * (1 + 1e-5)
-        query, at = query[stay], at[stay]
-        distance = so_far[query, at]
-        for number, (low, high) in enumerate(self.edges[1:], 1):
-            if len(at) > 0.3 * alive.size:  # most are left: all of them at once
-                distance = distance + self._distances(number, turned[:, low:high])[query, at]
+        most = (limit * np.float32(1 + 1e-4) + np.float32(1e-6))[:, None]
+        query = at = distance = None
+        for number, (low, high) in enumerate(self.edges):
+            # What is left at the end needs no test but its distance, with room for rounding.
+            scale = self._scale(high, z) if high < self.size else np.float32(1)
+            if at is None:
+                if number:
+                    so_far += self._distances(number, turned[:, low:high])
+                alive &= so_far * scale <= most
+                left = np.count_nonzero(alive)
+                if left <= alive.size // 16 or high == self.size:  # few are left: these by themselves
+                    query, at = np.nonzero(alive)
+                    distance = so_far[query, at]
             else:
                 step = self.blocks[number][at] - turned[query, low:high]
                 distance = distance + np.einsum("ij,ij->i", step, step)
-            # What is left at the end needs no test but its distance, with room for rounding.
-            scale, room = (self._scale(high, z), 1e-5) if high < self.size else (1.0, 1e-4)
-            stay = distance * scale <= limit[query] * (1 + room) + 1e-6
-            query, at, distance = query[stay], at[stay], distance[stay]
+                stay = distance * scale <= most[query, 0]
+                query, at, distance = query[stay], at[stay], distance[stay]
+        # Exact scores for the k nearest and what rounding may have put behind them.
+        order = np.lexsort((distance, query))
+        query, at, distance = query[order], at[order], distance[order]
+        first = np.searchsorted(query, np.arange(len(turned)))
+        last = np.minimum(first + k - 1, len(query) - 1)
+        if len(query):
+            enough = np.bincount(query, minlength=len(turned)) >= k
+            bound = np.where(enough, distance[last] * np.float32(1 + 1e-4) + np.float32(1e-6), np.inf)
+            stay = distance <= bound[query]
+            query, at = query[stay], at[stay]
         score = (self.original[at] * vectors[query]).sum(axis=1)
         order = np.lexsort((self.nodes[at], -score, query))
         query, at, score = query[order], at[order], score[order]
@@ -207,9 +226,10 @@ class _Group:
 
     def _distances(self, number: int, turned: np.ndarray) -> np.ndarray:
         """Squared distances of all queries and vectors in one block of columns."""
-        block = self.blocks[number]
-        both = (turned**2).sum(axis=1)[:, None] + (block**2).sum(axis=1) - 2 * turned @ block.T
-        return np.maximum(both, 0)
+        both = (-2 * turned) @ self.blocks[number].T
+        both += (turned**2).sum(axis=1)[:, None]
+        both += self.squares[number]
+        return both
 
 
 def _search(vectors: DataFrame, queries: DataFrame, index: Index, k: int, z: float) -> DataFrame:
