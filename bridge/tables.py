@@ -13,12 +13,17 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
+def spread(scan: DataFrame, key: str, parts: int | None = None) -> DataFrame:
     """Deal out the few narrow columns of a test file, which is one split.
 
     Every row fans out to a whole history below. Only the making of test data needs this.
     """
-    return scan.repartition(int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return scan.repartition(parts or int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def parts_of(rows: int, size: int, least: int) -> int:
+    """Parts (files, buckets) of about ``size`` rows, ``least`` of them for few rows."""
+    return max(least, -(-rows // size))
 
 
 # --- flat tables ------------------------------------------------------------
@@ -82,7 +87,7 @@ def enquiries(spark: SparkSession, sf: str) -> DataFrame:
 # --- request documents ------------------------------------------------------
 
 
-def _seeds(spark: SparkSession, sf: str, table: str) -> DataFrame:
+def _seeds(spark: SparkSession, sf: str, table: str, parts: int | None = None) -> DataFrame:
     if table == "customer":
         rows = read(spark, sf, table).selectExpr(
             "c_custkey AS k", "c_acctbal AS bal", "c_mktsegment AS seg"
@@ -91,7 +96,7 @@ def _seeds(spark: SparkSession, sf: str, table: str) -> DataFrame:
         rows = read(spark, sf, "supplier").selectExpr(
             "s_suppkey AS k", "s_acctbal AS bal", "'BUILDING' AS seg"
         )
-    return spread(rows, "k")
+    return spread(rows, "k", parts)
 
 
 def _date_text(day: str, style: str) -> str:
@@ -114,8 +119,10 @@ def store_documents(spark: SparkSession, sf: str, path: str, table: str = "custo
     _STORED[sf, table, envelope] = path
 
 
-def documents(spark: SparkSession, sf: str, table: str = "customer", envelope: bool = True) -> DataFrame:
-    """One JSON request document per customer (or supplier).
+def documents(
+    spark: SparkSession, sf: str, table: str = "customer", envelope: bool = True, parts: int | None = None
+) -> DataFrame:
+    """One JSON request document per customer (or supplier), made in ``parts`` tasks.
 
     Every document has its own accounts, histories, phones, enquiries and
     features; a few are broken in the ways the engine has to survive.
@@ -214,9 +221,10 @@ def documents(spark: SparkSession, sf: str, table: str = "customer", envelope: b
         f"'bureau_data', {bureau})"
     )
     text = f"to_json({whole if envelope else bureau})"
-    # The listed phone type is written as a real JSON list.
-    seeds = _seeds(spark, sf, table).selectExpr("*", f"CAST({sh.doc_accounts('k', SPARK)} AS INT) AS n_acct")
-    return seeds.selectExpr("CAST(k AS STRING) AS request_id", f"{v} AS v", f"{text} AS doc").select(
+    # The listed phone type is written as a real JSON list; only these documents are searched for it.
+    listed = F.replace(F.col("doc"), F.lit('"[\\"M\\"]"'), F.lit('["M"]'))
+    seeds = _seeds(spark, sf, table, parts).selectExpr("*", f"CAST({sh.doc_accounts('k', SPARK)} AS INT) AS n_acct")
+    return seeds.selectExpr("CAST(k AS STRING) AS request_id", f"{v} AS v", "k % 23 = 5 AS two_phones", f"{text} AS doc").select(
         "request_id",
         F.when(F.col("v") == 5, F.expr("substring(doc, 1, length(doc) - 10)"))
         .otherwise(F.replace(F.col("doc"), F.lit('"[\\"M\\"]"'), F.lit('["M"]')))
