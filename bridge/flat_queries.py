@@ -487,11 +487,17 @@ def decision_dated_table(spark, sf):
     return ledger.decide_tables(requests, accounts, enquiries, F.col("as_of"), CFG).drop("user_id")
 
 
+#: Rows of a bucket or file at most, so that a task holds as much whatever the tables hold.
+PART_ROWS = 250_000
+
+
 @query("decision_bucketed", _decision_sql())
 def decision_bucketed(spark, sf):
     """The tables lie by request, so nothing is shuffled for the decision."""
     name, path = f"flat_{uuid.uuid4().hex}", new_path(spark, "bucketed")
-    flat.write_flat_tables(_tables(spark, sf), name, path, buckets=8)
+    tables = _tables(spark, sf)
+    buckets = t.parts_of(max(df.count() for df in tables), PART_ROWS, 8)
+    flat.write_flat_tables(tables, name, path, buckets=buckets)
     return ledger.decide_tables(*flat.read_flat_tables(spark, name), AS_OF, CFG).drop("user_id")
 
 
