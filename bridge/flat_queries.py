@@ -512,8 +512,10 @@ def stream_tables(spark, sf):
     for kind, df in tables.items():
         df = df.withColumn("arrived", F.expr(came.format(key=keys[kind])))
         df = df.unionByName(df.where(f"{keys[kind]} % 7 = 0"))
-        df.repartition(3, F.hash(keys[kind])).write.parquet(f"{inbox}/{kind}")
-        streams[kind] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{inbox}/{kind}")
+        # Three files, or three times as many; two thirds of them make a batch.
+        thirds = t.parts_of(df.count(), 3 * PART_ROWS, 1)
+        df.repartition(3 * thirds, F.hash(keys[kind])).write.parquet(f"{inbox}/{kind}")
+        streams[kind] = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2 * thirds).parquet(f"{inbox}/{kind}")
     # What comes two days later closes all sessions before it, and stays open itself.
     late = tables["requests"].limit(1).withColumns({"request_id": F.lit(-1).cast("bigint"), "arrived": F.expr("TIMESTAMP '2024-02-02 10:00:00'")})
     decisions = decide_table_streams(**streams, as_of=AS_OF, cfg=CFG, delay="2 hours", gap="2 hours")
