@@ -456,15 +456,18 @@ def request_ids(spark, sf):
     """Ids of lines, some of them equal, are found again after more files have come."""
     inbox, first = new_path(spark, "inbox"), new_path(spark, "ids")
     docs = t.documents(spark, sf)
-    twice = docs.unionByName(docs.where("CAST(request_id AS INT) % 3 = 0")).repartition(3, "request_id")
-    twice.select("value").write.text(inbox)
-    src.read_requests(spark, inbox, stable_ids=True).select("request_id", "digest", "value").write.parquet(first)
-    docs.where("CAST(request_id AS INT) % 5 = 0").select("value").repartition(7).write.mode("append").text(inbox)
+    # Both lines of a document go to the file that its task writes.
+    twice = docs.withColumn("copy", F.explode(F.expr("sequence(0, if(CAST(request_id AS INT) % 3 = 0, 1, 0))")))
+    twice.select("value").write.option("compression", "gzip").text(inbox)
+    user = F.when(F.col("value").endswith("}"), F.get_json_object("value", "$.user_id"))
+    src.read_requests(spark, inbox, stable_ids=True).select("request_id", "digest", user.alias("user_id")).write.parquet(first)
+    more = docs.where("CAST(request_id AS INT) % 5 = 0").select("value")
+    more.write.mode("append").option("compression", "gzip").text(inbox)
     again = src.read_requests(spark, inbox, stable_ids=True)
     found = again.select("request_id", F.col("digest").alias("other"), F.lit(True).alias("found"))
     rows = spark.read.parquet(first).join(found, "request_id", "left")
     return rows.select(
-        F.when(F.col("value").endswith("}"), F.get_json_object("value", "$.user_id")).alias("user_id"),
+        "user_id",
         F.substring_index("request_id", "#", -1).cast("bigint").alias("copy"),
         F.coalesce(F.col("found") & (F.col("digest") == F.col("other")), F.lit(False)).alias("found_again"),
     )
