@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bridge import document_sql as d
@@ -92,10 +93,14 @@ def src_request_file(spark, sf):
     """One file per request (per supplier), in two folders; its path below the root is its name."""
     path = new_path(spark, "request-files")
     docs = t.documents(spark, sf, "supplier").withColumn("half", F.expr("CAST(request_id AS INT) % 2"))
-    docs.repartition("request_id").write.partitionBy("half", "request_id").text(path)
+    # The documents of an id are made by one task. Each task moves its own files, not the driver all of them.
+    writer = docs.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+    writer.partitionBy("half", "request_id").text(path)
     df = parse.parse_requests(src.read_request_files(spark, path))
-    ids = df.groupBy("request_id").agg(F.count("*").alias("n_of_this_id"))
-    return _summary(df.join(ids, "request_id"), F.regexp_replace("file_name", "/[^/]*$", "").alias("folder"), "n_of_this_id")
+    rows = _summary(df, "request_id", F.regexp_replace("file_name", "/[^/]*$", "").alias("folder"))
+    # Only the summaries are shuffled, and every file is opened once.
+    rows = rows.withColumn("n_of_this_id", F.count("*").over(Window.partitionBy("request_id")))
+    return rows.drop("request_id")
 
 
 # --- projections ------------------------------------------------------------
