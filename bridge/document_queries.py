@@ -449,6 +449,12 @@ def decision_policies(spark, sf):
     return documents.decide_policies(t.documents(spark, sf), AS_OF, policies)
 
 
+def _twice(docs):
+    """Every third document again, made once and in the file that its task writes."""
+    copies = F.expr("sequence(0, if(CAST(request_id AS INT) % 3 = 0, 1, 0))")
+    return docs.withColumn("copy", F.explode(copies))
+
+
 @query(
     "request_ids",
     q.with_ctes(
@@ -461,9 +467,7 @@ def request_ids(spark, sf):
     """Ids of lines, some of them equal, are found again after more files have come."""
     inbox, first = new_path(spark, "inbox"), new_path(spark, "ids")
     docs = t.documents(spark, sf)
-    # Both lines of a document go to the file that its task writes.
-    twice = docs.withColumn("copy", F.explode(F.expr("sequence(0, if(CAST(request_id AS INT) % 3 = 0, 1, 0))")))
-    twice.select("value").write.option("compression", "gzip").text(inbox)
+    _twice(docs).select("value").write.option("compression", "gzip").text(inbox)
     user = F.when(F.col("value").endswith("}"), F.get_json_object("value", "$.user_id"))
     src.read_requests(spark, inbox, stable_ids=True).select("request_id", "digest", user.alias("user_id")).write.parquet(first)
     more = docs.where("CAST(request_id AS INT) % 5 = 0").select("value")
@@ -695,9 +699,7 @@ def sink_result_launch(spark, sf):
 def duplicate_requests(spark, sf):
     """Every third document is submitted twice; both forms decide each submission for itself."""
     path = new_path(spark, "duplicates")
-    docs = t.documents(spark, sf)
-    twice = docs.unionByName(docs.where("CAST(request_id AS INT) % 3 = 0"))
-    twice.select("value").write.text(path)
+    _twice(t.documents(spark, sf)).select("value").write.text(path)
     raw = src.read_requests(spark, path)
     nested = documents.decide_documents(raw, AS_OF, CFG)
     tables = ledger.tables_from_requests(parse.parse_requests(raw, CFG), AS_OF, CFG, saved=new_path(spark, "flat"))
